@@ -70,29 +70,33 @@ def left_many(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_i
 
 
 def right_many(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
-    """Right join: all rows of the side, with empty contact columns where none fits."""
-    side = side.withColumnRenamed(key, "_side")
-    return df.join(side, F.col(on) == F.col("_side"), "right").drop("_side")
-
+    """Right join: all rows of the side, with empty contact columns where none fits.
 
-def null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """All columns equal, null matching null."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+    Split into inner and unmatched rows for the same reason as ``left_many``.
+    """
+    matched = inner_on(df, side, on, key)
+    lonely = keep_out(side, key_set(df, on, "_k"), key, "_k").drop(key)
+    return matched.unionByName(lonely, allowMissingColumns=True)
 
 
 def natural(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on all shared columns, null matching null."""
+    """Join on all shared columns, null matching null.
+
+    ``how`` is inner, left, left_semi or left_anti.
+    """
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
         raise ValueError("the two frames share no column")
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}" if c in shared else c) for c in right.columns]
-    )
+    if how == "left":
+        matched = natural(left, right, "inner")
+        lonely = natural(left, right.select(*shared).distinct(), "left_anti")
+        return matched.unionByName(lonely, allowMissingColumns=True)
+    keys = {c: f"_r_{c}" for c in shared}
+    renamed = right.withColumnsRenamed(keys)
     condition = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in shared]
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
     )
-    joined = left.join(renamed, condition, how)
-    return joined.drop(*[f"_r_{c}" for c in shared])
+    return left.join(renamed, condition, how).drop(*keys.values())
 
 
 def rows_not_in(df: DataFrame, *others: DataFrame) -> DataFrame:
