@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 VIEWS = """
-WITH base AS (
+WITH RECURSIVE base AS (
   SELECT c_custkey AS id, concat(lower(replace(c_name,'#','.')),'@',lower(c_mktsegment),'.example') AS mail,
     concat(lower(c_mktsegment),'.example') AS domain FROM customer),
 id AS (
@@ -67,11 +67,13 @@ id_unik AS (
 ) + """ FROM id GROUP BY mail_id),
 outside AS (
   SELECT b.mail, l.ip FROM base b JOIN lead l ON l.mail_id = b.id
+  UNION ALL SELECT b.mail, NULL FROM base b JOIN sms s ON s.mail_id = b.id
   UNION ALL SELECT concat(lower(replace(abreviation,'#','.')),'@supplier.example'), NULL FROM regie_list),
 incoming AS (SELECT mail, md5(mail) AS md5 FROM outside),
 extract AS (
   SELECT b.mail, i.prenom, i.nom, i.civilite, i.birth, i.cp, concat(' ', l.provenance, ' ') AS raw, l.provenance
-  FROM base b JOIN id i ON i.mail_id = b.id LEFT JOIN lead l ON l.mail_id = b.id)
+  FROM base b JOIN id i ON i.mail_id = b.id LEFT JOIN lead l ON l.mail_id = b.id),
+contact_id AS (SELECT b.id, b.mail, i.civilite, i.prenom, i.birth FROM base b LEFT JOIN id i ON i.mail_id = b.id)
 """
 
 ID = "i.civilite, i.prenom, i.nom, i.cp, i.ville, i.birth"
@@ -289,7 +291,7 @@ def oracle_sql() -> dict[str, str]:
                 AND b.domain NOT IN ('household.example','machinery.example') AND {_without('plainte', 'npai', 'mot')})
             ) WHERE rn <= 200""",
         "suppress_union": f"SELECT o.mail, o.ip FROM outside o WHERE o.mail NOT IN ({_mails_of('plainte', 'npai', 'mot', 'spam')})",
-        "flag_filter": f"SELECT b.mail FROM base b WHERE {_named('ouvreur_mimi')} AND {_without('plainte', 'npai', 'spam')}",
+        "flag_filter": f"SELECT b.mail FROM base b WHERE {_named('ouvreur_mimi')} AND {_without('plainte', 'npai', 'mot')}",
         "clean_by_lists": f"""SELECT mail, birth, regexp_replace(civilite, '^(\\d+)[.,].*$', '\\1') AS civilite, prenom, nom,
             regexp_replace(cp, '^(\\d+)[.,].*$', '\\1') AS cp, ville FROM (
               SELECT b.mail, {ID}, row_number() OVER (PARTITION BY b.mail ORDER BY i.birth NULLS LAST, i.civilite NULLS LAST,
@@ -355,12 +357,10 @@ def oracle_sql() -> dict[str, str]:
             JOIN lead l ON l.mail_id = m.mail_id WHERE i.civilite IS NOT NULL AND l.date IS NOT NULL) k ON k.md5 = md5(o.mail)""",
         "append_identity": f"""SELECT o.mail, {ID} FROM (SELECT DISTINCT mail FROM outside) o
             LEFT JOIN base b ON b.mail = o.mail LEFT JOIN id i ON i.mail_id = b.id""",
-        "new_rows_diff": f"""WITH x AS (SELECT b.id, b.mail, i.civilite, i.prenom, i.birth {_BASE_ID})
-            SELECT b.mail, b.civilite, b.prenom, b.birth FROM x b WHERE {_in(_PARTNER, '1-URGENT')}
-            AND NOT EXISTS (SELECT 1 FROM x y WHERE y.mail = b.mail AND y.civilite IS NOT DISTINCT FROM b.civilite
-                AND y.prenom IS NOT DISTINCT FROM b.prenom AND y.birth IS NOT DISTINCT FROM b.birth
-                AND ({_in(_BROKER, *BROKERS, k='y.id').replace('regie_list y', 'regie_list z').replace('y.id = x.', 'z.id = x.').replace('y.abreviation', 'z.abreviation')}
-                  OR {_in(_OPTIN, 'NATION_7', k='y.id').replace('optin_list y', 'optin_list z').replace('y.id = x.', 'z.id = x.').replace('y.abreviation', 'z.abreviation')}))
+        "new_rows_diff": f"""SELECT b.mail, b.civilite, b.prenom, b.birth FROM contact_id b WHERE {_in(_PARTNER, '1-URGENT')}
+            AND NOT EXISTS (SELECT 1 FROM contact_id o WHERE o.mail = b.mail AND o.civilite IS NOT DISTINCT FROM b.civilite
+                AND o.prenom IS NOT DISTINCT FROM b.prenom AND o.birth IS NOT DISTINCT FROM b.birth
+                AND ({_in(_BROKER, *BROKERS, k='o.id')} OR {_in(_OPTIN, 'NATION_7', k='o.id')}))
             AND {_without('plainte', 'mot')}""",
         "audit_match": "SELECT b.mail FROM incoming i JOIN md5_table m ON m.md5 = i.md5 JOIN base b ON b.id = m.mail_id",
         "natural_left": f"""SELECT i.mail_id, i.civilite, i.prenom, i.birth, k.known FROM id i LEFT JOIN (
@@ -386,7 +386,6 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT b.id, b.mail, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS part FROM base b WHERE {_named('ouvreur_mimi')}""",
         "chunks": """SELECT mail, least((rn - 1) // 400 + 1, n // 400) AS chunk FROM (
             SELECT mail, row_number() OVER (ORDER BY mail) AS rn, count(*) OVER () AS n FROM base)""",
-        "group_packing": "",
         "filename_schema": f"""SELECT name, {_NUMBER} AS number, concat('mail|civilite|', regexp_extract(name, ',([a-z0-9 ]*)\\]', 1)) AS header,
             CASE WHEN contains(name, '[ouvreur]') THEN 'ouvreur' WHEN contains(name, '[regie:ads]') THEN 'ads' ELSE '' END AS statuses,
             CASE WHEN contains(name, '[regie:ads]') THEN 'ads' END AS broker,
@@ -394,9 +393,12 @@ def oracle_sql() -> dict[str, str]:
         "file_order": f"""SELECT name, row_number() OVER (ORDER BY {_NUMBER} NULLS LAST, name) AS place
             FROM (SELECT DISTINCT name FROM ({_NAMES})) WHERE name NOT LIKE 'OK%' AND name NOT LIKE 'PB%'""",
     }
-    texts["group_packing"] = """, counts AS (SELECT fichier_id, count(*) AS n, row_number() OVER (ORDER BY fichier_id) AS k
-            FROM fichier_match GROUP BY fichier_id),
-        packed AS (SELECT list_reduce(list_prepend([1, 0, 0], (SELECT list([0, n, 0] ORDER BY k) FROM counts)), (a, g) -> a) AS r)
-        SELECT 1"""
-    del texts["group_packing"]
+    texts["group_packing"] = """, counts AS MATERIALIZED (
+          SELECT fichier_id, count(*) AS n, row_number() OVER (ORDER BY fichier_id) AS k FROM fichier_match GROUP BY fichier_id),
+        packed AS (
+          SELECT k, fichier_id, n AS held, CAST(1 AS BIGINT) AS file_number FROM counts WHERE k = 1
+          UNION ALL SELECT c.k, c.fichier_id, CASE WHEN p.held > 5000 THEN c.n ELSE p.held + c.n END,
+            CASE WHEN p.held > 5000 THEN p.file_number + 1 ELSE p.file_number END
+          FROM packed p JOIN counts c ON c.k = p.k + 1)
+        SELECT m.fichier_id, m.mail_id, p.file_number FROM fichier_match m JOIN packed p ON p.fichier_id = m.fichier_id"""
     return {name: _sql(text) for name, text in texts.items()}

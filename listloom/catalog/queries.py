@@ -302,10 +302,12 @@ def non_webmail(model: Model) -> DataFrame:
 
 
 def _outside(model: Model) -> DataFrame:
-    """A file from outside: the mails of leads, with repeats, and of unknown suppliers."""
-    known = joins.inner_on(model["base"].select("id", "mail"), model["lead"].select("mail_id", "ip"))
+    """A file from outside: mails of leads and mobile numbers, with repeats, and of strangers."""
+    contacts = model.contacts
+    leads = joins.inner_on(contacts, model["lead"].select("mail_id", "ip"))
+    mobile = joins.inner_on(contacts, model["sms"].select("mail_id"))
     strange = model["regie_list"].select(_supplier_mail().alias("mail"))
-    return setops.stack(known.select("mail", "ip"), strange)
+    return setops.stack(leads.select("mail", "ip"), mobile.select("mail"), strange)
 
 
 def _supplier_mail():
@@ -321,10 +323,10 @@ def suppress_union(model: Model) -> DataFrame:
 def flag_filter(model: Model) -> DataFrame:
     """Contacts flagged from four tables; openers without any unwanted flag."""
     rows = model["base"].select("id", "mail")
-    for flag, name in [("ouvreur", "ouvreur_mimi"), ("plainte", "plainte"), ("npai", "npai"), ("spam", "spam")]:
-        keys = Segment(model).named_keys(name).withColumn(flag, F.lit(True))
+    for flag, name in [("ouvreur", "ouvreur_mimi"), ("plainte", "plainte"), ("npai", "npai"), ("mot", "mot")]:
+        keys = Segment(model).named_keys(name).distinct().withColumn(flag, F.lit(True))
         rows = joins.left_one(rows, keys)
-    return rows.filter(clean.true_and_none("ouvreur", ["plainte", "npai", "spam"])).select("mail")
+    return rows.filter(clean.true_and_none("ouvreur", ["plainte", "npai", "mot"])).select("mail")
 
 
 @query
@@ -339,7 +341,7 @@ def clean_by_lists(model: Model) -> DataFrame:
 @query
 def flagged_mails(model: Model) -> DataFrame:
     flagged = match.word_flag(model.contacts, model["mot_list"])
-    keys = Segment(model).named_keys("plainte").withColumn("plainte", F.lit(True))
+    keys = Segment(model).named_keys("plainte").distinct().withColumn("plainte", F.lit(True))
     return recipes.flagged_mails(joins.left_one(flagged, keys))
 
 

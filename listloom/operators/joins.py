@@ -12,37 +12,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def key_set(df: DataFrame, key: str, name: str = "mail_id") -> DataFrame:
-    """The distinct, filled keys of a table.
+def keys_of(df: DataFrame, key: str = "mail_id", name: str = "mail_id") -> DataFrame:
+    """The filled keys of a table, with repeats."""
+    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias(name))
 
-    The partial aggregate runs before the shuffle, so a key that fills a large
-    part of the table arrives as one row per task. The shuffle is the one the
-    following semi or anti join needs anyway.
-    """
-    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias(name)).distinct()
+
+def key_set(df: DataFrame, key: str = "mail_id", name: str = "mail_id") -> DataFrame:
+    """The filled keys of a table, once each."""
+    return keys_of(df, key, name).distinct()
 
 
-def any_key(*sets: DataFrame) -> DataFrame:
-    """Keys that are in at least one of the sets."""
-    return reduce(DataFrame.unionByName, sets).distinct()
+def all_keys(*sets: DataFrame) -> DataFrame:
+    """The keys of several sets together, with repeats."""
+    return reduce(DataFrame.unionAll, sets)
 
 
 def listed_keys(match: DataFrame, link: str, names: DataFrame, chosen: Column) -> DataFrame:
-    """Contacts of a match table whose list entry satisfies ``chosen``."""
+    """Contacts, with repeats, of a match table whose list entry satisfies ``chosen``."""
     entries = names.filter(chosen).select(F.col("id").alias("_entry"))
-    return key_set(match.join(entries, F.col(link) == F.col("_entry"), "left_semi"), "mail_id")
+    return keys_of(match.join(entries, F.col(link) == F.col("_entry"), "left_semi"))
+
+
+def _members(keys: DataFrame, key: str) -> DataFrame:
+    """The key side of a semi or anti join, without repeats.
+
+    The partial aggregate runs before the shuffle, so a key that fills a large
+    part of its table arrives as one row per task. The shuffle is the one the
+    join needs anyway.
+    """
+    return keys.select(F.col(key).alias("_member")).distinct()
 
 
 def keep_in(df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
-    return df.join(
-        keys.withColumnRenamed(key, "_member"), F.col(on) == F.col("_member"), "left_semi"
-    )
+    """Rows whose key is among the keys."""
+    return df.join(_members(keys, key), F.col(on) == F.col("_member"), "left_semi")
 
 
 def keep_out(df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
-    return df.join(
-        keys.withColumnRenamed(key, "_member"), F.col(on) == F.col("_member"), "left_anti"
-    )
+    """Rows whose key is not among the keys; a missing key is not either."""
+    return df.join(_members(keys, key), F.col(on) == F.col("_member"), "left_anti")
 
 
 def inner_on(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
@@ -65,7 +73,7 @@ def left_many(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_i
     and the others are added with empty side columns.
     """
     matched = inner_on(df, side, on, key)
-    lonely = keep_out(df, key_set(side, key, "_k"), on, "_k")
+    lonely = keep_out(df, side, on, key)
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
@@ -75,7 +83,7 @@ def right_many(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_
     Split into inner and unmatched rows for the same reason as ``left_many``.
     """
     matched = inner_on(df, side, on, key)
-    lonely = keep_out(side, key_set(df, on, "_k"), key, "_k").drop(key)
+    lonely = keep_out(side, df, key, on).drop(key)
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
@@ -108,5 +116,5 @@ def rows_not_in(df: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def flag_suppress(df: DataFrame, lists: list[DataFrame], on: str) -> DataFrame:
-    """Rows whose key is in none of the lists: one anti join to their union."""
-    return keep_out(df, any_key(*[key_set(one, on, "_k") for one in lists]), on, "_k")
+    """Rows whose key is in none of the lists: one anti join to all of them."""
+    return keep_out(df, all_keys(*[one.select(on) for one in lists]), on, on)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listloom.model import Model
-from listloom.operators.joins import keep_in, key_set, left_one
+from listloom.operators.joins import keep_in, left_one
 
 
 def reach_counts(model: Model, members: DataFrame) -> DataFrame:
@@ -16,9 +16,8 @@ def reach_counts(model: Model, members: DataFrame) -> DataFrame:
     are never multiplied with each other. Pairs are made distinct before they
     are counted, which keeps the counts out of one task.
     """
-    with_sms = key_set(model["sms"], "mail_id")
-    with_id = key_set(model["id"], "mail_id")
-    people = keep_in(keep_in(keep_in(model["base"].select("id"), members), with_sms), with_id)
+    people = keep_in(model["base"].select("id"), members)
+    people = keep_in(keep_in(people, model["sms"]), model["id"])
     reached = people.select(F.col("id").alias("mail_id"))
 
     def values(kind: str, df: DataFrame, column: str) -> DataFrame:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from listloom.operators.joins import flag_suppress, keep_in, keep_out, key_set
+from listloom.operators.joins import flag_suppress, keep_in, keep_out
 
 
 def distinct_union(column: str, *frames: DataFrame) -> DataFrame:
@@ -20,11 +20,11 @@ def stack(*frames: DataFrame) -> DataFrame:
 
 
 def in_common(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return keep_in(left, key_set(right, key, "_k"), key, "_k")
+    return keep_in(left, right, key, key)
 
 
 def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return keep_out(left, key_set(right, key, "_k"), key, "_k")
+    return keep_out(left, right, key, key)
 
 
 def not_in_any(left: DataFrame, rights: list[DataFrame], key: str) -> DataFrame:

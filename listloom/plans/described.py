@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listloom.model import Model
-from listloom.operators.joins import inner_on, key_set, left_many, right_many
+from listloom.operators.joins import inner_on, keep_in, keys_of, left_many, right_many
 
 _JOINS = {"left": left_many, "inner": inner_on, "right": right_many}
 
@@ -27,7 +27,7 @@ def _values(model: Model, query: dict) -> DataFrame:
     rows = model[table]
     for name, wanted in query.get("where", {}).items():
         rows = rows.filter(_condition(name, wanted))
-    return key_set(rows, column, "_value")
+    return keys_of(rows, column, "_value")
 
 
 def described(model: Model, query: dict) -> DataFrame:
@@ -49,8 +49,7 @@ def described(model: Model, query: dict) -> DataFrame:
         rows = model[table]
         for column, wanted in filters.get(table, {}).items():
             if isinstance(wanted, dict):
-                values = _values(model, wanted)
-                rows = rows.join(values, F.col(column) == F.col("_value"), "left_semi")
+                rows = keep_in(rows, _values(model, wanted), column, "_value")
             else:
                 rows = rows.filter(_condition(column, wanted))
         return rows
@@ -58,8 +57,7 @@ def described(model: Model, query: dict) -> DataFrame:
     rows = filtered(first).select(*dict.fromkeys(["id", *first_columns]))
     for table in filters:
         if table not in tables:
-            keys = key_set(filtered(table), "mail_id", "_member")
-            rows = rows.join(keys, F.col("id") == F.col("_member"), "left_semi")
+            rows = keep_in(rows, filtered(table))
     columns = list(first_columns)
     for table, (how, *wanted) in list(tables.items())[1:]:
         side = filtered(table).select("mail_id", *wanted)

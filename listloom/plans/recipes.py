@@ -25,12 +25,12 @@ from listloom.operators.dedupe import (
     text_order,
 )
 from listloom.operators.joins import (
-    any_key,
+    all_keys,
     flag_suppress,
     inner_on,
     keep_in,
     keep_out,
-    key_set,
+    keys_of,
     left_many,
     left_one,
     listed_keys,
@@ -145,14 +145,12 @@ def hash_export(model: Model, files: list[str], cap: int | None = None) -> DataF
 def hashes_of_files(model: Model, file_ids: list[int]) -> DataFrame:
     """Distinct hashes of the contacts of files given by id."""
     match = model["fichier_match"].filter(F.col("fichier_id").isin(file_ids))
-    return keep_in(model["md5"], key_set(match, "mail_id"), "mail_id").select("md5").distinct()
+    return keep_in(model["md5"], match, "mail_id").select("md5").distinct()
 
 
 def known_hashes(model: Model) -> DataFrame:
     """Distinct hashes known to any broker or any partner."""
-    keys = any_key(
-        key_set(model["regie_match"], "mail_id"), key_set(model["partner_match"], "mail_id")
-    )
+    keys = all_keys(keys_of(model["regie_match"]), keys_of(model["partner_match"]))
     return keep_in(model["md5"], keys, "mail_id").select("md5").distinct()
 
 
@@ -163,7 +161,7 @@ def mail_and_hash(model: Model, broker_id: int) -> DataFrame:
 
 def optin_mails(model: Model, optin_id: int) -> DataFrame:
     match = model["optin_match"].filter(F.col("optin_id") == optin_id)
-    return Segment(model).member_of(key_set(match, "mail_id")).mails()
+    return Segment(model).member_of(keys_of(match)).mails()
 
 
 def _first_side(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -228,19 +226,19 @@ def qualified_leads(model: Model, broker_id: int) -> DataFrame:
 
 def by_department(model: Model, departments: list[str]) -> DataFrame:
     places = model["id"].filter(department("cp").isin(departments))
-    segment = Segment(model).member_of(key_set(places, "mail_id")).suppress(*PARTNER_SUPPRESSION)
+    segment = Segment(model).member_of(keys_of(places)).suppress(*PARTNER_SUPPRESSION)
     return segment.mails().distinct()
 
 
 def by_town_or_department(model: Model, town: str, dept: str) -> DataFrame:
     places = model["id"].filter((F.col("ville") == town) | (department("cp") == dept))
-    return Segment(model).member_of(key_set(places, "mail_id")).mails().distinct()
+    return Segment(model).member_of(keys_of(places)).mails().distinct()
 
 
 def black_list(model: Model, files: list[str]) -> DataFrame:
     """Contacts of the files that any suppression names."""
     segment = Segment(model)
-    unwanted = any_key(*[segment.named_keys(name) for name in PARTNER_SUPPRESSION])
+    unwanted = all_keys(*[segment.named_keys(name) for name in PARTNER_SUPPRESSION])
     return segment.file(*files).member_of(unwanted).mails()
 
 
@@ -283,7 +281,7 @@ def sms_from_file(model: Model, files: list[str]) -> DataFrame:
 def sms_with_partner(model: Model, partner) -> DataFrame:
     spam = model["optin_desabo"].filter(F.col("comment") == "spam")
     segment = Segment(model).partner(partner).suppress("plainte")
-    people = segment.not_member_of(key_set(spam, "mail_id")).contacts()
+    people = segment.not_member_of(keys_of(spam)).contacts()
     return _sms_rows(model, people, inner_on)
 
 
@@ -329,7 +327,7 @@ def mails_and_hashes(model: Model) -> DataFrame:
 
 def hashes_with_civility(model: Model) -> DataFrame:
     """Distinct mail, hash and civility of contacts with a dated lead."""
-    dated = key_set(model["lead"].filter(F.col("date").isNotNull()), "mail_id")
+    dated = model["lead"].filter(F.col("date").isNotNull())
     civil = model["id"].filter(F.col("civilite").isNotNull()).select("mail_id", "civilite")
     rows = inner_on(keep_in(model.contacts, dated), model["md5"])
     # ``id`` is still there as the join key of the identities.
@@ -339,7 +337,7 @@ def hashes_with_civility(model: Model) -> DataFrame:
 def file_profiles(model: Model, file_id: int) -> DataFrame:
     """Contacts of one file with identity and lead."""
     match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
-    people = Segment(model).member_of(key_set(match, "mail_id"))
+    people = Segment(model).member_of(keys_of(match))
     rows = left_many(people.with_identity(), model["lead"])
     return rows.select("mail", *IDENTITY, *LEAD)
 
@@ -347,7 +345,7 @@ def file_profiles(model: Model, file_id: int) -> DataFrame:
 def file_interests(model: Model, file_id: int) -> DataFrame:
     """Interests and scores of the contacts of one file."""
     match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
-    scored = keep_in(model["appetence_match"], key_set(match, "mail_id"), "mail_id")
+    scored = keep_in(model["appetence_match"], match, "mail_id")
     named = inner_on(scored, model["appetence_list"], "appetence_id", "id")
     return inner_on(named, model.contacts, "mail_id", "id").select("mail", "interet", "score")
 
@@ -368,7 +366,7 @@ def by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:
 def qualified_by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:
     """Identity and lead of contacts with birth and civility, from the matching files."""
     full = model["id"].filter(F.col("birth").isNotNull() & F.col("civilite").isNotNull())
-    people = Segment(model).member_of(key_set(_file_links(model, patterns), "mail_id")).contacts()
+    people = Segment(model).member_of(keys_of(_file_links(model, patterns))).contacts()
     rows = inner_on(inner_on(people, full.select("mail_id", *IDENTITY)), model["lead"])
     return rows.select("mail", *IDENTITY, *LEAD)
 
@@ -403,7 +401,7 @@ def non_webmail_by_file(
 def suppression_mails(model: Model, names: list[str]) -> DataFrame:
     """Mails of the contacts that any of the named suppressions holds."""
     segment = Segment(model)
-    return segment.member_of(any_key(*[segment.named_keys(n) for n in names])).mails()
+    return segment.member_of(all_keys(*[segment.named_keys(n) for n in names])).mails()
 
 
 def clean_outside_file(model: Model, rows: DataFrame) -> DataFrame:
@@ -438,7 +436,7 @@ def full_clean_up(rows: DataFrame, complaints: DataFrame) -> dict[str, DataFrame
         kept = kept.withColumn("provenance", trimmed("provenance"))
     kept = kept.withColumn("civilite", strip_decimal("civilite"))
     kept = kept.withColumn("birth", century_repair("birth"))
-    kept = keep_out(kept, key_set(complaints, "mail", "_k"), "mail", "_k")
+    kept = keep_out(kept, complaints, "mail", "mail")
     return {"all": kept, "mail_unique": sort_unique(kept, ["mail"])}
 
 

@@ -11,10 +11,10 @@ from listloom.functions.clean import any_of
 from listloom.model import IDENTITY, Model
 from listloom.operators.dedupe import first_per_key, identity_key
 from listloom.operators.joins import (
-    any_key,
+    all_keys,
     keep_in,
     keep_out,
-    key_set,
+    keys_of,
     left_many,
     left_one,
     listed_keys,
@@ -40,7 +40,7 @@ class Segment:
     # -- conditions -----------------------------------------------------
 
     def member_of(self, *sets: DataFrame) -> Segment:
-        """In every one of the sets of ``mail_id``."""
+        """In every one of the sets of ``mail_id``; the sets may hold repeats."""
         return replace(self, inside=self.inside + sets)
 
     def not_member_of(self, *sets: DataFrame) -> Segment:
@@ -73,7 +73,7 @@ class Segment:
 
     def active(self) -> Segment:
         """Active at any broker."""
-        return self.member_of(key_set(self.model["regie_actif"], "mail_id"))
+        return self.member_of(keys_of(self.model["regie_actif"]))
 
     def active_at(self, *patterns: str) -> Segment:
         """Active at a broker whose name contains one of the alternatives."""
@@ -103,7 +103,7 @@ class Segment:
     def named_keys(self, name: str) -> DataFrame:
         if name == "spam":
             desabo = self.model["optin_desabo"]
-            return key_set(desabo.filter(F.col("comment").isin(UNWANTED)), "mail_id")
+            return keys_of(desabo.filter(F.col("comment").isin(UNWANTED)))
         tables = {
             "plainte": "base_plainte",
             "mot": "mot_match",
@@ -112,11 +112,11 @@ class Segment:
             "ouvreur_mbaz": "campagne_ouvreur",
             "criteo": "log_criteo",
         }
-        return key_set(self.model[tables[name]], "mail_id")
+        return keys_of(self.model[tables[name]])
 
     def partner_keys(self, *ids) -> DataFrame:
         match = self.model["partner_match"]
-        return key_set(match.filter(F.col("partner_id").isin(list(ids))), "mail_id")
+        return keys_of(match.filter(F.col("partner_id").isin(list(ids))))
 
     def file_keys(self, *numbers: str) -> DataFrame:
         chosen = F.col("fichier_num").isin(list(numbers))
@@ -127,7 +127,7 @@ class Segment:
         return listed_keys(self.model["regie_match"], "regie_id", self.model["regie_list"], chosen)
 
     def broker_id_keys(self, *ids: int) -> DataFrame:
-        return key_set(self.model["regie_match"].filter(F.col("regie_id").isin(list(ids))), "mail_id")
+        return keys_of(self.model["regie_match"].filter(F.col("regie_id").isin(list(ids))))
 
     def optin_keys(self, table: str, *names: str) -> DataFrame:
         chosen = F.col("abreviation").isin(list(names))
@@ -144,7 +144,7 @@ class Segment:
         for keys in self.inside:
             df = keep_in(df, keys, on)
         if self.outside:
-            df = keep_out(df, any_key(*self.outside), on)
+            df = keep_out(df, all_keys(*self.outside), on)
         return df
 
     def contacts(self) -> DataFrame:

@@ -19,7 +19,7 @@ def included_rows(rows: DataFrame, broker: str) -> DataFrame:
 def excluded_mails(rows: DataFrame, statuses: list[str]) -> DataFrame:
     """Mails that any file lists under one of the statuses."""
     unwanted = F.arrays_overlap("statuses", F.array(*[F.lit(s) for s in statuses]))
-    return drop_missing(rows.filter(unwanted), "mail").select("mail").distinct()
+    return drop_missing(rows.filter(unwanted), "mail").select("mail")
 
 
 def folder_segment(
@@ -31,7 +31,7 @@ def folder_segment(
     A mail that is in any exclude list is out, whatever other lists say of it.
     """
     kept = included_rows(rows, broker)
-    kept = flag_suppress(kept, [excluded_mails(rows, exclude), complaints.select("mail")], "mail")
+    kept = flag_suppress(kept, [excluded_mails(rows, exclude), complaints], "mail")
     # One row per mail by now, so the mail identifies the row.
     flagged = word_flag(kept.withColumn("id", F.col("mail")), words)
     return flagged.filter("NOT exclusion_mot_cle").select(*columns)

@@ -9,7 +9,7 @@ from listloom.functions.clean import mail_domain, mail_hash, missing
 from listloom.functions.dates import read_birth
 from listloom.model import FIELD_GROUPS, IDENTITY, Model
 from listloom.operators.dedupe import text_order
-from listloom.operators.joins import keep_out, key_set, left_one
+from listloom.operators.joins import keep_out, left_one
 from listloom.operators.match import lookup_hash, match_counts
 from listloom.operators.rank import with_position
 from listloom.session import frozen
@@ -106,5 +106,5 @@ def import_folder(
 
 def backfill_hashes(base: DataFrame, hashes: DataFrame) -> DataFrame:
     """(mail_id, md5) for contacts that have no hash yet."""
-    lacking = keep_out(base.select("id", "mail"), key_set(hashes, "mail_id"))
+    lacking = keep_out(base.select("id", "mail"), hashes)
     return lacking.select(F.col("id").alias("mail_id"), mail_hash("mail").alias("md5"))
