@@ -10,15 +10,37 @@ from listloom.operators.identity import collapse_identities
 from listloom.operators.match import word_hits
 
 
+# Columns of the driver's tables, so that no file is opened to plan a query.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 class DriverTables:
     """Derives each logical table from the Parquet files of one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One of the driver's tables."""
+        if name not in self._read:
+            path = f"{self.folder}/{name}.parquet"
+            self._read[name] = self.spark.read.schema(TABLES[name]).parquet(path)
+        return self._read[name]
 
     def load(self, name: str) -> DataFrame:
         """A logical table; ``part`` and ``documents`` are passed through for names and texts."""

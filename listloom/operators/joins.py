@@ -65,13 +65,26 @@ def left_one(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id
     return df.join(side, F.col(on) == F.col("_side"), "left").drop("_side")
 
 
-def left_many(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
+def left_many(
+    df: DataFrame,
+    side: DataFrame,
+    on: str = "id",
+    key: str = "mail_id",
+    universe: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a side with any number of rows per key.
 
     Spark can split a hot key on both sides of an inner join, but not on the
     right side of a left join. So rows with a partner go through an inner join,
     and the others are added with empty side columns.
+
+    ``universe`` is a frame whose column ``on`` holds every key ``df`` can have.
+    With it the side is completed by an empty row for each key it lacks, and a
+    costly ``df`` is computed once instead of twice.
     """
+    if universe is not None:
+        lacking = keep_out(universe.select(on), side, on, key).withColumnRenamed(on, key)
+        return inner_on(df, side.unionByName(lacking, allowMissingColumns=True), on, key)
     matched = inner_on(df, side, on, key)
     lonely = keep_out(df, side, on, key)
     return matched.unionByName(lonely, allowMissingColumns=True)

@@ -51,6 +51,11 @@ def _limited(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
 
+def _identities(model: Model, rows: DataFrame) -> DataFrame:
+    """Contact rows with one row per identity; contacts without one stay."""
+    return Segment(model).fan_out(rows, model["id"].select("mail_id", *IDENTITY))
+
+
 # -- in common with a partner or a file, not yet at a broker ----------------
 
 
@@ -68,7 +73,7 @@ def _not_yet_at(model: Model, people: DataFrame, brokers: list[str]) -> DataFram
 def common_with_partner(model: Model, partner, brokers: list[str]) -> DataFrame:
     """Shared with the partner, new to each broker, without suppressed contacts."""
     people = Segment(model).partner(partner).suppress(*PARTNER_SUPPRESSION).contacts()
-    rows = left_many(_not_yet_at(model, people, brokers), model["id"].select("mail_id", *IDENTITY))
+    rows = _identities(model, _not_yet_at(model, people, brokers))
     return rows.select("broker", "mail", *IDENTITY)
 
 
@@ -79,7 +84,7 @@ def common_with_file(model: Model, files: list[str], brokers: list[str]) -> Data
     held = held.select("mail_id", "fichier_num").distinct()
     people = Segment(model).suppress(*PARTNER_SUPPRESSION).contacts()
     people = inner_on(people, held)
-    rows = left_many(_not_yet_at(model, people, brokers), model["id"].select("mail_id", *IDENTITY))
+    rows = _identities(model, _not_yet_at(model, people, brokers))
     return rows.select("fichier_num", "broker", "mail", *IDENTITY)
 
 
@@ -93,7 +98,7 @@ def active_openers(model: Model, broker_patterns: list[str]) -> DataFrame:
         .suppress("plainte", "mot").contacts()
     )
     dated = inner_on(people, model["regie_actif"].select("mail_id", "date"))
-    rows = left_many(dated, model["id"].select("mail_id", *IDENTITY))
+    rows = _identities(model, dated)
     return rows.select("mail", "date", *IDENTITY)
 
 
@@ -156,7 +161,7 @@ def known_hashes(model: Model) -> DataFrame:
 
 def mail_and_hash(model: Model, broker_id: int) -> DataFrame:
     people = Segment(model).broker_id(broker_id).contacts()
-    return left_many(people, model["md5"]).select("mail", "md5")
+    return Segment(model).fan_out(people, model["md5"]).select("mail", "md5")
 
 
 def optin_mails(model: Model, optin_id: int) -> DataFrame:
@@ -220,7 +225,7 @@ def qualified_leads(model: Model, broker_id: int) -> DataFrame:
     full = model["id"].select("mail_id", *IDENTITY)
     for name in ["civilite", "cp", "birth"]:
         full = full.filter(F.col(name).isNotNull())
-    rows = left_many(inner_on(people, full), model["lead"])
+    rows = Segment(model).fan_out(inner_on(people, full), model["lead"])
     return rows.select("mail", *IDENTITY, "ip", "date", "provenance")
 
 
@@ -338,7 +343,7 @@ def file_profiles(model: Model, file_id: int) -> DataFrame:
     """Contacts of one file with identity and lead."""
     match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
     people = Segment(model).member_of(keys_of(match))
-    rows = left_many(people.with_identity(), model["lead"])
+    rows = people.fan_out(people.with_identity(), model["lead"])
     return rows.select("mail", *IDENTITY, *LEAD)
 
 

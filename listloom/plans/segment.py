@@ -157,8 +157,13 @@ class Segment:
     def with_identity(self, columns: list[str] = IDENTITY, id_table: str = "id") -> DataFrame:
         """Contacts with one row per identity; contacts without one stay."""
         side = self.model[id_table].select("mail_id", *columns)
-        join = left_one if id_table == "id_unik" else left_many
-        return join(self.contacts(), side)
+        if id_table == "id_unik":
+            return left_one(self.contacts(), side)
+        return self.fan_out(self.contacts(), side)
+
+    def fan_out(self, rows: DataFrame, side: DataFrame) -> DataFrame:
+        """Left join of contact rows to a side table with any number of rows per contact."""
+        return left_many(rows, side, universe=self.model["base"].select("id"))
 
     def select(
         self, kind: str = "classic", id_table: str = "id", keep_reference: bool = False
@@ -170,7 +175,7 @@ class Segment:
         """
         if kind == "id_lau":
             side = self.model["id"].select("mail_id", F.col("id").alias("identity_id"), *IDENTITY)
-            rows = left_many(self.contacts(), side)
+            rows = self.fan_out(self.contacts(), side)
             key = F.col("identity_id") if keep_reference else identity_key()
             order = [F.col("identity_id").desc_nulls_first()]
             rows = rows.select("identity_id", "mail", *IDENTITY, key.alias("_key"))
@@ -186,5 +191,5 @@ class Segment:
         # Repeats go before the two one-to-many joins multiply them.
         identity = self.model[id_table].select("mail_id", *IDENTITY).distinct()
         side = self.model[table].select("mail_id", *extra).distinct()
-        rows = left_many(left_many(self.contacts(), identity), side)
+        rows = self.fan_out(self.fan_out(self.contacts(), identity), side)
         return rows.select("mail", *IDENTITY, *extra).distinct()
