@@ -393,6 +393,46 @@ def oracle_sql() -> dict[str, str]:
         "file_order": f"""SELECT name, row_number() OVER (ORDER BY {_NUMBER} NULLS LAST, name) AS place
             FROM (SELECT DISTINCT name FROM ({_NAMES})) WHERE name NOT LIKE 'OK%' AND name NOT LIKE 'PB%'""",
     }
+    statuses = """SELECT b.mail, 1 AS place, 'ads' AS status FROM base b JOIN lead l ON l.mail_id = b.id
+        UNION ALL SELECT b.mail, 2, '' FROM base b JOIN regie_actif a ON a.mail_id = b.id
+        UNION ALL SELECT b.mail, 3, 'desabo' FROM base b WHERE b.id IN (SELECT mail_id FROM optin_desabo)
+        UNION ALL SELECT b.mail, 4, 'ouvreur' FROM base b WHERE b.id IN (SELECT mail_id FROM base_ouvreur)
+        UNION ALL SELECT b.mail, 5, 'plainte' FROM base b WHERE b.id IN (SELECT mail_id FROM base_plainte)"""
+    stranger = "concat(lower(replace(abreviation,'#','.')),'@supplier.example')"
+    added = f"""SELECT (SELECT max(id) FROM base) + row_number() OVER (ORDER BY mail) AS id, mail, abreviation
+        FROM (SELECT DISTINCT {stranger} AS mail, abreviation FROM regie_list)"""
+    files = {
+        "csv_round_trip": """SELECT CAST(mail_id AS VARCHAR) AS mail_id, civilite, prenom, nom, cp, ville,
+            CAST(birth AS VARCHAR) AS birth FROM id""",
+        "folder_segment": f"""SELECT b.mail, CAST(max(x.place) AS DOUBLE) AS number FROM base b JOIN ({statuses}) x ON x.mail = b.mail
+            WHERE x.place <= 2 AND NOT EXISTS (SELECT 1 FROM optin_desabo d WHERE d.mail_id = b.id)
+            AND {_without('plainte', 'npai', 'mot')} GROUP BY b.mail""",
+        "status_flags": f"""SELECT DISTINCT mail, CAST(place AS BIGINT) AS place, CASE status WHEN 'desabo' THEN true END AS desabo,
+            CASE status WHEN 'ouvreur' THEN true END AS ouvreur, CASE status WHEN 'plainte' THEN true END AS plainte
+            FROM ({statuses})""",
+        "folder_union": f"SELECT DISTINCT mail FROM ({statuses})",
+        "import_contacts": f"SELECT id, mail, 'supplier.example' AS domain FROM ({added})",
+        "import_leads": "SELECT DISTINCT mail_id, ip, provenance FROM lead",
+        "import_identities": f"SELECT id AS mail_id, abreviation AS prenom FROM ({added})",
+        "import_report": f"""SELECT CAST(place AS BIGINT) AS place, count(*) AS initial, count(*) FILTER (WHERE k) AS n_exist,
+            count(*) FILTER (WHERE NOT k) AS n_new, 'OK' AS status FROM (
+              SELECT DISTINCT 1 AS place, true AS k, CAST(l.mail_id AS VARCHAR), l.ip, l.provenance FROM lead l JOIN base b ON b.id = l.mail_id
+              UNION ALL SELECT DISTINCT 2, false, abreviation, NULL, NULL FROM regie_list
+              UNION ALL SELECT DISTINCT 3, true, b.mail, CAST(s.port AS VARCHAR), NULL FROM sms s JOIN base b ON b.id = s.mail_id)
+            GROUP BY place""",
+        "stream_import": f"""SELECT b.mail, l.ip, NULL AS prenom, NULL AS port, CAST(1 AS DOUBLE) AS number FROM base b JOIN lead l ON l.mail_id = b.id
+            UNION ALL SELECT {stranger}, NULL, abreviation, NULL, 2 FROM regie_list
+            UNION ALL SELECT b.mail, NULL, NULL, CAST(s.port AS VARCHAR), 3 FROM base b JOIN sms s ON s.mail_id = b.id""",
+        "export_manifest": f"""SELECT concat('ExportMail-MailUnik_2015-11-19_[mail,civilite,prenom,nom,cp,ville,birth]_', n // 1000, 'k.csv') AS name,
+            n AS rows FROM (SELECT count(DISTINCT b.mail) AS n {_BASE_ID} WHERE {_SEGMENT})""",
+        "broker_membership": f"""SELECT b.id AS mail_id, CAST(3 AS BIGINT) AS regie_id FROM base b WHERE {_in(_PARTNER, '3-MEDIUM')}
+            AND {_without(*PARTNER_OUT)} AND NOT {_in(_BROKER, BROKER)}""",
+        "replaced_table": "SELECT * FROM id_unik",
+        "aliased_columns": f"""SELECT b.mail, i.civilite AS civi, i.prenom AS firstname, i.nom AS name, i.cp AS codepostal,
+            i.ville AS city, i.birth AS naissance {_BASE_ID} WHERE {_without('npai')}""",
+        "text_file": "SELECT mail, 'x' AS a, 'y' AS unknown_1 FROM outside",
+    }
+    texts.update(files)
     texts["group_packing"] = """, counts AS MATERIALIZED (
           SELECT fichier_id, count(*) AS n, row_number() OVER (ORDER BY fichier_id) AS k FROM fichier_match GROUP BY fichier_id),
         packed AS (

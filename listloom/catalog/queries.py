@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listloom.catalog.views import driver_model
+from listloom.catalog.registry import query
 from listloom.functions import clean, dates
 from listloom.model import IDENTITY, Model
 from listloom.operators import dedupe, identity, joins, match, report, sample, setops
@@ -20,10 +18,6 @@ from listloom.sources.ingest import backfill_hashes
 from listloom.sources.readers import read_table, rejected_rows
 from listloom.sources.writers import key_value_rows
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-_REGISTRY: dict[str, Query] = {}
-
 # The chosen partner, file, broker and opt-in names of the benchmark tables.
 PARTNERS = ["1-URGENT", "2-HIGH"]
 FILES = ["Brand#1", "Brand#17"]
@@ -33,16 +27,6 @@ OPTIN, OTHER_OPTIN = "NATION_10", "NATION_7"
 SEED = 11
 
 
-def query(build: Callable[[Model], DataFrame]) -> Callable[[Model], DataFrame]:
-    """Register a function of the model under its own name."""
-    _REGISTRY[build.__name__] = lambda spark, folder: build(driver_model(spark, folder))
-    return build
-
-
-def queries() -> dict[str, Query]:
-    return dict(_REGISTRY)
-
-
 # -- segments ------------------------------------------------------------------
 
 

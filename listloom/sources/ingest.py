@@ -75,7 +75,7 @@ def import_counts(rows: DataFrame, model: Model) -> DataFrame:
 
 def import_folder(
     model: Model, folder: str, warehouse: str, load: str, sep: str = ";",
-    only_group: str | None = None, only_status: str | None = None,
+    only_group: str | None = None, only_status: str | None = None, exports: bool = False,
 ) -> DataFrame:
     """Load all files of a folder in one go and give the manifest of the load.
 
@@ -83,8 +83,8 @@ def import_folder(
     a field of that side table, ``only_status`` those that name the status. A
     load that is run again replaces itself.
     """
-    files = order_files(list_files(model.spark, folder))
-    rows = read_folder(model.spark, folder, FILE_COLUMNS, sep)
+    files = order_files(list_files(model.spark, folder, exports))
+    rows = read_folder(model.spark, folder, FILE_COLUMNS, sep, exports=exports)
     if only_group:
         wanted = F.array(*[F.lit(c) for c in FIELD_GROUPS[only_group]])
         chosen = files.filter(F.arrays_overlap("header", wanted))

@@ -71,12 +71,30 @@ def parse_names(files: DataFrame, name: str = "name") -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Names and sizes of the files of one folder level; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
-    return files.select(
-        F.url_decode(F.substring_index("path", "/", -1)).alias("name"), F.col("length").alias("bytes")
-    )
+def _named(path: Column) -> Column:
+    """Name of a file, or of its folder for the part files of a Spark export."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    return F.when(last.startswith("part-"), F.element_at(steps, -2)).otherwise(last)
+
+
+def list_files(spark: SparkSession, folder: str, exports: bool = False) -> DataFrame:
+    """Names and sizes of the files of one folder level; contents are not read.
+
+    With ``exports`` the folders that Spark wrote below count as files too.
+    Spark leaves out files without any content.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", exports).load(folder)
+    return files.groupBy(_named(F.col("path")).alias("name")).agg(F.sum("length").alias("bytes"))
+
+
+def source_file() -> Column:
+    """Name of the file a row was read from, as it is on disk.
+
+    The hidden metadata column escapes brackets and blanks, but not ``+``.
+    """
+    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return _named(F.url_decode(escaped)).alias("source_file")
 
 
 def order_files(files: DataFrame, name: str = "name") -> DataFrame:

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from listloom.functions.clean import mail_hash, normal_mail, valid_mail
 from listloom.operators.dedupe import drop_missing, first_per_key, sort_unique, text_order
-from listloom.sources.names import list_files, order_files
+from listloom.sources.names import list_files, order_files, source_file
+
+
+# One row per file is small enough to broadcast up to this many files.
+_FEW_FILES = 100_000
 
 
 def read_csv(
@@ -19,16 +23,18 @@ def read_csv(
     header: bool = False,
     encoding: str = "UTF-8",
     drop_bad: bool = False,
+    exports: bool = False,
 ) -> DataFrame:
     """A delimited file as text columns with the given names.
 
     Types are never guessed, so leading zeros stay. With ``header`` the first
-    line of each file is skipped and the given names are used.
+    line of each file is skipped and the given names are used. With ``exports``
+    files in folders below are read too.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
     return spark.read.schema(schema).csv(
         path, sep=sep, header=header, enforceSchema=True, encoding=encoding,
-        mode="DROPMALFORMED" if drop_bad else "PERMISSIVE",
+        mode="DROPMALFORMED" if drop_bad else "PERMISSIVE", recursiveFileLookup=exports,
     )
 
 
@@ -47,11 +53,19 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
         )
     return lines.select(
         "line",
-        F.col("_metadata.file_name").alias("source_file"),
+        source_file(),
         (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
     )
 
 
+def _per_file(df: DataFrame, files: int) -> DataFrame:
+    """A frame with one row per file, broadcast when these are few.
+
+    The rows of one large file then need not meet in one task.
+    """
+    return F.broadcast(df) if files <= _FEW_FILES else df
+
+
 def sniff(
     spark: SparkSession, path: str, n_rows: int = 5, keep: str = "@", sep: str = ",",
     encoding: str = "UTF-8",
@@ -89,9 +103,10 @@ def load_text(
     files under ``path``.
     """
     found = sniff(spark, path, keep=keep, sep=sep, encoding=encoding)
-    n_col = found.agg(F.max("n_col")).first()[0] or len(columns)
-    names = fit_header(columns, n_col)
-    lines = _lines(spark, path, encoding).join(found.select("source_file", "skip_lines"), "source_file")
+    widest, count = found.agg(F.max("n_col"), F.count(F.lit(1))).first()
+    names = fit_header(columns, widest or len(columns))
+    skipped = _per_file(found.select("source_file", "skip_lines"), count)
+    lines = _lines(spark, path, encoding).join(skipped, "source_file")
     body = lines.filter(~(F.col("_first_block") & F.array_contains("skip_lines", F.col("line"))))
     schema = ", ".join(f"`{c}` string" for c in [*names, "_extra"])
     row = F.from_csv("line", schema, {"sep": sep, "mode": "PERMISSIVE"})
@@ -108,22 +123,20 @@ def read_folder(
     sep: str = ";",
     header: bool = False,
     encoding: str = "UTF-8",
+    exports: bool = False,
 ) -> DataFrame:
     """All files of a folder in one scan, columns placed by what each name says.
 
     Gives the wanted ``columns`` (null where a file has none), the file's place
     in the load order, its statuses and its broker tag.
     """
-    files = order_files(list_files(spark, folder))
-    widest = files.agg(F.max(F.size("header"))).first()[0] or 1
-    raw = [f"_c{i}" for i in range(widest)]
-    rows = read_csv(spark, folder, raw, sep, header, encoding).select(
-        *raw, F.col("_metadata.file_name").alias("source_file")
-    )
-    rows = rows.join(
-        files.select(F.col("name").alias("source_file"), "place", "header", "statuses", "broker"),
-        "source_file",
+    files = order_files(list_files(spark, folder, exports)).select(
+        F.col("name").alias("source_file"), "place", "header", "statuses", "broker"
     )
+    widest, count = files.agg(F.max(F.size("header")), F.count(F.lit(1))).first()
+    raw = [f"_c{i}" for i in range(widest or 1)]
+    rows = read_csv(spark, folder, raw, sep, header, encoding, exports=exports)
+    rows = rows.select(*raw, source_file()).join(_per_file(files, count), "source_file")
     values = F.array(*raw)
     placed = [
         F.get(values, F.array_position("header", c).cast("int") - 1).alias(c) for c in columns

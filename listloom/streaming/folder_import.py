@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from listloom.sources.names import broker_of, columns_of, statuses_of
+from listloom.sources.names import broker_of, columns_of, source_file, statuses_of
 
 
-def arriving_rows(spark: SparkSession, folder: str, columns: list[str], sep: str = ";", widest: int = 32) -> DataFrame:
+def arriving_rows(
+    spark: SparkSession, folder: str, columns: list[str], sep: str = ";", widest: int = 32,
+    exports: bool = False,
+) -> DataFrame:
     """Rows of arriving files, columns placed by what each file's name says.
 
     ``widest`` is the number of columns read of a line.
     """
     raw = [f"_c{i}" for i in range(widest)]
     schema = ", ".join(f"`{c}` string" for c in raw)
-    rows = spark.readStream.schema(schema).option("sep", sep).csv(folder)
-    rows = rows.select(*raw, F.col("_metadata.file_name").alias("source_file"))
+    reader = spark.readStream.schema(schema).option("sep", sep)
+    rows = reader.option("recursiveFileLookup", exports).csv(folder)
+    rows = rows.select(*raw, source_file())
     values = F.array(*raw)
     header = columns_of("source_file")
     placed = [
