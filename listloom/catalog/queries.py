@@ -333,7 +333,8 @@ def _extract(model: Model) -> DataFrame:
     """A raw extract: identities with untidy codes, and lead provenance."""
     rows = joins.inner_on(model.contacts, model["id"].select("mail_id", "prenom", "nom", "civilite", "birth", "cp"))
     lead = model["lead"].select("mail_id", F.concat(F.lit(" "), "provenance", F.lit(" ")).alias("provenance"))
-    return joins.left_many(rows, lead).select("mail", "prenom", "nom", "civilite", "birth", "cp", "provenance")
+    rows = joins.left_many(rows, lead, unique=False)
+    return rows.select("mail", "prenom", "nom", "civilite", "birth", "cp", "provenance")
 
 
 @query
@@ -556,14 +557,16 @@ def audit_match(model: Model) -> DataFrame:
 def natural_left(model: Model) -> DataFrame:
     """Lead rows with the same civility and first name at their own contact, null matching null."""
     left = model["id"].select("mail_id", "civilite", "prenom", "birth")
-    right = joins.keep_in(left, Segment(model).broker_keys(*BROKERS), "mail_id")
+    right = joins.keep_in(left, Segment(model).broker_keys(*BROKERS), "mail_id", repeats=True)
     right = right.select("mail_id", "civilite", "prenom").distinct().withColumn("known", F.lit(True))
-    return joins.natural(left, right, "left")
+    return joins.natural(left, right, "left", unique=True)
 
 
 @query
 def overlap_by_file(model: Model) -> DataFrame:
-    candidates = joins.inner_on(model["fichier_match"], model["fichier_list"], "fichier_id", "id")
+    candidates = joins.inner_on(
+        model["fichier_match"], model["fichier_list"], "fichier_id", "id", many="rows"
+    )
     openers = Segment(model).named_keys("npai")
     return match.overlap_by_file(candidates, openers, "fichier_num", "mail_id")
 

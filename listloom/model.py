@@ -17,6 +17,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from listloom.operators.skew import hot_keys
+
 _KINDS = {
     "long": LongType(),
     "string": StringType(),
@@ -84,6 +86,7 @@ class Model:
         self.spark = spark
         self._loader = loader
         self._tables: dict[str, DataFrame] = {}
+        self._hot: dict[tuple[str, str], list] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> Model:
@@ -113,6 +116,12 @@ class Model:
             self._tables[name] = self._loader(name)
         return self._tables[name]
 
+    def hot(self, name: str, key: str = "mail_id") -> list:
+        """Keys that hold a large part of a table; looked up once."""
+        if (name, key) not in self._hot:
+            self._hot[name, key] = hot_keys(self[name], key)
+        return self._hot[name, key]
+
     def register_views(self, names: list[str] | None = None) -> None:
         """Temporary views, so that ``read_table`` can query the model by name."""
         for name in names or list(SCHEMAS):

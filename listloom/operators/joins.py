@@ -1,16 +1,19 @@
 """Membership, suppression and fan-out joins.
 
-No broadcast hint is given anywhere: Spark broadcasts a side when its measured
-size is under ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise.
+Sides are broadcast when Spark measures them under its broadcast threshold, and
+shuffled otherwise. Hot keys are taken care of by ``spread``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listloom.operators.skew import spread
+
 
 def keys_of(df: DataFrame, key: str = "mail_id", name: str = "mail_id") -> DataFrame:
     """The filled keys of a table, with repeats."""
@@ -43,91 +46,116 @@ def _members(keys: DataFrame, key: str) -> DataFrame:
     return keys.select(F.col(key).alias("_member")).distinct()
 
 
-def keep_in(df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
-    """Rows whose key is among the keys."""
-    return df.join(_members(keys, key), F.col(on) == F.col("_member"), "left_semi")
+def _membership(how: str, df: DataFrame, keys: DataFrame, on: str, key: str, repeats: bool) -> DataFrame:
+    def join(rows: DataFrame, members: DataFrame) -> DataFrame:
+        return rows.join(members, F.col(on) == F.col("_member"), how)
+
+    members = _members(keys, key)
+    return spread(df, members, on, "_member", join, None if repeats else [])
+
+
+def keep_in(
+    df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id", repeats: bool = False
+) -> DataFrame:
+    """Rows whose key is among the keys. ``repeats``: ``df`` may hold a key many times."""
+    return _membership("left_semi", df, keys, on, key, repeats)
 
 
-def keep_out(df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
+def keep_out(
+    df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id", repeats: bool = False
+) -> DataFrame:
     """Rows whose key is not among the keys; a missing key is not either."""
-    return df.join(_members(keys, key), F.col(on) == F.col("_member"), "left_anti")
+    return _membership("left_anti", df, keys, on, key, repeats)
 
 
-def inner_on(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
-    """Inner join to a side table; the side's key column is dropped."""
+def with_side(how: str, on: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """A join to a side whose key column is called ``_side`` and dropped."""
+
+    def join(rows: DataFrame, side: DataFrame) -> DataFrame:
+        return rows.join(side, F.col(on) == F.col("_side"), how).drop("_side")
+
+    return join
+
+
+def inner_on(
+    df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id",
+    many: str = "side", hot: list | None = None, unique: bool = True,
+) -> DataFrame:
+    """Inner join to a side table; the side's key column is dropped.
+
+    ``many`` names the input that may hold a key many times: ``side`` or
+    ``rows``. ``unique`` tells that the other one holds each key once.
+    """
     side = side.withColumnRenamed(key, "_side")
-    return df.join(side, F.col(on) == F.col("_side"), "inner").drop("_side")
+    join = with_side("inner", on)
+    if many == "rows":
+        return spread(df, side, on, "_side", join, hot, unique)
+    return spread(side, df, "_side", on, lambda s, d: join(d, s), hot, unique)
 
 
-def left_one(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
+def left_one(
+    df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id", repeats: bool = False
+) -> DataFrame:
     """Left join to a side that holds at most one row per key."""
     side = side.withColumnRenamed(key, "_side")
-    return df.join(side, F.col(on) == F.col("_side"), "left").drop("_side")
+    return spread(df, side, on, "_side", with_side("left", on), None if repeats else [])
 
 
 def left_many(
-    df: DataFrame,
-    side: DataFrame,
-    on: str = "id",
-    key: str = "mail_id",
-    universe: DataFrame | None = None,
+    df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id",
+    hot: list | None = None, unique: bool = True,
 ) -> DataFrame:
     """Left join to a side with any number of rows per key.
 
-    Spark can split a hot key on both sides of an inner join, but not on the
-    right side of a left join. So rows with a partner go through an inner join,
-    and the others are added with empty side columns.
-
-    ``universe`` is a frame whose column ``on`` holds every key ``df`` can have.
-    With it the side is completed by an empty row for each key it lacks, and a
-    costly ``df`` is computed once instead of twice.
+    ``unique`` tells that ``df`` holds each key once. Hot keys are those of the
+    side, so their rows all have a partner and an inner join serves them.
     """
-    if universe is not None:
-        lacking = keep_out(universe.select(on), side, on, key).withColumnRenamed(on, key)
-        return inner_on(df, side.unionByName(lacking, allowMissingColumns=True), on, key)
-    matched = inner_on(df, side, on, key)
-    lonely = keep_out(df, side, on, key)
-    return matched.unionByName(lonely, allowMissingColumns=True)
+    side = side.withColumnRenamed(key, "_side")
+    left, inner = with_side("left", on), with_side("inner", on)
+    return spread(
+        side, df, "_side", on, lambda s, d: left(d, s), hot, unique, lambda s, d: inner(d, s)
+    )
 
 
-def right_many(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
-    """Right join: all rows of the side, with empty contact columns where none fits.
+def right_one(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
+    """Right join of rows that hold each key once: all rows of the side, with empty
+    columns where no row fits."""
+    rows = df.withColumnRenamed(on, "_row")
+    joined = left_one(side, rows.withColumn(on, F.col("_row")), key, "_row", repeats=True)
+    return joined.drop(key)
 
-    Split into inner and unmatched rows for the same reason as ``left_many``.
-    """
-    matched = inner_on(df, side, on, key)
-    lonely = keep_out(side, df, key, on).drop(key)
-    return matched.unionByName(lonely, allowMissingColumns=True)
 
-
-def natural(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+def natural(left: DataFrame, right: DataFrame, how: str = "inner", unique: bool = False) -> DataFrame:
     """Join on all shared columns, null matching null.
 
-    ``how`` is inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi or left_anti; ``unique`` tells that the
+    right side has no repeats. Hot groups of equal rows are found by their hash.
     """
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
         raise ValueError("the two frames share no column")
-    if how == "left":
-        matched = natural(left, right, "inner")
-        lonely = natural(left, right.select(*shared).distinct(), "left_anti")
-        return matched.unionByName(lonely, allowMissingColumns=True)
     keys = {c: f"_r_{c}" for c in shared}
-    renamed = right.withColumnsRenamed(keys)
-    condition = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
-    )
-    return left.join(renamed, condition, how).drop(*keys.values())
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+
+    def join(rows: DataFrame, side: DataFrame) -> DataFrame:
+        return rows.join(side, same, how)
+
+    rows = left.withColumn("_hash", F.xxhash64(*shared))
+    side = right.withColumn("_rhash", F.xxhash64(*shared)).withColumnsRenamed(keys)
+    joined = spread(rows, side, "_hash", "_rhash", join, unique=unique)
+    return joined.drop("_hash", "_rhash", *keys.values())
 
 
 def rows_not_in(df: DataFrame, *others: DataFrame) -> DataFrame:
     """Rows of ``df`` found in none of the others, on all shared columns."""
     for other in others:
         shared = [c for c in df.columns if c in other.columns]
-        df = natural(df, other.select(*shared).distinct(), "left_anti")
+        df = natural(df, other.select(*shared).distinct(), "left_anti", unique=True)
     return df
 
 
-def flag_suppress(df: DataFrame, lists: list[DataFrame], on: str) -> DataFrame:
+def flag_suppress(
+    df: DataFrame, lists: list[DataFrame], on: str, repeats: bool = True
+) -> DataFrame:
     """Rows whose key is in none of the lists: one anti join to all of them."""
-    return keep_out(df, all_keys(*[one.select(on) for one in lists]), on, on)
+    return keep_out(df, all_keys(*[one.select(on) for one in lists]), on, on, repeats)

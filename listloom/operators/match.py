@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listloom.functions.clean import mail_hash
-from listloom.operators.joins import inner_on, key_set, left_many, left_one, natural
+from listloom.operators.joins import inner_on, key_set, left_many, left_one, natural, with_side
+from listloom.operators.skew import hot_keys, spread
 
 
 def join_key(df: DataFrame, reference: DataFrame, wanted: str) -> str | None:
@@ -30,7 +31,7 @@ def map_existing(
     if on is None:
         return df.withColumns({exist: F.lit(False), new: F.lit(False)})
     known = key_set(reference, on, "_k").withColumn("_known", F.lit(True))
-    flagged = left_one(df, known, on, "_k")
+    flagged = left_one(df, known, on, "_k", repeats=True)
     found = F.coalesce(F.col("_known"), F.lit(False))
     return flagged.withColumns({exist: found, new: ~found}).drop("_known")
 
@@ -48,7 +49,8 @@ def match_counts(flagged: DataFrame, exist: str = "exist", new: str = "new", by:
 def lookup_hash(df: DataFrame, hashes: DataFrame, exist: str = "exist", new: str = "insert") -> DataFrame:
     """``map_existing`` by md5, with the contact number of the match as ``pg_id``."""
     known = hashes.filter(F.col("md5").isNotNull()).groupBy(F.col("md5").alias("_k"))
-    joined = left_one(df, known.agg(F.min("mail_id").alias("pg_id")), "md5", "_k")
+    known = known.agg(F.min("mail_id").alias("pg_id"))
+    joined = left_one(df, known, "md5", "_k", repeats=True)
     found = F.col("pg_id").isNotNull()
     return joined.withColumns({exist: found, new: ~found})
 
@@ -56,20 +58,22 @@ def lookup_hash(df: DataFrame, hashes: DataFrame, exist: str = "exist", new: str
 def interests_of(export: DataFrame, matches: DataFrame, names: DataFrame) -> DataFrame:
     """Interests and scores of the contacts in an export of (id, mail)."""
     people = export.select(F.col("id").alias("mail_id"), "mail").distinct()
-    scored = inner_on(people, matches.select("mail_id", "appetence_id", "score"), "mail_id")
-    named = inner_on(scored, names.select("id", "interet"), "appetence_id", "id")
-    return named.select("mail_id", "mail", "interet", "score")
+    matches = matches.select("mail_id", "appetence_id", "score")
+    named = inner_on(matches, names.select("id", "interet"), "appetence_id", "id", many="rows")
+    rows = inner_on(people, named, "mail_id", hot=hot_keys(matches, "mail_id"))
+    return rows.select("mail_id", "mail", "interet", "score")
 
 
 def hash_enrich(outside: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
     """Add columns known by md5 to an outside list, keeping the list's own mail."""
     hashed = outside.withColumn("_md5", mail_hash("mail", normalise=False))
-    side = known.select(F.col("md5").alias("_k"), *columns)
-    return left_many(hashed, side, "_md5", "_k").drop("_md5")
+    side = known.select(F.col("md5").alias("_side"), *columns)
+    joined = spread(hashed, side, "_md5", "_side", with_side("left", "_md5"), unique=False)
+    return joined.drop("_md5")
 
 
 def append_identity(mails: DataFrame, identities: DataFrame) -> DataFrame:
-    """Identity columns for a list of mails; mails without one stay."""
+    """Identity columns for a list of distinct mails; mails without one stay."""
     return left_many(mails, identities.withColumnRenamed("mail", "_k"), "mail", "_k")
 
 

@@ -25,8 +25,8 @@ def reach_counts(model: Model, members: DataFrame) -> DataFrame:
 
     pairs = (
         values("mail", reached, "mail_id")
-        .unionByName(values("sms", keep_in(model["sms"], reached, "mail_id"), "port"))
-        .unionByName(values("cp", keep_in(model["id"], reached, "mail_id"), "cp"))
+        .unionByName(values("sms", keep_in(model["sms"], reached, "mail_id", repeats=True), "port"))
+        .unionByName(values("cp", keep_in(model["id"], reached, "mail_id", repeats=True), "cp"))
         .filter(F.col("value").isNotNull())
         .distinct()
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listloom.operators.dedupe import text_order
+from listloom.operators.joins import inner_on
 from listloom.operators.rank import with_position
 
 # Hash buckets are told apart by this many hex digits: 65,536 buckets.
@@ -182,6 +183,6 @@ def pack_numbers(counts: DataFrame, group: str, threshold: int) -> DataFrame:
 def pack_groups(df: DataFrame, group: str, threshold: int = 85000) -> DataFrame:
     """Rows with the number of the file their group goes to; groups stay whole."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    return df.join(pack_numbers(counts, group, threshold), group)
+    return inner_on(df, pack_numbers(counts, group, threshold), group, group, many="rows")
 
 

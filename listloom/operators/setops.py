@@ -20,11 +20,11 @@ def stack(*frames: DataFrame) -> DataFrame:
 
 
 def in_common(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return keep_in(left, right, key, key)
+    return keep_in(left, right, key, key, repeats=True)
 
 
 def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return keep_out(left, right, key, key)
+    return keep_out(left, right, key, key, repeats=True)
 
 
 def not_in_any(left: DataFrame, rights: list[DataFrame], key: str) -> DataFrame:

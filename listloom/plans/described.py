@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listloom.model import Model
-from listloom.operators.joins import inner_on, keep_in, keys_of, left_many, right_many
-
-_JOINS = {"left": left_many, "inner": inner_on, "right": right_many}
+from listloom.operators.joins import inner_on, keep_in, keys_of, left_many
 
 
 def _condition(column: str, wanted: Any) -> Column:
@@ -58,11 +56,17 @@ def described(model: Model, query: dict) -> DataFrame:
     for table in filters:
         if table not in tables:
             rows = keep_in(rows, filtered(table))
-    columns = list(first_columns)
+    columns, unique = list(first_columns), True
     for table, (how, *wanted) in list(tables.items())[1:]:
         side = filtered(table).select("mail_id", *wanted)
         # A condition on a joined table can only hold for rows that have a partner.
-        rows = _JOINS["inner" if table in filters else how](rows, side)
-        columns += wanted
+        if how == "inner" or table in filters:
+            rows = inner_on(rows, side, hot=model.hot(table), unique=unique)
+        elif how == "left":
+            rows = left_many(rows, side, hot=model.hot(table), unique=unique)
+        else:
+            keyed = rows.withColumn("_row", F.col("id"))
+            rows = left_many(side, keyed, "mail_id", "_row", unique=False).drop("mail_id")
+        columns, unique = columns + wanted, False
     rows = rows.select(*columns)
     return rows.limit(query["limit"]) if query.get("limit") else rows

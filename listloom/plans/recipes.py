@@ -34,7 +34,7 @@ from listloom.operators.joins import (
     left_many,
     left_one,
     listed_keys,
-    right_many,
+    right_one,
 )
 from listloom.operators.sample import capped_sample_by, lowest_hashes, top_by
 from listloom.operators.setops import stack
@@ -51,9 +51,19 @@ def _limited(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
 
-def _identities(model: Model, rows: DataFrame) -> DataFrame:
+def _identities(model: Model, rows: DataFrame, unique: bool = True) -> DataFrame:
     """Contact rows with one row per identity; contacts without one stay."""
-    return Segment(model).fan_out(rows, model["id"].select("mail_id", *IDENTITY))
+    return Segment(model).fan_out(rows, model["id"].select("mail_id", *IDENTITY), "id", unique)
+
+
+def _leads(model: Model, rows: DataFrame) -> DataFrame:
+    """Identity rows with one row per lead; rows without one stay."""
+    return Segment(model).fan_out(rows, model["lead"], "lead", unique=False)
+
+
+def _links(model: Model, table: str, link: str, names: DataFrame) -> DataFrame:
+    """Rows of a match table with the columns of the given list entries."""
+    return inner_on(model[table], names, link, "id", many="rows", hot=model.hot(table, link))
 
 
 # -- in common with a partner or a file, not yet at a broker ----------------
@@ -62,7 +72,7 @@ def _identities(model: Model, rows: DataFrame) -> DataFrame:
 def _not_yet_at(model: Model, people: DataFrame, brokers: list[str]) -> DataFrame:
     """One copy of the contacts per broker, without those the broker has."""
     names = model["regie_list"].filter(F.col("abreviation").isin(brokers))
-    held = inner_on(model["regie_match"], names, "regie_id", "id").select(
+    held = _links(model, "regie_match", "regie_id", names).select(
         F.col("mail_id").alias("_m"), F.col("abreviation").alias("_b")
     ).distinct()
     copies = people.withColumn("broker", F.explode(F.array(*[F.lit(b) for b in brokers])))
@@ -80,10 +90,10 @@ def common_with_partner(model: Model, partner, brokers: list[str]) -> DataFrame:
 def common_with_file(model: Model, files: list[str], brokers: list[str]) -> DataFrame:
     """From each file, new to each broker, without suppressed contacts."""
     names = model["fichier_list"].filter(F.col("fichier_num").isin(files))
-    held = inner_on(model["fichier_match"], names, "fichier_id", "id")
+    held = _links(model, "fichier_match", "fichier_id", names)
     held = held.select("mail_id", "fichier_num").distinct()
     people = Segment(model).suppress(*PARTNER_SUPPRESSION).contacts()
-    people = inner_on(people, held)
+    people = inner_on(people, held, hot=model.hot("fichier_match"))
     rows = _identities(model, _not_yet_at(model, people, brokers))
     return rows.select("fichier_num", "broker", "mail", *IDENTITY)
 
@@ -97,8 +107,9 @@ def active_openers(model: Model, broker_patterns: list[str]) -> DataFrame:
         Segment(model).only("ouvreur_mimi").active_at(*broker_patterns)
         .suppress("plainte", "mot").contacts()
     )
-    dated = inner_on(people, model["regie_actif"].select("mail_id", "date"))
-    rows = _identities(model, dated)
+    activity = model["regie_actif"].select("mail_id", "date")
+    dated = inner_on(people, activity, hot=model.hot("regie_actif"))
+    rows = _identities(model, dated, unique=False)
     return rows.select("mail", "date", *IDENTITY)
 
 
@@ -161,7 +172,7 @@ def known_hashes(model: Model) -> DataFrame:
 
 def mail_and_hash(model: Model, broker_id: int) -> DataFrame:
     people = Segment(model).broker_id(broker_id).contacts()
-    return Segment(model).fan_out(people, model["md5"]).select("mail", "md5")
+    return left_one(people, model["md5"]).select("mail", "md5")
 
 
 def optin_mails(model: Model, optin_id: int) -> DataFrame:
@@ -225,7 +236,7 @@ def qualified_leads(model: Model, broker_id: int) -> DataFrame:
     full = model["id"].select("mail_id", *IDENTITY)
     for name in ["civilite", "cp", "birth"]:
         full = full.filter(F.col(name).isNotNull())
-    rows = Segment(model).fan_out(inner_on(people, full), model["lead"])
+    rows = _leads(model, inner_on(people, full, hot=model.hot("id")))
     return rows.select("mail", *IDENTITY, "ip", "date", "provenance")
 
 
@@ -262,20 +273,19 @@ def youngest(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
 
 
 def _sms_rows(model: Model, people: DataFrame, join) -> DataFrame:
-    side = model["id"].select("mail_id", *IDENTITY)
     rows = join(people, model["sms"])
-    return left_many(rows, side).select("mail", "port", *IDENTITY)
+    return _identities(model, rows, unique=False).select("mail", "port", *IDENTITY)
 
 
 def sms_all(model: Model) -> DataFrame:
     """All numbers, with contact and identity where there is one."""
-    return _sms_rows(model, model.contacts, right_many)
+    return _sms_rows(model, model.contacts, right_one)
 
 
 def sms_prefiltered(model: Model) -> DataFrame:
     """All numbers; suppressed contacts come without their contact columns."""
     people = Segment(model).suppress(*FILE_SUPPRESSION).contacts()
-    return _sms_rows(model, people, right_many)
+    return _sms_rows(model, people, right_one)
 
 
 def sms_from_file(model: Model, files: list[str]) -> DataFrame:
@@ -294,7 +304,8 @@ def sms_with_partner(model: Model, partner) -> DataFrame:
 
 
 def _profiles(model: Model, lead: DataFrame, identity: DataFrame) -> DataFrame:
-    rows = inner_on(inner_on(model.contacts, identity), lead)
+    rows = inner_on(model.contacts, identity, hot=model.hot("id"))
+    rows = inner_on(rows, lead, hot=model.hot("lead"), unique=False)
     return rows.select("mail", *IDENTITY, *LEAD)
 
 
@@ -321,38 +332,39 @@ def profiles_with_ip(model: Model, limit: int | None = None) -> DataFrame:
 def profiles_with_hash(model: Model, limit: int | None = None) -> DataFrame:
     """All contacts with hash, identity and, for those with identity, lead."""
     identity = model["id"].select("mail_id", *IDENTITY)
-    with_lead = left_many(identity, model["lead"], "mail_id")
-    rows = left_many(left_one(model.contacts, model["md5"]), with_lead)
+    with_lead = left_many(identity, model["lead"], "mail_id", hot=model.hot("lead"), unique=False)
+    rows = left_many(left_one(model.contacts, model["md5"]), with_lead, hot=model.hot("id"))
     return _limited(rows.select("mail", "md5", *IDENTITY, *LEAD), limit)
 
 
 def mails_and_hashes(model: Model) -> DataFrame:
-    return inner_on(model.contacts, model["md5"]).select("mail", "md5")
+    return inner_on(model.contacts, model["md5"], hot=[]).select("mail", "md5")
 
 
 def hashes_with_civility(model: Model) -> DataFrame:
     """Distinct mail, hash and civility of contacts with a dated lead."""
     dated = model["lead"].filter(F.col("date").isNotNull())
     civil = model["id"].filter(F.col("civilite").isNotNull()).select("mail_id", "civilite")
-    rows = inner_on(keep_in(model.contacts, dated), model["md5"])
-    # ``id`` is still there as the join key of the identities.
-    return inner_on(rows, civil.distinct()).select("mail", "md5", "civilite").distinct()
+    rows = inner_on(keep_in(model.contacts, dated), model["md5"], hot=[])
+    # A contact has few distinct civilities, so no key of this side is hot.
+    return inner_on(rows, civil.distinct(), hot=[]).select("mail", "md5", "civilite").distinct()
 
 
 def file_profiles(model: Model, file_id: int) -> DataFrame:
     """Contacts of one file with identity and lead."""
     match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
     people = Segment(model).member_of(keys_of(match))
-    rows = people.fan_out(people.with_identity(), model["lead"])
+    rows = _leads(model, people.with_identity())
     return rows.select("mail", *IDENTITY, *LEAD)
 
 
 def file_interests(model: Model, file_id: int) -> DataFrame:
     """Interests and scores of the contacts of one file."""
     match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
-    scored = keep_in(model["appetence_match"], match, "mail_id")
-    named = inner_on(scored, model["appetence_list"], "appetence_id", "id")
-    return inner_on(named, model.contacts, "mail_id", "id").select("mail", "interet", "score")
+    people = Segment(model).member_of(keys_of(match)).contacts()
+    scored = _links(model, "appetence_match", "appetence_id", model["appetence_list"])
+    rows = inner_on(people, scored, hot=model.hot("appetence_match"))
+    return rows.select("mail", "interet", "score")
 
 
 # -- by file number ---------------------------------------------------------------
@@ -360,19 +372,21 @@ def file_interests(model: Model, file_id: int) -> DataFrame:
 
 def _file_links(model: Model, patterns: list[str]) -> DataFrame:
     files = model["fichier_list"].filter(any_of("fichier_num", patterns)).select("id")
-    return keep_in(model["fichier_match"], files, "fichier_id", "id")
+    return keep_in(model["fichier_match"], files, "fichier_id", "id", repeats=True)
 
 
 def by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:
     """Mail and file id for files whose whole number matches an alternative."""
-    return inner_on(model.contacts, _file_links(model, patterns)).select("mail", "fichier_id")
+    rows = inner_on(model.contacts, _file_links(model, patterns), hot=model.hot("fichier_match"))
+    return rows.select("mail", "fichier_id")
 
 
 def qualified_by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:
     """Identity and lead of contacts with birth and civility, from the matching files."""
     full = model["id"].filter(F.col("birth").isNotNull() & F.col("civilite").isNotNull())
     people = Segment(model).member_of(keys_of(_file_links(model, patterns))).contacts()
-    rows = inner_on(inner_on(people, full.select("mail_id", *IDENTITY)), model["lead"])
+    rows = inner_on(people, full.select("mail_id", *IDENTITY), hot=model.hot("id"))
+    rows = inner_on(rows, model["lead"], hot=model.hot("lead"), unique=False)
     return rows.select("mail", *IDENTITY, *LEAD)
 
 
@@ -392,11 +406,11 @@ def non_webmail_by_file(
     """Per listed file the unsuppressed contacts off the webmail domains, sampled to ``cap``."""
     unwanted = suppress or ["npai", "plainte"]
     named = model["fichier_list"].filter(main_number(F.col("fichier_num")).isin(files))
-    held = inner_on(model["fichier_match"], named, "fichier_id", "id")
+    held = _links(model, "fichier_match", "fichier_id", named)
     held = held.select("mail_id", "fichier_num").distinct()
     people = model["base"].filter(~F.col("domain").isin(domains)).select("id", "mail")
     people = Segment(model).suppress(*unwanted).restrict(people)
-    rows = inner_on(people, held).select("fichier_num", "mail")
+    rows = inner_on(people, held, hot=model.hot("fichier_match")).select("fichier_num", "mail")
     return capped_sample_by(rows, "fichier_num", cap, seed, ["mail"])
 
 
@@ -417,7 +431,7 @@ def clean_outside_file(model: Model, rows: DataFrame) -> DataFrame:
 
 def clean_by_lists(rows: DataFrame, lists: list[DataFrame], columns: list[str]) -> DataFrame:
     """One row per mail, in none of the lists, with decimals cut off civility and postcode."""
-    kept = flag_suppress(first_per_key(drop_missing(rows, "mail"), ["mail"], []), lists, "mail")
+    kept = flag_suppress(first_per_key(drop_missing(rows, "mail"), ["mail"], []), lists, "mail", repeats=False)
     for name in ["civilite", "cp"]:
         if name in columns:
             kept = kept.withColumn(name, strip_decimal(name))
@@ -441,7 +455,7 @@ def full_clean_up(rows: DataFrame, complaints: DataFrame) -> dict[str, DataFrame
         kept = kept.withColumn("provenance", trimmed("provenance"))
     kept = kept.withColumn("civilite", strip_decimal("civilite"))
     kept = kept.withColumn("birth", century_repair("birth"))
-    kept = keep_out(kept, complaints, "mail", "mail")
+    kept = keep_out(kept, complaints, "mail", "mail", repeats=True)
     return {"all": kept, "mail_unique": sort_unique(kept, ["mail"])}
 
 

@@ -159,11 +159,17 @@ class Segment:
         side = self.model[id_table].select("mail_id", *columns)
         if id_table == "id_unik":
             return left_one(self.contacts(), side)
-        return self.fan_out(self.contacts(), side)
+        return self.fan_out(self.contacts(), side, "id")
 
-    def fan_out(self, rows: DataFrame, side: DataFrame) -> DataFrame:
-        """Left join of contact rows to a side table with any number of rows per contact."""
-        return left_many(rows, side, universe=self.model["base"].select("id"))
+    def fan_out(
+        self, rows: DataFrame, side: DataFrame, table: str, unique: bool = True
+    ) -> DataFrame:
+        """Left join of contact rows to the rows of a table with any number per contact.
+
+        ``side`` holds columns of the whole table; ``unique`` tells that ``rows``
+        holds each contact once.
+        """
+        return left_many(rows, side, hot=self.model.hot(table), unique=unique)
 
     def select(
         self, kind: str = "classic", id_table: str = "id", keep_reference: bool = False
@@ -175,7 +181,7 @@ class Segment:
         """
         if kind == "id_lau":
             side = self.model["id"].select("mail_id", F.col("id").alias("identity_id"), *IDENTITY)
-            rows = self.fan_out(self.contacts(), side)
+            rows = self.fan_out(self.contacts(), side, "id")
             key = F.col("identity_id") if keep_reference else identity_key()
             order = [F.col("identity_id").desc_nulls_first()]
             rows = rows.select("identity_id", "mail", *IDENTITY, key.alias("_key"))
@@ -189,7 +195,12 @@ class Segment:
             return self.with_identity(IDENTITY, id_table).select("mail", *IDENTITY).distinct()
         table = {"ip": "campagne_ouvreur", "provenance": "lead"}[kind]
         # Repeats go before the two one-to-many joins multiply them.
-        identity = self.model[id_table].select("mail_id", *IDENTITY).distinct()
+        packed = id_table == "id_unik"
+        if packed:
+            rows = self.with_identity(IDENTITY, id_table)
+        else:
+            identity = self.model["id"].select("mail_id", *IDENTITY).distinct()
+            rows = self.fan_out(self.contacts(), identity, "id")
         side = self.model[table].select("mail_id", *extra).distinct()
-        rows = self.fan_out(self.fan_out(self.contacts(), identity), side)
+        rows = self.fan_out(rows, side, table, unique=packed)
         return rows.select("mail", *IDENTITY, *extra).distinct()

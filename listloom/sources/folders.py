@@ -31,7 +31,7 @@ def folder_segment(
     A mail that is in any exclude list is out, whatever other lists say of it.
     """
     kept = included_rows(rows, broker)
-    kept = flag_suppress(kept, [excluded_mails(rows, exclude), complaints], "mail")
+    kept = flag_suppress(kept, [excluded_mails(rows, exclude), complaints], "mail", repeats=False)
     # One row per mail by now, so the mail identifies the row.
     flagged = word_flag(kept.withColumn("id", F.col("mail")), words)
     return flagged.filter("NOT exclusion_mot_cle").select(*columns)

@@ -33,7 +33,7 @@ def new_contacts(rows: DataFrame, base: DataFrame) -> DataFrame:
 def with_contact(rows: DataFrame, added: DataFrame) -> DataFrame:
     """Contact number of each row: the matched one, else the new one."""
     fresh = added.select(F.col("md5").alias("_k"), F.col("id").alias("_new"))
-    rows = left_one(rows, fresh, "md5", "_k")
+    rows = left_one(rows, fresh, "md5", "_k", repeats=True)
     return rows.withColumn("mail_id", F.coalesce("pg_id", "_new")).drop("_new")
 
 

@@ -73,7 +73,7 @@ def write_membership(
     A load replaces itself when it is run again.
     """
     mails = df.select("mail").distinct()
-    links = inner_on(contacts, mails, "mail", "mail").select(
+    links = inner_on(contacts, mails, "mail", "mail", hot=[]).select(
         F.col("id").alias("mail_id"), F.lit(broker_id).cast("long").alias("regie_id")
     )
     links, seen = _counted(links.distinct())

@@ -31,8 +31,7 @@ def test_no_cross_join_and_no_row_python(spark, name):
 
 def test_suppression_is_one_anti_join(shuffled):
     text = plan(queries()["file_clean"](shuffled, FOLDER))
-    # One for the suppressions, one to complete the identities.
-    assert text.count("LeftAnti") == 2 and text.count("LeftSemi") >= 1
+    assert text.count("LeftAnti") == 1 and text.count("LeftSemi") >= 1
 
 
 def test_first_per_key_limits_before_the_shuffle(spark):
