@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listloom.catalog.queries import BROKER, _outside, _segment, _supplier_mail
+from listloom.catalog.queries import BROKER, _outside, _segment, _supplier_mail, _with_mail
 from listloom.catalog.registry import query
 from listloom.model import IDENTITY, Model
 from listloom.operators import joins
@@ -40,9 +40,9 @@ def _mails(model: Model, table: str) -> DataFrame:
 
 def _status_folder(model: Model) -> str:
     """Files of a broker, of no status, and of three statuses."""
-    leads = joins.inner_on(model.contacts, model["lead"].select("mail_id", "date"))
+    leads = _with_mail(model, "lead", "date")
     dated = leads.select("mail", F.date_format("date", "yyyy-MM-dd").alias("date"))
-    seen = joins.inner_on(model.contacts, model["regie_actif"].select("mail_id", "date"))
+    seen = _with_mail(model, "regie_actif", "date")
     later = seen.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "mail")
     return _write(
         _new_folder(model, "status"),
@@ -88,8 +88,8 @@ def folder_union(model: Model) -> DataFrame:
 
 
 def _import_folder(model: Model) -> str:
-    leads = joins.inner_on(model.contacts, model["lead"].select("mail_id", "ip", "provenance"))
-    mobile = joins.inner_on(model.contacts, model["sms"])
+    leads = _with_mail(model, "lead", "ip", "provenance")
+    mobile = _with_mail(model, "sms", "port")
     strange = model["regie_list"].select(
         _supplier_mail().alias("mail"), F.col("abreviation").alias("prenom")
     )

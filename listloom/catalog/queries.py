@@ -285,11 +285,16 @@ def non_webmail(model: Model) -> DataFrame:
 # -- suppression of outside files -------------------------------------------------
 
 
+def _with_mail(model: Model, table: str, *columns) -> DataFrame:
+    """Rows of a contact table with the mail of their contact."""
+    side = model[table].select("mail_id", *columns)
+    return joins.inner_on(model.contacts, side, hot=model.hot(table))
+
+
 def _outside(model: Model) -> DataFrame:
     """A file from outside: mails of leads and mobile numbers, with repeats, and of strangers."""
-    contacts = model.contacts
-    leads = joins.inner_on(contacts, model["lead"].select("mail_id", "ip"))
-    mobile = joins.inner_on(contacts, model["sms"].select("mail_id"))
+    leads = _with_mail(model, "lead", "ip")
+    mobile = _with_mail(model, "sms")
     strange = model["regie_list"].select(_supplier_mail().alias("mail"))
     return setops.stack(leads.select("mail", "ip"), mobile.select("mail"), strange)
 
@@ -316,7 +321,7 @@ def flag_filter(model: Model) -> DataFrame:
 @query
 def clean_by_lists(model: Model) -> DataFrame:
     """Identity rows by mail, minus three lists, decimals cut off."""
-    rows = joins.inner_on(model.contacts, model["id"].select("mail_id", *IDENTITY))
+    rows = _with_mail(model, "id", *IDENTITY)
     lists = [recipes.suppression_mails(model, [n]) for n in ["spam", "npai", "plainte"]]
     columns = ["mail", "birth", "civilite", "prenom", "nom", "cp", "ville"]
     return recipes.clean_by_lists(rows.select(*columns), lists, columns)
@@ -331,9 +336,9 @@ def flagged_mails(model: Model) -> DataFrame:
 
 def _extract(model: Model) -> DataFrame:
     """A raw extract: identities with untidy codes, and lead provenance."""
-    rows = joins.inner_on(model.contacts, model["id"].select("mail_id", "prenom", "nom", "civilite", "birth", "cp"))
+    rows = _with_mail(model, "id", "prenom", "nom", "civilite", "birth", "cp")
     lead = model["lead"].select("mail_id", F.concat(F.lit(" "), "provenance", F.lit(" ")).alias("provenance"))
-    rows = joins.left_many(rows, lead, unique=False)
+    rows = joins.left_many(rows, lead, hot=model.hot("lead"), unique=False)
     return rows.select("mail", "prenom", "nom", "civilite", "birth", "cp", "provenance")
 
 
@@ -398,7 +403,7 @@ def last_file_wins(model: Model) -> DataFrame:
 
 @query
 def top_birth(model: Model) -> DataFrame:
-    rows = joins.inner_on(model.contacts, model["id"].select("mail_id", F.col("id").alias("identity_id"), "birth"))
+    rows = _with_mail(model, "id", F.col("id").alias("identity_id"), "birth")
     rows = rows.select("mail", "identity_id", "birth")
     return recipes.youngest(rows, 1250, ["identity_id"])
 
@@ -517,7 +522,10 @@ def lookup_hash(model: Model) -> DataFrame:
 @query
 def interest_lookup(model: Model) -> DataFrame:
     export = Segment(model).partner("1-URGENT").not_broker(BROKER).contacts()
-    return match.interests_of(export, model["appetence_match"], model["appetence_list"])
+    return match.interests_of(
+        export, model["appetence_match"], model["appetence_list"],
+        model.hot("appetence_match"), model.hot("appetence_match", "appetence_id"),
+    )
 
 
 @query
@@ -528,7 +536,7 @@ def hash_enrich(model: Model) -> DataFrame:
 
 @query
 def append_identity(model: Model) -> DataFrame:
-    known = joins.inner_on(model.contacts, model["id"].select("mail_id", *IDENTITY))
+    known = _with_mail(model, "id", *IDENTITY)
     mails = _outside(model).select("mail").distinct()
     return match.append_identity(mails, known.select("mail", *IDENTITY)).select("mail", *IDENTITY)
 
@@ -557,7 +565,9 @@ def audit_match(model: Model) -> DataFrame:
 def natural_left(model: Model) -> DataFrame:
     """Lead rows with the same civility and first name at their own contact, null matching null."""
     left = model["id"].select("mail_id", "civilite", "prenom", "birth")
-    right = joins.keep_in(left, Segment(model).broker_keys(*BROKERS), "mail_id", repeats=True)
+    right = joins.keep_in(
+        left, Segment(model).broker_keys(*BROKERS), "mail_id", repeats=True, hot=model.hot("id")
+    )
     right = right.select("mail_id", "civilite", "prenom").distinct().withColumn("known", F.lit(True))
     return joins.natural(left, right, "left", unique=True)
 
@@ -565,10 +575,13 @@ def natural_left(model: Model) -> DataFrame:
 @query
 def overlap_by_file(model: Model) -> DataFrame:
     candidates = joins.inner_on(
-        model["fichier_match"], model["fichier_list"], "fichier_id", "id", many="rows"
+        model["fichier_match"], model["fichier_list"], "fichier_id", "id",
+        many="rows", hot=model.hot("fichier_match", "fichier_id"),
     )
     openers = Segment(model).named_keys("npai")
-    return match.overlap_by_file(candidates, openers, "fichier_num", "mail_id")
+    return match.overlap_by_file(
+        candidates, openers, "fichier_num", "mail_id", model.hot("fichier_match")
+    )
 
 
 @query
@@ -636,7 +649,9 @@ def chunks(model: Model) -> DataFrame:
 
 @query
 def group_packing(model: Model) -> DataFrame:
-    return sample.pack_groups(model["fichier_match"], "fichier_id", 5000)
+    return sample.pack_groups(
+        model["fichier_match"], "fichier_id", 5000, model.hot("fichier_match", "fichier_id")
+    )
 
 
 # -- file names ---------------------------------------------------------------------------

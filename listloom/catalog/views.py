@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,5 +228,29 @@ class DriverTables:
         )
 
 
+# The driver's column that a key of a logical table comes from.
+KEY_SOURCES = {
+    ("id", "mail_id"): ("orders", "o_custkey"),
+    ("lead", "mail_id"): ("events", "user_id"),
+    ("campagne_ouvreur", "mail_id"): ("events", "user_id"),
+    ("sms", "mail_id"): ("customer", "c_custkey"),
+    ("fichier_match", "mail_id"): ("orders", "o_custkey"),
+    ("fichier_match", "fichier_id"): ("lineitem", "l_partkey"),
+    ("regie_match", "mail_id"): ("orders", "o_custkey"),
+    ("regie_match", "regie_id"): ("lineitem", "l_suppkey"),
+    ("regie_actif", "mail_id"): ("orders", "o_custkey"),
+    ("appetence_match", "mail_id"): ("orders", "o_custkey"),
+    ("appetence_match", "appetence_id"): ("lineitem", "l_partkey"),
+}
+
+
+@lru_cache(maxsize=4)
 def driver_model(spark: SparkSession, folder: str) -> Model:
-    return Model(spark, DriverTables(spark, folder).load)
+    """The model over one folder. Kept for the session: it holds plans, not data."""
+    tables = DriverTables(spark, folder)
+
+    def key_source(name: str, key: str) -> tuple[DataFrame, str]:
+        raw, column = KEY_SOURCES[name, key]
+        return tables.raw(raw), column
+
+    return Model(spark, tables.load, key_source)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,10 +18,24 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _shape(layout: str) -> str:
+    """Pattern of the texts that a layout can read."""
+    digits = {"yyyy": r"\d{4}"} | {letter: r"\d{1,2}" for letter in "dMHms"}
+    parts = re.split("(yyyy|[dMHms])", layout)
+    return "^" + "".join(digits.get(part, re.escape(part)) for part in parts) + "$"
+
+
 def read_birth(value: Column | str) -> Column:
-    """Date of a birth text; null when incomplete, unreadable or before 1900."""
+    """Date of a birth text; null when incomplete, unreadable or before 1900.
+
+    A layout is only tried on texts of its shape: a failed try costs far more
+    than the look at the shape.
+    """
     text = F.trim(_col(value).cast("string"))
-    stamp = F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in BIRTH_LAYOUTS])
+    stamp = F.coalesce(*[
+        F.when(text.rlike(_shape(layout)), F.try_to_timestamp(text, F.lit(layout)))
+        for layout in BIRTH_LAYOUTS
+    ])
     return F.when(F.year(stamp) >= 1900, F.to_date(stamp))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from listloom.operators.skew import hot_keys
+from listloom.operators.skew import hot_keys_of_table
 
 _KINDS = {
     "long": LongType(),
@@ -82,9 +82,16 @@ IDENTITY = ["civilite", "prenom", "nom", "cp", "ville", "birth"]
 class Model:
     """Tables by name; each is built the first time it is asked for."""
 
-    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        loader: Callable[[str], DataFrame],
+        key_source: Callable[[str, str], tuple[DataFrame, str]] | None = None,
+    ):
+        """``key_source`` names, for a derived table, a plain table and column with its keys."""
         self.spark = spark
         self._loader = loader
+        self._key_source = key_source or (lambda name, key: (self[name], key))
         self._tables: dict[str, DataFrame] = {}
         self._hot: dict[tuple[str, str], list] = {}
 
@@ -119,7 +126,7 @@ class Model:
     def hot(self, name: str, key: str = "mail_id") -> list:
         """Keys that hold a large part of a table; looked up once."""
         if (name, key) not in self._hot:
-            self._hot[name, key] = hot_keys(self[name], key)
+            self._hot[name, key] = hot_keys_of_table(*self._key_source(name, key))
         return self._hot[name, key]
 
     def register_views(self, names: list[str] | None = None) -> None:

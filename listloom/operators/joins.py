@@ -46,26 +46,33 @@ def _members(keys: DataFrame, key: str) -> DataFrame:
     return keys.select(F.col(key).alias("_member")).distinct()
 
 
-def _membership(how: str, df: DataFrame, keys: DataFrame, on: str, key: str, repeats: bool) -> DataFrame:
+def _membership(
+    how: str, df: DataFrame, keys: DataFrame, on: str, key: str, repeats: bool, hot: list | None
+) -> DataFrame:
     def join(rows: DataFrame, members: DataFrame) -> DataFrame:
         return rows.join(members, F.col(on) == F.col("_member"), how)
 
     members = _members(keys, key)
-    return spread(df, members, on, "_member", join, None if repeats else [])
+    return spread(df, members, on, "_member", join, hot if repeats else [])
 
 
 def keep_in(
-    df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id", repeats: bool = False
+    df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id",
+    repeats: bool = False, hot: list | None = None,
 ) -> DataFrame:
-    """Rows whose key is among the keys. ``repeats``: ``df`` may hold a key many times."""
-    return _membership("left_semi", df, keys, on, key, repeats)
+    """Rows whose key is among the keys.
+
+    ``repeats``: ``df`` may hold a key many times; ``hot`` gives such keys if known.
+    """
+    return _membership("left_semi", df, keys, on, key, repeats, hot)
 
 
 def keep_out(
-    df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id", repeats: bool = False
+    df: DataFrame, keys: DataFrame, on: str = "id", key: str = "mail_id",
+    repeats: bool = False, hot: list | None = None,
 ) -> DataFrame:
     """Rows whose key is not among the keys; a missing key is not either."""
-    return _membership("left_anti", df, keys, on, key, repeats)
+    return _membership("left_anti", df, keys, on, key, repeats, hot)
 
 
 def with_side(how: str, on: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
@@ -94,11 +101,15 @@ def inner_on(
 
 
 def left_one(
-    df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id", repeats: bool = False
+    df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id",
+    repeats: bool = False, hot: list | None = None,
 ) -> DataFrame:
-    """Left join to a side that holds at most one row per key."""
+    """Left join to a side that holds at most one row per key.
+
+    ``repeats``: ``df`` may hold a key many times; ``hot`` gives such keys if known.
+    """
     side = side.withColumnRenamed(key, "_side")
-    return spread(df, side, on, "_side", with_side("left", on), None if repeats else [])
+    return spread(df, side, on, "_side", with_side("left", on), hot if repeats else [])
 
 
 def left_many(
@@ -107,14 +118,18 @@ def left_many(
 ) -> DataFrame:
     """Left join to a side with any number of rows per key.
 
-    ``unique`` tells that ``df`` holds each key once. Hot keys are those of the
-    side, so their rows all have a partner and an inner join serves them.
+    ``unique`` tells that ``df`` holds each key once. For the hot keys, rows
+    with a partner and rows without are found apart, since the rows of a left
+    join's left side cannot be broadcast.
     """
     side = side.withColumnRenamed(key, "_side")
     left, inner = with_side("left", on), with_side("inner", on)
-    return spread(
-        side, df, "_side", on, lambda s, d: left(d, s), hot, unique, lambda s, d: inner(d, s)
-    )
+
+    def join_hot(sides: DataFrame, rows: DataFrame) -> DataFrame:
+        lonely = keep_out(rows, sides, on, "_side")
+        return inner(rows, sides).unionByName(lonely, allowMissingColumns=True)
+
+    return spread(side, df, "_side", on, lambda s, d: left(d, s), hot, unique, join_hot)
 
 
 def right_one(df: DataFrame, side: DataFrame, on: str = "id", key: str = "mail_id") -> DataFrame:
@@ -155,7 +170,7 @@ def rows_not_in(df: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def flag_suppress(
-    df: DataFrame, lists: list[DataFrame], on: str, repeats: bool = True
+    df: DataFrame, lists: list[DataFrame], on: str, repeats: bool = True, hot: list | None = None
 ) -> DataFrame:
     """Rows whose key is in none of the lists: one anti join to all of them."""
-    return keep_out(df, all_keys(*[one.select(on) for one in lists]), on, on, repeats)
+    return keep_out(df, all_keys(*[one.select(on) for one in lists]), on, on, repeats, hot)

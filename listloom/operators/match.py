@@ -20,7 +20,7 @@ def join_key(df: DataFrame, reference: DataFrame, wanted: str) -> str | None:
 
 def map_existing(
     df: DataFrame, reference: DataFrame, key: str = "md5",
-    exist: str = "exist", new: str = "new",
+    exist: str = "exist", new: str = "new", hot: list | None = None,
 ) -> DataFrame:
     """Flag each row as existing in or new to the reference.
 
@@ -31,7 +31,7 @@ def map_existing(
     if on is None:
         return df.withColumns({exist: F.lit(False), new: F.lit(False)})
     known = key_set(reference, on, "_k").withColumn("_known", F.lit(True))
-    flagged = left_one(df, known, on, "_k", repeats=True)
+    flagged = left_one(df, known, on, "_k", repeats=True, hot=hot)
     found = F.coalesce(F.col("_known"), F.lit(False))
     return flagged.withColumns({exist: found, new: ~found}).drop("_known")
 
@@ -55,12 +55,17 @@ def lookup_hash(df: DataFrame, hashes: DataFrame, exist: str = "exist", new: str
     return joined.withColumns({exist: found, new: ~found})
 
 
-def interests_of(export: DataFrame, matches: DataFrame, names: DataFrame) -> DataFrame:
+def interests_of(
+    export: DataFrame, matches: DataFrame, names: DataFrame,
+    hot_contacts: list | None = None, hot_interests: list | None = None,
+) -> DataFrame:
     """Interests and scores of the contacts in an export of (id, mail)."""
     people = export.select(F.col("id").alias("mail_id"), "mail").distinct()
     matches = matches.select("mail_id", "appetence_id", "score")
-    named = inner_on(matches, names.select("id", "interet"), "appetence_id", "id", many="rows")
-    rows = inner_on(people, named, "mail_id", hot=hot_keys(matches, "mail_id"))
+    named = inner_on(matches, names.select("id", "interet"), "appetence_id", "id", many="rows", hot=hot_interests)
+    if hot_contacts is None:
+        hot_contacts = hot_keys(matches, "mail_id")
+    rows = inner_on(people, named, "mail_id", hot=hot_contacts)
     return rows.select("mail_id", "mail", "interet", "score")
 
 
@@ -82,9 +87,11 @@ def audit_match(outside: DataFrame, known: DataFrame) -> DataFrame:
     return natural(outside, known, "inner")
 
 
-def overlap_by_file(candidates: DataFrame, reference: DataFrame, file: str, key: str) -> DataFrame:
+def overlap_by_file(
+    candidates: DataFrame, reference: DataFrame, file: str, key: str, hot: list | None = None
+) -> DataFrame:
     """Match counters of one reference list against many files in one pass."""
-    return match_counts(map_existing(candidates, reference, key), by=[file])
+    return match_counts(map_existing(candidates, reference, key, hot=hot), by=[file])
 
 
 def word_hits(mails: DataFrame, words: DataFrame, mail: str = "mail") -> DataFrame:

@@ -9,6 +9,11 @@ from listloom.model import Model
 from listloom.operators.joins import keep_in, left_one
 
 
+def _all_of(model: Model, table: str, people: DataFrame) -> DataFrame:
+    """All rows of a table for the given contacts."""
+    return keep_in(model[table], people, "mail_id", repeats=True, hot=model.hot(table))
+
+
 def reach_counts(model: Model, members: DataFrame) -> DataFrame:
     """Distinct contacts, mobile numbers and postcodes of members that have both.
 
@@ -25,8 +30,8 @@ def reach_counts(model: Model, members: DataFrame) -> DataFrame:
 
     pairs = (
         values("mail", reached, "mail_id")
-        .unionByName(values("sms", keep_in(model["sms"], reached, "mail_id", repeats=True), "port"))
-        .unionByName(values("cp", keep_in(model["id"], reached, "mail_id", repeats=True), "cp"))
+        .unionByName(values("sms", _all_of(model, "sms", reached), "port"))
+        .unionByName(values("cp", _all_of(model, "id", reached), "cp"))
         .filter(F.col("value").isNotNull())
         .distinct()
     )

@@ -180,9 +180,11 @@ def pack_numbers(counts: DataFrame, group: str, threshold: int) -> DataFrame:
     return in_order.mapInPandas(fold, f"{group} {kind}, file_number long")
 
 
-def pack_groups(df: DataFrame, group: str, threshold: int = 85000) -> DataFrame:
+def pack_groups(
+    df: DataFrame, group: str, threshold: int = 85000, hot: list | None = None
+) -> DataFrame:
     """Rows with the number of the file their group goes to; groups stay whole."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    return inner_on(df, pack_numbers(counts, group, threshold), group, group, many="rows")
+    return inner_on(df, pack_numbers(counts, group, threshold), group, group, "rows", hot)
 
 

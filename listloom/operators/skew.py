@@ -12,12 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Inputs below this size are not looked at: none of their keys can fill a task.
-_CHECK_BYTES = 256 << 20
+# Inputs below this size are not looked at: a third of one is no burden for a task.
+_CHECK_BYTES = 4 << 30
 
 # A key is hot from this many rows on.
 _HOT_ROWS = 1_000_000
 
+# The look is taken at about this much of the input, in rows or in files.
+_SAMPLE_BYTES = 1 << 30
+_SAMPLE_FILES = 200
+
 # The sketch returns at most this many keys, out of this many it tracks.
 _MOST, _TRACKED = 1000, 10_000
 
@@ -29,17 +33,31 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(size) for size in sizes)
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys of ``df`` with a million rows or more: a thousand values at most.
+def hot_keys(df: DataFrame, key: str, scale: float = 1.0) -> list:
+    """Keys of ``df`` with about a million rows or more: a thousand values at most.
 
-    One scan of the key column, without a shuffle. A key that the sketch misses
-    or overrates changes the plan, not the result.
+    A sketch over a sample of the key column, without a shuffle. A key that is
+    missed or overrated changes the plan, not the result. ``scale`` is the
+    share that ``df`` has of the rows it stands for.
     """
-    if input_bytes(df) < _CHECK_BYTES:
+    size = input_bytes(df)
+    if size < _CHECK_BYTES * scale:
         return []
+    share = min(1.0, _SAMPLE_BYTES / max(size, 1))
     keys = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    keys = keys.sample(share, seed=0) if share < 1 else keys
     top = keys.agg(F.expr(f"approx_top_k(_key, {_MOST}, {_TRACKED})")).first()[0]
-    return [row["item"] for row in top or [] if row["count"] >= _HOT_ROWS]
+    return [row["item"] for row in top or [] if row["count"] >= _HOT_ROWS * share * scale]
+
+
+def hot_keys_of_table(table: DataFrame, key: str) -> list:
+    """``hot_keys`` of a plain Parquet table, looking at some of its files only."""
+    files = sorted(table.inputFiles())
+    some = files[:: max(1, len(files) // _SAMPLE_FILES)]
+    if len(some) == len(files):
+        return hot_keys(table, key)
+    part = table.sparkSession.read.schema(table.schema).parquet(*some)
+    return hot_keys(part, key, len(some) / len(files))
 
 
 def _among(key: str, hot: list) -> Column:

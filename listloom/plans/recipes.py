@@ -372,7 +372,10 @@ def file_interests(model: Model, file_id: int) -> DataFrame:
 
 def _file_links(model: Model, patterns: list[str]) -> DataFrame:
     files = model["fichier_list"].filter(any_of("fichier_num", patterns)).select("id")
-    return keep_in(model["fichier_match"], files, "fichier_id", "id", repeats=True)
+    return keep_in(
+        model["fichier_match"], files, "fichier_id", "id",
+        repeats=True, hot=model.hot("fichier_match", "fichier_id"),
+    )
 
 
 def by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:

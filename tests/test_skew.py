@@ -12,6 +12,7 @@ from listloom.operators import joins, match, sample, skew
 def everything_is_hot(monkeypatch):
     monkeypatch.setattr(skew, "_CHECK_BYTES", 0)
     monkeypatch.setattr(skew, "_HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "_SAMPLE_BYTES", 1 << 80)
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +45,29 @@ def test_small_inputs_are_not_looked_at(spark):
     assert skew.hot_keys(df, "l_orderkey") == []
 
 
+def test_some_files_of_a_table(spark, tmp_path, everything_is_hot, monkeypatch):
+    monkeypatch.setattr(skew, "_SAMPLE_FILES", 5)
+    monkeypatch.setattr(skew, "_HOT_ROWS", 300)
+    path = str(tmp_path / "t")
+    rows = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k")
+    rows.repartition(20).write.parquet(path)
+    table = spark.read.parquet(path)
+    assert skew.hot_keys_of_table(table, "k") == [7]
+
+
+def test_sampled_look(spark, everything_is_hot, monkeypatch):
+    monkeypatch.setattr(skew, "_HOT_ROWS", 20000)
+    df = spark.range(100_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k")
+    monkeypatch.setattr(skew, "_SAMPLE_BYTES", skew.input_bytes(df) // 10)
+    assert skew.hot_keys(df, "k") == [7]
+
+
+def test_left_join_with_a_hot_key_that_is_not_there(spark, frames, everything_is_hot):
+    many, contacts = frames
+    want = contacts.join(many, many.mail_id == contacts.id, "left").drop("mail_id")
+    same(joins.left_many(contacts, many, hot=[1, 0, 777]), want)
+
+
 def plain(left, right, condition, how):
     return left.join(right, condition, how)
 
