@@ -87,6 +87,13 @@ def folder_union(model: Model) -> DataFrame:
     return readers.union_files(rows)
 
 
+@query
+def mails_of_files(model: Model) -> DataFrame:
+    """The mail column of every file of a folder, repeats and all."""
+    rows = readers.read_folder(model.spark, _status_folder(model), ["mail"], exports=True)
+    return readers.mail_only(rows)
+
+
 def _import_folder(model: Model) -> str:
     leads = _with_mail(model, "lead", "ip", "provenance")
     mobile = _with_mail(model, "sms", "port")

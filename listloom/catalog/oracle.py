@@ -384,6 +384,10 @@ def oracle_sql() -> dict[str, str]:
         "random_split": f"""SELECT b.id, b.mail, CAST(CAST('0x' || substr(md5(concat('11:', b.mail)), 1, 8) AS BIGINT) % 5 AS INTEGER) AS part
             FROM base b WHERE NOT {_named('ouvreur_mimi')}
             UNION ALL SELECT b.id, b.mail, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS part FROM base b WHERE {_named('ouvreur_mimi')}""",
+        "first_part": f"""SELECT b.mail, i.civilite, i.nom, i.prenom, '' AS telephone, i.birth, i.cp, i.ville, 'France' AS pays,
+            '' AS date_collecte {_BASE_ID} WHERE {_named('ouvreur_mimi')}
+            OR CAST('0x' || substr(md5(concat('11:', b.mail)), 1, 8) AS BIGINT) % 5 = 0""",
+        "sampled_extract": f"SELECT b.mail FROM base b WHERE {_without('plainte')} ORDER BY md5(concat('0:', b.mail)) LIMIT 100",
         "chunks": """SELECT mail, least((rn - 1) // 400 + 1, n // 400) AS chunk FROM (
             SELECT mail, row_number() OVER (ORDER BY mail) AS rn, count(*) OVER () AS n FROM base)""",
         "filename_schema": f"""SELECT name, {_NUMBER} AS number, concat('mail|civilite|', regexp_extract(name, ',([a-z0-9 ]*)\\]', 1)) AS header,
@@ -410,6 +414,7 @@ def oracle_sql() -> dict[str, str]:
         "status_flags": f"""SELECT DISTINCT mail, CAST(place AS BIGINT) AS place, CASE status WHEN 'desabo' THEN true END AS desabo,
             CASE status WHEN 'ouvreur' THEN true END AS ouvreur, CASE status WHEN 'plainte' THEN true END AS plainte
             FROM ({statuses})""",
+        "mails_of_files": f"SELECT mail FROM ({statuses})",
         "folder_union": f"SELECT DISTINCT mail FROM ({statuses})",
         "import_contacts": f"SELECT id, mail, 'supplier.example' AS domain FROM ({added})",
         "import_leads": "SELECT DISTINCT mail_id, ip, provenance FROM lead",

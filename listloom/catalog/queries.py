@@ -11,7 +11,7 @@ from listloom.model import IDENTITY, Model
 from listloom.operators import dedupe, identity, joins, match, report, sample, setops
 from listloom.plans import recipes
 from listloom.plans.described import described
-from listloom.plans.layouts import partner_layout
+from listloom.plans.layouts import collection_layout, partner_layout
 from listloom.plans.segment import Segment
 from listloom.sources import names
 from listloom.sources.ingest import backfill_hashes
@@ -642,6 +642,21 @@ def random_split(model: Model) -> DataFrame:
     return sample.random_split(others, 5, SEED, ["mail"], opened)
 
 
+@query
+def first_part(model: Model) -> DataFrame:
+    """Part 0 of a random split, in its wider layout."""
+    opened = Segment(model).only("ouvreur_mimi").with_identity()
+    others = Segment(model).suppress("ouvreur_mimi").with_identity()
+    parts = sample.random_split(others, 5, SEED, ["mail"], opened)
+    return collection_layout(parts.filter("part = 0"))
+
+
+@query
+def sampled_extract(model: Model) -> DataFrame:
+    rows = Segment(model).suppress("plainte").with_identity()
+    return recipes.extract(rows.select("mail", *IDENTITY), sample=100, sort=True, mail_only=True)
+
+
 @query
 def chunks(model: Model) -> DataFrame:
     return sample.chunks(model["base"].select("mail"), 400)

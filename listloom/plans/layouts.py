@@ -13,6 +13,17 @@ PARTNER_COLUMNS = [
     "mail", "date", "ip", "civilite", "nom", "prenom", "adresse", "cp", "ville", "birth", "pays",
 ]
 
+# Columns of the collection file, in order.
+COLLECTION_COLUMNS = [
+    "mail", "civilite", "nom", "prenom", "telephone", "birth", "cp", "ville", "pays", "date_collecte",
+]
+
+
+def collection_layout(rows: DataFrame, country: str = "France") -> DataFrame:
+    """Rows with empty phone number and collection date, as the first split part has them."""
+    constants = {"telephone": F.lit(""), "pays": F.lit(country), "date_collecte": F.lit("")}
+    return rows.withColumns(constants).select(*COLLECTION_COLUMNS)
+
 
 def partner_layout(rows: DataFrame, country: str = "france") -> DataFrame:
     """Rows cleaned and arranged for a partner file.

@@ -36,7 +36,7 @@ from listloom.operators.joins import (
     listed_keys,
     right_one,
 )
-from listloom.operators.sample import capped_sample_by, lowest_hashes, top_by
+from listloom.operators.sample import capped_sample_by, exact_sample, lowest_hashes, top_by
 from listloom.operators.setops import stack
 from listloom.plans.segment import Segment
 
@@ -441,6 +441,28 @@ def clean_by_lists(rows: DataFrame, lists: list[DataFrame], columns: list[str])
     return kept.select(*columns)
 
 
+def extract(
+    rows: DataFrame,
+    mail_unique: bool = True,
+    sort: bool = False,
+    sample: int | None = None,
+    mail_only: bool = False,
+    seed: int = 0,
+) -> DataFrame:
+    """The steps of an extract in their order: one row per mail, sample, sort, mails only.
+
+    A sample that is larger than the input is an error.
+    """
+    if mail_unique:
+        rows = first_per_key(rows, ["mail"], [])
+    if sample is not None:
+        keys = ["mail"] if mail_unique else rows.columns
+        rows = exact_sample(rows, sample, seed, keys)
+    if sort:
+        rows = rows.orderBy(*text_order("mail"))
+    return rows.select("mail") if mail_only else rows
+
+
 def export_versions(rows: DataFrame) -> dict[str, DataFrame]:
     """An export as it is, once per mail, and as bare mails."""
     unique = first_per_key(rows, ["mail"], [])

@@ -213,3 +213,14 @@ def test_flagged_mails(spark):
     assert [r.mail for r in recipes.flagged_mails(rows).collect()] == ["a"]
     openers = rows.withColumn("ouvreur", F.lit(True))
     assert recipes.openers_and_others(openers, rows.drop("plainte")).count() == 8
+
+
+def test_extract_steps(spark):
+    rows = spark.createDataFrame([(f"m{i % 50:02d}", i) for i in range(120)], "mail string, n int")
+    assert recipes.extract(rows).count() == 50
+    got = recipes.extract(rows, sample=20, sort=True, mail_only=True)
+    mails = [r.mail for r in got.collect()]
+    assert got.columns == ["mail"] and len(set(mails)) == 20 and mails == sorted(mails)
+    assert recipes.extract(rows, mail_unique=False, sample=100).count() == 100
+    with pytest.raises(Exception, match="sample of 51 from 50"):
+        recipes.extract(rows, sample=51).collect()
