@@ -29,6 +29,13 @@ TABLES = {
 }
 
 
+# Tables that are derived with repeats, which are then taken out.
+REPEATED = {
+    "fichier_match", "regie_match", "partner_match", "optin_match", "optin_desabo",
+    "base_plainte", "base_npai", "base_ouvreur", "campagne_ouvreur", "log_criteo",
+}
+
+
 class DriverTables:
     """Derives each logical table from the Parquet files of one folder."""
 
@@ -44,12 +51,19 @@ class DriverTables:
             self._read[name] = self.spark.read.schema(TABLES[name]).parquet(path)
         return self._read[name]
 
-    def load(self, name: str) -> DataFrame:
-        """A logical table; ``part`` and ``documents`` are passed through for names and texts."""
+    def rows(self, name: str) -> DataFrame:
+        """A logical table, for some with repeats still in it.
+
+        ``part`` and ``documents`` are passed through for names and texts.
+        """
         if name in ("part", "documents"):
             return self.raw(name)
         return getattr(self, f"_{name}")()
 
+    def load(self, name: str) -> DataFrame:
+        df = self.rows(name)
+        return df.distinct() if name in REPEATED else df
+
     def _lines(self, *columns: str) -> DataFrame:
         """Line items with the customer of their order."""
         lines = self.raw("lineitem").select("l_orderkey", *columns)
@@ -122,7 +136,7 @@ class DriverTables:
     def _fichier_match(self) -> DataFrame:
         return self._lines("l_partkey").select(
             F.col("o_custkey").alias("mail_id"), F.col("l_partkey").alias("fichier_id")
-        ).distinct()
+        )
 
     def _regie_list(self) -> DataFrame:
         return self.raw("supplier").select(
@@ -132,7 +146,7 @@ class DriverTables:
     def _regie_match(self) -> DataFrame:
         return self._lines("l_suppkey", "l_quantity").filter("l_quantity > 45").select(
             F.col("o_custkey").alias("mail_id"), F.col("l_suppkey").alias("regie_id")
-        ).distinct()
+        )
 
     def _regie_actif(self) -> DataFrame:
         lines = self._lines("l_suppkey", "l_shipdate", "l_returnflag")
@@ -145,7 +159,7 @@ class DriverTables:
     def _partner_match(self) -> DataFrame:
         return self.raw("orders").select(
             F.col("o_custkey").alias("mail_id"), F.col("o_orderpriority").alias("partner_id")
-        ).distinct()
+        )
 
     def _optin_list(self) -> DataFrame:
         return self.raw("nation").select(
@@ -157,7 +171,7 @@ class DriverTables:
         suppliers = self.raw("supplier").select("s_suppkey", "s_nationkey")
         return lines.join(suppliers, F.col("s_suppkey") == F.col("l_suppkey")).select(
             F.col("o_custkey").alias("mail_id"), F.col("s_nationkey").alias("optin_id")
-        ).distinct()
+        )
 
     def _optin_desabo(self) -> DataFrame:
         comment = F.when(F.col("value") > 40, "spam").when(F.col("value") > 20, "npai")
@@ -165,31 +179,31 @@ class DriverTables:
             F.col("user_id").alias("mail_id"),
             (F.col("event_id") % 25).cast("int").alias("optin_id"),
             comment.otherwise("other").alias("comment"),
-        ).distinct()
+        )
 
     def _base_plainte(self) -> DataFrame:
         return self._events("error").filter("value > 60").select(
             F.col("user_id").alias("mail_id")
-        ).distinct()
+        )
 
     def _base_npai(self) -> DataFrame:
         return self.raw("orders").filter("o_totalprice > 490000").select(
             F.col("o_custkey").alias("mail_id")
-        ).distinct()
+        )
 
     def _base_ouvreur(self) -> DataFrame:
         return self._events("view").filter("value > 30").select(
             F.col("user_id").alias("mail_id")
-        ).distinct()
+        )
 
     def _campagne_ouvreur(self) -> DataFrame:
         last = (F.col("event_id") % 250).cast("string")
         return self._events("click").select(
             F.col("user_id").alias("mail_id"), F.concat(F.lit("10.0.1."), last).alias("ip")
-        ).distinct()
+        )
 
     def _log_criteo(self) -> DataFrame:
-        return self._events("purchase").select(F.col("user_id").alias("mail_id")).distinct()
+        return self._events("purchase").select(F.col("user_id").alias("mail_id"))
 
     def _mot_list(self) -> DataFrame:
         digit = F.col("r_regionkey").cast("string")
@@ -253,4 +267,4 @@ def driver_model(spark: SparkSession, folder: str) -> Model:
         raw, column = KEY_SOURCES[name, key]
         return tables.raw(raw), column
 
-    return Model(spark, tables.load, key_source)
+    return Model(spark, tables.load, key_source, tables.rows)

@@ -87,10 +87,13 @@ class Model:
         spark: SparkSession,
         loader: Callable[[str], DataFrame],
         key_source: Callable[[str, str], tuple[DataFrame, str]] | None = None,
+        rows: Callable[[str], DataFrame] | None = None,
     ):
-        """``key_source`` names, for a derived table, a plain table and column with its keys."""
+        """``key_source`` names, for a derived table, a plain table and column with its keys;
+        ``rows`` gives a table that may still hold repeats, where that is cheaper."""
         self.spark = spark
         self._loader = loader
+        self._rows = rows
         self._key_source = key_source or (lambda name, key: (self[name], key))
         self._tables: dict[str, DataFrame] = {}
         self._hot: dict[tuple[str, str], list] = {}
@@ -134,6 +137,12 @@ class Model:
         for name in names or list(SCHEMAS):
             self[name].createOrReplaceTempView(name)
 
+    def rows(self, name: str) -> DataFrame:
+        """A table with repeats allowed, for questions of membership only."""
+        if self._rows is None:
+            return self[name]
+        return self._rows(name)
+
     @cached_property
     def contacts(self) -> DataFrame:
         return self["base"].select("id", "mail")

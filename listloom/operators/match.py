@@ -99,7 +99,8 @@ def word_hits(mails: DataFrame, words: DataFrame, mail: str = "mail") -> DataFra
 
     Each address is cut into its substrings of the lengths that occur among the
     words, and these are joined by equality. The work per address is bounded by
-    its length, whatever the number of words.
+    its length, whatever the number of words. A contact with one row gives each
+    word once.
     """
     words = words.filter(F.length("mot") > 0)
     lengths = words.select(F.collect_set(F.length("mot"))).scalar()
@@ -111,7 +112,7 @@ def word_hits(mails: DataFrame, words: DataFrame, mail: str = "mail") -> DataFra
     )
     pieces = sized.select("mail_id", F.explode(F.array_distinct(cut)).alias("_piece"))
     listed = words.select(F.col("id").alias("mot_list_id"), "mot")
-    return pieces.join(listed, F.col("_piece") == F.col("mot")).select("mail_id", "mot_list_id").distinct()
+    return pieces.join(listed, F.col("_piece") == F.col("mot")).select("mail_id", "mot_list_id")
 
 
 def word_flag(mails: DataFrame, words: DataFrame, flag: str = "exclusion_mot_cle") -> DataFrame:

@@ -62,8 +62,8 @@ def _leads(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def _links(model: Model, table: str, link: str, names: DataFrame) -> DataFrame:
-    """Rows of a match table with the columns of the given list entries."""
-    return inner_on(model[table], names, link, "id", many="rows", hot=model.hot(table, link))
+    """Rows of a match table, repeats allowed, with the columns of the given list entries."""
+    return inner_on(model.rows(table), names, link, "id", many="rows", hot=model.hot(table, link))
 
 
 # -- in common with a partner or a file, not yet at a broker ----------------
@@ -160,13 +160,13 @@ def hash_export(model: Model, files: list[str], cap: int | None = None) -> DataF
 
 def hashes_of_files(model: Model, file_ids: list[int]) -> DataFrame:
     """Distinct hashes of the contacts of files given by id."""
-    match = model["fichier_match"].filter(F.col("fichier_id").isin(file_ids))
+    match = model.rows("fichier_match").filter(F.col("fichier_id").isin(file_ids))
     return keep_in(model["md5"], match, "mail_id").select("md5").distinct()
 
 
 def known_hashes(model: Model) -> DataFrame:
     """Distinct hashes known to any broker or any partner."""
-    keys = all_keys(keys_of(model["regie_match"]), keys_of(model["partner_match"]))
+    keys = all_keys(keys_of(model.rows("regie_match")), keys_of(model.rows("partner_match")))
     return keep_in(model["md5"], keys, "mail_id").select("md5").distinct()
 
 
@@ -176,7 +176,7 @@ def mail_and_hash(model: Model, broker_id: int) -> DataFrame:
 
 
 def optin_mails(model: Model, optin_id: int) -> DataFrame:
-    match = model["optin_match"].filter(F.col("optin_id") == optin_id)
+    match = model.rows("optin_match").filter(F.col("optin_id") == optin_id)
     return Segment(model).member_of(keys_of(match)).mails()
 
 
@@ -294,7 +294,7 @@ def sms_from_file(model: Model, files: list[str]) -> DataFrame:
 
 
 def sms_with_partner(model: Model, partner) -> DataFrame:
-    spam = model["optin_desabo"].filter(F.col("comment") == "spam")
+    spam = model.rows("optin_desabo").filter(F.col("comment") == "spam")
     segment = Segment(model).partner(partner).suppress("plainte")
     people = segment.not_member_of(keys_of(spam)).contacts()
     return _sms_rows(model, people, inner_on)
@@ -352,7 +352,7 @@ def hashes_with_civility(model: Model) -> DataFrame:
 
 def file_profiles(model: Model, file_id: int) -> DataFrame:
     """Contacts of one file with identity and lead."""
-    match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
+    match = model.rows("fichier_match").filter(F.col("fichier_id") == file_id)
     people = Segment(model).member_of(keys_of(match))
     rows = _leads(model, people.with_identity())
     return rows.select("mail", *IDENTITY, *LEAD)
@@ -360,7 +360,7 @@ def file_profiles(model: Model, file_id: int) -> DataFrame:
 
 def file_interests(model: Model, file_id: int) -> DataFrame:
     """Interests and scores of the contacts of one file."""
-    match = model["fichier_match"].filter(F.col("fichier_id") == file_id)
+    match = model.rows("fichier_match").filter(F.col("fichier_id") == file_id)
     people = Segment(model).member_of(keys_of(match)).contacts()
     scored = _links(model, "appetence_match", "appetence_id", model["appetence_list"])
     rows = inner_on(people, scored, hot=model.hot("appetence_match"))
@@ -370,24 +370,24 @@ def file_interests(model: Model, file_id: int) -> DataFrame:
 # -- by file number ---------------------------------------------------------------
 
 
-def _file_links(model: Model, patterns: list[str]) -> DataFrame:
+def _file_links(model: Model, patterns: list[str], match: DataFrame) -> DataFrame:
     files = model["fichier_list"].filter(any_of("fichier_num", patterns)).select("id")
     return keep_in(
-        model["fichier_match"], files, "fichier_id", "id",
+        match, files, "fichier_id", "id",
         repeats=True, hot=model.hot("fichier_match", "fichier_id"),
     )
 
 
 def by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:
     """Mail and file id for files whose whole number matches an alternative."""
-    rows = inner_on(model.contacts, _file_links(model, patterns), hot=model.hot("fichier_match"))
+    rows = inner_on(model.contacts, _file_links(model, patterns, model["fichier_match"]), hot=model.hot("fichier_match"))
     return rows.select("mail", "fichier_id")
 
 
 def qualified_by_file_pattern(model: Model, patterns: list[str]) -> DataFrame:
     """Identity and lead of contacts with birth and civility, from the matching files."""
     full = model["id"].filter(F.col("birth").isNotNull() & F.col("civilite").isNotNull())
-    people = Segment(model).member_of(keys_of(_file_links(model, patterns))).contacts()
+    people = Segment(model).member_of(keys_of(_file_links(model, patterns, model.rows("fichier_match")))).contacts()
     rows = inner_on(people, full.select("mail_id", *IDENTITY), hot=model.hot("id"))
     rows = inner_on(rows, model["lead"], hot=model.hot("lead"), unique=False)
     return rows.select("mail", *IDENTITY, *LEAD)

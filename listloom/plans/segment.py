@@ -73,13 +73,12 @@ class Segment:
 
     def active(self) -> Segment:
         """Active at any broker."""
-        return self.member_of(keys_of(self.model["regie_actif"]))
+        return self.member_of(keys_of(self.model.rows("regie_actif")))
 
     def active_at(self, *patterns: str) -> Segment:
         """Active at a broker whose name contains one of the alternatives."""
-        names = self.model["regie_list"]
         chosen = any_of("abreviation", list(patterns), whole=False)
-        return self.member_of(listed_keys(self.model["regie_actif"], "regie_id", names, chosen))
+        return self.member_of(self._listed("regie_actif", "regie_id", "regie_list", chosen))
 
     def opted_in(self, *names: str) -> Segment:
         return self.member_of(self.optin_keys("optin_match", *names))
@@ -102,7 +101,7 @@ class Segment:
 
     def named_keys(self, name: str) -> DataFrame:
         if name == "spam":
-            desabo = self.model["optin_desabo"]
+            desabo = self.model.rows("optin_desabo")
             return keys_of(desabo.filter(F.col("comment").isin(UNWANTED)))
         tables = {
             "plainte": "base_plainte",
@@ -112,26 +111,29 @@ class Segment:
             "ouvreur_mbaz": "campagne_ouvreur",
             "criteo": "log_criteo",
         }
-        return keys_of(self.model[tables[name]])
+        return keys_of(self.model.rows(tables[name]))
+
+    def _listed(self, table: str, link: str, names: str, chosen: Column) -> DataFrame:
+        return listed_keys(self.model.rows(table), link, self.model[names], chosen)
 
     def partner_keys(self, *ids) -> DataFrame:
-        match = self.model["partner_match"]
+        match = self.model.rows("partner_match")
         return keys_of(match.filter(F.col("partner_id").isin(list(ids))))
 
     def file_keys(self, *numbers: str) -> DataFrame:
         chosen = F.col("fichier_num").isin(list(numbers))
-        return listed_keys(self.model["fichier_match"], "fichier_id", self.model["fichier_list"], chosen)
+        return self._listed("fichier_match", "fichier_id", "fichier_list", chosen)
 
     def broker_keys(self, *names: str) -> DataFrame:
         chosen = F.col("abreviation").isin(list(names))
-        return listed_keys(self.model["regie_match"], "regie_id", self.model["regie_list"], chosen)
+        return self._listed("regie_match", "regie_id", "regie_list", chosen)
 
     def broker_id_keys(self, *ids: int) -> DataFrame:
-        return keys_of(self.model["regie_match"].filter(F.col("regie_id").isin(list(ids))))
+        return keys_of(self.model.rows("regie_match").filter(F.col("regie_id").isin(list(ids))))
 
     def optin_keys(self, table: str, *names: str) -> DataFrame:
         chosen = F.col("abreviation").isin(list(names))
-        return listed_keys(self.model[table], "optin_id", self.model["optin_list"], chosen)
+        return self._listed(table, "optin_id", "optin_list", chosen)
 
     # -- results --------------------------------------------------------
 
