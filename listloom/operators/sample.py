@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from listloom.operators.rank import with_position
 # Hash buckets are told apart by this many hex digits: 65,536 buckets.
 _DIGITS = 4
 
+# Packing works on blocks of about this many files.
+_FILES_PER_BLOCK = 50
+
 # Up to this many rows a plain top-k keeps less than one batch per task.
 _SMALL = 1000
 
@@ -156,28 +161,84 @@ def chunks(df: DataFrame, step: int, key: str = "mail") -> DataFrame:
     return placed.withColumn("chunk", number.cast("long")).drop("_position", "_count")
 
 
+def _next_file(start: np.ndarray, held_from: np.ndarray | int, threshold: int) -> np.ndarray:
+    """Place of the first group that starts past the threshold of a file held from there."""
+    return np.searchsorted(start, held_from + threshold, side="right")
+
+
+def _pass_blocks(groups: DataFrame, threshold: int) -> DataFrame:
+    """What each block of groups does to the file that is open before it.
+
+    One row per group at which that file can close: it is the one when the file
+    began before ``upto``. Then ``out`` is where the file open after the block
+    began, and ``files`` the number of files that the block begins.
+    """
+    def passes(block: pd.DataFrame) -> pd.DataFrame:
+        start = np.sort(block["_start"].to_numpy())
+        after = _next_file(start, start, threshold)
+        out, files = start.copy(), np.ones(len(start), dtype="int64")
+        for j in range(len(start) - 1, -1, -1):
+            if after[j] < len(start):
+                out[j], files[j] = out[after[j]], files[after[j]] + 1
+        last = min(int(_next_file(start, start[0] - 1, threshold)), len(start) - 1)
+        return pd.DataFrame({
+            "_block": block["_block"].iloc[0], "upto": start[: last + 1] - threshold,
+            "out": out[: last + 1], "files": files[: last + 1],
+        })
+
+    return groups.groupBy("_block").applyInPandas(
+        passes, "_block long, upto long, out long, files long"
+    )
+
+
+def _open_files(passes: DataFrame, threshold: int) -> DataFrame:
+    """Per block the file that is open before it: where it began, and its number."""
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        began, number, block, closed = -threshold - 1, 0, None, True
+        for batch in batches:
+            entries = []
+            for at, upto, out, files in batch.itertuples(index=False):
+                if at != block:
+                    block, closed = at, False
+                    entries.append((at, began, number))
+                if not closed and began < upto:
+                    began, number, closed = out, number + files, True
+            yield pd.DataFrame(entries, columns=["_block", "began", "number"])
+
+    in_order = passes.repartition(1).sortWithinPartitions("_block", "upto")
+    return in_order.mapInPandas(fold, "_block long, began long, number long")
+
+
 def pack_numbers(counts: DataFrame, group: str, threshold: int) -> DataFrame:
     """File number of each group: a file closes at the first boundary past the threshold.
 
-    The next file starts where the last one closed, so this is a fold in group
-    order. It streams over the small table of group counts with one running
-    total as its state; the rows themselves are not moved.
+    The next file starts where the last one closed, which makes this a fold in
+    group order. It is cut into blocks of ``_FILES_PER_BLOCK`` thresholds. Each block
+    works out, for all files that may be open before it, which one is open after
+    it; only these few rows per block are folded in order. Then the blocks are
+    numbered, each from its own open file.
     """
     kind = counts.schema[group].dataType.simpleString()
-
-    def fold(batches: Iterator) -> Iterator:
-        number, held = 1, 0
-        for batch in batches:
-            numbers = []
-            for n in batch["n"]:
-                if held > threshold:
-                    number, held = number + 1, 0
-                held += int(n)
-                numbers.append(number)
-            yield batch[[group]].assign(file_number=numbers)
-
-    in_order = counts.select(group, "n").repartition(1).sortWithinPartitions(*text_order(group))
-    return in_order.mapInPandas(fold, f"{group} {kind}, file_number long")
+    groups = with_position(counts.select(group, "n"), text_order(group), "_start", weight="n")
+    span = max(threshold, 1) * _FILES_PER_BLOCK
+    groups = groups.withColumn("_block", F.floor(F.col("_start") / span).cast("long"))
+    entries = _open_files(_pass_blocks(groups, threshold), threshold)
+
+    def number(block: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("_start")
+        start = block["_start"].to_numpy()
+        after = _next_file(start, start, threshold)
+        current = int(entry["number"].iloc[0])
+        place = int(_next_file(start, int(entry["began"].iloc[0]), threshold))
+        numbers = np.full(len(start), current)
+        while place < len(start):
+            current += 1
+            numbers[place:after[place]] = current
+            place = after[place]
+        return block[[group]].assign(file_number=numbers)
+
+    by_block = groups.groupBy("_block").cogroup(entries.groupBy("_block"))
+    return by_block.applyInPandas(number, f"{group} {kind}, file_number long")
 
 
 def pack_groups(

@@ -196,13 +196,15 @@ def test_pack_groups(spark):
     assert [numbers[g] for g in range(6)] == [1, 1, 2, 2, 3, 4]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_pack_groups_against_fold(spark, seed):
-    rng = random.Random(seed)
-    sizes = [rng.choice([1, 1, 2, 3, 8, 40]) for _ in range(300)]
+@pytest.mark.parametrize("per_block", [1, 2, 7, 50])
+@pytest.mark.parametrize("threshold", [0, 3, 25, 400])
+def test_pack_groups_against_fold(spark, monkeypatch, per_block, threshold):
+    monkeypatch.setattr(sample, "_FILES_PER_BLOCK", per_block)
+    rng = random.Random(threshold + per_block)
+    sizes = [rng.choice([1, 1, 2, 3, 8, 40, 300 if rng.random() < 0.1 else 1]) for _ in range(300)]
     counts = frame(spark, list(enumerate(sizes)), "num int, n long")
-    got = {r.num: r.file_number for r in sample.pack_numbers(counts, "num", 25).collect()}
-    assert [got[g] for g in range(300)] == fold_files(sizes, 25)
+    got = {r.num: r.file_number for r in sample.pack_numbers(counts, "num", threshold).collect()}
+    assert [got[g] for g in range(300)] == fold_files(sizes, threshold)
 
 
 @pytest.fixture
