@@ -37,17 +37,17 @@ def local_session(cores: int | str = 8, name: str = "listloom", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (a bare local session) is a
-    temporary folder taken instead.
+    Only where ``spark.checkpoint.dir`` is unset and no job has set a folder
+    either does a bare local session get a temporary one.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="listloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="listloom-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -57,8 +57,5 @@ def frozen(df: DataFrame) -> DataFrame:
     Positions counted over the partitions of the result stay true when an
     executor is lost, because the rows are read back instead of computed anew.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
