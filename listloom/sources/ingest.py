@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listloom.functions.clean import mail_domain, mail_hash, missing
@@ -13,7 +14,7 @@ from listloom.operators.joins import keep_out, left_one
 from listloom.operators.match import lookup_hash, match_counts
 from listloom.operators.rank import with_position
 from listloom.session import frozen
-from listloom.sources.names import list_files, order_files
+from listloom.sources.names import list_files, order_files, with_any_column, with_status
 from listloom.sources.readers import clean_rows, read_folder
 from listloom.sources.writers import append_table
 
@@ -73,24 +74,35 @@ def import_counts(rows: DataFrame, model: Model) -> DataFrame:
     return match_counts(lookup_hash(rows, model["md5"]), new="insert", by=["source_file"])
 
 
+def loaded_files(spark: SparkSession, warehouse: str, load: str) -> DataFrame:
+    """Names of the files that other loads have taken in or found faulty."""
+    path = f"{warehouse}/import_manifest"
+    try:
+        return spark.read.parquet(path).filter(F.col("load") != load).select("name")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "name string")
+
+
 def import_folder(
     model: Model, folder: str, warehouse: str, load: str, sep: str = ";",
     only_group: str | None = None, only_status: str | None = None, exports: bool = False,
 ) -> DataFrame:
     """Load all files of a folder in one go and give the manifest of the load.
 
-    Source files are left as they are. ``only_group`` takes the files that name
-    a field of that side table, ``only_status`` those that name the status. A
-    load that is run again replaces itself.
+    Source files are left as they are; those that the manifest has from another
+    load are passed over. ``only_group`` takes the files that name a field of
+    that side table, ``only_status`` those that name the status. A load that is
+    run again replaces itself.
     """
     files = order_files(list_files(model.spark, folder, exports))
-    rows = read_folder(model.spark, folder, FILE_COLUMNS, sep, exports=exports)
+    files = keep_out(files, loaded_files(model.spark, warehouse, load), "name", "name")
     if only_group:
-        wanted = F.array(*[F.lit(c) for c in FIELD_GROUPS[only_group]])
-        chosen = files.filter(F.arrays_overlap("header", wanted))
-        rows = rows.join(chosen.select(F.col("name").alias("source_file")), "source_file", "left_semi")
+        files = with_any_column(files, FIELD_GROUPS[only_group])
     if only_status:
-        rows = rows.filter(F.array_contains("statuses", only_status))
+        files = with_status(files, only_status)
+    rows = read_folder(model.spark, folder, FILE_COLUMNS, sep, exports=exports, files=files)
     cleaned = frozen(clean_rows(rows))
     for table, added in import_rows(cleaned, model).items():
         append_table(added, warehouse, table, load)
@@ -99,7 +111,7 @@ def import_folder(
         counts.withColumnRenamed("source_file", "name"), "name", "left"
     )
     ok = F.when(F.col("initial") > 0, "OK").otherwise("PB").alias("status")
-    report = report.select("*", ok, F.lit(load).alias("load"))
+    report = report.select("*", ok)
     append_table(report, warehouse, "import_manifest", load)
     return model.spark.read.parquet(f"{warehouse}/import_manifest/load={load}")
 

@@ -124,13 +124,17 @@ def read_folder(
     header: bool = False,
     encoding: str = "UTF-8",
     exports: bool = False,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """All files of a folder in one scan, columns placed by what each name says.
 
     Gives the wanted ``columns`` (null where a file has none), the file's place
-    in the load order, its statuses and its broker tag.
+    in the load order, its statuses and its broker tag. ``files`` picks some of
+    the ordered files.
     """
-    files = order_files(list_files(spark, folder, exports)).select(
+    if files is None:
+        files = order_files(list_files(spark, folder, exports))
+    files = files.select(
         F.col("name").alias("source_file"), "place", "header", "statuses", "broker"
     )
     widest, count = files.agg(F.max(F.size("header")), F.count(F.lit(1))).first()

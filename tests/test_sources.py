@@ -222,6 +222,17 @@ def test_import_folder(spark, tmp_path, known, rows):
     ]
 
 
+def test_files_of_another_load_are_passed_over(spark, tmp_path, known, rows):
+    folder = write(tmp_path / "in", {"1_x_[mail].csv": "new@b.example\n"})
+    store = str(tmp_path / "store")
+    ingest.import_folder(known, folder, store, "l1")
+    write(tmp_path / "in", {"2_x_[mail].csv": "next@b.example\n"})
+    report = ingest.import_folder(known, folder, store, "l2")
+    assert rows(report, "name", "status") == [("2_x_[mail].csv", "OK")]
+    added = spark.read.parquet(f"{store}/base")
+    assert rows(added.filter("load = 'l2'"), "mail") == [("next@b.example",)]
+
+
 @pytest.mark.parametrize("choice,expected", [
     ({"only_group": "id"}, [("Bea",)]), ({"only_status": "ouvreur"}, []),
 ])
