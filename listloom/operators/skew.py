@@ -22,6 +22,9 @@ _HOT_ROWS = 1_000_000
 _SAMPLE_BYTES = 1 << 30
 _SAMPLE_FILES = 200
 
+# Estimates from here on only say that the size is unknown; then this share is looked at.
+_UNKNOWN_BYTES, _UNKNOWN_SHARE = 1 << 50, 0.01
+
 # The sketch returns at most this many keys, out of this many it tracks.
 _MOST, _TRACKED = 1000, 10_000
 
@@ -43,7 +46,7 @@ def hot_keys(df: DataFrame, key: str, scale: float = 1.0) -> list:
     size = input_bytes(df)
     if size < _CHECK_BYTES * scale:
         return []
-    share = min(1.0, _SAMPLE_BYTES / max(size, 1))
+    share = min(1.0, _SAMPLE_BYTES / max(size, 1)) if size < _UNKNOWN_BYTES else _UNKNOWN_SHARE
     keys = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
     keys = keys.sample(share, seed=0) if share < 1 else keys
     top = keys.agg(F.expr(f"approx_top_k(_key, {_MOST}, {_TRACKED})")).first()[0]

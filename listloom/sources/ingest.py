@@ -47,33 +47,28 @@ def side_rows(rows: DataFrame, table: str) -> DataFrame:
     return rows.filter(filled).select("mail_id", *fields).distinct()
 
 
-def import_rows(rows: DataFrame, model: Model) -> dict[str, DataFrame]:
-    """New rows for each table out of cleaned, hashed incoming rows.
+def import_rows(matched: DataFrame, model: Model) -> dict[str, DataFrame]:
+    """New rows for each table out of cleaned rows that were looked up by hash.
 
-    Known hashes keep their contact; the others get the next free numbers.
+    Known hashes keep their contact; the others get the next free numbers. The
+    rows are kept with their contact, so that each table only picks its columns.
     """
-    matched = lookup_hash(rows, model["md5"])
     added = new_contacts(matched, model["base"])
-    placed = with_contact(matched, added)
+    placed = frozen(with_contact(matched, added))
     tables = {
         "base": added.select("id", "mail", "domain"),
         "md5": added.select(F.col("id").alias("mail_id"), "md5"),
     }
     for table in ["id", "lead", "sms"]:
-        if any(c in rows.columns for c in FIELD_GROUPS[table]):
+        if any(c in placed.columns for c in FIELD_GROUPS[table]):
             tables[table] = side_rows(placed, table)
     if "id" in tables and "birth" in tables["id"].columns:
         tables["id"] = tables["id"].withColumn("birth", read_birth("birth"))
-    if "place" in rows.columns:
+    if "place" in placed.columns:
         tables["fichier_match"] = placed.select("mail_id", F.col("place").alias("fichier_id")).distinct()
     return tables
 
 
-def import_counts(rows: DataFrame, model: Model) -> DataFrame:
-    """Counters per source file: rows, known and new."""
-    return match_counts(lookup_hash(rows, model["md5"]), new="insert", by=["source_file"])
-
-
 def loaded_files(spark: SparkSession, warehouse: str, load: str) -> DataFrame:
     """Names of the files that other loads have taken in or found faulty."""
     path = f"{warehouse}/import_manifest"
@@ -103,10 +98,10 @@ def import_folder(
     if only_status:
         files = with_status(files, only_status)
     rows = read_folder(model.spark, folder, FILE_COLUMNS, sep, exports=exports, files=files)
-    cleaned = frozen(clean_rows(rows))
-    for table, added in import_rows(cleaned, model).items():
+    matched = frozen(lookup_hash(clean_rows(rows), model["md5"]))
+    for table, added in import_rows(matched, model).items():
         append_table(added, warehouse, table, load)
-    counts = import_counts(cleaned, model)
+    counts = match_counts(matched, new="insert", by=["source_file"])
     report = files.select("name", "place", "number", "thousands").join(
         counts.withColumnRenamed("source_file", "name"), "name", "left"
     )

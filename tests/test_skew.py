@@ -13,6 +13,7 @@ def everything_is_hot(monkeypatch):
     monkeypatch.setattr(skew, "_CHECK_BYTES", 0)
     monkeypatch.setattr(skew, "_HOT_ROWS", 20)
     monkeypatch.setattr(skew, "_SAMPLE_BYTES", 1 << 80)
+    monkeypatch.setattr(skew, "_UNKNOWN_BYTES", 1 << 80)
 
 
 @pytest.fixture(scope="module")
