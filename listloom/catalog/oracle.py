@@ -94,8 +94,8 @@ _NAMED = {
     "mot": "EXISTS (SELECT 1 FROM mot_match x WHERE x.mail_id = {k})",
     "npai": "EXISTS (SELECT 1 FROM base_npai x WHERE x.mail_id = {k})",
     "spam": "EXISTS (SELECT 1 FROM optin_desabo x WHERE x.mail_id = {k} AND x.comment IN ('spam','npai'))",
-    "ouvreur_mimi": "EXISTS (SELECT 1 FROM base_ouvreur x WHERE x.mail_id = {k})",
-    "ouvreur_mbaz": "EXISTS (SELECT 1 FROM campagne_ouvreur x WHERE x.mail_id = {k})",
+    "ouvreur": "EXISTS (SELECT 1 FROM base_ouvreur x WHERE x.mail_id = {k})",
+    "ouvreur_campagne": "EXISTS (SELECT 1 FROM campagne_ouvreur x WHERE x.mail_id = {k})",
     "criteo": "EXISTS (SELECT 1 FROM log_criteo x WHERE x.mail_id = {k})",
     "actif": "EXISTS (SELECT 1 FROM regie_actif x WHERE x.mail_id = {k})",
 }
@@ -170,7 +170,7 @@ _ATTRIBUTES = " UNION ALL ".join(
 
 _NAMES = """
   SELECT concat(CASE p_partkey % 5 WHEN 0 THEN concat(p_partkey, '-2') WHEN 1 THEN concat(p_partkey, 'X')
-      WHEN 2 THEN 'EXP-PCP' WHEN 3 THEN concat('OK_', p_partkey) ELSE CAST(p_partkey AS VARCHAR) END,
+      WHEN 2 THEN 'EXP-ABC' WHEN 3 THEN concat('OK_', p_partkey) ELSE CAST(p_partkey AS VARCHAR) END,
     '_', replace(p_name, ' ', '-'), '_[mail, civilite,', lower(p_type), ']',
     CASE p_size % 3 WHEN 0 THEN '_[ouvreur]' WHEN 1 THEN '_[regie:ads]' ELSE '' END, '_', p_size, 'k.csv') AS name
   FROM part"""
@@ -192,7 +192,7 @@ def oracle_sql() -> dict[str, str]:
         "segment_identity_latest": _latest(_SEGMENT),
         "segment_packed": f"SELECT DISTINCT b.mail, {ID} FROM base b LEFT JOIN id_unik i ON i.mail_id = b.id WHERE {_SEGMENT}",
         "segment_openers": f"""SELECT DISTINCT b.mail, {ID} {_BASE_ID}
-            WHERE {_named('ouvreur_mbaz')} AND {_named('criteo')} AND NOT {_in(_FILE, 'Brand#17')}
+            WHERE {_named('ouvreur_campagne')} AND {_named('criteo')} AND NOT {_in(_FILE, 'Brand#17')}
             AND NOT {_in(_BROKER, *BROKERS)} AND {_without('plainte', 'mot')}""",
         "segment_described": f"""SELECT b.mail, b.id, {ID}, l.ip, l.provenance, l.date {_BASE_ID}
             LEFT JOIN lead l ON l.mail_id = b.id WHERE l.ip IS NOT NULL AND {_in(_FILE, *FILES)}""",
@@ -213,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
             JOIN regie_actif a ON a.mail_id = b.id
             WHERE b.id IN (SELECT x.mail_id FROM regie_actif x JOIN regie_list y ON y.id = x.regie_id
                 WHERE regexp_matches(y.abreviation, '(00003|00007)')) AND {_without('plainte', 'mot')}""",
-        "file_clean": f"SELECT b.mail, {ID} {_BASE_ID} WHERE {_in(_FILE, *FILES)} AND {_without(*FILE_OUT, 'ouvreur_mimi')}",
+        "file_clean": f"SELECT b.mail, {ID} {_BASE_ID} WHERE {_in(_FILE, *FILES)} AND {_without(*FILE_OUT, 'ouvreur')}",
         "partner_identities": _latest(
             _in(_PARTNER, "1-URGENT", "2-HIGH") + " AND " + _without("plainte", "mot", "npai", "spam")),
         "optin_minus_unsub": f"""SELECT b.mail, i.civilite, i.prenom, i.nom {_BASE_ID}
@@ -222,9 +222,9 @@ def oracle_sql() -> dict[str, str]:
             AND NOT {_in(_DESABO, 'NATION_7')} AND {_without(*FILE_OUT)}""",
         "optin_difference": f"SELECT b.mail FROM base b WHERE {_in(_OPTIN, 'NATION_10')} AND NOT {_in(_OPTIN, 'NATION_7')}",
         "hash_export": f"""SELECT DISTINCT m.md5 FROM md5_table m WHERE {_in(_FILE, *FILES, k='m.mail_id')}
-            AND {_without(*FILE_OUT, 'ouvreur_mimi', k='m.mail_id')}""",
+            AND {_without(*FILE_OUT, 'ouvreur', k='m.mail_id')}""",
         "hash_export_capped": f"""SELECT DISTINCT m.md5 FROM md5_table m WHERE {_in(_FILE, *FILES, k='m.mail_id')}
-            AND {_without(*FILE_OUT, 'ouvreur_mimi', k='m.mail_id')} ORDER BY m.md5 LIMIT 50000""",
+            AND {_without(*FILE_OUT, 'ouvreur', k='m.mail_id')} ORDER BY m.md5 LIMIT 50000""",
         "hashes_of_files": """SELECT DISTINCT m.md5 FROM md5_table m JOIN fichier_match f ON f.mail_id = m.mail_id
             WHERE f.fichier_id IN (7, 8, 10, 13)""",
         "qualified_leads": f"""SELECT b.mail, {ID}, l.ip, l.date, l.provenance {_BASE_ID} LEFT JOIN lead l ON l.mail_id = b.id
@@ -291,7 +291,7 @@ def oracle_sql() -> dict[str, str]:
                 AND b.domain NOT IN ('household.example','machinery.example') AND {_without('plainte', 'npai', 'mot')})
             ) WHERE rn <= 200""",
         "suppress_union": f"SELECT o.mail, o.ip FROM outside o WHERE o.mail NOT IN ({_mails_of('plainte', 'npai', 'mot', 'spam')})",
-        "flag_filter": f"SELECT b.mail FROM base b WHERE {_named('ouvreur_mimi')} AND {_without('plainte', 'npai', 'mot')}",
+        "flag_filter": f"SELECT b.mail FROM base b WHERE {_named('ouvreur')} AND {_without('plainte', 'npai', 'mot')}",
         "clean_by_lists": f"""SELECT mail, birth, regexp_replace(civilite, '^(\\d+)[.,].*$', '\\1') AS civilite, prenom, nom,
             regexp_replace(cp, '^(\\d+)[.,].*$', '\\1') AS cp, ville FROM (
               SELECT b.mail, {ID}, row_number() OVER (PARTITION BY b.mail ORDER BY i.birth NULLS LAST, i.civilite NULLS LAST,
@@ -304,8 +304,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT *, row_number() OVER (PARTITION BY mail ORDER BY prenom NULLS LAST, nom NULLS LAST, civilite NULLS LAST,
               birth NULLS LAST, cp NULLS LAST, provenance NULLS LAST) AS rn FROM ({_CLEAN})) WHERE rn = 1""",
         "export_mail_only": "SELECT DISTINCT mail FROM outside",
-        "openers_and_others": f"""SELECT b.mail {_BASE_ID} WHERE {_named('ouvreur_mimi')}
-            UNION ALL SELECT b.mail {_BASE_ID} WHERE NOT {_named('ouvreur_mimi')}""",
+        "openers_and_others": f"""SELECT b.mail {_BASE_ID} WHERE {_named('ouvreur')}
+            UNION ALL SELECT b.mail {_BASE_ID} WHERE NOT {_named('ouvreur')}""",
         "identity_unique": "SELECT * FROM id_unik",
         "identity_clean": "SELECT min(id) AS id, mail_id, civilite, prenom, nom FROM id GROUP BY mail_id, civilite, prenom, nom",
         "identity_unpack": f"SELECT mail_id, concat(name, '_', n) AS attribute, value FROM ({_ATTRIBUTES})",
@@ -382,10 +382,10 @@ def oracle_sql() -> dict[str, str]:
             JOIN regie_list l ON l.id = m.regie_id GROUP BY l.abreviation""",
         "exact_sample": "SELECT id, mail_id FROM id ORDER BY md5(concat('11:', id)), id LIMIT 1200",
         "random_split": f"""SELECT b.id, b.mail, CAST(CAST('0x' || substr(md5(concat('11:', b.mail)), 1, 8) AS BIGINT) % 5 AS INTEGER) AS part
-            FROM base b WHERE NOT {_named('ouvreur_mimi')}
-            UNION ALL SELECT b.id, b.mail, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS part FROM base b WHERE {_named('ouvreur_mimi')}""",
+            FROM base b WHERE NOT {_named('ouvreur')}
+            UNION ALL SELECT b.id, b.mail, CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS part FROM base b WHERE {_named('ouvreur')}""",
         "first_part": f"""SELECT b.mail, i.civilite, i.nom, i.prenom, '' AS telephone, i.birth, i.cp, i.ville, 'France' AS pays,
-            '' AS date_collecte {_BASE_ID} WHERE {_named('ouvreur_mimi')}
+            '' AS date_collecte {_BASE_ID} WHERE {_named('ouvreur')}
             OR CAST('0x' || substr(md5(concat('11:', b.mail)), 1, 8) AS BIGINT) % 5 = 0""",
         "sampled_extract": f"SELECT b.mail FROM base b WHERE {_without('plainte')} ORDER BY md5(concat('0:', b.mail)) LIMIT 100",
         "chunks": """SELECT mail, least((rn - 1) // 400 + 1, n // 400) AS chunk FROM (

@@ -65,7 +65,7 @@ def segment_packed(model: Model) -> DataFrame:
 @query
 def segment_openers(model: Model) -> DataFrame:
     """Openers in the ad log, outside the files and the broker."""
-    segment = Segment(model).only("ouvreur_mbaz", "criteo").not_file("Brand#17")
+    segment = Segment(model).only("ouvreur_campagne", "criteo").not_file("Brand#17")
     return segment.not_broker(*BROKERS).suppress("plainte", "mot").select("classic")
 
 
@@ -312,7 +312,7 @@ def suppress_union(model: Model) -> DataFrame:
 def flag_filter(model: Model) -> DataFrame:
     """Contacts flagged from four tables; openers without any unwanted flag."""
     rows = model["base"].select("id", "mail")
-    for flag, name in [("ouvreur", "ouvreur_mimi"), ("plainte", "plainte"), ("npai", "npai"), ("mot", "mot")]:
+    for flag, name in [("ouvreur", "ouvreur"), ("plainte", "plainte"), ("npai", "npai"), ("mot", "mot")]:
         keys = Segment(model).named_keys(name).distinct().withColumn(flag, F.lit(True))
         rows = joins.left_one(rows, keys)
     return rows.filter(clean.true_and_none("ouvreur", ["plainte", "npai", "mot"])).select("mail")
@@ -361,8 +361,8 @@ def export_mail_only(model: Model) -> DataFrame:
 
 @query
 def openers_and_others(model: Model) -> DataFrame:
-    opened = Segment(model).only("ouvreur_mimi").with_identity().withColumn("ouvreur", F.lit(True))
-    others = Segment(model).suppress("ouvreur_mimi").with_identity()
+    opened = Segment(model).only("ouvreur").with_identity().withColumn("ouvreur", F.lit(True))
+    others = Segment(model).suppress("ouvreur").with_identity()
     return recipes.openers_and_others(opened, others)
 
 
@@ -637,16 +637,16 @@ def exact_sample(model: Model) -> DataFrame:
 
 @query
 def random_split(model: Model) -> DataFrame:
-    others = Segment(model).suppress("ouvreur_mimi").contacts()
-    opened = Segment(model).only("ouvreur_mimi").contacts()
+    others = Segment(model).suppress("ouvreur").contacts()
+    opened = Segment(model).only("ouvreur").contacts()
     return sample.random_split(others, 5, SEED, ["mail"], opened)
 
 
 @query
 def first_part(model: Model) -> DataFrame:
     """Part 0 of a random split, in its wider layout."""
-    opened = Segment(model).only("ouvreur_mimi").with_identity()
-    others = Segment(model).suppress("ouvreur_mimi").with_identity()
+    opened = Segment(model).only("ouvreur").with_identity()
+    others = Segment(model).suppress("ouvreur").with_identity()
     parts = sample.random_split(others, 5, SEED, ["mail"], opened)
     return collection_layout(parts.filter("part = 0"))
 
@@ -678,7 +678,7 @@ def _file_names(model: Model) -> DataFrame:
     lead = (
         F.when(F.col("p_partkey") % 5 == 0, F.concat(number, F.lit("-2")))
         .when(F.col("p_partkey") % 5 == 1, F.concat(number, F.lit("X")))
-        .when(F.col("p_partkey") % 5 == 2, F.lit("EXP-PCP"))
+        .when(F.col("p_partkey") % 5 == 2, F.lit("EXP-ABC"))
         .when(F.col("p_partkey") % 5 == 3, F.concat(F.lit("OK_"), number))
         .otherwise(number)
     )

@@ -104,7 +104,7 @@ def common_with_file(model: Model, files: list[str], brokers: list[str]) -> Data
 def active_openers(model: Model, broker_patterns: list[str]) -> DataFrame:
     """Openers active at the named brokers, one row per identity and activity date."""
     people = (
-        Segment(model).only("ouvreur_mimi").active_at(*broker_patterns)
+        Segment(model).only("ouvreur").active_at(*broker_patterns)
         .suppress("plainte", "mot").contacts()
     )
     activity = model["regie_actif"].select("mail_id", "date")
@@ -117,7 +117,7 @@ def file_clean(model: Model, files: list[str], openers: bool = True) -> DataFram
     """Contacts of the files without suppressed ones, and without openers if asked."""
     segment = Segment(model).file(*files).suppress(*FILE_SUPPRESSION)
     if not openers:
-        segment = segment.suppress("ouvreur_mimi")
+        segment = segment.suppress("ouvreur")
     return segment.with_identity().select("mail", *IDENTITY)
 
 
@@ -151,7 +151,7 @@ def optin_difference(model: Model, wanted: str, unwanted: str) -> DataFrame:
 
 def hash_export(model: Model, files: list[str], cap: int | None = None) -> DataFrame:
     """Hashes of a file without suppressed contacts and openers, capped in hash order."""
-    segment = Segment(model).file(*files).suppress(*FILE_SUPPRESSION, "ouvreur_mimi")
+    segment = Segment(model).file(*files).suppress(*FILE_SUPPRESSION, "ouvreur")
     hashes = segment.restrict(model["md5"], "mail_id").select("md5").distinct()
     if cap is None:
         return hashes

@@ -107,8 +107,8 @@ class Segment:
             "plainte": "base_plainte",
             "mot": "mot_match",
             "npai": "base_npai",
-            "ouvreur_mimi": "base_ouvreur",
-            "ouvreur_mbaz": "campagne_ouvreur",
+            "ouvreur": "base_ouvreur",
+            "ouvreur_campagne": "campagne_ouvreur",
             "criteo": "log_criteo",
         }
         return keys_of(self.model.rows(tables[name]))

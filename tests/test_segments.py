@@ -93,7 +93,7 @@ def test_opposite_conditions(model, data):
 
 
 def test_named_conditions(model, data):
-    segment = Segment(model).only("ouvreur_mimi", "criteo").not_unsubscribed("sho")
+    segment = Segment(model).only("ouvreur", "criteo").not_unsubscribed("sho")
     gone = ids(data, "optin_desabo", 1, "optin_list", ["sho"])
     expected = (ids(data, "base_ouvreur") & ids(data, "log_criteo")) - gone
     assert contact_ids(segment.contacts()) == expected

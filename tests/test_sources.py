@@ -24,7 +24,7 @@ def parsed(spark, *given):
 def test_parse_names(spark):
     idm = "6_IDM_Nov2009_[mail,civilite,prenom]_56k.csv"
     broker = "999_ExportRegie_2015-11-19_[mail]_[regie:ads]_false_F_3k.csv"
-    sub, exp = "31-2_x_[mail].csv", "EXP-PCP_x_2014_[nom, mail]_[ouvreur]_t.csv"
+    sub, exp = "31-2_x_[mail].csv", "EXP-ABC_x_2014_[nom, mail]_[ouvreur]_t.csv"
     got = parsed(spark, idm, broker, sub, exp, "7X_y_[mail].csv", "OK_1_[mail].csv", "plain.csv")
     assert (got[idm].number, got[idm].header, got[idm].statuses) == (6.0, ["mail", "civilite", "prenom"], [])
     assert got[idm].thousands == 56
@@ -37,13 +37,13 @@ def test_parse_names(spark):
 
 def test_order_and_choice_of_files(spark, tmp_path):
     folder = write(tmp_path / "in", {
-        "10_b_[mail].csv": "x\n", "9_a_[mail,nom].csv": "x\n", "EXP-PCP_x_[mail]_[ouvreur].csv": "x\n",
+        "10_b_[mail].csv": "x\n", "9_a_[mail,nom].csv": "x\n", "EXP-ABC_x_[mail]_[ouvreur].csv": "x\n",
         "10_a_[mail,port].csv": "x\n", "OK_1_x_[mail].csv": "x\n", "PB_2_x_[mail].csv": "x\n",
     })
     (tmp_path / "in" / "deeper").mkdir()
     files = names.order_files(names.list_files(spark, folder))
     got = [r.name for r in files.orderBy("place").collect()]
-    assert got == ["9_a_[mail,nom].csv", "10_a_[mail,port].csv", "10_b_[mail].csv", "EXP-PCP_x_[mail]_[ouvreur].csv"]
+    assert got == ["9_a_[mail,nom].csv", "10_a_[mail,port].csv", "10_b_[mail].csv", "EXP-ABC_x_[mail]_[ouvreur].csv"]
     assert [r.name for r in names.with_any_column(files, ["nom", "prenom"]).collect()] == [got[0]]
     assert [r.name for r in names.with_status(files, "ouvreur").collect()] == [got[3]]
 
