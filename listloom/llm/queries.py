@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import decontaminate, mixing, quality, secrets
+from listloom.llm import decontaminate, licenses, mixing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The standing tokenizer; it is installed beside the libraries of every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_report(_table(spark, folder, "documents"))
 
 
+def op4_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_report(_table(spark, folder, "documents"), vocabulary())
+
+
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_report(_table(spark, folder, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -32,7 +47,7 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op6_decontamination, op7_quality, op8_secrets)
+    f.__name__: f for f in (op1_mixing, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
