@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import decontaminate, licenses, mixing, quality, secrets, tokens
+from listloom.llm import decontaminate, jaccard, licenses, mixing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +46,17 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_report(_table(spark, folder, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets)
+    f.__name__: f for f in (op1_mixing, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets, op10_jaccard)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SPACED_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
 ORACLE: dict[str, str] = {
     "op6_decontamination": rf"""
@@ -72,5 +77,19 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
+""",
+    "op10_jaccard": rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_SPACED_WORDS} AS w FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[i : i + 3], ' ') AS sh
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+reach(x, y) AS (SELECT rid, rid FROM d UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
+m AS (SELECT x, min(doc_id) AS component_id FROM reach JOIN d ON y = rid GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (rid) JOIN m ON m.x = d.rid
 """,
 }
