@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import decontaminate, jaccard, licenses, mixing, quality, secrets, tokens
+from listloom.llm import decontaminate, jaccard, licenses, mixing, pages, quality, secrets, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_report(_table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op4_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_report(_table(spark, folder, "documents"), vocabulary())
 
@@ -46,12 +50,19 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_report(_table(spark, folder, "documents"))
 
 
+def op9_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.pages_report(_table(spark, folder, "pages"))
+
+
 def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_report(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets, op10_jaccard)
+    f.__name__: f for f in (
+        op1_mixing, op3_toxicity, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets, op9_pages,
+        op10_jaccard,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
