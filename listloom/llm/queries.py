@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import decontaminate, jaccard, licenses, mixing, pages, quality, secrets, tokens, toxicity
+from listloom.llm import decontaminate, jaccard, licenses, mixing, pages, quality, secrets, suffixes, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_report(_table(spark, folder, "documents"))
 
 
+def op2_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.passages_report(_table(spark, folder, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -60,8 +64,8 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_mixing, op3_toxicity, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets, op9_pages,
-        op10_jaccard,
+        op1_mixing, op2_passages, op3_toxicity, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets,
+        op9_pages, op10_jaccard,
     )
 }
 
