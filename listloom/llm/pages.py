@@ -1,9 +1,8 @@
 """Main text of web pages: lines that a page shares with the nearest page of its host are no text of its own.
 
 Each page is cut into lines, one for each block of its markup. Pages are put in order of
-host and URL path, and each one is paired with the page before it on its host (the first of
-a host with the one after it): the nearest URL. The lines of a pair are aligned
-by their longest common subsequence, and lines in it are shared and deleted.
+host and URL path, and each one is paired with the pages before and after it on its host: the nearest
+URLs. The lines of a pair are aligned by their longest common subsequence, and lines in it are shared and deleted.
 
 Two rules stand beside the comparison. Blocks that the markup itself names as no main text (menus, headers,
 footers, sidebars, adverts, forms, scripts, styles, notices, comments of readers)
@@ -223,8 +222,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            found.append(common(a, b) if b else [])
+        for own, *near in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            found.append(sorted({i for other in near if other for i in common(own, other)}))
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["page_id", "html_key", "shared"])
 
 
@@ -250,22 +249,20 @@ def path_of(url: Column) -> Column:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, html_key, shared): places of the lines that a page shares with its nearest page."""
+    """(page_id, html_key, shared): places of the lines that a page shares with a nearest page."""
     rows = pages.select(
         "page_id", F.xxhash64("url", "html").alias("html_key"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
         F.coalesce("html", F.lit("")).alias("html"),
     ).mapInArrow(_hashes, "page_id long, html_key long, host string, path string, lines array<long>")
     order = [F.col(c).asc_nulls_first() for c in ("host", "path", "page_id", "html_key")]
     placed = with_position(rows, order, "place")
-    near = placed.select(F.col("place").alias("near"), F.col("host").alias("near_host"), F.col("lines").alias("before"))
-    pairs = placed.join(near, F.col("place") - 1 == F.col("near"), "left")
-    after = near.select(F.col("near").alias("next"), F.col("near_host").alias("next_host"), F.col("before").alias("after"))
-    # Only the first page of a host needs the page after it.
-    has_before = F.coalesce(F.col("near_host") == F.col("host"), F.lit(False))
-    firsts = pairs.filter(~has_before).join(after, F.col("place") + 1 == F.col("next"), "left").select(
-        "page_id", "html_key", "lines", F.when(F.col("next_host") == F.col("host"), F.col("after")).alias("other")
+    step = lambda by, name: placed.select(
+        (F.col("place") + by).alias("place"), F.col("host").alias("near_host"), F.col("lines").alias(name)
     )
-    both = pairs.filter(has_before).select("page_id", "html_key", "lines", F.col("before").alias("other")).unionByName(firsts)
+    both = placed.select("page_id", "html_key", "host", "place", "lines")
+    for by, name in ((1, "before"), (-1, "after")):
+        both = both.join(step(by, name), "place", "left").withColumn(name, F.when(F.col("near_host") == F.col("host"), F.col(name))).drop("near_host")
+    both = both.select("page_id", "html_key", "lines", "before", "after")
     return both.mapInArrow(_shared, "page_id long, html_key long, shared array<int>")
 
 

@@ -14,7 +14,7 @@ them on average if there are more, picked by a hash. Labels, language, source an
 
 Cases: null and empty texts have no evidence and get the curve's value for none. Labels that are null or
 belong to no text are left out; of several labels of one id the largest counts. Without labels of both kinds
-no word has weight and scores are the share of toxic labels. Repeated rows each get the same score.
+no word has weight and all scores are the share of toxic labels, one quarter if there are none. Repeated rows each get the same score.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from listloom.llm.text import ship, text_of
 from listloom.session import frozen
@@ -61,6 +62,8 @@ _TABLE[128:] = OTHER
 WORDS = re.compile(r"[^\W\d_]+")
 APART = re.compile(r"\W*\w(?:[._\-*~]+\w){2,}\W*")
 DISGUISED = re.compile(r"(?=.*[^\W\d_])(?:.*[^\W_][@$!|+(*]+[^\W_]|.*[^\W\d_][013456789]+|.*[013456789@$]+[^\W\d_])")
+# Signs that are punctuation where they begin or end a word.
+EDGES = ".,;:?\"'()[]{}<>#%&*!|~^-_"
 RUN = re.compile(r"(.)\1\1")
 
 
@@ -152,9 +155,9 @@ class Restorer:
             if token.isalpha():
                 found = [decode(token, self.language)] if RUN.search(token) else [token.lower()]
             elif APART.fullmatch(token):
-                found = WORDS.findall(decode(token, self.language))
+                found = WORDS.findall(decode(token.strip(EDGES), self.language))
             else:
-                core = token.strip(".,;:?\"')]}<>#%&*!|~^")
+                core = token.strip(EDGES)
                 if RUN.search(core) or DISGUISED.match(core):
                     found = WORDS.findall(decode(core, self.language))
                 else:
@@ -315,7 +318,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             surprise = t * np.log(t / (share * (t + c))) + (c * np.log(c / ((1 - share) * (t + c))) if c else 0.0)
             if bound > 1.0 and surprise > SURPRISE:
                 weights[feature] = float(bound)
-    model = Model(language, weights, 0.0, float(np.log((n1 + 0.5) / (n0 + 0.5))))
+    model = Model(language, weights, 0.0, float(np.log((n1 + 0.5) / (n0 + 1.5))))
     if weights:
         labelled = rows.select("toxic", "text").mapInArrow(_evidence(model), "row int, evidence double").toArrow()
         model.slope, model.offset = fit_curve(labelled["evidence"].to_numpy(), labelled["row"].to_numpy())
@@ -330,7 +333,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return found.select(F.col("row").alias("doc_id"), value.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _verdicts(model: Model, schema: pa.Schema):
+def _verdicts(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
@@ -346,8 +349,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """The rows of ``docs``, all columns, that are not predicted toxic."""
     model = train(docs, labels, sample)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of().alias("_text_"))
-    kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(_verdicts(model, None), f"row {kind}").select("row.*")
+    return packed.mapInArrow(_verdicts(model), StructType([packed.schema["row"]])).select("row.*")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
