@@ -19,7 +19,7 @@ leaves no half or double file, and any store that Spark reaches will do. The who
 
 Texts are encoded piece by piece: a byte-level tokenizer never makes a token over a single
 space or line break between two other characters, so that what stands between them can be encoded
-once and kept. Texts where this does not hold, for a run of white space or
+once and kept, by each Python worker, for the texts to come. Texts where this does not hold, for a run of white space or
 an added token, are encoded whole.
 
 Cases: null and empty texts are the end id alone. A null doc_id sorts first. Documents with
@@ -28,14 +28,17 @@ equal ids follow each other in the order of their texts. An empty table writes n
 
 from __future__ import annotations
 
-import re
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +54,35 @@ BLOCK = 1 << 16
 FILE_IDS = 1 << 20
 MAGIC, VERSION = b"LLTK", 1
 _HEAD = "<4sIQQII"
-# Pieces kept by a task; a full table is emptied.
-KEPT = 400_000
+# Pieces that a worker keeps, twice: when so many are in use, those not used since the last turn are dropped.
+KEPT = 300_000
+# Texts that are encoded at once.
+TEXTS = 3000
 
 FILES = "part int, seq int, n_ids long, content binary"
 DOCS = "doc_id long, part int, seq int, begin long, n_tokens long, ids_crc32 long"
 
 
+# Texts whose white space is more than single spaces and line breaks between other characters.
+ODD = (
+    r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+    r"|[ \n][ \n]|^[ \n]|[ \n]$"
+)
+
+# Letters below this are letters to every version of Unicode.
+LATIN = "\u0250"
+
+
+def _byte_signs() -> dict[int, int]:
+    """The sign of each byte in a byte-level vocabulary: printable ones stand for themselves, the rest follow from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+BYTES = _byte_signs()
+
+
 class Encoder:
     """Encodes texts to the bytes of their ids (u32, little-endian)."""
 
@@ -76,51 +101,111 @@ class Encoder:
             and "use_regex=True" in kind
         )
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # White space on either side of a space or line break, or at an end of the text.
-        self.odd = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.line = self._encode(["\n"])[0] if self.by_piece else b""
+        self.line = self._encode(["\n"])[0]
+        # Pieces in use, and those of before the last turn.
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in done]
-
-    def _learn(self, kept: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = [p for p in pieces if p not in kept]
-        if len(kept) + len(new) > KEPT:
-            kept.clear()
-            new = list(pieces)
-        if new:
-            kept.update(zip(new, self._encode([before + p for p in new]), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        split, whole = [], []
-        for i, text in enumerate(texts):
-            if not text:
+        done = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(done), "<u4").tobytes()
+        ends = [4 * n for n in accumulate(map(len, done), initial=0)]
+        return [flat[a:b] for a, b in pairwise(ends)]
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one run of letters, with or without a space before it: the model's merges alone."""
+        mapped = word.replace(" ", "\u0120") if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+        ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that are not kept; one that begins with a line break has no space before it."""
+        new = self.new
+        others = []
+        for p in pieces:
+            if p[0] == "\n":
+                if p[1:].isalpha() and max(p) < LATIN:
+                    new[p] = self.line + self._word(p[1:])
+                    continue
+            elif p.isalpha() and max(p) < LATIN:
+                new[p] = self._word(" " + p)
                 continue
-            if not self.by_piece or self.odd.search(text) or any(a in text for a in self.added):
-                whole.append(i)
-            else:
-                split.append((i, [line.split(" ") for line in text.split("\n")]))
-        for i, done in zip(whole, self._encode([texts[i] for i in whole]), strict=True) if whole else ():
-            out[i] = done
-        firsts, laters = set(), set()
-        for _, lines in split:
-            for pieces in lines:
-                firsts.add(pieces[0])
-                laters.update(pieces[1:])
-        self._learn(self.first, firsts, "")
-        self._learn(self.later, laters, " ")
-        first, later = self.first, self.later
-        for i, lines in split:
-            out[i] = self.line.join(
-                first[pieces[0]] + b"".join([later[p] for p in pieces[1:]]) for pieces in lines
-            )
+            others.append(p)
+        for at in range(0, len(others), 20_000):
+            some = others[at : at + 20_000]
+            made = self._encode([p[1:] if p[0] == "\n" else " " + p for p in some])
+            new.update(zip(some, [self.line + ids if p[0] == "\n" else ids for p, ids in zip(some, made, strict=True)], strict=True))
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        new, old = self.new, self.old
+
+        def known(p: str) -> bool:
+            if p in new:
+                return True
+            if p in old:
+                new[p] = old[p]
+                return True
+            return False
+
+        missing = [p for p in pieces if not known(p)]
+        # No token spans a letter and the punctuation after it.
+        ends = [(p, p.rstrip(".,;:!?")) for p in missing]
+        ends = [(p, core) for p, core in ends if p is not core and len(core) > 1 and core[-1].isalnum()]
+        apart = {p for p, _ in ends}
+        cores = {core for _, core in ends if not known(core)}
+        self._learn(list(cores.union(p for p in missing if p not in apart)))
+        for p, core in ends:
+            tail = p[len(core) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._encode([tail])[0]
+            new[p] = new[core] + self.tails[tail]
+        found = [new[p] for p in pieces]
+        if len(new) > KEPT:
+            self.old, self.new = new, {}
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        odd = pc.match_substring_regex(texts, ODD)
+        for a in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, a))
+        odd = odd.to_numpy(zero_copy_only=False) if self.by_piece else np.ones(len(texts), bool)
+        out: list[bytes] = [b""] * len(texts)
+        whole = np.flatnonzero(odd).tolist()
+        if whole:
+            for i, ids in zip(whole, self._encode(texts.take(pa.array(whole)).to_pylist()), strict=True):
+                out[i] = ids
+        split = np.flatnonzero(~odd)
+        if len(split):
+            # Every line begins with its break, the first one too, and is cut at spaces.
+            marked = pc.replace_substring(texts.take(pa.array(split)), "\n", " \n")
+            cut = pc.split_pattern(pc.binary_join_element_wise("\n", marked, ""), " ")
+            if pa.types.is_large_list(cut.type):
+                cut = cut.cast(pa.list_(pa.string()))
+            coded = cut.flatten().dictionary_encode()
+            made = self._pieces(coded.dictionary.to_pylist())
+            flat = np.frombuffer(b"".join(made), "<u4")
+            sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+            starts = np.cumsum(sizes) - sizes
+            at = coded.indices.to_numpy()
+            n = sizes[at]
+            ends = np.cumsum(n)
+            ids = flat[np.repeat(starts[at] - (ends - n), n) + np.arange(ends[-1])]
+            bounds = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+            for i, a, b in zip(split.tolist(), bounds[:-1], bounds[1:], strict=True):
+                out[i] = ids[a + len(self.line) // 4 : b].tobytes()  # without the first break
         return out
 
 
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python worker; tasks that run in it one after another share what it has learned."""
+    kept = sys.modules.setdefault("listloom_worker", ModuleType("listloom_worker"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.encoder = path, Encoder(path)
+    return kept.encoder
+
+
 def pack(doc_ids: list[int | None], docs: list[bytes]) -> bytes:
     """One file of whole documents."""
     ids = np.frombuffer(b"".join(docs), dtype="<u4")
@@ -167,7 +252,7 @@ def unpack(content: bytes) -> tuple[list[int | None], np.ndarray, Iterator[np.nd
 
 def _write_part(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), struct.pack("<I", end_id)
+        encoder, end = encoder_of(path), struct.pack("<I", end_id)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         docs: list[bytes] = []
@@ -181,9 +266,9 @@ def _write_part(path: str, end_id: int):
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                texts = encoder.encode(some.column(1).to_pylist())
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
+                texts = encoder.encode(some.column(1))
                 for doc_id, done in zip(some.column(0).to_pylist(), texts, strict=True):
                     ids.append(doc_id)
                     docs.append(done + end)
