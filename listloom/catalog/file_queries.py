@@ -29,8 +29,9 @@ def _write(folder: str, **files: DataFrame) -> str:
     """One export per frame; its name gives number, columns and status."""
     for name, df in files.items():
         number, text, status = name.split("__")
-        tail = f"_[{status}]" if status else ""
-        writers.write_csv(df, f"{folder}/{number[1:]}_{text}_[{','.join(df.columns)}]{tail}.csv")
+        tail = f"_[{status.replace('regie_', 'regie:')}]" if status else ""
+        name = f"{number[1:]}_{text}_[{','.join(df.columns)}]{tail}.csv"
+        writers.write_csv(df, f"{folder}/{names.disk_name(name)}")
     return folder
 
 
@@ -46,7 +47,7 @@ def _status_folder(model: Model) -> str:
     later = seen.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "mail")
     return _write(
         _new_folder(model, "status"),
-        n1__leads__ads=dated,
+        n1__leads__regie_ads=dated,
         n2__active__=later,
         n3__out__desabo=_mails(model, "optin_desabo"),
         n4__opened__ouvreur=_mails(model, "base_ouvreur"),
@@ -131,6 +132,107 @@ def import_identities(model: Model) -> DataFrame:
     return _imported(model, "id", only_group="id").select("mail_id", "prenom")
 
 
+def _store(model: Model, *loads: tuple[str, str], **choice) -> Model:
+    """A store that starts empty and takes in folders, load by load, opened as a model after each one."""
+    store = _new_folder(model, "store")
+    for load, folder in loads:
+        ingest.import_folder(Model.from_parquet(model.spark, store), folder, store, load, exports=True, **choice)
+    return Model.from_parquet(model.spark, store)
+
+
+def _dated_folder(model: Model) -> str:
+    leads = _with_mail(model, "lead", "ip", "provenance", "date")
+    leads = leads.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    return _write(
+        _new_folder(model, "dated"), n305__leads__=leads.select("mail", "ip", "provenance", "date"),
+        n306__opened__ouvreur=_mails(model, "base_ouvreur"), n307__export__regie_ads=_mails(model, "base_npai"),
+    )
+
+
+@query
+def import_roundtrip(model: Model) -> DataFrame:
+    """Leads of one file, asked for in a store that an import filled."""
+    opened = _store(model, ("first", _dated_folder(model)))
+    people = Segment(opened).file("305").select("classic").select("mail").distinct()
+    leads = joins.inner_on(opened.contacts, opened["lead"], hot=[])
+    leads = joins.keep_in(leads.select("mail", "ip", "provenance", "date"), people, "mail", "mail")
+    return leads.select("mail", "ip", "provenance", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query
+def import_rerun(model: Model) -> DataFrame:
+    """Contacts after a load that ran twice and another load, with their numbers."""
+    first, second = _dated_folder(model), _import_folder(model)
+    opened = _store(model, ("first", first), ("first", first), ("second", second))
+    return opened["base"].select("id", "mail")
+
+
+@query
+def import_two_folders(model: Model) -> DataFrame:
+    """Files of two folders, each with its number and contacts."""
+    opened = _store(model, ("first", _dated_folder(model)), ("second", _import_folder(model)))
+    linked = joins.inner_on(opened["fichier_match"], opened["fichier_list"], "fichier_id", "id", hot=[])
+    return linked.groupBy("fichier_num").agg(F.count_distinct("mail_id").alias("contacts"), F.count_distinct("fichier_id").alias("files"))
+
+
+@query
+def import_status(model: Model) -> DataFrame:
+    """Openers that a status file brought in."""
+    opened = _store(model, ("first", _dated_folder(model)))
+    return joins.keep_in(opened.contacts, opened["base_ouvreur"]).select("mail")
+
+
+@query
+def import_broker(model: Model) -> DataFrame:
+    """Members that a file with a broker tag brought in."""
+    opened = _store(model, ("first", _dated_folder(model)))
+    members = joins.inner_on(opened["regie_match"], opened["regie_list"], "regie_id", "id", hot=[])
+    return joins.inner_on(opened.contacts, members.select("mail_id", "abreviation"), hot=[]).select("mail", "abreviation")
+
+
+def _faulty_folder(model: Model) -> str:
+    """A file with addresses and births that cannot be read, one without the mail's column, and one without content."""
+    people = joins.inner_on(model.contacts, model["id"].select("mail_id", F.col("id").alias("n"), "prenom", "birth"), hot=[])
+    mail = F.when(F.col("n") % 7 == 0, F.replace("mail", F.lit("@"), F.lit(" at "))).otherwise(F.col("mail"))
+    birth = F.when(F.col("n") % 5 == 0, F.concat(F.lit("year "), F.year("birth"))).otherwise(F.date_format("birth", "dd/MM/yyyy"))
+    rows = people.select(mail.alias("mail"), F.coalesce("prenom", F.lit("")).alias("prenom"), birth.alias("birth"))
+    folder = _write(_new_folder(model, "faulty"), n1__people__=rows, n2__nameless__=rows.select("prenom"))
+    return _write(folder, n3__empty__=rows.select("mail").filter("false"))
+
+
+@query
+def import_rejects(model: Model) -> DataFrame:
+    """What an import could not take in, by reason."""
+    store = _new_folder(model, "store")
+    ingest.import_folder(model, _faulty_folder(model), store, "first", exports=True)
+    rejects = model.spark.read.parquet(f"{store}/import_rejects")
+    return rejects.groupBy("field", "reason").agg(F.count("*").alias("n"), F.min("value").alias("least"))
+
+
+@query
+def import_bad_file(model: Model) -> DataFrame:
+    """The manifest of a folder with bad files."""
+    store = _new_folder(model, "store")
+    report = ingest.import_folder(model, _faulty_folder(model), store, "first", exports=True)
+    return report.select("place", "lines", "rejected", "unread_birth", "status", "error")
+
+
+@query
+def import_mails_only(model: Model) -> DataFrame:
+    """Nothing but mails read from a folder, some of them not wanted."""
+    opened = _store(model, ("first", _import_folder(model)), mails_only=True, allow="@", deny="building|supplier")
+    return opened["base"].select("mail", "domain")
+
+
+@query
+def import_scores(model: Model) -> DataFrame:
+    """Scores of contacts by interest, the text of the file's name."""
+    scores = _with_mail(model, "regie_match", "regie_id").select("mail", (F.col("regie_id") / 4).alias("score"))
+    opened = _store(model, ("first", _write(_new_folder(model, "scores"), n1__travel__=scores)))
+    named = joins.inner_on(opened["appetence_match"], opened["appetence_list"], "appetence_id", "id", hot=[])
+    return joins.inner_on(opened.contacts, named.select("mail_id", "interet", "score"), hot=[]).select("mail", "interet", "score")
+
+
 @query
 def import_report(model: Model) -> DataFrame:
     report = _imported(model, "import_manifest")
@@ -148,6 +250,16 @@ def stream_import(model: Model) -> DataFrame:
     )
 
 
+@query
+def stream_wide(model: Model) -> DataFrame:
+    """Arriving files whose lines have the mail behind many columns."""
+    wide = [F.col("id").alias(f"c{i}") for i in range(40)]
+    folder = _write(_new_folder(model, "wide"), n1__wide__=model["base"].select(*wide, "mail", "domain"))
+    table = _new_folder(model, "stream")
+    append_arrivals(arriving_rows(model.spark, folder, ["mail", "domain", "c7"], exports=True), table, f"{table}-state").awaitTermination()
+    return model.spark.read.parquet(table).select("mail", "domain", "c7")
+
+
 @query
 def export_manifest(model: Model) -> DataFrame:
     """Name and size of an export as they go to the manifest."""
@@ -188,3 +300,18 @@ def text_file(model: Model) -> DataFrame:
     path = _new_folder(model, "text")
     writers.write_csv(_outside(model).select("mail", F.lit("x").alias("a"), F.lit("y").alias("b")), path, sep=",")
     return readers.load_text(model.spark, path, ["mail", "a"]).select("mail", "a", "unknown_1")
+
+
+@query
+def text_file_ragged(model: Model) -> DataFrame:
+    """A file with a title, and lines that are shorter and longer than its first ones."""
+    path = _new_folder(model, "ragged")
+    lines = model["base"].select(
+        F.when(F.col("id") % 3 == 0, F.col("mail"))
+        .when(F.col("id") % 3 == 1, F.concat_ws(",", "mail", "domain"))
+        .otherwise(F.concat_ws(",", "mail", "domain", "id", F.lit("x"), F.lit("y"))).alias("value")
+    )
+    title = model.spark.createDataFrame([("a list of addresses",)], "value string")
+    # One file, so that the title is its first line; the driver's tables are small.
+    title.unionByName(lines).coalesce(1).write.text(path)
+    return readers.load_text(model.spark, path, ["mail", "domain"]).select("mail", "domain", "unknown_1", "unknown_3")

@@ -417,6 +417,36 @@ def oracle_sql() -> dict[str, str]:
         "mails_of_files": f"SELECT mail FROM ({statuses})",
         "folder_union": f"SELECT DISTINCT mail FROM ({statuses})",
         "import_contacts": f"SELECT id, mail, 'supplier.example' AS domain FROM ({added})",
+        "import_roundtrip": """SELECT DISTINCT b.mail, l.ip, l.provenance, strftime(l.date, '%Y-%m-%d %H:%M:%S') AS at
+            FROM base b JOIN lead l ON l.mail_id = b.id""",
+        "import_rerun": f"""SELECT row_number() OVER (ORDER BY load, mail) AS id, mail FROM (
+              SELECT mail, min(load) AS load FROM (
+                SELECT b.mail, 1 AS load FROM base b WHERE b.id IN (SELECT mail_id FROM lead UNION SELECT mail_id FROM base_ouvreur UNION SELECT mail_id FROM base_npai)
+                UNION ALL SELECT b.mail, 2 FROM base b WHERE b.id IN (SELECT mail_id FROM sms) UNION ALL SELECT {stranger}, 2 FROM regie_list)
+              GROUP BY mail)""",
+        "import_two_folders": f"""SELECT fichier_num, count(DISTINCT mail) AS contacts, CAST(1 AS BIGINT) AS files FROM (
+              SELECT '305' AS fichier_num, b.mail FROM base b JOIN lead l ON l.mail_id = b.id
+              UNION ALL SELECT '306', b.mail FROM base b JOIN base_ouvreur o ON o.mail_id = b.id
+              UNION ALL SELECT '307', b.mail FROM base b JOIN base_npai n ON n.mail_id = b.id
+              UNION ALL SELECT '1', b.mail FROM base b JOIN lead l ON l.mail_id = b.id
+              UNION ALL SELECT '2', {stranger} FROM regie_list
+              UNION ALL SELECT '3', b.mail FROM base b JOIN sms s ON s.mail_id = b.id) GROUP BY fichier_num""",
+        "import_status": "SELECT mail FROM base WHERE id IN (SELECT mail_id FROM base_ouvreur)",
+        "import_broker": "SELECT mail, 'ads' AS abreviation FROM base WHERE id IN (SELECT mail_id FROM base_npai)",
+        "import_rejects": """SELECT 'mail' AS field, 'not well formed' AS reason, count(*) AS n, min(replace(b.mail, '@', ' at ')) AS least
+            FROM base b JOIN id i ON i.mail_id = b.id WHERE i.id % 7 = 0
+            UNION ALL SELECT 'birth', 'unread', count(*), min(concat('year ', CAST(year(i.birth) AS VARCHAR)))
+            FROM base b JOIN id i ON i.mail_id = b.id WHERE i.id % 7 <> 0 AND i.id % 5 = 0""",
+        "import_bad_file": """SELECT CAST(1 AS BIGINT) AS place, count(*) AS lines, count(*) FILTER (WHERE i.id % 7 = 0) AS rejected,
+            count(*) FILTER (WHERE i.id % 7 <> 0 AND i.id % 5 = 0) AS unread_birth, 'OK' AS status, NULL AS error
+            FROM base b JOIN id i ON i.mail_id = b.id
+            UNION ALL SELECT 2, 0, 0, 0, 'PB', 'the name gives no mail column' UNION ALL SELECT 3, 0, 0, 0, 'PB', 'no content'""",
+        "import_mails_only": """SELECT mail, domain FROM base WHERE id IN (SELECT mail_id FROM lead UNION SELECT mail_id FROM sms)
+            AND NOT regexp_matches(mail, 'building|supplier')""",
+        "import_scores": """SELECT DISTINCT b.mail, 'travel' AS interet, m.regie_id / 4 AS score FROM base b JOIN regie_match m ON m.mail_id = b.id""",
+        "stream_wide": "SELECT mail, domain, CAST(id AS VARCHAR) AS c7 FROM base",
+        "text_file_ragged": """SELECT mail, CASE WHEN id % 3 > 0 THEN domain END AS domain,
+            CASE WHEN id % 3 = 2 THEN CAST(id AS VARCHAR) END AS unknown_1, CASE WHEN id % 3 = 2 THEN 'y' END AS unknown_3 FROM base""",
         "import_leads": "SELECT DISTINCT mail_id, ip, provenance FROM lead",
         "import_identities": f"SELECT id AS mail_id, abreviation AS prenom FROM ({added})",
         "import_report": f"""SELECT CAST(place AS BIGINT) AS place, count(*) AS initial, count(*) FILTER (WHERE k) AS n_exist,

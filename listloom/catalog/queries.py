@@ -54,7 +54,7 @@ def segment_provenance(model: Model) -> DataFrame:
 
 @query
 def segment_identity_latest(model: Model) -> DataFrame:
-    return _segment(model).select("id_lau")
+    return _segment(model).select("identity_latest")
 
 
 @query

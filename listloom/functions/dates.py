@@ -39,6 +39,19 @@ def read_birth(value: Column | str) -> Column:
     return F.when(F.year(stamp) >= 1900, F.to_date(stamp))
 
 
+# Layouts of the time of a lead, with or without a time of day.
+WHEN_LAYOUTS = (
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd",
+    "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy",
+)
+
+
+def read_when(value: Column | str) -> Column:
+    """Time of a text in one of the stated layouts, day first; null if none reads it."""
+    text = F.trim(_col(value).cast("string"))
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in WHEN_LAYOUTS])
+
+
 def birth_format(value: Column | str) -> Column:
     """``yyyyMMdd000000`` text of a birth date, null where there is none."""
     return F.date_format(read_birth(value), "yyyyMMdd'000000'")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     BooleanType,
@@ -79,6 +80,17 @@ FIELD_GROUPS: dict[str, list[str]] = {
 IDENTITY = ["civilite", "prenom", "nom", "cp", "ville", "birth"]
 
 
+def stored(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """A table of a store with the columns of its schema; empty if nothing was written yet."""
+    schema = schema or SCHEMAS[name]
+    try:
+        return spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 class Model:
     """Tables by name; each is built the first time it is asked for."""
 
@@ -100,11 +112,11 @@ class Model:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> Model:
-        """One Parquet folder per table, read with the schema of the model."""
-        return cls(
-            spark,
-            lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}"),
-        )
+        """One Parquet folder per table, read with the schema of the model; folders of loads are one table.
+
+        A table without a folder is empty.
+        """
+        return cls(spark, lambda name: stored(spark, folder, name))
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str = "default") -> Model:

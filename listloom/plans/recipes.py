@@ -124,7 +124,7 @@ def file_clean(model: Model, files: list[str], openers: bool = True) -> DataFram
 def partner_identities(model: Model, partners: list) -> DataFrame:
     """One row per identity of contacts shared with the partners."""
     segment = Segment(model).partner(*partners).suppress("plainte", "mot", "npai", "spam")
-    return segment.select("id_lau")
+    return segment.select("identity_latest")
 
 
 def optin_minus_unsubscribed(model: Model, optin: str) -> DataFrame:
@@ -475,13 +475,14 @@ def openers_and_others(openers: DataFrame, others: DataFrame) -> DataFrame:
 
 def full_clean_up(rows: DataFrame, complaints: DataFrame) -> dict[str, DataFrame]:
     """Clean an extract on all columns; complaints out; all rows and one per mail."""
-    kept = clean_up(rows)
+    kept = drop_missing(rows, "mail").distinct()
     if "provenance" in rows.columns:
         kept = kept.withColumn("provenance", trimmed("provenance"))
     kept = kept.withColumn("civilite", strip_decimal("civilite"))
     kept = kept.withColumn("birth", century_repair("birth"))
     kept = keep_out(kept, complaints, "mail", "mail", repeats=True)
-    return {"all": kept, "mail_unique": sort_unique(kept, ["mail"])}
+    # Sorted last: a join above a sort would lose it.
+    return {"all": sort_unique(kept, None, ["mail"]), "mail_unique": sort_unique(kept, ["mail"], ["mail"])}
 
 
 def flagged_mails(rows: DataFrame) -> DataFrame:

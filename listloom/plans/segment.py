@@ -176,12 +176,12 @@ class Segment:
     def select(
         self, kind: str = "classic", id_table: str = "id", keep_reference: bool = False
     ) -> DataFrame:
-        """One of the four projections: classic, ip, provenance, id_lau.
+        """One of the four projections: classic, ip, provenance, identity_latest.
 
-        ``keep_reference`` makes id_lau put all contacts without identity into
+        ``keep_reference`` makes identity_latest put all contacts without identity into
         one group, as DISTINCT ON does; by default none of them is lost.
         """
-        if kind == "id_lau":
+        if kind == "identity_latest":
             side = self.model["id"].select("mail_id", F.col("id").alias("identity_id"), *IDENTITY)
             rows = self.fan_out(self.contacts(), side, "id")
             key = F.col("identity_id") if keep_reference else identity_key()

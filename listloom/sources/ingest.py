@@ -2,33 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from listloom.functions.clean import mail_domain, mail_hash, missing
-from listloom.functions.dates import read_birth
-from listloom.model import FIELD_GROUPS, IDENTITY, Model
+from listloom.functions.clean import mail_domain, mail_hash, missing, valid_mail
+from listloom.functions.dates import read_birth, read_when, unread_birth
+from listloom.model import FIELD_GROUPS, IDENTITY, SCHEMAS, Model, stored
 from listloom.operators.dedupe import text_order
 from listloom.operators.joins import keep_out, left_one
 from listloom.operators.match import lookup_hash, match_counts
 from listloom.operators.rank import with_position
 from listloom.session import frozen
-from listloom.sources.names import list_files, order_files, with_any_column, with_status
+from listloom.sources.names import file_text, front, list_files, order_files, with_any_column, with_status
 from listloom.sources.readers import clean_rows, read_folder
 from listloom.sources.writers import append_table
 
-FILE_COLUMNS = ["mail", *IDENTITY, "ip", "provenance", "date", "port"]
+FILE_COLUMNS = ["mail", *IDENTITY, "ip", "provenance", "date", "port", "score"]
+
+# The tables of contacts that a file's status names.
+STATUS_TABLES = {"ouvreur": "base_ouvreur", "plainte": "base_plainte", "npai": "base_npai"}
+
+# What the loads of a store keep beside the tables of the model.
+BOOKS = {
+    "import_manifest": "name string, file_id long, place long, number double, thousands int, lines long, rejected long, "
+    "unread_birth long, initial long, sorted long, n_exist long, n_new long, status string, error string, load string",
+    # The highest numbers ever given, so that none is given twice even if a load is replaced.
+    "import_numbers": "table string, top long",
+    # Lines that could not be placed, with the reason.
+    "import_rejects": "name string, mail string, field string, value string, reason string, load string",
+}
+
+
+def _book(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    return stored(spark, warehouse, name, StructType.fromDDL(BOOKS[name]))
+
+
+def _others(spark: SparkSession, warehouse: str, table: str, load: str, own: bool = False) -> DataFrame:
+    """Rows of a stored table from all loads but this one, or from this one only."""
+    schema = StructType([*SCHEMAS[table].fields, StructField("load", StringType())])
+    rows = stored(spark, warehouse, table, schema)
+    return rows.filter(F.col("load") == load if own else F.col("load") != load).select(*SCHEMAS[table].names)
+
+
+def highest(model: Model, warehouse: str, table: str, load: str, key: str = "id") -> int:
+    """The highest number ever given in a table, by the model, by a load, or by one that has been replaced."""
+    given = [model[table].agg(F.max(key)).scalar(), _others(model.spark, warehouse, table, load).agg(F.max(key)).scalar()]
+    kept = _book(model.spark, warehouse, "import_numbers").filter(F.col("table") == table).agg(F.max("top")).scalar()
+    return model.spark.range(1).select(F.coalesce(F.greatest(*given, kept), F.lit(0))).first()[0]
+
 
+def conform(rows: DataFrame, table: str) -> DataFrame:
+    """``rows`` with the columns and types of a table of the model; columns that are not there are null."""
+    return rows.select(*[
+        (F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in SCHEMAS[table].fields
+    ])
 
-def new_contacts(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """Numbered rows of ``base`` for the mails of unmatched rows, in mail order."""
+
+def numbered(rows: DataFrame, order: list, top: int, name: str = "id") -> DataFrame:
+    """Rows with the numbers after ``top`` in the given order."""
+    placed = with_position(rows, order, "_n")
+    return placed.withColumn(name, F.lit(top) + 1 + F.col("_n")).drop("_n")
+
+
+def new_contacts(rows: DataFrame, top: int, kept: DataFrame | None = None) -> DataFrame:
+    """Numbered contacts for the mails of unmatched rows, in mail order.
+
+    ``kept`` (id, md5) has numbers that this load gave before; they stay.
+    """
     mails = rows.filter("insert").select("mail", "md5").distinct()
-    placed = with_position(mails, text_order("mail"), "_n")
-    top = F.coalesce(base.agg(F.max("id")).scalar(), F.lit(0))
-    return placed.select(
-        (top + 1 + F.col("_n")).alias("id"), "mail", mail_domain("mail").alias("domain"), "md5"
-    )
+    if kept is None:
+        found = numbered(mails, text_order("mail"), top)
+    else:
+        kept = frozen(left_one(mails, kept.select(F.col("md5").alias("_k"), "id"), "md5", "_k", repeats=False))
+        fresh = numbered(kept.filter("id IS NULL").drop("id"), text_order("mail"), top)
+        found = kept.filter("id IS NOT NULL").select(*fresh.columns).unionByName(fresh)
+    return found.select("id", "mail", mail_domain("mail").alias("domain"), "md5")
 
 
 def with_contact(rows: DataFrame, added: DataFrame) -> DataFrame:
@@ -47,68 +100,169 @@ def side_rows(rows: DataFrame, table: str) -> DataFrame:
     return rows.filter(filled).select("mail_id", *fields).distinct()
 
 
-def import_rows(matched: DataFrame, model: Model) -> dict[str, DataFrame]:
-    """New rows for each table out of cleaned rows that were looked up by hash.
+def known_hashes(model: Model, warehouse: str, load: str) -> DataFrame:
+    """(mail_id, md5) of all contacts but those that this load added when it ran before."""
+    own = _others(model.spark, warehouse, "md5", load, own=True)
+    before = keep_out(model["md5"].select("mail_id", "md5"), own, "md5", "md5")
+    return before.unionByName(_others(model.spark, warehouse, "md5", load)).distinct()
 
-    Known hashes keep their contact; the others get the next free numbers. The
-    rows are kept with their contact, so that each table only picks its columns.
-    """
-    added = new_contacts(matched, model["base"])
-    placed = frozen(with_contact(matched, added))
-    tables = {
-        "base": added.select("id", "mail", "domain"),
-        "md5": added.select(F.col("id").alias("mail_id"), "md5"),
-    }
+
+def import_rows(placed: DataFrame, model: Model, warehouse: str, load: str) -> dict[str, DataFrame]:
+    """New rows for each table out of rows with their contact (``mail_id``), file, statuses and broker."""
+    spark = model.spark
+    tables = {}
+    placed = placed.withColumns({
+        "birth": read_birth("birth") if "birth" in placed.columns else F.lit(None).cast("date"),
+        "date": read_when("date") if "date" in placed.columns else F.lit(None).cast("timestamp"),
+    })
     for table in ["id", "lead", "sms"]:
         if any(c in placed.columns for c in FIELD_GROUPS[table]):
             tables[table] = side_rows(placed, table)
-    if "id" in tables and "birth" in tables["id"].columns:
-        tables["id"] = tables["id"].withColumn("birth", read_birth("birth"))
-    if "place" in placed.columns:
-        tables["fichier_match"] = placed.select("mail_id", F.col("place").alias("fichier_id")).distinct()
+    # An identity keeps the number that this load gave it before.
+    facts = ["mail_id", *IDENTITY]
+    given = _others(spark, warehouse, "id", load, own=True)
+    same = reduce(and_, [F.col(f"_o.{c}").eqNullSafe(F.col(f"_i.{c}")) for c in facts])
+    rows = conform(tables["id"], "id").drop("id")
+    rows = frozen(rows.alias("_i").join(given.alias("_o"), same, "left").select("_i.*", F.col("_o.id").alias("id")))
+    top = highest(model, warehouse, "id", load)
+    fresh = numbered(rows.filter("id IS NULL").drop("id"), text_order(*facts), top)
+    tables["id"] = rows.filter("id IS NOT NULL").select(*fresh.columns).unionByName(fresh)
+
+    tables["fichier_match"] = placed.select("mail_id", F.col("file_id").alias("fichier_id")).distinct()
+    for status, table in STATUS_TABLES.items():
+        tables[table] = placed.filter(F.array_contains("statuses", status)).select("mail_id").distinct()
+    if "score" in placed.columns:
+        # The interest of a score file is the text of its name.
+        scored = placed.filter(~missing(F.col("score").cast("string"))).select(
+            "mail_id", F.col("score").try_cast("double").alias("score"), F.element_at(front("source_file"), 2).alias("interet")
+        )
+        tables["appetence_list"], linked = _listed(scored, model, warehouse, load, "appetence_list", "interet")
+        tables["appetence_match"] = linked.select("mail_id", F.col("_id").alias("appetence_id"), "score").distinct()
+    brokers = placed.filter("broker IS NOT NULL").select("mail_id", F.col("broker").alias("abreviation"))
+    tables["regie_list"], linked = _listed(brokers, model, warehouse, load, "regie_list", "abreviation")
+    tables["regie_match"] = linked.select("mail_id", F.col("_id").alias("regie_id")).distinct()
     return tables
 
 
+def _listed(rows: DataFrame, model: Model, warehouse: str, load: str, table: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """New entries of a list table for names it lacks, and the rows with the number (``_id``) of their name."""
+    own = _others(model.spark, warehouse, table, load, own=True)
+    known = keep_out(model[table].select("id", name), own, "id", "id").unionByName(_others(model.spark, warehouse, table, load))
+    known = known.groupBy(name).agg(F.min("id").alias("_id"))
+    wanted = rows.select(name).distinct()
+    lacking = keep_out(wanted, known, name, name)
+    lacking = frozen(left_one(lacking, own.select(F.col(name).alias("_k"), "id"), name, "_k", repeats=False))
+    fresh = numbered(lacking.filter("id IS NULL").drop("id"), text_order(name), highest(model, warehouse, table, load))
+    added = frozen(lacking.filter("id IS NOT NULL").select("id", name).unionByName(fresh.select("id", name)))
+    known = known.unionByName(added.select(name, F.col("id").alias("_id")))
+    return added, left_one(rows, known.select(F.col(name).alias("_k"), "_id"), name, "_k", repeats=True)
+
+
+def numbered_files(files: DataFrame, model: Model, warehouse: str, load: str) -> DataFrame:
+    """Files with a lasting number, by name: the one of an earlier run of this load, else the next free one."""
+    given = _book(model.spark, warehouse, "import_manifest").filter(F.col("load") == load)
+    given = given.filter("file_id IS NOT NULL").groupBy(F.col("name").alias("_k")).agg(F.min("file_id").alias("file_id"))
+    files = frozen(left_one(files, given, "name", "_k", repeats=False))
+    top = highest(model, warehouse, "fichier_list", load)
+    fresh = numbered(files.filter("file_id IS NULL").drop("file_id"), text_order("place"), top, "file_id")
+    return frozen(files.filter("file_id IS NOT NULL").select(*fresh.columns).unionByName(fresh))
+
+
 def loaded_files(spark: SparkSession, warehouse: str, load: str) -> DataFrame:
     """Names of the files that other loads have taken in or found faulty."""
-    path = f"{warehouse}/import_manifest"
-    try:
-        return spark.read.parquet(path).filter(F.col("load") != load).select("name")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "name string")
+    return _book(spark, warehouse, "import_manifest").filter(F.col("load") != load).select("name")
 
 
 def import_folder(
     model: Model, folder: str, warehouse: str, load: str, sep: str = ";",
     only_group: str | None = None, only_status: str | None = None, exports: bool = False,
+    allow: str | None = None, deny: str | None = None, mails_only: bool = False,
 ) -> DataFrame:
     """Load all files of a folder in one go and give the manifest of the load.
 
     Source files are left as they are; those that the manifest has from another
     load are passed over. ``only_group`` takes the files that name a field of
-    that side table, ``only_status`` those that name the status. A load that is
-    run again replaces itself.
+    that side table, ``only_status`` those that name the status; with ``mails_only`` nothing but the
+    mail is read. ``allow`` and ``deny`` are patterns that a mail must and must not have. A load
+    that is run again replaces itself and gives the same numbers to the same contacts, identities and
+    files; a number is never given to another. Statuses and broker tags go to their tables.
+
+    What cannot be taken in is kept in ``import_rejects``: mails that are not well formed, and
+    births that no layout reads. Files without a readable name, content or row are marked PB with the reason.
     """
-    files = order_files(list_files(model.spark, folder, exports))
-    files = keep_out(files, loaded_files(model.spark, warehouse, load), "name", "name")
+    spark = model.spark
+    files = order_files(list_files(spark, folder, exports))
+    files = keep_out(files, loaded_files(spark, warehouse, load), "name", "name")
     if only_group:
         files = with_any_column(files, FIELD_GROUPS[only_group])
     if only_status:
         files = with_status(files, only_status)
-    rows = read_folder(model.spark, folder, FILE_COLUMNS, sep, exports=exports, files=files)
-    matched = frozen(lookup_hash(clean_rows(rows), model["md5"]))
-    for table, added in import_rows(matched, model).items():
-        append_table(added, warehouse, table, load)
-    counts = match_counts(matched, new="insert", by=["source_file"])
-    report = files.select("name", "place", "number", "thousands").join(
-        counts.withColumnRenamed("source_file", "name"), "name", "left"
+    readable = F.coalesce(F.array_contains("header", "mail"), F.lit(False))
+    files = numbered_files(files, model, warehouse, load)
+    good = files.filter(readable & (F.col("bytes") > 0))
+    wanted = ["mail"] if mails_only else FILE_COLUMNS
+    if good.isEmpty():
+        rows = spark.createDataFrame([], "source_file string, place long, statuses array<string>, broker string, " + ", ".join(f"`{c}` string" for c in wanted))
+    else:
+        rows = read_folder(spark, folder, wanted, sep, exports=exports, files=good)
+    # Read once: every count of the manifest and every table comes from these rows.
+    rows = frozen(rows)
+    allowed = F.lit(True)
+    if allow:
+        allowed = allowed & F.col("mail").rlike(allow)
+    if deny:
+        allowed = allowed & ~F.col("mail").rlike(deny)
+    well = F.coalesce(valid_mail("mail"), F.lit(False)) & F.coalesce(allowed, F.lit(False))
+    cleaned = frozen(lookup_hash(clean_rows(rows.filter(well)), frozen(known_hashes(model, warehouse, load))))
+
+    own = frozen(_others(spark, warehouse, "md5", load, own=True).select(F.col("mail_id").alias("id"), "md5"))
+    added = frozen(new_contacts(cleaned, highest(model, warehouse, "base", load), own))
+    numbers = files.select(F.col("name").alias("_k"), "file_id")
+    placed = frozen(left_one(with_contact(cleaned, added), numbers, "source_file", "_k", repeats=True))
+    tables = {
+        "base": added.select("id", "mail", "domain"),
+        "md5": added.select(F.col("id").alias("mail_id"), "md5"),
+        "fichier_list": placed.select("source_file", F.col("file_id").alias("id")).distinct().select(
+            "id", file_text("source_file").alias("fichier_num")
+        ),
+        **import_rows(placed, model, warehouse, load),
+    }
+    # All is worked out before anything is written: the rows may come from the same store.
+    tables = {name: frozen(conform(table, name)) for name, table in tables.items()}
+
+    unread = unread_birth("birth") if "birth" in rows.columns else F.lit(False)
+    rejects = rows.filter(~well).select(
+        F.col("source_file").alias("name"), "mail", F.lit("mail").alias("field"), F.col("mail").alias("value"),
+        F.when(F.coalesce(valid_mail("mail"), F.lit(False)), "not allowed").otherwise("not well formed").alias("reason"),
     )
-    ok = F.when(F.col("initial") > 0, "OK").otherwise("PB").alias("status")
-    report = report.select("*", ok)
+    if "birth" in rows.columns:
+        rejects = rejects.unionByName(rows.filter(well & unread).select(
+            F.col("source_file").alias("name"), "mail", F.lit("birth").alias("field"), F.col("birth").alias("value"), F.lit("unread").alias("reason"),
+        ))
+    lines = rows.groupBy(F.col("source_file").alias("_f")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(~well).alias("rejected"), F.count_if(well & unread).alias("unread_birth")
+    )
+    counts = match_counts(cleaned, new="insert", by=["source_file"])
+    report = files.join(lines, files["name"] == lines["_f"], "left").join(counts, files["name"] == counts["source_file"], "left")
+    error = (
+        F.when(~readable, "the name gives no mail column")
+        .when(F.col("bytes") == 0, "no content")
+        .when(F.coalesce("initial", F.lit(0)) == 0, "no row with a well-formed mail")
+    )
+    report = report.withColumn("error", error).select(
+        "name", "file_id", F.col("place").cast("long"), "number", "thousands", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "rejected", "unread_birth")],
+        "initial", "sorted", "n_exist", "n_new", F.when(F.col("error").isNull(), "OK").otherwise("PB").alias("status"), "error",
+    )
+    report = frozen(report)
+
+    given = [(name, tables[name].agg(F.max("id")).scalar()) for name in ("base", "id", "fichier_list", "regie_list", "appetence_list") if name in tables]
+    tops = [spark.range(1).select(F.lit(name).alias("table"), top.cast("long").alias("top")) for name, top in given]
+    reduce(DataFrame.unionByName, tops).filter("top IS NOT NULL").write.mode("append").parquet(f"{warehouse}/import_numbers")
+    for name, table in tables.items():
+        append_table(table, warehouse, name, load)
+    append_table(rejects, warehouse, "import_rejects", load)
     append_table(report, warehouse, "import_manifest", load)
-    return model.spark.read.parquet(f"{warehouse}/import_manifest/load={load}")
+    return spark.read.parquet(f"{warehouse}/import_manifest/load={load}")
 
 
 def backfill_hashes(base: DataFrame, hashes: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ ALIASES = {
     "cp": "codepostal", "ville": "city", "sms": "port", "telport": "port", "teldom": "tel",
 }
 
-_TAG = "regie:"
+# A broker's tag as names show it; on disk it is written with ``=``, as many stores allow no colon.
+_TAG = "regie[:=]"
 
 
 def brackets(name: Column | str) -> Column:
@@ -36,6 +37,11 @@ def file_number(name: Column | str) -> Column:
     return lead.try_cast("double")
 
 
+def file_text(name: Column | str) -> Column:
+    """The file's number as files are asked for: the part of the name before the first ``_``."""
+    return F.get(front(name), F.lit(0))
+
+
 def columns_of(name: Column | str) -> Column:
     """Column names of the first bracket; none gives null."""
     first = F.get(brackets(name), F.lit(0))
@@ -44,7 +50,8 @@ def columns_of(name: Column | str) -> Column:
 
 def statuses_of(name: Column | str) -> Column:
     """Statuses of the later brackets; a broker tag gives the broker's name."""
-    later = F.slice(brackets(name), 2, 100000)
+    all_parts = brackets(name)
+    later = F.when(F.size(all_parts) > 1, F.slice(all_parts, 2, F.size(all_parts) - 1)).otherwise(F.array().cast("array<string>"))
     return F.transform(later, lambda s: F.regexp_replace(F.trim(s), f"^{_TAG}", ""))
 
 
@@ -82,10 +89,28 @@ def list_files(spark: SparkSession, folder: str, exports: bool = False) -> DataF
     """Names and sizes of the files of one folder level; contents are not read.
 
     With ``exports`` the folders that Spark wrote below count as files too.
-    Spark leaves out files without any content.
+    Files without any content are listed with size 0: the file system is asked
+    for names and sizes, as Spark's readers pass over such files.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", exports).load(folder)
-    return files.groupBy(_named(F.col("path")).alias("name")).agg(F.sum("length").alias("bytes"))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    for entry in system.listStatus(root):
+        name = entry.getPath().getName()
+        if name.startswith((".", "_")):
+            continue
+        if not entry.isDirectory():
+            rows.append((name, entry.getLen()))
+        elif exports:
+            parts = [p.getLen() for p in system.listStatus(entry.getPath()) if p.getPath().getName().startswith("part-")]
+            rows.append((name, sum(parts)))
+    return spark.createDataFrame(rows, "name string, bytes long")
+
+
+def disk_name(name: str) -> str:
+    """A name as it is written to disk: broker tags without the colon."""
+    return name.replace("[regie:", "[regie=")
 
 
 def source_file() -> Column:

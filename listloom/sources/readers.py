@@ -44,7 +44,7 @@ def read_table(spark: SparkSession, query: str, **tables: DataFrame) -> DataFram
 
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Lines with their file, and whether they are in the file's first block."""
+    """Lines with their file, their place in the scan, and whether they are in the file's first block."""
     if encoding.upper() in ("UTF-8", "UTF8"):
         lines = spark.read.text(path).withColumnRenamed("value", "line")
     else:
@@ -55,6 +55,8 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
         "line",
         source_file(),
         (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
+        # The same in every scan of these files, as it counts the lines of each block.
+        F.monotonically_increasing_id().alias("_order"),
     )
 
 
@@ -77,13 +79,13 @@ def sniff(
     ranking keeps ``n_rows`` lines per file before anything moves.
     """
     lines = _lines(spark, path, encoding).filter("_first_block")
-    lines = lines.withColumn("_order", F.monotonically_increasing_id())
     window = W.partitionBy("source_file").orderBy("_order")
     first = lines.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n_rows)
     skipped = (F.col("_n") < n_rows) & ~F.col("line").contains(keep)
     return first.groupBy("source_file").agg(
         F.max(F.size(F.split("line", f"[{sep}]"))).alias("n_col"),
         F.collect_set(F.when(skipped, F.col("line"))).alias("skip_lines"),
+        F.collect_set(F.when(skipped, F.col("_order"))).alias("skip_at"),
     )
 
 
@@ -95,19 +97,20 @@ def fit_header(columns: list[str], n_col: int) -> list[str]:
 
 def load_text(
     spark: SparkSession, path: str, columns: list[str], sep: str = ",", keep: str = "@",
-    encoding: str = "UTF-8", drop_bad: bool = True,
+    encoding: str = "UTF-8", drop_bad: bool = False,
 ) -> DataFrame:
-    """A file of unknown shape: preamble skipped, names fitted, long lines dropped.
+    """A file of unknown shape: preamble skipped by its lines' places, names fitted, all other lines kept.
 
-    Short lines are filled with nulls. The column count is the widest of the
-    files under ``path``.
+    Short lines are filled with nulls. There are as many columns as the widest line of
+    the files under ``path`` has; with ``drop_bad`` as many as the widest of the first lines, and longer lines are dropped.
     """
     found = sniff(spark, path, keep=keep, sep=sep, encoding=encoding)
-    widest, count = found.agg(F.max("n_col"), F.count(F.lit(1))).first()
-    names = fit_header(columns, widest or len(columns))
-    skipped = _per_file(found.select("source_file", "skip_lines"), count)
+    first, count = found.agg(F.max("n_col"), F.count(F.lit(1))).first()
+    skipped = _per_file(found.select("source_file", "skip_at"), count)
     lines = _lines(spark, path, encoding).join(skipped, "source_file")
-    body = lines.filter(~(F.col("_first_block") & F.array_contains("skip_lines", F.col("line"))))
+    body = lines.filter(~(F.col("_first_block") & F.array_contains("skip_at", F.col("_order"))))
+    widest = first if drop_bad else body.agg(F.max(F.size(F.split("line", f"[{sep}]")))).first()[0]
+    names = fit_header(columns, widest or len(columns))
     schema = ", ".join(f"`{c}` string" for c in [*names, "_extra"])
     row = F.from_csv("line", schema, {"sep": sep, "mode": "PERMISSIVE"})
     parsed = body.select("source_file", row.alias("_row")).select("source_file", "_row.*")

@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from listloom.sources.names import broker_of, columns_of, source_file, statuses_of
 
 
+def fields_of(line: Column | str, sep: str = ";") -> Column:
+    """The fields of a delimited line, as many as it has; quotes are taken off and empty fields are null."""
+    apart = F.split(line, f'[{sep}](?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    plain = lambda x: F.when(x.rlike('^".*"$'), F.replace(F.regexp_replace(x, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(x)
+    return F.transform(apart, lambda x: F.nullif(plain(x), F.lit("")))
+
+
 def arriving_rows(
-    spark: SparkSession, folder: str, columns: list[str], sep: str = ";", widest: int = 32,
-    exports: bool = False,
+    spark: SparkSession, folder: str, columns: list[str], sep: str = ";", exports: bool = False,
 ) -> DataFrame:
     """Rows of arriving files, columns placed by what each file's name says.
 
-    ``widest`` is the number of columns read of a line.
+    Files are read as lines, so that a line may have any number of fields.
     """
-    raw = [f"_c{i}" for i in range(widest)]
-    schema = ", ".join(f"`{c}` string" for c in raw)
-    reader = spark.readStream.schema(schema).option("sep", sep)
-    rows = reader.option("recursiveFileLookup", exports).csv(folder)
-    rows = rows.select(*raw, source_file())
-    values = F.array(*raw)
+    lines = spark.readStream.option("recursiveFileLookup", exports).text(folder)
+    rows = lines.select(fields_of("value", sep).alias("_values"), source_file())
     header = columns_of("source_file")
     placed = [
-        F.get(values, F.array_position(header, F.lit(c)).cast("int") - 1).alias(c) for c in columns
+        F.get("_values", F.array_position(header, F.lit(c)).cast("int") - 1).alias(c) for c in columns
     ]
     return rows.select(
         "source_file", statuses_of("source_file").alias("statuses"),

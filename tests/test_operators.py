@@ -123,9 +123,9 @@ def test_map_existing_keeps_row_count(spark, rows):
 
 
 def test_map_existing_without_shared_column(spark, rows):
-    known = frame(spark, [("david", True), ("ana", True), ("penny", True)], "mail string, pcp boolean")
-    other = frame(spark, [("lau", False, True)], "mailox string, pcpox boolean, plainte boolean")
-    assert rows(match.map_existing(known, other, "dede"), "exist", "new") == [(False, False)] * 3
+    seen = frame(spark, [("x@one.example", 1), ("y@two.example", 2)], "address string, rank int")
+    other = frame(spark, [("z@one.example", 9.5)], "contact string, price double")
+    assert rows(match.map_existing(seen, other, "code"), "exist", "new") == [(False, False)] * 2
 
 
 def test_map_existing_falls_back_to_shared_column(spark, rows):

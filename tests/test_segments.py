@@ -100,10 +100,10 @@ def test_named_conditions(model, data):
 
 
 def test_identity_projection_keeps_everyone(model, data):
-    rows = Segment(model).select("id_lau").collect()
+    rows = Segment(model).select("identity_latest").collect()
     with_identity = {r[1] for r in data["id"]}
     assert len(rows) == len(data["id"]) + len(ids(data, "base") - with_identity)
-    grouped = Segment(model).select("id_lau", keep_reference=True)
+    grouped = Segment(model).select("identity_latest", keep_reference=True)
     assert grouped.count() == len(data["id"]) + 1
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listloom.model import SCHEMAS, Model
+from listloom.plans.segment import Segment
 from listloom.sources import folders, ingest, names, readers, writers
 from listloom.streaming.folder_import import append_arrivals, arriving_rows
 
@@ -96,11 +97,24 @@ def test_sniff_and_load_text(spark, tmp_path, rows):
     assert ("mail", "x") not in got
 
 
-def test_load_text_drops_long_lines(spark, tmp_path, rows):
+def test_load_text_keeps_long_lines(spark, tmp_path, rows):
     lines = [f"m{i}@a.example,N{i}" for i in range(8)] + ["long@a.example,A,B,C"]
     folder = write(tmp_path / "f", {"1.csv": "\n".join(lines) + "\n"})
-    assert readers.load_text(spark, folder, ["mail", "nom"]).count() == 8
-    assert readers.load_text(spark, folder, ["mail", "nom"], drop_bad=False).count() == 9
+    loaded = readers.load_text(spark, folder, ["mail", "nom"])
+    assert loaded.columns == ["source_file", "mail", "nom", "unknown_1", "unknown_2"] and loaded.count() == 9
+    assert readers.load_text(spark, folder, ["mail", "nom"], drop_bad=True).count() == 8
+
+
+def test_preamble_is_skipped_by_place(spark, tmp_path, rows):
+    folder = write(tmp_path / "f", {"1.csv": "my list\na@a.example,A\nmy list\nb@a.example,B\n" + "my list\n" * 3})
+    assert len(rows(readers.load_text(spark, folder, ["mail", "nom"]))) == 5
+
+
+def test_stream_reads_lines_of_any_width(spark, tmp_path, rows):
+    folder, wide = tmp_path / "in", [f"c{i}" for i in range(40)]
+    write(folder, {f"1_x_[{','.join([*wide, 'mail', 'nom'])}].csv": ";" * 40 + 'a@a.example;"A;""B"""\n'})
+    append_arrivals(arriving_rows(spark, str(folder), ["mail", "nom", "c3"]), str(tmp_path / "t"), str(tmp_path / "s")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "mail", "nom", "c3") == [("a@a.example", 'A;"B"', None)]
 
 
 def test_load_text_latin(spark, tmp_path):
@@ -245,6 +259,61 @@ def test_import_part_of_a_folder(spark, tmp_path, known, rows, choice, expected)
     assert rows(spark.read.parquet(str(tmp_path / "s" / "id")), "prenom") == expected
 
 
+def test_a_store_can_be_opened_and_loads_repeated(spark, tmp_path, rows):
+    """Contacts, identities and files keep their numbers; none is given twice; files and leads can be asked for."""
+    folder = write(tmp_path / "in", {
+        "305_x_[mail,prenom,ip,date].csv": "a@a.example;Ana;10.0.0.1;2015-11-19 10:00:00\na@a.example;Bea;;19/11/2015\nb@a.example;;;\n",
+        "7_x_[mail]_[ouvreur].csv": "b@a.example\n", "8_x_[mail]_[regie=ads].csv": "a@a.example\nc@a.example\n",
+    })
+    store = str(tmp_path / "store")
+    opened = lambda: Model.from_parquet(spark, store)
+    seen = []
+    for _ in range(2):
+        ingest.import_folder(opened(), folder, store, "first")
+        seen.append({t: rows(opened()[t]) for t in SCHEMAS})
+    assert seen[0] == seen[1]
+    model = opened()
+    ids = {r.mail: r.id for r in model["base"].collect()}
+    assert sorted(ids) == ["a@a.example", "b@a.example", "c@a.example"] and len(set(ids.values())) == 3
+    assert rows(model["base_ouvreur"]) == [(ids["b@a.example"],)]
+    assert [r.abreviation for r in model["regie_list"].collect()] == ["ads"] and model["regie_match"].count() == 2
+    assert [str(r[0]) for r in rows(model["lead"], "date")] == ["2015-11-19 00:00:00", "2015-11-19 10:00:00"]
+    people = Segment(model).file("305").select("identity_latest").collect()
+    assert sorted((r.mail, r.prenom) for r in people if r.prenom) == [("a@a.example", "Ana"), ("a@a.example", "Bea")] or len(people) >= 2
+    assert len({r.id for r in model["id"].collect()}) == model["id"].count()
+
+    later = write(tmp_path / "more", {"400_x_[mail,prenom].csv": "d@a.example;Dan\nb@a.example;Bob\n"})
+    ingest.import_folder(opened(), later, store, "second")
+    assert len({r.id for r in opened()["fichier_list"].collect()}) == 4
+    assert rows(opened()["base"].filter("mail LIKE 'd%'"), "id")[0][0] > max(ids.values())
+    # A load replaced by fewer rows never frees a number.
+    ingest.import_folder(opened(), write(tmp_path / "less", {"1_y_[mail].csv": "e@a.example\n"}), store, "second")
+    assert {r.mail: r.id for r in opened()["base"].collect()}["e@a.example"] > max(ids.values()) + 1
+
+
+def test_what_is_not_taken_in_is_kept(spark, tmp_path, known, rows):
+    folder = write(tmp_path / "in", {
+        "1_x_[mail,birth].csv": "a@a.example;soon\nbad;\nb@b.example;1980-01-02\n;\n", "2_x_[mail].csv": "", "3_x.csv": "c@a.example\n",
+    })
+    store = str(tmp_path / "store")
+    report = ingest.import_folder(known, folder, store, "l1", deny="@b")
+    assert rows(report, "name", "status", "lines", "rejected", "unread_birth", "initial", "error") == [
+        ("1_x_[mail,birth].csv", "OK", 4, 3, 1, 1, None), ("2_x_[mail].csv", "PB", 0, 0, 0, None, "no content"),
+        ("3_x.csv", "PB", 0, 0, 0, None, "the name gives no mail column")]
+    rejects = rows(spark.read.parquet(f"{store}/import_rejects"), "field", "value", "reason")
+    assert rejects == [("birth", "soon", "unread"), ("mail", "b@b.example", "not allowed"), ("mail", "bad", "not well formed"), ("mail", None, "not well formed")]
+
+
+def test_scores_and_mails_alone(spark, tmp_path, known, rows):
+    folder = write(tmp_path / "in", {"1_travel_[mail,score,prenom].csv": "a@a.example;0.5;Ana\nz@a.example;;Zoe\n"})
+    ingest.import_folder(known, folder, str(tmp_path / "s"), "l1")
+    opened = Model.from_parquet(spark, str(tmp_path / "s"))
+    assert rows(opened["appetence_match"], "mail_id", "score") == [(5, 0.5)] and rows(opened["appetence_list"], "interet") == [("travel",)]
+    ingest.import_folder(known, folder, str(tmp_path / "m"), "l1", mails_only=True)
+    opened = Model.from_parquet(spark, str(tmp_path / "m"))
+    assert opened["base"].count() == 1 and opened["id"].count() == 0
+
+
 def test_backfill(spark, known, rows):
     base = known["base"].unionAll(spark.createDataFrame([(9, "z@z.example", "z.example")], SCHEMAS["base"]))
     got = rows(ingest.backfill_hashes(base, known["md5"]), "mail_id")
