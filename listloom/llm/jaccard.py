@@ -12,12 +12,14 @@ would be as long as the number of texts that share a common passage.
 Where light ends is chosen by cost: from the number of sets of each size, the keys that subsets
 would make are weighed against the keys of parts, each of which is scanned.
 
-Lists are read in order; the members of a list are tied to its first one, and every such
-pair is verified by the sets themselves. Verified links are contracted into components. Pairs of one list that are still in
-different components are then verified as well, so that no link between components is lost;
-pairs inside one component are never made. Sets of equal shingles are one set from the start.
+Lists are read in order, and their members placed around the one of them that has most company: of copies with changes, the least
+changed one. Pairs whose sketches differ in more bits than linked sets may in elements are no links. Each other set is
+first verified, by the words of the texts, against one such centre; verified links are contracted into
+components. What is around one centre and still in another component is then compared as well, first with the centre, then with
+each other by sketches in blocks, so that no link between components is lost. Pairs inside one component are never made, and pairs become rows only if
+their sketches allow a link. Sets of equal shingles are one set from the start.
 
-Sets are compared by 64-bit hashes of their shingles and named by a 64-bit hash of all of them.
+Keys are 64-bit hashes, and a set is named by a 64-bit hash of its shingles' hashes.
 
 Cases: null and empty texts have an empty set, link with nothing, and are their own component. A text of fewer than
 four words is one shingle. Rows that repeat an id, or have none, are judged by their texts; a
@@ -26,6 +28,7 @@ component's id is its smallest id that is not null. An empty table gives no rows
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
@@ -50,6 +53,13 @@ SLACK = 2
 SCAN_COST = 4
 # Light sets are sought up to this size at most: beyond it, subsets are past all bounds.
 LIGHT_MOST = 40
+# Pairs of one star that are compared in one task.
+STAR = 2000
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Rows on each side that are compared at once.
+CELL_ROWS = 1024
+# Bits of a sketch.
+SKETCH = 4096
 # Bits of the filter that tells which sets may be in a pair.
 FILTER_BITS = 1 << 24
 
@@ -159,6 +169,16 @@ def part_keys(s: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """One bit for each hash slot: whether the set holds an odd number of elements there.
+
+    An element that is in one of two sets only flips one bit, so two sketches differ in no more bits than
+    the sets do in elements.
+    """
+    odd = np.bincount((_mix(s ^ _odd(12)) >> np.uint64(52)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def subset_keys(s: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(left out, keys) of a light set's subsets."""
     mixed = _mix(s ^ _odd(10))
@@ -171,59 +191,36 @@ def subset_keys(s: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def _thin(batches):
-    for batch in batches:
-        sets = [(len(s), set_name(s) if len(s) else None) for s in shingle_sets(batch, 1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array([n for n, _ in sets], pa.int64()), pa.array([c for _, c in sets], pa.int64())],
-            ["doc_id", "text_key", "n_shingles", "name"],
-        )
-
-
-def _keys(light: int):
-    def run(batches):
-        for batch in batches:
-            seen, keys, ranks, names = set(), [], [], []
-            for s in shingle_sets(batch, 0):
-                name = set_name(s) if len(s) else None
-                if name is None or name in seen:
-                    continue
-                seen.add(name)
-                made = [(a, k) for a, k in subset_keys(s)] if len(s) <= light else []
-                if is_heavy(len(s), light):
-                    made.append((0, part_keys(s)))
-                for rank, k in made:
-                    keys.append(k)
-                    ranks.append(np.full(len(k), rank, np.int32))
-                    names.append(np.full(len(k), name, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ranks)), pa.array(np.concatenate(names))],
-                    ["key", "rank", "member"],
-                )
-
-    return run
-
+def _signed(light: int):
+    """doc_id, text_key, n_shingles, name, and, for the first copy in a batch only, the set's keys, their ranks and its sketch."""
 
-def _sets(words: np.ndarray):
     def run(batches):
         for batch in batches:
-            names, sets = [], []
-            seen = set()
-            for s in shingle_sets(batch, 0):
+            sizes, names, keys, ranks, sketches = [], [], [], [], []
+            seen: set[int] = set()
+            for s in shingle_sets(batch, 2):
                 name = set_name(s) if len(s) else None
-                if name is None or name in seen:
-                    continue
-                slot = name % FILTER_BITS
-                if words[slot >> 6] >> np.uint64(slot & 63) & np.uint64(1):
+                sizes.append(len(s))
+                names.append(name)
+                made = []
+                if name is not None and name not in seen:
                     seen.add(name)
-                    names.append(name)
-                    sets.append(pa.array(s.view(np.int64)))
-            if names:
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.ListArray.from_arrays(offsets, pa.concat_arrays(sets))], ["name", "shingles"]
-                )
+                    made = subset_keys(s) if len(s) <= light else []
+                    if is_heavy(len(s), light):
+                        made.append((0, part_keys(s)))
+                    sketches.append(sketch_of(s))
+                else:
+                    sketches.append(np.zeros(0, np.int64))
+                keys.append(np.concatenate([k for _, k in made]) if made else np.zeros(0, np.uint64))
+                ranks.append(np.concatenate([np.full(len(k), r, np.int8) for r, k in made]) if made else np.zeros(0, np.int8))
+            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            bits = np.concatenate([[0], np.cumsum([len(k) for k in sketches])]).astype(np.int32)
+            listed = lambda at, parts, kind: pa.ListArray.from_arrays(at, pa.array(np.concatenate(parts).view(kind)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
+                 listed(offsets, keys, np.int64), listed(offsets, ranks, np.int8), listed(bits, sketches, np.int64)],
+                ["doc_id", "text_key", "n_shingles", "name", "keys", "ranks", "sketch"],
+            )
 
     return run
 
@@ -232,80 +229,217 @@ def word_hashes(text) -> F.Column:
     return let(split_words(lowered(text), SPACES), lambda w: F.transform(w, lambda x: F.xxhash64(x)))
 
 
-def _may_pair(pairs: DataFrame) -> np.ndarray:
-    """A filter of fixed size: the bits of all sets in pairs. At most ``FILTER_BITS`` / 64 words come to the driver."""
-    slots = pairs.select(F.explode(F.array("a", "b")).alias("name")).select(F.pmod("name", F.lit(FILTER_BITS)).alias("slot"))
-    bits = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(63).cast("int"))).alias("bits")
+def _text_set(text: str) -> set[str] | set[tuple[str, ...]]:
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+    return {tuple(words[i : i + SIZE]) for i in range(max(len(words) - SIZE + 1, 1))} if words else set()
+
+
+def _compare(batches):
+    """Rows in order of star; the centre's row comes first in each."""
+    star, centre, middle = None, None, 0
+    for batch in batches:
+        a, b = [], []
+        for key, is_centre, name, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if is_centre:
+                if key != star:
+                    star, centre, middle = key, _text_set(text), name
+            elif key == star:
+                own = _text_set(text)
+                both = len(own & centre)
+                if 100 * both >= TOP * (len(own) + len(centre) - both):
+                    a.append(middle)
+                    b.append(name)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def centres(lists: DataFrame) -> DataFrame:
+    """(centre, name, weight): the members of each list around the one of them that is in most lists; the centre is one of them.
+
+    Of texts that were copied and changed, the least changed one shares most parts with the others.
+    """
+    members = lists.select("key", F.col("member").alias("name"))
+    weights = members.groupBy("name").agg(F.count("*").alias("weight"))
+    weighed = members.join(weights, "name")
+    chosen = weighed.groupBy("key").agg(F.max(F.struct("weight", "name")).alias("c"))
+    return members.join(chosen, "key").select(F.col("c.name").alias("centre"), "name", F.col("c.weight").alias("weight")).distinct()
+
+
+def _cells(batches):
+    """Pairs of a cell's left and right rows that are in different components and may link."""
+
+    def compare(left, right):
+        a, b = [], []
+        rn, rc, rs, rk = right
+        for at in range(0, len(left[0]), 32):
+            n, c, s, k = (x[at : at + 32] for x in left)
+            flips = np.bitwise_count(k[:, None, :] ^ rk[None]).sum(axis=2, dtype=np.int64)
+            both = s[:, None] + rs[None]
+            near = (flips <= both * (100 - TOP) // (100 + TOP)) & (c[:, None] != rc[None])
+            near &= 100 * np.minimum(s[:, None], rs[None]) >= TOP * np.maximum(s[:, None], rs[None])
+            i, j = np.nonzero(near)
+            a.append(n[i])
+            b.append(rn[j])
+        return a, b
+
+    held, rows, lefts = None, [], []
+
+    def flush():
+        if rows and any(lefts) and not all(lefts):
+            flags = np.array(lefts)
+            columns = [np.array(x) for x in zip(*((r[0], r[1], r[2]) for r in rows), strict=True)]
+            columns.append(np.array([r[3] for r in rows], np.int64).view(np.uint64))
+            return compare(tuple(x[flags] for x in columns), tuple(x[~flags] for x in columns))
+        return [], []
+
+    def out(a, b):
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], ["a", "b"])
+
+    for batch in batches:
+        for star, cell, is_left, *row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+            if (star, cell) != held:
+                yield out(*flush())
+                held, rows, lefts = (star, cell), [], []
+            rows.append(row)
+            lefts.append(is_left)
+    yield out(*flush())
+
+
+def near_pairs(around: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) around one centre that may link but are in different components yet.
+
+    All that is not in a centre's largest component is compared with all around that centre, by sketches, in
+    cells of ``CELL_ROWS`` by ``CELL_ROWS`` rows. Only pairs that pass become rows.
+    """
+    rows = around.join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    counts = rows.groupBy("centre", "component").agg(F.count("*").alias("n")).groupBy("centre").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top")
+    )
+    # A centre with one other set is one pair, which is verified.
+    open_ = counts.filter("top.n < n and n > 2").select(
+        "centre", F.col("top.component").alias("top"),
+        F.ceil(F.col("n") / CELL_ROWS).cast("long").alias("across"), F.ceil((F.col("n") - F.col("top.n")) / CELL_ROWS).cast("long").alias("down"),
+    )
+    rows = rows.join(open_, "centre").join(sets.select("name", "size", "sketch"), "name")
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    deal = lambda n: F.call_function("pmod", F.xxhash64("name"), n)
+    left = rows.filter("component <> top").withColumn("is_left", F.lit(True)).withColumn(
+        "cell", F.explode(F.transform(numbers(F.col("across")), lambda j: deal(F.col("down")) * F.col("across") + j))
+    )
+    right = rows.withColumn("is_left", F.lit(False)).withColumn(
+        "cell", F.explode(F.transform(numbers(F.col("down")), lambda i: i * F.col("across") + deal(F.col("across"))))
+    )
+    cells = left.unionByName(right).select(F.col("centre").alias("star"), "cell", "is_left", "name", "component", "size", "sketch")
+    ordered = cells.repartition("star", "cell").sortWithinPartitions("star", "cell")
+    return ordered.mapInArrow(_cells, "a long, b long").distinct()
+
+
+def may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches do not rule out a link, with the texts that hold their sets."""
+    for c in "ab":
+        pairs = pairs.join(sets.select(
+            F.col("name").alias(c), F.col("size").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"), F.col("holder").alias(f"h_{c}")
+        ), c)
+    flips = F.aggregate(
+        F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    different = F.floor((F.col("n_a") + F.col("n_b")) * (100 - TOP) / (100 + TOP))
+    near = 100 * F.least("n_a", "n_b") >= TOP * F.greatest("n_a", "n_b")
+    return pairs.filter(near).filter(flips <= different).drop("n_a", "n_b", "s_a", "s_b")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, judged by their texts.
+
+    ``texts`` has (doc_id, text_key, text) of all documents; pairs name one text that holds each set (h_a, h_b). Pairs that share
+    their a are a star; each text goes to the stars it is in, and the centre's comes first. A star of
+    more than ``STAR`` pairs is dealt to several tasks, each with a copy of the centre. A filter of fixed size keeps
+    texts that are in no pair from being shuffled.
+    """
+    stars_ = pairs.groupBy("a", "h_a").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("long").alias("shares"))
+    large = stars_.filter("shares > 1").select("a", "shares")
+    # Few stars are large, and each of them has more than STAR members.
+    members = pairs.join(large, "a", "left").select(
+        F.col("h_b").alias("holder"), F.col("b").alias("name"), F.col("a").alias("star"),
+        F.call_function("pmod", F.xxhash64("b"), F.coalesce("shares", F.lit(1).cast("long"))).alias("share"), F.lit(False).alias("centre"),
+    )
+    middles = stars_.select(
+        F.col("h_a").alias("holder"), F.col("a").alias("name"), F.col("a").alias("star"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), F.lit(True).alias("centre"),
+    )
+    places = frozen(members.unionByName(middles))
+    slot = F.pmod("holder", F.lit(FILTER_BITS))
+    bit = lambda of: F.call_function("shiftleft", F.lit(1).cast("long"), of.bitwiseAND(63).cast("int"))
+    held = places.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit(F.col("slot"))).alias("bits"))
+    # At most FILTER_BITS / 64 rows.
+    some = (
+        texts.select(_holder().alias("holder"), "text").withColumn("slot", slot).withColumn("word", F.shiftright("slot", 6))
+        .join(F.broadcast(held), "word").filter(F.col("bits").bitwiseAND(bit(F.col("slot"))) != 0).select("holder", "text")
     )
-    words = np.zeros(FILTER_BITS >> 6, np.uint64)
-    table = bits.toArrow()
-    words[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return words
+    rows = some.join(places, "holder").select(
+        F.xxhash64("star", "share").alias("key"), "centre", "name", "text"
+    )
+    ordered = rows.repartition("key").sortWithinPartitions("key", F.col("centre").desc(), "name")
+    return ordered.mapInArrow(_compare, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    a = sets.select(F.col("name").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("name").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(a, "a").join(b, "b")
-    small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    return joined.filter(
-        (100 * small >= TOP * large) & (100 * both >= TOP * (F.size("sa") + F.size("sb") - both))
-    ).select("a", "b")
+def _holder() -> F.Column:
+    return F.xxhash64("doc_id", "text_key")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    words = word_hashes(text_of())
-    thin = frozen(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"), F.xxhash64("text").alias("text_key"))
-        .mapInArrow(_thin, "doc_id long, text_key long, n_shingles long, name long")
+    """Per row of ``docs``: doc_id, n_shingles, component_id, text_key, and ``group``, a number for the component."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), text_of().alias("text"))
+    # About how many sets there are of each small size; this only weighs costs.
+    words = F.size(split_words(F.col("text")))
+    counts = texts.filter(F.length("text") < 100 * LIGHT_MOST).select(F.greatest(words - SIZE + 1, F.least(words, F.lit(1))).alias("n"))
+    counts = counts.filter(F.col("n").between(1, LIGHT_MOST * 100 // TOP + 1)).groupBy("n").count()
+    light = boundary({r["n"]: r["count"] for r in counts.collect()})
+
+    signed = frozen(
+        texts.select("doc_id", "text_key", word_hashes(F.col("text")).alias("words")).mapInArrow(
+            _signed(light),
+            "doc_id long, text_key long, n_shingles long, name long, keys array<long>, ranks array<tinyint>, sketch array<long>",
+        )
     )
-    # Sets by size, up to the sizes at which the boundary may lie.
-    near = LIGHT_MOST * 100 // TOP + 1
-    counts = thin.filter(F.col("n_shingles").between(1, near)).groupBy("n_shingles").agg(F.count_distinct("name").alias("n"))
-    light = boundary({r["n_shingles"]: r["n"] for r in counts.collect()})
-
-    hashes = docs.select(words.alias("words"))
-    lists = frozen(stars(hashes.mapInArrow(_keys(light), "key long, rank int, member long")))
-    pairs = frozen(lists.select(F.least("pivot", "member").alias("a"), F.greatest("pivot", "member").alias("b")).distinct())
-    filter_words = spark.sparkContext.broadcast(_may_pair(pairs)).value
+    thin = signed.select("doc_id", "text_key", "n_shingles", "name")
+    # A set's sketch is given with some of its copies only; the others' are empty and smaller.
     sets = frozen(
-        hashes.mapInArrow(_sets(filter_words), "name long, shingles array<long>")
-        .groupBy("name").agg(F.first("shingles").alias("shingles"))
+        signed.filter("name is not null").groupBy("name").agg(
+            F.min("doc_id").alias("own"), F.min(_holder()).alias("holder"), F.min("n_shingles").alias("size"), F.max("sketch").alias("sketch")
+        )
     )
-    links = frozen(verified(pairs, sets))
+    rows = signed.select("name", F.explode(F.arrays_zip("keys", "ranks")).alias("k"))
+    lists = stars(rows.select(F.col("k.keys").alias("key"), F.col("k.ranks").cast("int").alias("rank"), F.col("name").alias("member")))
+    around = frozen(centres(frozen(lists)))
+
+    # Each set with one centre first: most components are found by that.
+    both = around.filter("centre <> name").select(F.col("centre").alias("a"), F.col("name").alias("b"), "weight")
+    pairs = frozen(may_link(both, sets))
+    best = F.max(F.struct("weight", "a", "h_a", "h_b")).alias("m")
+    first = pairs.groupBy("b").agg(best).select(F.col("m.a").alias("a"), "b", F.col("m.h_a").alias("h_a"), F.col("m.h_b").alias("h_b"))
+    links = frozen(verified(first, texts))
     labels = components(links)
-
-    # Lists that still hold several components: the pairs between them that were not verified yet.
-    members = lists.select("key", F.col("member").alias("name")).unionByName(lists.select("key", F.col("pivot").alias("name"))).distinct()
-    members = members.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
-    members = frozen(members.join(sets.select("name", F.size("shingles").alias("size")), "name"))
-    split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-    # A list of two is one pair, which is verified.
-    split = split.filter("lo <> hi and n > 2").select("key")
-    open_ = frozen(members.join(split, "key"))
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.component") < F.col("y.component"))
-        & (100 * F.least("x.size", "y.size") >= TOP * F.greatest("x.size", "y.size")),
-    ).select(F.least("x.name", "y.name").alias("a"), F.greatest("x.name", "y.name").alias("b")).distinct()
-    more = frozen(verified(rest.join(pairs, ["a", "b"], "left_anti"), sets))
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
-
-    classes = thin.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("own"))
-    named = labels.withColumnRenamed("node", "name").join(classes, "name")
-    least = named.groupBy("component").agg(F.min("own").alias("least"))
-    linked = named.join(least, "component").select("name", "component", "least")
-    classes = classes.join(linked, "name", "left").select(
-        "name", F.coalesce("component", "name").alias("group"), F.coalesce("least", "own").alias("least")
+    # Then what is around one centre and still apart: first with the centre, then with each other.
+    for each_other in (False, True):
+        named = labels.withColumnRenamed("node", "name")
+        if each_other:
+            rest = may_link(near_pairs(around.select("centre", "name"), named, sets), sets)
+        else:
+            ends = [named.select(F.col("name").alias(c), F.col("component").alias(f"c_{c}")) for c in "ab"]
+            rest = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left").filter(
+                F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
+            ).select("a", "b", "h_a", "h_b")
+        more = frozen(verified(rest, texts))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
+
+    classes = sets.select("name", "own").join(labels.withColumnRenamed("node", "name"), "name", "left").select(
+        "name", "own", F.coalesce("component", "name").alias("group")
     )
+    least = classes.groupBy("group").agg(F.min("own").alias("least"))
+    classes = classes.join(least, "group").select("name", "group", "least")
     return thin.join(classes, "name", "left").select(
         "doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         "text_key", "group",

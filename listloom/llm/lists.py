@@ -27,6 +27,7 @@ _OUT = "kind int, part int, key long, pivot long, member long"
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     last_key = last_member = pivot = None
+    named = False  # whether the open list's first member was given
 
     def rows(kind: int, keys, pivots, members) -> pa.RecordBatch:
         n = len(keys)
@@ -50,14 +51,19 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.concatenate([[last_member], members[:-1]])
         new = ~starts & (members != before) & (members != pivots)
         if new.any():
-            yield rows(0, keys[new], pivots[new], members[new])
+            # A list's first member is one of its members; it is given once, before the second one.
+            k, p = keys[new], pivots[new]
+            first = np.concatenate([[not (named and k[0] == last_key)], k[1:] != k[:-1]])
+            yield rows(0, k[first], p[first], p[first])
+            yield rows(0, k, p, members[new])
+        named = bool(new.any() and keys[new][-1] == keys[-1]) or (named and keys[-1] == last_key)
         last_key, last_member, pivot = keys[-1], members[-1], pivots[-1]
     if last_key is not None:
         yield rows(2, [last_key], [pivot], [last_member])
 
 
 def stars(rows: DataFrame) -> DataFrame:
-    """(key, pivot, member) from rows (key long, rank int, member long): each list's members, tied to its first one.
+    """(key, pivot, member) from rows (key long, rank int, member long): each list's members, tied to its first one, itself included.
 
     Members are in order of rank. A list over several partitions has a first member in each; each of those is tied to that of the
     partition before. Repeated rows count once; lists of one member give nothing.
@@ -69,4 +75,5 @@ def stars(rows: DataFrame) -> DataFrame:
     before = W.orderBy("part", "kind")
     ends = ends.withColumn("k", F.lag("key").over(before)).withColumn("p", F.lag("pivot").over(before))
     joined = ends.filter("kind = 1 and key = k and member <> p").select("key", F.col("p").alias("pivot"), "member")
+    joined = joined.select("key", "pivot", F.explode(F.array("pivot", "member")).alias("member"))
     return found.filter("kind = 0").select("key", "pivot", "member").unionByName(joined)
