@@ -101,6 +101,11 @@ _NAMED = {
 }
 
 
+# Leads without date or ip, and identities without any name.
+_PATCHY_LEAD = """(SELECT mail_id, CASE WHEN mail_id % 4 <> 1 THEN ip END AS ip, provenance, CASE WHEN mail_id % 3 <> 0 THEN date END AS date FROM lead) l"""
+_PATCHY_ID = """(SELECT id, mail_id, CASE WHEN id % 5 <> 0 THEN civilite END AS civilite, CASE WHEN id % 5 <> 0 THEN prenom END AS prenom, CASE WHEN id % 5 <> 0 THEN nom END AS nom, cp, ville, birth FROM id) i"""
+
+
 def _in(template: str, *values, k: str = "b.id") -> str:
     shown = ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in values)
     return template.format(k=k, v=shown)
@@ -194,6 +199,9 @@ def oracle_sql() -> dict[str, str]:
         "segment_openers": f"""SELECT DISTINCT b.mail, {ID} {_BASE_ID}
             WHERE {_named('ouvreur_campagne')} AND {_named('criteo')} AND NOT {_in(_FILE, 'Brand#17')}
             AND NOT {_in(_BROKER, *BROKERS)} AND {_without('plainte', 'mot')}""",
+        "segment_described_right": f"""SELECT x.mail, x.md5, l.ip, l.provenance FROM lead l LEFT JOIN (
+              SELECT b.id, b.mail, m.md5 FROM base b LEFT JOIN md5_table m ON m.mail_id = b.id WHERE {_in(_PARTNER, '3-MEDIUM', '1-URGENT')}) x
+            ON x.id = l.mail_id ORDER BY x.mail NULLS LAST, x.md5 NULLS LAST, l.ip NULLS LAST, l.provenance NULLS LAST LIMIT 500""",
         "segment_described": f"""SELECT b.mail, b.id, {ID}, l.ip, l.provenance, l.date {_BASE_ID}
             LEFT JOIN lead l ON l.mail_id = b.id WHERE l.ip IS NOT NULL AND {_in(_FILE, *FILES)}""",
         "common_with_partner": f"""SELECT r.broker, b.mail, {ID} {_BASE_ID}
@@ -224,7 +232,7 @@ def oracle_sql() -> dict[str, str]:
         "hash_export": f"""SELECT DISTINCT m.md5 FROM md5_table m WHERE {_in(_FILE, *FILES, k='m.mail_id')}
             AND {_without(*FILE_OUT, 'ouvreur', k='m.mail_id')}""",
         "hash_export_capped": f"""SELECT DISTINCT m.md5 FROM md5_table m WHERE {_in(_FILE, *FILES, k='m.mail_id')}
-            AND {_without(*FILE_OUT, 'ouvreur', k='m.mail_id')} ORDER BY m.md5 LIMIT 50000""",
+            AND {_without(*FILE_OUT, 'ouvreur', k='m.mail_id')} ORDER BY m.md5 LIMIT 400""",
         "hashes_of_files": """SELECT DISTINCT m.md5 FROM md5_table m JOIN fichier_match f ON f.mail_id = m.mail_id
             WHERE f.fichier_id IN (7, 8, 10, 13)""",
         "qualified_leads": f"""SELECT b.mail, {ID}, l.ip, l.date, l.provenance {_BASE_ID} LEFT JOIN lead l ON l.mail_id = b.id
@@ -261,13 +269,18 @@ def oracle_sql() -> dict[str, str]:
         "profile_exports": """SELECT DISTINCT b.mail, m.md5, i.civilite FROM base b JOIN md5_table m ON m.mail_id = b.id
             LEFT JOIN id i ON i.mail_id = b.id LEFT JOIN lead l ON l.mail_id = b.id
             WHERE i.civilite IS NOT NULL AND l.date IS NOT NULL""",
-        "profiles_with_lead_date": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM lead l
-            RIGHT JOIN id i ON l.mail_id = i.mail_id RIGHT JOIN base b ON l.mail_id = b.id WHERE l.date IS NOT NULL""",
-        "profiles_with_any_name": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM base b JOIN id i ON b.id = i.mail_id
-            JOIN lead l ON l.mail_id = i.mail_id
+        "profiles_with_lead_date": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM {_PATCHY_LEAD}
+            RIGHT JOIN {_PATCHY_ID} ON l.mail_id = i.mail_id RIGHT JOIN base b ON l.mail_id = b.id WHERE l.date IS NOT NULL""",
+        "profiles_with_any_name": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM base b JOIN {_PATCHY_ID} ON b.id = i.mail_id
+            JOIN {_PATCHY_LEAD} ON l.mail_id = i.mail_id
             WHERE i.prenom IS NOT NULL OR i.nom IS NOT NULL OR i.civilite IS NOT NULL""",
-        "profiles_with_ip": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM base b JOIN id i ON b.id = i.mail_id
-            JOIN lead l ON l.mail_id = i.mail_id WHERE l.ip IS NOT NULL""",
+        "profiles_limited": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM base b JOIN {_PATCHY_ID} ON b.id = i.mail_id
+            JOIN {_PATCHY_LEAD} ON l.mail_id = i.mail_id
+            WHERE i.prenom IS NOT NULL OR i.nom IS NOT NULL OR i.civilite IS NOT NULL
+            ORDER BY b.mail, i.civilite NULLS LAST, i.prenom NULLS LAST, i.nom NULLS LAST, i.cp NULLS LAST, i.ville NULLS LAST,
+              i.birth NULLS LAST, l.ip NULLS LAST, l.provenance NULLS LAST, l.date NULLS LAST LIMIT 200""",
+        "profiles_with_ip": f"""SELECT b.mail, {ID}, l.ip, l.provenance, l.date FROM base b JOIN {_PATCHY_ID} ON b.id = i.mail_id
+            JOIN {_PATCHY_LEAD} ON l.mail_id = i.mail_id WHERE l.ip IS NOT NULL""",
         "profiles_with_hash": f"""SELECT b.mail, m.md5, {ID}, l.ip, l.provenance, l.date FROM base b
             LEFT JOIN md5_table m ON b.id = m.mail_id LEFT JOIN id i ON b.id = i.mail_id
             LEFT JOIN lead l ON l.mail_id = i.mail_id""",
@@ -332,9 +345,8 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN birth <> DATE '1998-08-02' THEN strftime(birth, '%Y-%m-%d') END AS birth FROM dirty_id""",
         "mail_domain": "SELECT id, domain FROM base",
         "mail_syntax": f"""SELECT DISTINCT doc_id, lower(trim(mail)) AS mail,
-            regexp_matches(lower(trim(mail)), '{_ADDRESS}') AS valid FROM ({_WORDS}) WHERE contains(mail, '@')""",
-        "rejected_mails": f"""SELECT DISTINCT doc_id, mail FROM ({_WORDS}) WHERE contains(mail, '@')
-            AND NOT regexp_matches(lower(trim(mail)), '{_ADDRESS}')""",
+            regexp_matches(lower(trim(mail)), '{_ADDRESS}') AS valid FROM ({_WORDS})""",
+        "rejected_mails": f"""SELECT DISTINCT doc_id, mail FROM ({_WORDS}) WHERE NOT regexp_matches(lower(trim(mail)), '{_ADDRESS}')""",
         "keyword_flag": f"SELECT b.id, b.mail, {_named('mot')} AS exclusion_mot_cle FROM base b",
         "keyword_hits": "SELECT b.id AS mail_id, m.id AS mot_list_id FROM base b JOIN mot_list m ON contains(b.mail, m.mot)",
         "partner_file": f"""SELECT mail, strftime(date, '%Y%m%d%H%M%S') AS date, ip,

@@ -69,6 +69,16 @@ def segment_openers(model: Model) -> DataFrame:
     return segment.not_broker(*BROKERS).suppress("plainte", "mot").select("classic")
 
 
+@query
+def segment_described_right(model: Model) -> DataFrame:
+    """All leads, with the contact where it has a hash of the wanted beginning; the first by all columns."""
+    return described(model, {
+        "select": {"base": ["mail"], "md5": ["left", "md5"], "lead": ["right", "ip", "provenance"]},
+        "where": {"partner_match.partner_id": ["3-MEDIUM", "1-URGENT"]},
+        "limit": 500,
+    })
+
+
 @query
 def segment_described(model: Model) -> DataFrame:
     return described(model, {
@@ -134,7 +144,7 @@ def hash_export(model: Model) -> DataFrame:
 
 @query
 def hash_export_capped(model: Model) -> DataFrame:
-    return recipes.hash_export(model, FILES, cap=50_000)
+    return recipes.hash_export(model, FILES, cap=400)
 
 
 @query
@@ -229,19 +239,37 @@ def profile_exports(model: Model) -> DataFrame:
     return recipes.hashes_with_civility(model)
 
 
+def _patchy(model: Model) -> Model:
+    """The model with gaps: leads without date or ip, identities without any name."""
+    contact = F.col("mail_id")
+    lead = model["lead"].withColumns({
+        "date": F.when(contact % 3 != 0, F.col("date")), "ip": F.when(contact % 4 != 1, F.col("ip")),
+    })
+    nameless = F.col("id") % 5 == 0
+    names_of = {c: F.when(~nameless, F.col(c)) for c in ("prenom", "nom", "civilite")}
+    frames = {"lead": lead, "id": model["id"].withColumns(names_of)}
+    return Model(model.spark, lambda name: frames[name] if name in frames else model[name], model.key_source)
+
+
 @query
 def profiles_with_lead_date(model: Model) -> DataFrame:
-    return recipes.profiles_with_lead_date(model)
+    return recipes.profiles_with_lead_date(_patchy(model))
+
+
+@query
+def profiles_limited(model: Model) -> DataFrame:
+    """The first profiles in the order of all their columns."""
+    return recipes.profiles_with_any_name(_patchy(model), limit=200)
 
 
 @query
 def profiles_with_any_name(model: Model) -> DataFrame:
-    return recipes.profiles_with_any_name(model)
+    return recipes.profiles_with_any_name(_patchy(model))
 
 
 @query
 def profiles_with_ip(model: Model) -> DataFrame:
-    return recipes.profiles_with_ip(model)
+    return recipes.profiles_with_ip(_patchy(model))
 
 
 @query
@@ -465,9 +493,9 @@ def mail_domain(model: Model) -> DataFrame:
 
 
 def _address_rows(model: Model) -> DataFrame:
-    """Every word with an @ in the documents, as a column of incoming mails."""
+    """Every word of the documents, as a column of incoming mails of which few are any."""
     words = F.explode(F.split("text", r"[ \n\t\r]+"))
-    return model["documents"].select("doc_id", words.alias("mail")).filter(F.col("mail").contains("@"))
+    return model["documents"].select("doc_id", words.alias("mail"))
 
 
 @query
@@ -546,10 +574,16 @@ def new_rows_diff(model: Model) -> DataFrame:
     """Rows of one export in neither of two others, on all columns; then complaints, then keywords out."""
     columns = ["mail", "civilite", "prenom", "birth"]
     wide = ["civilite", "prenom", "birth"]
-    first = Segment(model).partner("1-URGENT").with_identity(wide).select(*columns)
-    second = Segment(model).broker(*BROKERS).with_identity(wide).select(*columns)
-    third = Segment(model).opted_in(OTHER_OPTIN).with_identity(wide).select(*columns)
-    fresh = joins.rows_not_in(first, second, third)
+    # One pass over the identities of all contacts that any of the three exports holds.
+    segment = Segment(model)
+    tagged = lambda keys, n: keys.select("mail_id", F.lit(n).alias("n"))
+    kinds = tagged(segment.partner_keys("1-URGENT"), 1).unionByName(tagged(segment.broker_keys(*BROKERS), 2))
+    kinds = kinds.unionByName(tagged(segment.optin_keys("optin_match", OTHER_OPTIN), 2))
+    kinds = kinds.groupBy("mail_id").agg(F.bool_or(F.col("n") == 1).alias("wanted"), F.bool_or(F.col("n") == 2).alias("out"))
+    people = joins.inner_on(model.contacts, kinds, hot=[])
+    rows = joins.left_many(people, model["id"].select("mail_id", *wide), hot=model.hot("id")).select(*columns, "wanted", "out")
+    rows = rows.groupBy(*columns).agg(F.count_if("wanted").alias("times"), F.bool_or("out").alias("out"))
+    fresh = rows.filter("times > 0 AND NOT out").select(*columns, F.explode(F.array_repeat(F.lit(1), F.col("times").cast("int"))).alias("_")).drop("_")
     complaints = recipes.suppression_mails(model, ["plainte"])
     words = recipes.suppression_mails(model, ["mot"])
     return setops.not_in_any(fresh, [complaints, words], "mail")

@@ -253,6 +253,16 @@ KEY_SOURCES = {
     ("regie_match", "mail_id"): ("orders", "o_custkey"),
     ("regie_match", "regie_id"): ("lineitem", "l_suppkey"),
     ("regie_actif", "mail_id"): ("orders", "o_custkey"),
+    ("md5", "mail_id"): ("customer", "c_custkey"),
+    ("partner_match", "mail_id"): ("orders", "o_custkey"),
+    ("optin_match", "mail_id"): ("orders", "o_custkey"),
+    ("optin_desabo", "mail_id"): ("events", "user_id"),
+    ("base_plainte", "mail_id"): ("customer", "c_custkey"),
+    ("base_npai", "mail_id"): ("customer", "c_custkey"),
+    ("base_ouvreur", "mail_id"): ("customer", "c_custkey"),
+    ("id_unik", "mail_id"): ("customer", "c_custkey"),
+    ("log_criteo", "mail_id"): ("customer", "c_custkey"),
+    ("mot_match", "mail_id"): ("customer", "c_custkey"),
     ("appetence_match", "mail_id"): ("orders", "o_custkey"),
     ("appetence_match", "appetence_id"): ("lineitem", "l_partkey"),
 }

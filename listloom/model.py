@@ -106,7 +106,7 @@ class Model:
         self.spark = spark
         self._loader = loader
         self._rows = rows
-        self._key_source = key_source or (lambda name, key: (self[name], key))
+        self.key_source = key_source or (lambda name, key: (self[name], key))
         self._tables: dict[str, DataFrame] = {}
         self._hot: dict[tuple[str, str], list] = {}
 
@@ -141,7 +141,7 @@ class Model:
     def hot(self, name: str, key: str = "mail_id") -> list:
         """Keys that hold a large part of a table; looked up once."""
         if (name, key) not in self._hot:
-            self._hot[name, key] = hot_keys_of_table(*self._key_source(name, key))
+            self._hot[name, key] = hot_keys_of_table(*self.key_source(name, key))
         return self._hot[name, key]
 
     def register_views(self, names: list[str] | None = None) -> None:

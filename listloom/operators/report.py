@@ -9,32 +9,31 @@ from listloom.model import Model
 from listloom.operators.joins import keep_in, left_one
 
 
-def _all_of(model: Model, table: str, people: DataFrame) -> DataFrame:
-    """All rows of a table for the given contacts."""
-    return keep_in(model[table], people, "mail_id", repeats=True, hot=model.hot(table))
-
-
 def reach_counts(model: Model, members: DataFrame) -> DataFrame:
     """Distinct contacts, mobile numbers and postcodes of members that have both.
 
-    Each count comes from its own table, so numbers and identities of a contact
-    are never multiplied with each other. Pairs are made distinct before they
+    Rows of all four tables are tagged and meet once, by contact; a contact's numbers and
+    postcodes are made distinct before they are shuffled. Pairs are made distinct before they
     are counted, which keeps the counts out of one task.
     """
-    people = keep_in(model["base"].select("id"), members)
-    people = keep_in(keep_in(people, model["sms"]), model["id"])
-    reached = people.select(F.col("id").alias("mail_id"))
-
-    def values(kind: str, df: DataFrame, column: str) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("value"))
+    def tagged(kind: str, rows: DataFrame, key: str, value: str | None = None) -> DataFrame:
+        shown = F.lit(None).cast("string") if value is None else F.col(value).cast("string")
+        return rows.select(F.col(key).alias("mail_id"), F.lit(kind).alias("kind"), shown.alias("value"))
 
-    pairs = (
-        values("mail", reached, "mail_id")
-        .unionByName(values("sms", _all_of(model, "sms", reached), "port"))
-        .unionByName(values("cp", _all_of(model, "id", reached), "cp"))
-        .filter(F.col("value").isNotNull())
-        .distinct()
+    rows = (
+        tagged("base", model["base"], "id")
+        .unionByName(tagged("member", members, members.columns[0]))
+        .unionByName(tagged("sms", model["sms"], "mail_id", "port"))
+        .unionByName(tagged("cp", model["id"], "mail_id", "cp"))
     )
+    values = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("value"))).alias(f"{kind}_values")
+    people = rows.filter("mail_id IS NOT NULL").groupBy("mail_id").agg(
+        *[F.bool_or(F.col("kind") == kind).alias(kind) for kind in ("base", "member", "sms", "cp")], values("sms"), values("cp")
+    ).filter("base AND member AND sms AND cp")
+    pairs = people.select(F.explode(F.concat(
+        F.array(F.struct(F.lit("mail").alias("kind"), F.col("mail_id").cast("string").alias("value"))),
+        _pairs_of("sms"), _pairs_of("cp"),
+    )).alias("p")).select("p.kind", "p.value").distinct()
     return pairs.agg(
         F.count_if(F.col("kind") == "mail").alias("n_mail"),
         F.count_if(F.col("kind") == "sms").alias("n_sms"),
@@ -42,6 +41,10 @@ def reach_counts(model: Model, members: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_of(kind: str) -> Column:
+    return F.transform(f"{kind}_values", lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+
 def reach_profile(model: Model, members: DataFrame, packed: DataFrame) -> DataFrame:
     """Distinct mails, rows with a mobile number and rows with a postcode.
 

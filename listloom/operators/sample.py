@@ -21,9 +21,6 @@ _DIGITS = 4
 # Packing works on blocks of about this many files.
 _FILES_PER_BLOCK = 50
 
-# Up to this many rows a plain top-k keeps less than one batch per task.
-_SMALL = 1000
-
 
 def seeded_hash(seed: int, *keys: str) -> Column:
     """md5 of seed and key: the same order in every engine and every run."""
@@ -42,10 +39,14 @@ def _cut(df: DataFrame, per: list[str], bucket: str, order: Column) -> tuple[Dat
     per group that does not, with the room that is left for it.
     """
     counts = df.groupBy(*per, "_room", bucket).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.partitionBy(*per).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    left = F.col("_room") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    if per:
+        earlier = W.partitionBy(*per).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    else:
+        # There may be as many values as rows: no window over all of them.
+        counts = with_position(counts, [order], "_before", weight="_n")
     plan = (
-        counts.withColumn("_left", left)
+        counts.withColumn("_left", F.col("_room") - F.col("_before"))
         .filter("_left > 0")
         .select(*[F.col(c).alias(f"_c_{c}") for c in [*per, bucket]], "_left",
                 (F.col("_n") <= F.col("_left")).alias("_fits"))
@@ -86,8 +87,6 @@ def lowest_hashes(
     neither the sample nor a large group is gathered in one task.
     """
     digest = seeded_hash(seed, *keys) if digest is None else digest
-    if n <= _SMALL and not per:
-        return df.orderBy(digest, *text_order(*keys)).limit(n)
     room = df.withColumn("_room", F.lit(n).cast("long"))
     return _lowest(room, digest, keys, per or []).select(*df.columns)
 
@@ -99,8 +98,6 @@ def top_by(df: DataFrame, n: int, by: str, seed: int, keys: list[str]) -> DataFr
     through may be a large part of all, so they are cut again by hash bucket.
     """
     highest = F.col(by).desc_nulls_first()
-    if n <= _SMALL:
-        return df.orderBy(highest, seeded_hash(seed, *keys), *text_order(*keys)).limit(n)
     whole, split = _cut(df.withColumn("_room", F.lit(n).cast("long")), [], by, highest)
     tied = _lowest(split, seeded_hash(seed, *keys), keys, [])
     return whole.unionByName(tied).select(*df.columns)

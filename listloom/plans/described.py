@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listloom.model import Model
+from listloom.operators.dedupe import text_order
 from listloom.operators.joins import inner_on, keep_in, keys_of, left_many
 
 
@@ -33,7 +34,7 @@ def described(model: Model, query: dict) -> DataFrame:
 
     The first table of ``select`` is the contact table and has no join kind.
     Where-keys are ``table.column``; their value is a constant, a list,
-    ``"not null"`` or a sub-query of the same form. A table that is only named
+    ``"not null"`` or a sub-query of the same form. A limit takes the first rows in the order of all columns. A table that is only named
     in ``where`` restricts the contacts by a semi join.
     """
     tables = dict(query["select"])
@@ -69,4 +70,4 @@ def described(model: Model, query: dict) -> DataFrame:
             rows = left_many(side, keyed, "mail_id", "_row", unique=False).drop("mail_id")
         columns, unique = columns + wanted, False
     rows = rows.select(*columns)
-    return rows.limit(query["limit"]) if query.get("limit") else rows
+    return rows.orderBy(*text_order(*columns)).limit(query["limit"]) if query.get("limit") else rows

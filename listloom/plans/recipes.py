@@ -48,7 +48,8 @@ LEAD = ["ip", "provenance", "date"]
 
 
 def _limited(df: DataFrame, limit: int | None) -> DataFrame:
-    return df if limit is None else df.limit(limit)
+    """The first rows in the order of all columns."""
+    return df if limit is None else df.orderBy(*text_order(*df.columns)).limit(limit)
 
 
 def _identities(model: Model, rows: DataFrame, unique: bool = True) -> DataFrame:

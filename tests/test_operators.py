@@ -207,12 +207,7 @@ def test_pack_groups_against_fold(spark, monkeypatch, per_block, threshold):
     assert [got[g] for g in range(300)] == fold_files(sizes, threshold)
 
 
-@pytest.fixture
-def small_top(monkeypatch):
-    monkeypatch.setattr(sample, "_SMALL", 0)
-
-
-def test_exact_sample(spark, small_top):
+def test_exact_sample(spark):
     df = frame(spark, [(i, f"m{i}") for i in range(5000)], "id int, mail string")
     got = [r.id for r in sample.exact_sample(df, 700, 1, ["mail"]).collect()]
     assert len(got) == len(set(got)) == 700
@@ -228,12 +223,11 @@ def test_both_sample_paths_agree(spark, monkeypatch):
     df = frame(spark, [(i, i % 3, f"m{i}") for i in range(3000)], "id int, birth int, mail string")
     plain = [sample.lowest_hashes(df, 400, 1, ["mail"]), sample.top_by(df, 400, "birth", 1, ["mail"])]
     plain = [sorted(r.id for r in p.collect()) for p in plain]
-    monkeypatch.setattr(sample, "_SMALL", 0)
     cut = [sample.lowest_hashes(df, 400, 1, ["mail"]), sample.top_by(df, 400, "birth", 1, ["mail"])]
     assert [sorted(r.id for r in c.collect()) for c in cut] == plain
 
 
-def test_hot_tie_in_top(spark, small_top):
+def test_hot_tie_in_top(spark):
     data = [(i, None if i < 1000 else i % 50, f"m{i}") for i in range(3000)]
     df = frame(spark, data, "id int, birth int, mail string")
     got = sample.top_by(df, 1500, "birth", 1, ["mail"]).collect()
@@ -241,7 +235,7 @@ def test_hot_tie_in_top(spark, small_top):
     assert min(r.birth for r in got if r.birth is not None) == 37
 
 
-def test_cut_inside_one_bucket(spark, small_top, monkeypatch):
+def test_cut_inside_one_bucket(spark, monkeypatch):
     monkeypatch.setattr(sample, "_DIGITS", 1)
     df = frame(spark, [(i, f"m{i}") for i in range(1000)], "id int, mail string")
     coarse = sorted(r.id for r in sample.lowest_hashes(df, 333, 1, ["mail"]).collect())
