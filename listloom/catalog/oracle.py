@@ -46,6 +46,8 @@ campagne_ouvreur AS (
   SELECT DISTINCT user_id AS mail_id, concat('10.0.1.',CAST(event_id % 250 AS VARCHAR)) AS ip
   FROM events WHERE event_type='click'),
 log_criteo AS (SELECT DISTINCT user_id AS mail_id FROM events WHERE event_type='purchase'),
+base_mxm AS (SELECT c_custkey AS mail_id FROM customer WHERE c_custkey % 11 = 3),
+base_not_b2c AS (SELECT c_custkey AS mail_id FROM customer WHERE c_nationkey = 5),
 mot_list AS (
   SELECT r_regionkey AS id, concat(CAST(r_regionkey AS VARCHAR),CAST(r_regionkey AS VARCHAR),'@') AS mot,
     r_name AS secteur, r_regionkey < 3 AS exclusion FROM region),
@@ -97,6 +99,8 @@ _NAMED = {
     "ouvreur": "EXISTS (SELECT 1 FROM base_ouvreur x WHERE x.mail_id = {k})",
     "ouvreur_campagne": "EXISTS (SELECT 1 FROM campagne_ouvreur x WHERE x.mail_id = {k})",
     "criteo": "EXISTS (SELECT 1 FROM log_criteo x WHERE x.mail_id = {k})",
+    "mxm": "EXISTS (SELECT 1 FROM base_mxm x WHERE x.mail_id = {k})",
+    "not_b2c": "EXISTS (SELECT 1 FROM base_not_b2c x WHERE x.mail_id = {k})",
     "actif": "EXISTS (SELECT 1 FROM regie_actif x WHERE x.mail_id = {k})",
 }
 
@@ -303,6 +307,13 @@ def oracle_sql() -> dict[str, str]:
                 WHERE split_part(y.fichier_num, '-', 1) IN ('Brand#8','Brand#12','Brand#13')
                 AND b.domain NOT IN ('household.example','machinery.example') AND {_without('plainte', 'npai', 'mot')})
             ) WHERE rn <= 200""",
+        "non_webmail_b2c": f"""SELECT fichier_num, mail FROM (
+            SELECT fichier_num, mail, row_number() OVER (PARTITION BY fichier_num ORDER BY md5(concat('11:', mail)), mail) AS rn
+            FROM (SELECT DISTINCT y.fichier_num, b.mail, b.id FROM base b JOIN fichier_match f ON f.mail_id = b.id
+                JOIN fichier_list y ON y.id = f.fichier_id
+                WHERE split_part(y.fichier_num, '-', 1) IN ('Brand#8','Brand#16')
+                AND b.domain NOT IN ('building.example') AND {_without('plainte', 'npai', 'mxm', 'not_b2c')})
+            ) WHERE rn <= 150""",
         "suppress_union": f"SELECT o.mail, o.ip FROM outside o WHERE o.mail NOT IN ({_mails_of('plainte', 'npai', 'mot', 'spam')})",
         "flag_filter": f"SELECT b.mail FROM base b WHERE {_named('ouvreur')} AND {_without('plainte', 'npai', 'mot')}",
         "clean_by_lists": f"""SELECT mail, birth, regexp_replace(civilite, '^(\\d+)[.,].*$', '\\1') AS civilite, prenom, nom,

@@ -310,6 +310,12 @@ def non_webmail(model: Model) -> DataFrame:
     )
 
 
+@query
+def non_webmail_b2c(model: Model) -> DataFrame:
+    """The same extract with its own four suppressions."""
+    return recipes.non_webmail_by_file(model, ["Brand#8", "Brand#16"], ["building.example"], 150, SEED)
+
+
 # -- suppression of outside files -------------------------------------------------
 
 

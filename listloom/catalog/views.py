@@ -205,6 +205,12 @@ class DriverTables:
     def _log_criteo(self) -> DataFrame:
         return self._events("purchase").select(F.col("user_id").alias("mail_id"))
 
+    def _base_mxm(self) -> DataFrame:
+        return self.raw("customer").filter("c_custkey % 11 = 3").select(F.col("c_custkey").alias("mail_id"))
+
+    def _base_not_b2c(self) -> DataFrame:
+        return self.raw("customer").filter("c_nationkey = 5").select(F.col("c_custkey").alias("mail_id"))
+
     def _mot_list(self) -> DataFrame:
         digit = F.col("r_regionkey").cast("string")
         return self.raw("region").select(
@@ -260,6 +266,8 @@ KEY_SOURCES = {
     ("base_plainte", "mail_id"): ("customer", "c_custkey"),
     ("base_npai", "mail_id"): ("customer", "c_custkey"),
     ("base_ouvreur", "mail_id"): ("customer", "c_custkey"),
+    ("base_mxm", "mail_id"): ("customer", "c_custkey"),
+    ("base_not_b2c", "mail_id"): ("customer", "c_custkey"),
     ("id_unik", "mail_id"): ("customer", "c_custkey"),
     ("log_criteo", "mail_id"): ("customer", "c_custkey"),
     ("mot_match", "mail_id"): ("customer", "c_custkey"),

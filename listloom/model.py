@@ -62,6 +62,8 @@ SCHEMAS: dict[str, StructType] = {
     "base_plainte": _table(mail_id="long"),
     "base_npai": _table(mail_id="long"),
     "base_ouvreur": _table(mail_id="long"),
+    "base_mxm": _table(mail_id="long"),
+    "base_not_b2c": _table(mail_id="long"),
     "campagne_ouvreur": _table(mail_id="long", ip="string"),
     "log_criteo": _table(mail_id="long"),
     "mot_list": _table(id="long", mot="string", secteur="string", exclusion="boolean"),

@@ -43,6 +43,7 @@ from listloom.plans.segment import Segment
 # The suppressions of the two usual kinds of extract.
 PARTNER_SUPPRESSION = ["plainte", "mot", "spam"]
 FILE_SUPPRESSION = ["plainte", "mot", "npai"]
+NON_WEBMAIL_SUPPRESSION = ["mxm", "npai", "plainte", "not_b2c"]
 
 LEAD = ["ip", "provenance", "date"]
 
@@ -408,7 +409,7 @@ def non_webmail_by_file(
     suppress: list[str] | None = None,
 ) -> DataFrame:
     """Per listed file the unsuppressed contacts off the webmail domains, sampled to ``cap``."""
-    unwanted = suppress or ["npai", "plainte"]
+    unwanted = suppress or NON_WEBMAIL_SUPPRESSION
     named = model["fichier_list"].filter(main_number(F.col("fichier_num")).isin(files))
     held = _links(model, "fichier_match", "fichier_id", named)
     held = held.select("mail_id", "fichier_num").distinct()

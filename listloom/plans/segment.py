@@ -110,6 +110,8 @@ class Segment:
             "ouvreur": "base_ouvreur",
             "ouvreur_campagne": "campagne_ouvreur",
             "criteo": "log_criteo",
+            "mxm": "base_mxm",
+            "not_b2c": "base_not_b2c",
         }
         return keys_of(self.model.rows(tables[name]))
 
