@@ -20,6 +20,7 @@ no word has weight and all scores are the share of toxic labels, one quarter if
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +42,8 @@ LEAST = 3
 # Least log likelihood ratio of an entry against chance.
 SURPRISE = 9.2
 PREFIXES = (4, 5, 6)
-KEPT = 400_000
+# Tokens that a task remembers, and texts that it handles at once.
+KEPT, TEXTS = 150_000, 250
 
 # Letters that a sign may stand for.
 SIGNS = {
@@ -148,12 +150,14 @@ class Restorer:
         self.kept: dict[str, list[str]] = {}
 
     def token(self, token: str) -> list[str]:
+        if token.isalpha() and not RUN.search(token):
+            return [token.lower()]
         found = self.kept.get(token)
         if found is None:
             if len(self.kept) >= KEPT:
                 self.kept.clear()
             if token.isalpha():
-                found = [decode(token, self.language)] if RUN.search(token) else [token.lower()]
+                found = [decode(token, self.language)]
             elif APART.fullmatch(token):
                 found = WORDS.findall(decode(token.strip(EDGES), self.language))
             else:
@@ -190,19 +194,23 @@ def features(word: str) -> list[str]:
     return ["=" + word, *("^" + word[:n] for n in PREFIXES if len(word) >= n)]
 
 
-def _seen(language: np.ndarray, wanted: set[str] | None):
-    """(feature, doc, before) once per text and word before it, for all or for the wanted features."""
+def _chunks(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(at, TEXTS)
+
+
+def _seen(language: np.ndarray):
+    """(feature, doc, before) once per text and word before it."""
 
     def run(batches):
         restore = Restorer(language)
-        for batch in batches:
+        for batch in _chunks(batches):
             rows = set()
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 before = ""
                 for word in restore.words(text):
-                    for f in features(word):
-                        if wanted is None or f in wanted:
-                            rows.add((f, doc, before if wanted is None else ""))
+                    rows.update((f, doc, before) for f in features(word))
                     before = word
             if rows:
                 f, d, b = zip(*rows, strict=True)
@@ -211,6 +219,20 @@ def _seen(language: np.ndarray, wanted: set[str] | None):
     return run
 
 
+def _counted(language: np.ndarray, wanted: set[str]):
+    """(feature, n): texts with each wanted feature, added up over some texts."""
+
+    def run(batches):
+        restore = Restorer(language)
+        for batch in _chunks(batches):
+            counts: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update({f for word in set(restore.words(text)) for f in features(word) if f in wanted})
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
+
+    return run
+
+
 def evidence_of(words: list[str], weights: dict[str, float]) -> float:
     total = 0.0
     for word in set(words):
@@ -260,7 +282,7 @@ class Scorer:
 def _evidence(model: Model):
     def run(batches):
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in _chunks(batches):
             values = [scorer.evidence(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], ["row", "evidence"])
 
@@ -300,11 +322,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = frozen(rows.join(F.broadcast(given), F.col("doc_id") == F.col("labelled")).select(F.col("doc_id").alias("doc"), "text", "toxic"))
 
-    found = rows.filter("toxic = 1").select("doc", "text").mapInArrow(_seen(language, None), "feature string, doc long, before string")
+    found = rows.filter("toxic = 1").select("doc", "text").mapInArrow(_seen(language), "feature string, doc long, before string")
     by_text = found.groupBy("feature").agg(F.count_distinct("doc").alias("docs"), F.count_distinct("before").alias("befores"))
     toxic = {r["feature"]: r["n"] for r in by_text.select("feature", F.least("docs", "befores").alias("n")).filter(F.col("n") >= LEAST).collect()}
-    counted = rows.filter("toxic = 0").select("doc", "text").mapInArrow(_seen(language, set(toxic)), "feature string, doc long, before string")
-    clean = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.count_distinct("doc").alias("n")).collect()}
+    counted = rows.filter("toxic = 0").select("text").mapInArrow(_counted(language, set(toxic)), "feature string, n long")
+    clean = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count_distinct("doc").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     weights = {}
@@ -336,7 +358,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def _verdicts(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in _chunks(batches):
             at = batch.schema.names.index("_text_")
             values = np.array([scorer.evidence(t) for t in batch.column(at).to_pylist()])
             keep = values * model.slope + model.offset < 0
