@@ -168,6 +168,5 @@ def judge(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float = W
 def quality_report(docs: DataFrame) -> DataFrame:
     """One row per document: counts, base verdict and verdict."""
     return judge(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "char_distance", "word_distance",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

@@ -73,6 +73,59 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _SPACED_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("'", "''").replace("\t", "' || chr(9) || '").replace("\n", "' || chr(10) || '")
+    return "('" + escaped.replace("\x0b", "' || chr(11) || '").replace("\x0c", "' || chr(12) || '").replace("\r", "' || chr(13) || '") + "')"
+
+
+_COMMON = sorted({w for ws in quality.COMMON_WORDS.values() for w in ws})
+# (kind, number, count) of each bin of the two histograms; the last of each kind takes the rest.
+_BINS = [
+    *[f"('char', {k}, length(t) - length(translate(t, {_quoted(c)}, '')))" for k, c in enumerate(quality.CLASSES)],
+    *[f"('word', {k}, len(list_filter(w, lambda x: x = '{word}')))" for k, word in enumerate(_COMMON)],
+]
+_LANGUAGES = ", ".join(f"'{g}'" for g in quality.COMMON_WORDS)
+_QUALITY = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, CASE WHEN lang IN ({_LANGUAGES}) THEN lang ELSE 'other' END AS grp,
+    coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+),
+runs AS (SELECT rid, i, array_to_string(w[i : i + 4], ' ') AS win FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM runs) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY rid),
+base AS (
+  SELECT d.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+    len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')))
+      - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')))) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS base_failed
+  FROM d LEFT JOIN covered USING (rid)
+),
+listed AS (
+  SELECT rid, grp, base_failed, length(t) AS n_chars, n_words, unnest([{", ".join(f"{{'kind': {b.split(', ')[0][1:]}, 'k': {b.split(', ')[1]}, 'c': {b.split(', ', 2)[2][:-1]}}}" for b in _BINS)}], recursive := true)
+  FROM base
+),
+bins AS (
+  SELECT rid, grp, base_failed, kind, k, c FROM listed
+  UNION ALL SELECT rid, any_value(grp), any_value(base_failed), kind, -1,
+    CASE kind WHEN 'char' THEN any_value(n_chars) ELSE any_value(n_words) END - sum(c) FROM listed GROUP BY rid, kind
+),
+refs AS (SELECT grp, kind, k, CAST(sum(c) AS DOUBLE) AS r FROM bins WHERE NOT base_failed GROUP BY grp, kind, k),
+parts AS (
+  SELECT rid, kind, c / nullif(sum(c) OVER (PARTITION BY rid, kind), 0) AS p, r / nullif(sum(r) OVER (PARTITION BY rid, kind), 0) AS q
+  FROM bins JOIN refs USING (grp, kind, k)
+),
+far AS (
+  SELECT rid, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS distance FROM parts WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY rid, kind
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(word_chars >= {quality.CHAR_LEAST} AND c.distance > {quality.CHAR_LIMIT}, false)
+    AND NOT coalesce(n_words >= {quality.WORD_LEAST} AND v.distance > {quality.WORD_LIMIT}, false) AS kept
+FROM base LEFT JOIN far c ON c.rid = base.rid AND c.kind = 'char' LEFT JOIN far v ON v.rid = base.rid AND v.kind = 'word'
+"""
+
 ORACLE: dict[str, str] = {
     "op6_decontamination": rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_ALNUM_WORDS} AS w FROM documents),
@@ -93,6 +146,7 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
 """,
+    "op7_quality": _QUALITY,
     "op10_jaccard": rf"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_SPACED_WORDS} AS w FROM documents),
 s AS (
