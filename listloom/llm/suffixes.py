@@ -44,6 +44,8 @@ LEAST, GRAM = 50, 10
 SPAN = LEAST - GRAM + 1
 REACH = LEAST - GRAM
 NEAR = 3
+# Texts and suffixes that a task handles at once.
+TEXTS, ROWS = 400, 4000
 FILTER_BITS = 1 << 26
 # Stands for a missing id.
 NO_ID = -(1 << 63)
@@ -88,7 +90,7 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
 
 
 def _grams(batches):
-    for batch in batches:
+    for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
         found = [np.unique(selected(words)[1]) for words in _texts(batch, 0)]
         held = np.concatenate(found) if found else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], ["gram"])
@@ -96,7 +98,7 @@ def _grams(batches):
 
 def _suffixes(bits: np.ndarray):
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
             parts: list[list] = [[] for _ in NAMES]
             for doc, words in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
                 at, gram = selected(words)
@@ -177,8 +179,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ahead = NEAR + 1
     headed = 0
     for whole in batches:
-        for at in range(0, whole.num_rows, 20_000):
-            batch = whole.slice(at, 20_000)
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
             if headed < ahead:
                 some = batch.slice(0, ahead - headed)
                 headed += some.num_rows
@@ -211,7 +213,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
             # The tail reaches back over the last row's own run.
             keep = min(int(run[n - 1]) - 1, n - ahead) if run[n - 1] > 0 else n - ahead
-            keep = max(keep, 0, n - 20_000)
+            keep = max(keep, 0, n - ROWS)
             tail = both.slice(keep)
     if tail is not None:
         yield edge(2, tail.slice(max(tail.num_rows - ahead, 0)))
