@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from listloom.llm.components import components
 from listloom.llm.lists import stars
-from listloom.llm.text import SPACES, let, lowered, packed, same_row, ship, split_words, text_of
+from listloom.llm.text import SPACES, let, let_go, lowered, packed, ship, split_words, text_of
 from listloom.session import frozen
 
 ship(__name__)
@@ -53,6 +53,8 @@ SLACK = 2
 SCAN_COST = 4
 # Light sets are sought up to this size at most: beyond it, subsets are past all bounds.
 LIGHT_MOST = 40
+# Texts that a task handles at once.
+TEXTS = 500
 # Pairs of one star that are compared in one task.
 STAR = 2000
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -131,6 +133,9 @@ def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
     lists = batch.column(column)
     values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
     offsets = lists.offsets.to_numpy()
+    # A slice of a batch still has all of its values.
+    if len(offsets):
+        values, offsets = values[offsets[0] : offsets[-1]], offsets - offsets[0]
     m = [_odd(i) for i in range(1, SIZE + 1)]
     rolled = np.zeros(0, np.uint64)
     if len(values) >= SIZE:
@@ -195,7 +200,8 @@ def _signed(light: int):
     """doc_id, text_key, n_shingles, name, and, for the first copy in a batch only, the set's keys, their ranks and its sketch."""
 
     def run(batches):
-        for batch in batches:
+        let_go()
+        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
             sizes, names, keys, ranks, sketches = [], [], [], [], []
             seen: set[int] = set()
             for s in shingle_sets(batch, 2):
@@ -236,6 +242,7 @@ def _text_set(text: str) -> set[str] | set[tuple[str, ...]]:
 
 def _compare(batches):
     """Rows in order of star; the centre's row comes first in each."""
+    let_go()
     star, centre, middle = None, None, 0
     for batch in batches:
         a, b = [], []
@@ -457,9 +464,10 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     kept = kept.withColumn("all", F.lit(False)).unionByName(
         found.filter("group is null").select("doc_id", "text_key").distinct().withColumn("all", F.lit(True))
     )
-    rows = packed(docs)
-    joined = rows.join(kept, same_row(rows, kept)).select(rows["row"], rows["doc_id"], rows["text_key"], "all")
-    once = joined.filter("not all").groupBy("doc_id", "text_key").agg(F.first("row").alias("row"))
+    # Rows meet by one number for id and text, and stay where they met when repeats are taken out.
+    rows, kept = (df.withColumn("_key", _holder()) for df in (packed(docs), kept))
+    joined = rows.join(kept.select("_key", "all"), "_key")
+    once = joined.filter("not all").groupBy("_key", "doc_id", "text_key").agg(F.first("row").alias("row"))
     return once.select("row.*").unionByName(joined.filter("all").select("row.*"))
 
 

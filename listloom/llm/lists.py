@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listloom.llm.text import ship
+from listloom.llm.text import let_go, ship
 from listloom.session import frozen
 
 ship(__name__)
@@ -25,6 +25,7 @@ _OUT = "kind int, part int, key long, pivot long, member long"
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     part = TaskContext.get().partitionId()
     last_key = last_member = pivot = None
     named = False  # whether the open list's first member was given

@@ -24,6 +24,21 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+# What an operator keeps in a Python worker from task to task.
+WORKER = "listloom_worker"
+
+
+def let_go() -> None:
+    """Drop what other operators keep in this Python worker, and freed memory; a worker may serve one after another."""
+    import pyarrow
+
+    sys.modules.pop(WORKER, None)
+    pyarrow.default_memory_pool().release_unused()
+
+
+ship(__name__)
+
+
 def text_of(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listloom.llm.text import ship, text_of
+from listloom.llm.text import WORKER, ship, text_of
 from listloom.session import shared_folder
 
 ship(__name__)
@@ -200,7 +200,7 @@ class Encoder:
 
 def encoder_of(path: str) -> Encoder:
     """The encoder of this Python worker; tasks that run in it one after another share what it has learned."""
-    kept = sys.modules.setdefault("listloom_worker", ModuleType("listloom_worker"))
+    kept = sys.modules.setdefault(WORKER, ModuleType(WORKER))
     if getattr(kept, "path", None) != path:
         kept.path, kept.encoder = path, Encoder(path)
     return kept.encoder

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from listloom.llm.text import ship, text_of
+from listloom.llm.text import let_go, ship, text_of
 from listloom.session import frozen
 
 ship(__name__)
@@ -86,6 +86,7 @@ def _symbol(c: str) -> int:
 
 
 def _trigrams(batches):
+    let_go()
     for batch in batches:
         counts = np.zeros(SYMBOLS**3, np.int64)
         for at in range(0, batch.num_rows, 256):
@@ -195,6 +196,7 @@ def features(word: str) -> list[str]:
 
 
 def _chunks(batches):
+    let_go()
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS):
             yield batch.slice(at, TEXTS)
