@@ -227,15 +227,26 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["page_id", "html_key", "shared"])
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of each page with their kinds; lines that are no main text keep their place only."""
+    for batch in batches:
+        held = [lines(h) for h in batch.column(3).to_pylist()]
+        texts = [[t if kind != NONE else "" for t, kind in page] for page in held]
+        kinds = [[kind for _, kind in page] for page in held]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(texts, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int8()))], ["page_id", "html_key", "url", "lines", "kinds"]
+        )
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for html, shared in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            held = lines(html)
+        for held, kinds, shared in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
             gone = set(shared or ())
-            has_main = any(kind == OWN for _, kind in held)
+            has_main = OWN in kinds
             texts.append("\n".join(
-                t for i, (t, kind) in enumerate(held) if kind == OWN or (kind == MAYBE and not has_main and i not in gone)
+                t for i, (t, kind) in enumerate(zip(held, kinds, strict=True))
+                if kind == OWN or (kind == MAYBE and not has_main and i not in gone)
             ))
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
@@ -272,11 +283,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
     found = frozen(shared_lines(pages))
     # Rows that agree in everything have the same lines; one of their results will do for all.
     found = found.groupBy("page_id", "html_key").agg(F.max("shared").alias("shared"))
-    rows = pages.withColumn("html_key", F.xxhash64("url", "html"))
-    same = rows["page_id"].eqNullSafe(found["page_id"]) & (rows["html_key"] == found["html_key"])
-    joined = rows.join(found, same, "left").select(
-        rows["page_id"], "url", F.coalesce("html", F.lit("")).alias("html"), "shared"
+    # Lines travel to their shared places, not the markup around them.
+    rows = pages.select("page_id", F.xxhash64("url", "html").alias("html_key"), "url", F.coalesce("html", F.lit("")).alias("html")).mapInArrow(
+        _cut, "page_id long, html_key long, url string, lines array<string>, kinds array<tinyint>"
     )
+    same = rows["page_id"].eqNullSafe(found["page_id"]) & (rows["html_key"] == found["html_key"])
+    joined = rows.join(found, same, "left").select(rows["page_id"], "url", "lines", "kinds", "shared")
     return joined.mapInArrow(_texts, "page_id long, url string, text string")
 
 
