@@ -7,7 +7,8 @@ URLs. The lines of a pair are aligned by their longest common subsequence, and l
 Two rules stand beside the comparison. Blocks that the markup itself names as no main text (menus, headers,
 footers, sidebars, adverts, forms, scripts, styles, notices, comments of readers)
 are deleted even if no other page shares them. Blocks inside an article or a main element are kept even if
-another page shares them, as two articles may quote the same passage.
+another page shares them, as two articles may quote the same passage. Lines outside of them stay or go by the
+comparison, whether the page has such an element or not.
 
 Only hashes of lines travel with the order and the pairs; the texts are cut again
 where the shared lines are known. Pages are numbered over a range-partitioned sort and paired by number, so a host with
@@ -243,10 +244,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for held, kinds, shared in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
             gone = set(shared or ())
-            has_main = OWN in kinds
             texts.append("\n".join(
-                t for i, (t, kind) in enumerate(zip(held, kinds, strict=True))
-                if kind == OWN or (kind == MAYBE and not has_main and i not in gone)
+                t for i, (t, kind) in enumerate(zip(held, kinds, strict=True)) if kind == OWN or (kind == MAYBE and i not in gone)
             ))
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 

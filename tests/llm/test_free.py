@@ -284,6 +284,12 @@ def test_main_texts(spark):
     assert pages.pages_report(df.filter("false")).count() == 0
 
 
+def test_lines_beside_an_article_go_by_the_comparison_alone(spark):
+    page = "<div>Menu of the site</div><article class='card'><p>teaser {0}</p></article><div>body {0}</div><div class='footer'>f</div>"
+    df = spark.createDataFrame([(i, f"http://g.example/{i}", page.format(i)) for i in range(3)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.pages_report(df).collect()} == {i: f"teaser {i}\nbody {i}" for i in range(3)}
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
