@@ -1,7 +1,7 @@
 """Main text of web pages: lines that a page shares with the nearest page of its host are no text of its own.
 
 Each page is cut into lines, one for each block of its markup. Pages are put in order of
-host and URL path, and each one is paired with the pages before and after it on its host: the nearest
+host and URL path, and each one is paired with the pages before and after it on its host whose lines differ: the nearest
 URLs. The lines of a pair are aligned by their longest common subsequence, and lines in it are shared and deleted.
 
 Two rules stand beside the comparison. Blocks that the markup itself names as no main text (menus, headers,
@@ -15,8 +15,10 @@ where the shared lines are known. Pages are numbered over a range-partitioned so
 a third of all pages is spread over many tasks.
 
 Cases: null and empty html give an empty text. A null URL, or one without a host, is a host of its own kind.
-Pages with equal host and path follow each other by id. Repeated rows are pages of their own: a page whose
-neighbour is its copy loses all lines outside its article. Unclosed and crossed tags, missing ends and stray
+Pages with equal host and path follow each other by id. Pages that follow each other with equal lines are
+compared as one with the nearest pages whose lines differ. A near copy, which shares nine tenths of the longer page's
+characters, is no witness: nothing is deleted for it, so pages amid near copies may keep lines of the site. Rows that repeat
+id, URL and html are read as a page and its copy, and lose all lines outside their article. Unclosed and crossed tags, missing ends and stray
 signs are read as browsers would, roughly. An empty table gives no rows.
 """
 
@@ -74,6 +76,11 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=/])|aria-hidden\s*=\s*[\"']?true|di
 SPACE = re.compile(r"\s+")
 
 OWN, MAYBE, NONE = 1, 0, -1
+# Lengths of lines travel in the lowest bits of their hashes.
+LENGTH_BITS = 16
+LONGEST = (1 << LENGTH_BITS) - 1
+# Two pages that share so much of the longer one's text are copies.
+NEAR_COPY = 0.9
 
 
 # Names of comments of readers, which may be articles in themselves.
@@ -212,9 +219,14 @@ def _hash(line: str) -> int:
     return xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _coded(line: str, kind: int) -> int:
+    """The line's hash, with the length of what may be main text in its lowest bits."""
+    return _hash(line) >> LENGTH_BITS << LENGTH_BITS | (min(len(line), LONGEST) if kind != NONE else 0)
+
+
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [[_hash(t) for t, _ in lines(h)] for h in batch.column(4).to_pylist()]
+        found = [[_coded(t, kind) for t, kind in lines(h)] for h in batch.column(4).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:4], pa.array(found, pa.list_(pa.int64()))], ["page_id", "html_key", "host", "path", "lines"]
         )
@@ -223,9 +235,17 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for own, *near in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            found.append(sorted({i for other in near if other for i in common(own, other)}))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["page_id", "html_key", "shared"])
+        for own, *near in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            gone: set[int] = set()
+            for other in near:
+                if other:
+                    at = common([x >> LENGTH_BITS for x in own], [x >> LENGTH_BITS for x in other])
+                    size = lambda page: sum(x & LONGEST for x in page)
+                    # A near copy tells nothing of what the site repeats.
+                    if size([own[i] for i in at]) < NEAR_COPY * max(size(own), size(other)):
+                        gone.update(at)
+            found.append(sorted(gone))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["run", "shared"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,35 +279,44 @@ def path_of(url: Column) -> Column:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, html_key, shared): places of the lines that a page shares with a nearest page."""
+    """(page_id, html_key, shared): places of the lines that a page shares with a nearest page that is no copy of it."""
     rows = pages.select(
         "page_id", F.xxhash64("url", "html").alias("html_key"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
         F.coalesce("html", F.lit("")).alias("html"),
     ).mapInArrow(_hashes, "page_id long, html_key long, host string, path string, lines array<long>")
     order = [F.col(c).asc_nulls_first() for c in ("host", "path", "page_id", "html_key")]
-    placed = with_position(rows, order, "place")
-    step = lambda by, name: placed.select(
-        (F.col("place") + by).alias("place"), F.col("host").alias("near_host"), F.col("lines").alias(name)
+    placed = with_position(rows, order, "place").withColumn("content", F.xxhash64("host", "lines"))
+    # Pages of a host that follow each other with equal lines are one run.
+    narrow = placed.select("page_id", "html_key", "place", "content")
+    last = narrow.select((F.col("place") + 1).alias("place"), F.col("content").alias("last"))
+    fresh = narrow.join(last, "place", "left").withColumn("fresh", F.coalesce(F.col("content") != F.col("last"), F.lit(True)).cast("int"))
+    runs = with_position(fresh.drop("last", "content"), [F.col("place")], "run", "fresh").withColumn("run", F.col("run") + F.col("fresh"))
+    firsts = runs.filter("fresh = 1").select("run", "place")
+    heads = firsts.join(placed.select("place", "host", "lines"), "place").select("run", "host", "lines")
+    step = lambda by, name: heads.select(
+        (F.col("run") + by).alias("run"), F.col("host").alias("near_host"), F.col("lines").alias(name)
     )
-    both = placed.select("page_id", "html_key", "host", "place", "lines")
+    both = heads
     for by, name in ((1, "before"), (-1, "after")):
-        both = both.join(step(by, name), "place", "left").withColumn(name, F.when(F.col("near_host") == F.col("host"), F.col(name))).drop("near_host")
-    both = both.select("page_id", "html_key", "lines", "before", "after")
-    return both.mapInArrow(_shared, "page_id long, html_key long, shared array<int>")
+        both = both.join(step(by, name), "run", "left").withColumn(name, F.when(F.col("near_host") == F.col("host"), F.col(name))).drop("near_host")
+    found = both.select("run", "lines", "before", "after").mapInArrow(_shared, "run long, shared array<int>")
+    return runs.select("page_id", "html_key", "run").join(found, "run").select("page_id", "html_key", "shared")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) per row of ``pages``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     found = frozen(shared_lines(pages))
-    # Rows that agree in everything have the same lines; one of their results will do for all.
-    found = found.groupBy("page_id", "html_key").agg(F.max("shared").alias("shared"))
+    # Rows that agree in everything have the same lines and meet each other.
+    found = found.groupBy("page_id", "html_key").agg(F.max("shared").alias("shared"), (F.count("*") > 1).alias("twice"))
     # Lines travel to their shared places, not the markup around them.
     rows = pages.select("page_id", F.xxhash64("url", "html").alias("html_key"), "url", F.coalesce("html", F.lit("")).alias("html")).mapInArrow(
         _cut, "page_id long, html_key long, url string, lines array<string>, kinds array<tinyint>"
     )
     same = rows["page_id"].eqNullSafe(found["page_id"]) & (rows["html_key"] == found["html_key"])
-    joined = rows.join(found, same, "left").select(rows["page_id"], "url", "lines", "kinds", "shared")
+    joined = rows.join(found, same, "left").select(
+        rows["page_id"], "url", "lines", "kinds", F.when(F.col("twice"), F.sequence(F.lit(0), F.size("lines"))).otherwise(F.col("shared")).alias("shared")
+    )
     return joined.mapInArrow(_texts, "page_id long, url string, text string")
 
 

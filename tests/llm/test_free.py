@@ -290,6 +290,17 @@ def test_lines_beside_an_article_go_by_the_comparison_alone(spark):
     assert {r["page_id"]: r["text"] for r in pages.pages_report(df).collect()} == {i: f"teaser {i}\nbody {i}" for i in range(3)}
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    site = "<div>Site</div><div>body of {0}, long enough to tell one page from the other</div>"
+    near = "<div>{0}</div><div>" + "the text of a page that is stored again and again " * 5 + "</div>"
+    rows = [("h", "a", "one"), *[("h", f"b?page={i}", "two") for i in range(5)], ("h", "c", "three"), *[("i", f"x?ref={i}", "same") for i in range(3)]]
+    rows = [(k, f"http://{h}.example/{u}", site.format(b), f"body of {b}, long enough to tell one page from the other") for k, (h, u, b) in enumerate(rows)]
+    rows = [(k, u, p, t if "//h." in u else "Site\n" + t) for k, u, p, t in rows]
+    rows += [(50 + i, f"http://j.example/{i}", near.format(i), f"{i}\n" + ("the text of a page that is stored again and again " * 5).strip()) for i in range(3)]
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.pages_report(df).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
