@@ -8,7 +8,8 @@ Two rules stand beside the comparison. Blocks that the markup itself names as no
 footers, sidebars, adverts, forms, scripts, styles, notices, comments of readers)
 are deleted even if no other page shares them. Blocks inside an article or a main element are kept even if
 another page shares them, as two articles may quote the same passage. Lines outside of them stay or go by the
-comparison, whether the page has such an element or not.
+comparison, whether the page has such an element or not. Inside of them no name drops a heading, and ids, which
+are slugs of headings as a rule, drop lists only, and a div whose whole id is such a name.
 
 Only hashes of lines travel with the order and the pairs; the texts are cut again
 where the shared lines are known. Pages are numbered over a range-partitioned sort and paired by number, so a host with
@@ -66,6 +67,8 @@ NAMED = re.compile(
     re.I,
 )
 MAIN = frozenset(["article", "main"])
+# Elements that no name drops inside a main element.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -89,9 +92,18 @@ REMARK = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|repl(?:y|ies))(?:$|[\
 ABOUT = ("has-", "has_", "with-", "with_", "without-", "no-", "no_", "not-")
 
 
-def _named(rest: str, names: re.Pattern) -> bool:
-    for _, a, b, c in ATTRIBUTE.findall(rest):
-        if any(names.search(x) for x in (a or b or c).split() if not x.lower().startswith(ABOUT)):
+# How ids count inside a main element: those of lists do, those of a div as a whole, and others are slugs of headings.
+IDS = {"ul": NAMED.search, "ol": NAMED.search, "div": NAMED.fullmatch}
+
+
+def _no_id(_: str) -> bool:
+    return False
+
+
+def _named(rest: str, names: re.Pattern, ids=None) -> bool:
+    for which, a, b, c in ATTRIBUTE.findall(rest):
+        hit = ids if ids and which.lower() == "id" else names.search
+        if any(hit(x) for x in (a or b or c).split() if not x.lower().startswith(ABOUT)):
             return True
     return False
 
@@ -170,7 +182,7 @@ def lines(html: str) -> list[tuple[str, int]]:
                 kind = NONE
             elif name in MAIN:
                 kind = NONE if _named(rest, REMARK) else OWN
-            elif rest and name not in ("body", "html") and _named(rest, NAMED):
+            elif rest and name not in ("body", "html") and not (inside and name in HEADINGS) and _named(rest, NAMED, IDS.get(name, _no_id) if inside else None):
                 kind = NONE
         if kind != stack[-1][1]:
             flush()

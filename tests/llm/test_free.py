@@ -301,6 +301,14 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert {r["page_id"]: r["text"] for r in pages.pages_report(df).collect()} == {r[0]: r[3] for r in rows}
 
 
+def test_slugs_of_headings_drop_nothing_of_an_article():
+    page = (
+        "<article><header class='entry-header'><h1>T</h1></header><h2 id='related-work'>R</h2><section id='search-algorithms'><p id='notice'>s</p></section>"
+        "<div id='header-files'>d</div><div class='share'>x</div><div id='comments'>c</div><ul id='related'><li>y</ul></article><div id='sidebar'>z</div>"
+    )
+    assert [t for t, kind in pages.lines(page) if kind == pages.OWN] == ["T", "R", "s", "d"]
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
