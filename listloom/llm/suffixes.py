@@ -1,26 +1,22 @@
-"""Repeated passages by sparse suffix arrays.
-
-Of all suffixes of the texts (in words), only those at content-selected positions are kept: a
-position is selected where the hash of the next ``GRAM`` words is the least of ``SPAN`` in a row. Any passage of
-``LEAST`` words holds a selected position, and the same one in all its copies. The
-kept suffixes are sorted and neighbours compared: the words to the right give the common
-prefix, the words to the left extend the match backwards. A match counts if it is ``LEAST`` words long.
-
-A suffix is kept as a 64-bit hash of its first words and 32-bit hashes of the ``REACH`` words after them and
-before them, just enough to see whether a match has ``LEAST`` words; what a longer passage has beyond that is covered by its
-other positions. Suffixes whose first words occur once have no partner and are left out
-before the sort by a filter of fixed size. The sort is by ranges over first words, words after, words before and
-text, so that a passage with very many copies lies in several partitions; the last rows of a partition meet the first ones of
-the next in a table of a few rows per partition.
-
-Matches are between two texts: rows of the same text are passed over. A suffix is compared with
-``NEAR`` rows on either side and the next of another text, since a text may share more words on its left with the one
-after next. Where more texts than that part on the right within ``REACH`` words, a passage's left end may come out short, by less than
-``SPAN`` words.
+"""Repeated passages by suffixes that are sorted as far as a passage must agree.
+
+A passage of ``LEAST`` words that stands in two texts is the beginning of a suffix of each. Suffixes are named by a 64-bit
+hash of their first ``LEAST`` words and sorted by it: those that agree in all these words follow each other, whatever stands before
+and after them, and a match counts if two texts are among them. What a longer passage has beyond that is covered by its other
+suffixes.
+
+Only suffixes that may have a partner are kept: of the ``GRAM``-word runs in the first ``LEAST`` words the one with the least
+hash is the same in all copies, so that a suffix whose least run stands in one text only is left out
+before the sort, by a filter of fixed size.
+
+The sort is by ranges over hash, text and place, so that a passage with very many copies lies in several partitions.
+Sorted rows are read in lots. Of a hash that lies wholly in a lot all rows are settled there: each meets the
+smallest other text. The first and last hash of a lot may go on in the next one, or in other partitions; their rows wait, and the two
+smallest texts of each such hash are found over all lots from one row per lot.
 
 Cases: null and empty texts, and texts of fewer than ``LEAST`` words, have no passages. Copies of a text
-repeat as a whole. Rows with equal ids are one text to each other; rows without an id are too. A-Z count as a-z.
-An empty table gives no rows.
+repeat as a whole. Rows with equal ids are one text to each other, and a text that repeats itself only has no passages; rows without an id
+are one text too. A-Z count as a-z. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,17 +37,12 @@ ship(__name__)
 
 LEAST, GRAM = 50, 10
 SPAN = LEAST - GRAM + 1
-REACH = LEAST - GRAM
-NEAR = 3
 # Texts and suffixes that a task handles at once.
-TEXTS, ROWS = 400, 4000
+TEXTS, ROWS = 400, 100_000
 FILTER_BITS = 1 << 26
 # Stands for a missing id.
 NO_ID = -(1 << 63)
 
-ROW = "gram long, ahead binary, behind binary, doc long, at int, before int, after int"
-NAMES = [x.split()[0] for x in ROW.split(", ")]
-
 
 def _slide(x: np.ndarray, size: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) over each ``size`` values in a row."""
@@ -64,21 +54,28 @@ def _slide(x: np.ndarray, size: int, pick) -> np.ndarray:
     return pick(held[: len(held) - rest], held[rest:]) if rest else held
 
 
-def selected(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Selected positions of a text and the hashes of the words from there; none if it is too short."""
+def least_runs(words: np.ndarray) -> np.ndarray:
+    """Per place with ``LEAST`` words from there: the least hash of the runs of ``GRAM`` words in them."""
     if len(words) < LEAST:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64)
     n = len(words) - GRAM + 1
     gram = words[:n] * _odd(300)
     for i in range(1, GRAM):
         gram = gram + words[i : n + i] * _odd(300 + i)
-    gram = _mix(gram)
-    low = _slide(gram, SPAN, np.minimum)
-    # A position is the least of some run if the largest of the minima around it is its own hash.
-    edge = np.zeros(SPAN - 1, np.uint64)
-    around = _slide(np.concatenate([edge, low, edge]), SPAN, np.maximum)
-    at = np.flatnonzero(around == gram)
-    return at, gram[at]
+    return _slide(_mix(gram), SPAN, np.minimum)
+
+
+def beginnings(words: np.ndarray) -> np.ndarray:
+    """Per place with ``LEAST`` words from there: their hash."""
+    if len(words) < LEAST:
+        return np.zeros(0, np.uint64)
+    step = iter(range(400, 500))
+
+    def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        k = next(step)
+        return _mix(a * _odd(k) + _mix(b * _odd(k + 50)))
+
+    return _slide(words, LEAST, both)
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
@@ -91,7 +88,7 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
 
 def _grams(batches):
     for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
-        found = [np.unique(selected(words)[1]) for words in _texts(batch, 0)]
+        found = [np.unique(least_runs(words)) for words in _texts(batch, 0)]
         held = np.concatenate(found) if found else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], ["gram"])
 
@@ -99,132 +96,88 @@ def _grams(batches):
 def _suffixes(bits: np.ndarray):
     def run(batches):
         for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
-            parts: list[list] = [[] for _ in NAMES]
+            parts: list[list] = [[], [], []]
             for doc, words in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
-                at, gram = selected(words)
-                if not len(at):
-                    continue
-                slot = gram % np.uint64(FILTER_BITS)
+                slot = least_runs(words) % np.uint64(FILTER_BITS)
                 held = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
-                at, gram = at[held], gram[held]
-                if not len(at):
-                    continue
-                # Big-endian, so that the order of bytes is one of words.
-                short = np.concatenate([np.zeros(REACH, ">u4"), (words >> np.uint64(32)).astype(">u4"), np.zeros(REACH, ">u4")])
-                step = np.arange(REACH)
-                ahead = short[(at + REACH + GRAM)[:, None] + step]
-                behind = short[(at + REACH - 1)[:, None] - step]
-                for part, values in zip(parts, (
-                    gram.view(np.int64), ahead.view("S%d" % (4 * REACH)).reshape(-1), behind.view("S%d" % (4 * REACH)).reshape(-1),
-                    np.full(len(at), doc), at.astype(np.int32), np.minimum(at, REACH).astype(np.int32),
-                    np.minimum(len(words) - at - GRAM, REACH).astype(np.int32),
-                ), strict=True):
-                    part.append(values)
+                at = np.flatnonzero(held)
+                if len(at):
+                    for part, values in zip(parts, (beginnings(words)[at].view(np.int64), np.full(len(at), doc), at.astype(np.int32)), strict=True):
+                        part.append(values)
             if parts[0]:
-                columns = [np.concatenate(p) for p in parts]
-                fixed = [pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * REACH), len(columns[0]), [None, pa.py_buffer(np.ascontiguousarray(columns[i]))]).cast(pa.binary()) for i in (1, 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), *fixed, *(pa.array(c) for c in columns[3:])], NAMES
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], ["key", "doc", "at"])
 
     return run
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, REACH)
-
-
-def _compare(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Matches of rows i and j: (doc, start, end, other) for both sides."""
-    same = (rows["gram"][i] == rows["gram"][j]) & (rows["doc"][i] != rows["doc"][j])
-    i, j = i[same], j[same]
-
-    def reach(words: str, limit: str) -> np.ndarray:
-        differ = rows[words][i] != rows[words][j]
-        n = np.where(differ.any(axis=1), differ.argmax(axis=1), REACH)
-        return np.minimum(n, np.minimum(rows[limit][i], rows[limit][j]))
-
-    right, left = reach("ahead", "after"), reach("behind", "before")
-    long = left + GRAM + right >= LEAST
-    i, j, right, left = i[long], j[long], right[long], left[long]
-    return tuple(
-        np.concatenate([x(i, j), x(j, i)])
-        for x in (
-            lambda a, _: rows["doc"][a],
-            lambda a, _: rows["at"][a] - left,
-            lambda a, _: rows["at"][a] + GRAM + right,
-            lambda _, b: rows["doc"][b],
-        )
-    )
-
-
-FOUND = "kind int, part int, doc long, start int, end int, other long, " + ROW.replace("doc long", "text long")
-FOUND_NAMES = [x.split()[0] for x in FOUND.split(", ")]
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches (kind 0), and the first (1) and last (2) rows of the partition, which meet those of other partitions."""
-    part = TaskContext.get().partitionId()
-    schema = pa.schema([(n, {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for n, x in zip(FOUND_NAMES, FOUND.split(", "), strict=True)])
-
-    def edge(kind: int, rows: pa.RecordBatch) -> pa.RecordBatch:
-        n = rows.num_rows
-        none = lambda t: pa.nulls(n, t)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()), none(pa.int64()), none(pa.int32()), none(pa.int32()), none(pa.int64()),
-             *rows.columns], schema=schema,
-        )
-
-    tail: pa.RecordBatch | None = None
-    ahead = NEAR + 1
-    headed = 0
-    for whole in batches:
-        for at in range(0, whole.num_rows, ROWS):
-            batch = whole.slice(at, ROWS)
-            if headed < ahead:
-                some = batch.slice(0, ahead - headed)
-                headed += some.num_rows
-                yield edge(1, some)
-            old = tail.num_rows if tail is not None else 0
-            both = pa.Table.from_batches([tail, batch] if old else [batch]).combine_chunks().to_batches()[0]
-            rows = {n: both.column(k).to_numpy() for k, n in enumerate(NAMES) if n not in ("ahead", "behind")}
-            rows |= {n: _matrix(both.column(NAMES.index(n))) for n in ("ahead", "behind")}
-            n = both.num_rows
-            found = []
-            for d in range(1, NEAR + 1):
-                j = np.arange(max(old, d), n)
-                found.append(_compare(rows, j - d, j))
-            # The last row of another text before each row's run of its own.
-            same = np.concatenate([[False], (rows["gram"][1:] == rows["gram"][:-1]) & (rows["doc"][1:] == rows["doc"][:-1])])
-            run = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
-            j = np.arange(old, n)
-            j = j[(run[j] > 0) & (j - run[j] + 1 > NEAR)]
-            found.append(_compare(rows, run[j] - 1, j))
-            docs, starts, ends, others = (np.concatenate(x) for x in zip(*found, strict=True))
-            if len(docs):
-                order = np.lexsort((others, ends, starts, docs))
-                docs, starts, ends, others = (x[order] for x in (docs, starts, ends, others))
-                new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1]) | (ends[1:] != ends[:-1])])
-                m = int(new.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(m, np.int32)), pa.array(np.full(m, part, np.int32)), pa.array(docs[new]),
-                     pa.array(starts[new].astype(np.int32)), pa.array(ends[new].astype(np.int32)), pa.array(others[new]),
-                     *(pa.nulls(m, t.type) for t in list(schema)[6:])], schema=schema,
-                )
-            # The tail reaches back over the last row's own run.
-            keep = min(int(run[n - 1]) - 1, n - ahead) if run[n - 1] > 0 else n - ahead
-            keep = max(keep, 0, n - ROWS)
-            tail = both.slice(keep)
-    if tail is not None:
-        yield edge(2, tail.slice(max(tail.num_rows - ahead, 0)))
-
-
-def _sorted_matches(rows: DataFrame, order: list[str]) -> DataFrame:
-    return rows.sortWithinPartitions(*order).select(*NAMES).mapInArrow(_neighbours, FOUND)
+# Rows of a lot, packed: texts, places and other texts. Waiting rows are of one key, with the two smallest texts that the lot has of it.
+LOT = "key long, first long, next long, n int, rows binary"
+LOT_SCHEMA = pa.schema([("key", pa.int64()), ("first", pa.int64()), ("next", pa.int64()), ("n", pa.int32()), ("rows", pa.binary())])
+
+
+def _settled(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Sorted rows by key, text and place, as packed rows."""
+    n = len(key)
+    change = np.concatenate([[True], key[1:] != key[:-1]])
+    start = np.flatnonzero(change)
+    group = np.cumsum(change) - 1
+    low = doc[start]
+    # The first row of each group whose text is not its smallest one.
+    higher = np.flatnonzero(doc != low[group])
+    next_at = np.full(len(start), -1)
+    next_at[group[higher][::-1]] = higher[::-1]
+    found: list[tuple] = []
+
+    def put(rows: np.ndarray, other: np.ndarray, of: int | None) -> None:
+        m = len(rows)
+        if m:
+            raw = doc[rows].astype("<i8").tobytes() + other.astype("<i8").tobytes() + at[rows].astype("<i4").tobytes()
+            ends = (None, None, None) if of is None else (int(key[start[of]]), int(low[of]), int(doc[next_at[of]]) if next_at[of] >= 0 else None)
+            found.append((*ends, m, pa.compress(raw, "zstd", asbytes=True)))
+
+    edge = {0, len(start) - 1}
+    for g in edge:
+        rows = np.arange(start[g], start[g + 1] if g + 1 < len(start) else n)
+        put(rows, np.zeros(len(rows), np.int64), g)
+    rows = np.flatnonzero((next_at[group] >= 0) & (group > 0) & (group < len(start) - 1))
+    g = group[rows]
+    put(rows, np.where(doc[rows] == low[g], doc[next_at[g]], low[g]), None)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), LOT_SCHEMA.types, strict=True)], schema=LOT_SCHEMA)
+
+
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+
+    def settle() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        return _settled(*(table.column(c).to_numpy() for c in ("key", "doc", "at")))
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= ROWS:
+            yield settle()
+    if held:
+        yield settle()
+
+
+FOUND = "doc long, start int, end int, other long"
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each lot; those that waited meet the smallest of two texts that is not their own."""
+    for batch in batches:
+        for n, rows, two in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            raw = pa.decompress(rows, 20 * n, "zstd", asbytes=True)
+            doc, other, at = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<i8", n, 8 * n), np.frombuffer(raw, "<i4", n, 16 * n)
+            if two is not None:
+                other = np.where(doc == two[0], two[1], two[0])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, at, at + np.int32(LEAST), other)], ["doc", "start", "end", "other"])
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(doc, start, end, other): stretches of words of a text that stand in another text too; they may overlap."""
+    """(doc, start, end, other): each ``LEAST`` words in a row of a text that stand in another text too, and the smallest such text."""
     words = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), word_hashes(text_of()).alias("words")
     )
@@ -242,20 +195,14 @@ def matches(docs: DataFrame) -> DataFrame:
     def suffixes(batches):
         yield from _suffixes(shared.value)(batches)
 
-    order = ["gram", "ahead", "behind", "doc", "at"]
-    rows = words.mapInArrow(suffixes, ROW)
-    found = frozen(_sorted_matches(rows.repartitionByRange(*order), order))
-    # The edge between two partitions that have rows: a few rows of each.
-    parts = found.filter("kind > 0").select("part").distinct()
-    parts = parts.select("part", F.row_number().over(W.orderBy("part")).alias("nth"))
-    edges = found.filter("kind > 0").join(parts, "part").withColumn("edge", F.col("nth") + F.col("kind") - 1)
-    # Rows of different edges must not meet: the edge is part of their hash.
-    edges = edges.select(
-        F.xxhash64("gram", "edge").alias("gram"), "ahead", "behind", F.col("text").alias("doc"), "at", "before", "after", "edge"
-    )
-    over = _sorted_matches(edges.repartition("edge"), ["edge", *order])
-    columns = ["doc", "start", "end", "other"]
-    return found.filter("kind = 0").select(*columns).unionByName(over.filter("kind = 0").select(*columns))
+    order = ["key", "doc", "at"]
+    rows = words.mapInArrow(suffixes, "key long, doc long, at int")
+    lots = frozen(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lots, LOT))
+    waiting = lots.filter("first is not null")
+    texts = waiting.select("key", F.explode(F.array("first", "next")).alias("doc")).filter("doc is not null")
+    two = texts.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("doc")), 1, 2).alias("two")).filter("size(two) = 2")
+    settled = lots.filter("first is null").select("n", "rows", F.lit(None).cast("array<long>").alias("two"))
+    return settled.unionByName(waiting.join(two, "key").select("n", "rows", "two")).mapInArrow(_unpacked, FOUND)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

@@ -193,6 +193,19 @@ def test_passages_do_not_depend_on_partitions(spark):
     assert seen[0] == seen[1] and len({r[0] for r in seen[0]}) == 120
 
 
+def test_passages_with_a_frequent_tail(spark):
+    rng = random.Random(13)
+    tail = prose(rng, 30)
+    rows = []
+    for k in range(12):
+        own = prose(rng, 20 + k)
+        rows += [(10 * k + i, f"{prose(rng, 15)} {own} {tail} {prose(rng, 15)}", 50 + k) for i in range(2)]
+    rows += [(1000 + i, f"{prose(rng, 30)} {tail} {prose(rng, 30)}", None) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["doc_id"]: (r["start_word"], r["end_word"], r["other_id"]) for r in suffixes.repeated_passages(docs).collect()}
+    assert got == {d: (15, 15 + n, d + 1 - 2 * (d % 10)) for d, _, n in rows if n}
+
+
 # token files
 
 
