@@ -40,6 +40,8 @@ SPAN = LEAST - GRAM + 1
 # Texts and suffixes that a task handles at once.
 TEXTS, ROWS = 400, 100_000
 FILTER_BITS = 1 << 26
+_ODD = {k: _odd(400 + k) for k in range(128)}
+_RUN_ODD = [_odd(300 + i) for i in range(GRAM)]
 # Stands for a missing id.
 NO_ID = -(1 << 63)
 
@@ -59,9 +61,9 @@ def least_runs(words: np.ndarray) -> np.ndarray:
     if len(words) < LEAST:
         return np.zeros(0, np.uint64)
     n = len(words) - GRAM + 1
-    gram = words[:n] * _odd(300)
+    gram = words[:n] * _RUN_ODD[0]
     for i in range(1, GRAM):
-        gram = gram + words[i : n + i] * _odd(300 + i)
+        gram += words[i : n + i] * _RUN_ODD[i]
     return _slide(_mix(gram), SPAN, np.minimum)
 
 
@@ -69,13 +71,16 @@ def beginnings(words: np.ndarray) -> np.ndarray:
     """Per place with ``LEAST`` words from there: their hash."""
     if len(words) < LEAST:
         return np.zeros(0, np.uint64)
-    step = iter(range(400, 500))
-
-    def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        k = next(step)
-        return _mix(a * _odd(k) + _mix(b * _odd(k + 50)))
-
-    return _slide(words, LEAST, both)
+    # Hashes of 2, 4, ... words by those of half as many; each word has an odd factor of its own.
+    held = {1: words}
+    for k in (1, 2, 4, 8, 16):
+        held[2 * k] = held[k][:-k] * _ODD[2 * k] + held[k][k:] * _ODD[2 * k + 1]
+    n, total, at = len(words) - LEAST + 1, np.uint64(0), 0
+    for k in (32, 16, 8, 4, 2, 1):
+        if LEAST & k:
+            total = total + held[k][at : at + n] * _ODD[k + 64]
+            at += k
+    return _mix(total)
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:

@@ -206,6 +206,18 @@ def test_passages_with_a_frequent_tail(spark):
     assert got == {d: (15, 15 + n, d + 1 - 2 * (d % 10)) for d, _, n in rows if n}
 
 
+def test_long_runs_of_one_text_meet_the_others(spark):
+    passage, short = prose(random.Random(14), 60), prose(random.Random(15), 55)
+    texts = {
+        1: " ".join([f"{passage} zz"] * 9), 2: passage, 3: " ".join([f"{short} yy"] * 5), 4: short, 5: "ja " * (suffixes.ROWS + 20_000), 6: "ja " * 60,
+        7: " ".join([prose(random.Random(16), 70)] * 9),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = Counter((r["doc_id"], r["start_word"], r["end_word"], r["other_id"]) for r in suffixes.repeated_passages(docs).collect())
+    want = [(1, 61 * k, 61 * k + 60, 2) for k in range(9)] + [(2, 0, 60, 1)] + [(3, 56 * k, 56 * k + 55, 4) for k in range(5)]
+    assert got == Counter([*want, (4, 0, 55, 3), (5, 0, suffixes.ROWS + 20_000, 6), (6, 0, 60, 5)])
+
+
 # token files
 
 
