@@ -3,8 +3,8 @@
 A lone key-like text is weak evidence. It is reported only when a part that
 completes it stands nearby: an access id and a secret, or a secret and the
 endpoint it opens. Parts of one text are joined by intervals: they are dealt
-into buckets of ``reach`` characters and meet those of the same and the
-neighbouring buckets, so that a text with very many parts is not joined with itself.
+into buckets of ``reach`` characters, each to all that its span touches, and meet those whose span, widened by the reach, touches
+the same, so that a text with very many parts is not joined with itself.
 
 Spans are in code points, end exclusive. All matches of a pattern are the gaps'
 and matches' lengths added up. Only matches are shuffled, never texts.
@@ -85,15 +85,13 @@ def matches(docs: DataFrame, kind: str) -> DataFrame:
 def linked(parts: DataFrame, reach: int = 300) -> DataFrame:
     """The weak parts that have a completing part at most ``reach`` characters away and no base part over them."""
     role = F.create_map(*[F.lit(x) for k, v in KINDS.items() for x in (k, v[3])])
-    parts = parts.withColumn("role", role[F.col("kind")]).withColumn("bucket", F.floor(F.col("start") / reach))
-    weak = parts.filter(~F.col("kind").isin(*BASE)).alias("a")
-    # Each part shows itself to all buckets that its span, widened by the reach, touches.
-    seen = parts.withColumn(
-        "bucket",
-        F.explode(F.sequence(
-            F.floor((F.col("start") - reach) / reach) - 1, F.floor((F.col("end") + reach) / reach)
-        )),
+    parts = parts.withColumn("role", role[F.col("kind")])
+    # Weak parts lie in all buckets between start and end, others show themselves to all that their span, widened by the reach, touches.
+    dealt = lambda rows, by: rows.withColumn(
+        "bucket", F.explode(F.sequence(F.floor((F.col("start") - by) / reach), F.floor((F.col("end") + by) / reach)))
     )
+    weak = dealt(parts.filter(~F.col("kind").isin(*BASE)), 0).alias("a")
+    seen = dealt(parts, reach)
     wants = F.create_map(*[x for k, v in COMPLETES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     other = seen.alias("b")
     same = (
@@ -103,10 +101,16 @@ def linked(parts: DataFrame, reach: int = 300) -> DataFrame:
     )
     gap = F.greatest(F.col("b.start") - F.col("a.end"), F.col("a.start") - F.col("b.end"))
     near = same & (gap <= reach) & (gap >= 0) & F.array_contains(wants[F.col("a.role")], F.col("b.role"))
-    found = weak.join(other, near, "left_semi")
-    base = seen.filter(F.col("kind").isin(*BASE)).alias("b")
+    span = ["doc_id", "text_key", "kind", "rank", "start", "end"]
+    found = weak.join(other, near, "left_semi").select(*span).distinct()
+    # A span is ruled out by a base part in any of its buckets.
+    found = dealt(found, 0).alias("a")
+    base = dealt(parts.filter(F.col("kind").isin(*BASE)), 0).alias("b")
     over = same & (F.col("b.start") < F.col("a.end")) & (F.col("a.start") < F.col("b.end"))
-    return found.join(base, over, "left_anti").select("doc_id", "text_key", "kind", "rank", "start", "end")
+    marked = found.join(base.select("doc_id", "text_key", "bucket", "start", "end").alias("b"), over, "left_outer").select(
+        *[F.col(f"a.{c}") for c in span], F.col("b.start").isNotNull().alias("hit")
+    )
+    return marked.groupBy(*span).agg(F.max("hit").alias("hit")).filter(~F.col("hit")).drop("hit")
 
 
 def find_secrets(docs: DataFrame, reach: int = 300) -> DataFrame:

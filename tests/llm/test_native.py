@@ -222,3 +222,13 @@ def test_secret_spans(spark, odd_docs, no_docs):
     assert spans[9] == spans[10] == "" == spans[12]
     assert "endpoint" in spans[11] and "key_secret" in spans[11]
     assert secrets.secrets_report(no_docs).count() == 0
+
+
+def test_long_weak_parts_meet_what_follows_their_end(spark):
+    key, url, long_key, long_url = "aB3" * 10, "https://e.example/x", "aB3" * 400, "https://e.example/" + "ab?" * 400
+    inside = f"{long_url}password=hunterhunter" + "&ab" * 400
+    texts = [f"{long_url} {key}", f"{long_key} {url}", f"{url} {long_key}", f"{key} {long_url}", f"{inside} {key}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",")] for r in secrets.secrets_report(docs).collect()}
+    both = ["endpoint", "key_secret"]
+    assert got == {0: both, 1: both[::-1], 2: both, 3: both[::-1], 4: ["assign", "key_secret"]}
