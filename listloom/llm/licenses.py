@@ -4,11 +4,13 @@ All runs of ``K`` words of a text are joined to the places where they stand in
 the templates. A match at word p of a text and word t of a template lies on
 diagonal p - t; a copied notice is a heap of matches on one diagonal, or on
 neighbouring ones where words were added or left out. Votes are counted per
-text, template and diagonal before they are shuffled. Neighbouring diagonals
-whose matches follow each other are merged into one span, and a span counts if its
-matches cover enough of the template's words. Runs are joined as texts, so each
+text, template and diagonal before they are shuffled. Matches on neighbouring diagonals are chained in the text's order where
+text and template both go on, and a chain's span counts if its matches cover enough of the template's words. Runs are joined as texts, so each
 vote is a true match, and a span is verified by the words it covers.
 
+Where spans of two labels overlap, the template that fits better stays: a span is ruled out by another label's chain, of any share, that
+covers all its words and leaves out fewer between, and by a found span with the higher share of template and span.
+
 The templates are a parameter of the scan and the only thing broadcast.
 
 Cases: null and empty texts have no words, phrases or spans. Rows that repeat
@@ -19,11 +21,15 @@ fewer than ``K`` words is never found.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listloom.llm.text import NON_ALNUM, let, lowered, same_row, split_words, with_key
+from listloom.llm.text import NON_ALNUM, let, lowered, same_row, ship, split_words, with_key
+
+ship(__name__)
 
 K = 3
 
@@ -93,29 +99,96 @@ def votes(docs: DataFrame, templates: dict[str, list[str]] | None = None, k: int
     )
 
 
+def chains(matches: list[tuple[int, int]], length: int, slack: int, k: int) -> list[list[tuple[int, int]]]:
+    """Chains of (p, t) matches, the one that covers most first; each match is in one chain at most.
+
+    In a chain p and t rise, and the diagonal moves by ``slack`` at most from one match to the next.
+    """
+    matches = sorted(matches)
+    score, before, first = [], [], 0
+    for i, (p, t) in enumerate(matches):
+        while matches[first][0] < p - length - slack:
+            first += 1
+        best, last = k, -1
+        for j in range(i - 1, first - 1, -1):
+            q, u = matches[j]
+            if q < p and u < t and abs(p - t - q + u) <= slack:
+                # Of equals the match on the nearest diagonal.
+                gain = score[j] + min(k, t - u)
+                if gain > best or gain == best and last >= 0 and abs(p - t - q + u) < abs(p - t - matches[last][0] + matches[last][1]):
+                    best, last = gain, j
+        score.append(best)
+        before.append(last)
+    used, out = [False] * len(matches), []
+    for i in sorted(range(len(matches)), key=lambda i: (-score[i], i)):
+        chain = []
+        while i >= 0 and not used[i]:
+            used[i] = True
+            chain.append(matches[i])
+            i = before[i]
+        if chain:
+            out.append(chain[::-1])
+    return out
+
+
+def found_spans(votes: list[dict], slack: int, least: float, k: int) -> list[tuple[str, int, int, float]]:
+    """(label, start, end, share) of one text's notices."""
+    by_template: dict = {}
+    for v in votes:
+        by_template.setdefault((v["template"], v["label"], v["length"]), []).extend((v["diagonal"] + t, t) for t in v["ts"])
+    held = []
+    for (_, label, length), matches in sorted(by_template.items()):
+        for chain in chains(matches, length, slack, k):
+            words = {p + i for p, _ in chain for i in range(k)}
+            places = {t + i for _, t in chain for i in range(k)}
+            start, end = chain[0][0], chain[-1][0] + k
+            left_out = end - start - len(words) + chain[-1][1] + k - chain[0][1] - len(places)
+            held.append((label, start, end, len(places) / length, len(places) / max(length, end - start), left_out, words))
+    good = [x for x in held if x[3] >= least]
+    # Chains by the words of the text, so that only those that meet are compared.
+    at: dict[int, list[int]] = {}
+    for n, x in enumerate(held):
+        for w in x[6]:
+            at.setdefault(w, []).append(n)
+    good = [
+        x for x in good
+        if not any(held[n][0] != x[0] and held[n][5] < x[5] and x[6] <= held[n][6] for n in at[x[1]])
+    ]
+    out: list[tuple] = []
+    taken: dict[int, tuple] = {}
+    for x in sorted(good, key=lambda x: (-x[4], -len(x[6]), x[1], x[0])):
+        met = {taken[w][:3] for w in x[6] if w in taken}
+        if not any(y[0] != x[0] and 2 * (min(x[2], y[2]) - max(x[1], y[1])) > min(x[2] - x[1], y[2] - y[1]) for y in met):
+            out.append(x[:4])
+            for w in x[6]:
+                taken.setdefault(w, x)
+    return out
+
+
 def notices(
     docs: DataFrame, templates: dict[str, list[str]] | None = None, slack: int = 4, least: float = 0.75, k: int = K
 ) -> DataFrame:
     """(doc_id, text_key, label, start, end, share): verified spans, in words, end exclusive.
 
-    Diagonals at most ``slack`` apart are merged. ``share`` is the part of the template's words that the
+    Matches on diagonals at most ``slack`` apart are chained. ``share`` is the part of the template's words that the
     span's matches cover.
     """
     found = votes(docs, templates, k)
-    order = W.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
-    far = F.col("diagonal") - F.lag("diagonal").over(order) > slack
-    heaps = found.withColumn(
-        "heap", F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0))
-    )
-    spans = heaps.groupBy("doc_id", "text_key", "label", "template", "length", "heap").agg(
-        F.min(F.col("diagonal") + F.array_min("ts")).alias("start"),
-        (F.max(F.col("diagonal") + F.array_max("ts")) + k).alias("end"),
-        F.array_distinct(F.flatten(F.collect_set("ts"))).alias("ts"),
-    )
-    covered = F.size(F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + (k - 1))))))
-    return spans.withColumn("share", covered / F.col("length")).filter(F.col("share") >= least).select(
-        "doc_id", "text_key", "label", F.col("start").cast("long"), F.col("end").cast("long"), "share"
-    )
+    per_doc = found.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("label", "template", "length", "diagonal", "ts")).alias("votes"))
+    types = {f.name: f.dataType.simpleString() for f in per_doc.schema}
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, places = [], []
+            for n, held in enumerate(batch.column(2).to_pylist()):
+                for row in found_spans(held, slack, least, k):
+                    rows.append(row)
+                    places.append(n)
+            at = pa.array(places, pa.int64())
+            columns = [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * 4, (pa.string(), pa.int64(), pa.int64(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *columns], ["doc_id", "text_key", "label", "start", "end", "share"])
+
+    return per_doc.mapInArrow(spans, f"doc_id {types['doc_id']}, text_key {types['text_key']}, label string, start long, end long, share double")
 
 
 def phrase_places(docs: DataFrame, phrases: dict[str, str] | None = None) -> DataFrame:

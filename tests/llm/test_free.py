@@ -285,6 +285,24 @@ def test_license_phrases_and_notices(spark, odd_docs, no_docs):
     assert licenses.license_report(no_docs).count() == 0
 
 
+def test_notices_are_chains_that_fit_best(spark):
+    gpl, lgpl = licenses.TEMPLATES["gpl"][1], licenses.TEMPLATES["lgpl"][0]
+    runs = lgpl.split()
+    scattered = " x y z ".join(" ".join(runs[i : i + 3]) + " w" * (3 * (i // 3)) for i in reversed(range(0, len(runs) - 2, 3)))
+    texts = [
+        "a " + lgpl.replace("lesser ", "") + " b", "a " + gpl + " b", "a " + gpl.replace("gnu general", "gnu lesser general") + " b", lgpl,
+        scattered, f"{lgpl} and {lgpl}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = defaultdict(list)
+    for r in licenses.notices(docs).collect():
+        got[r["doc_id"]].append((r["start"], r["end"], r["label"], r["share"]))
+    n, m = len(gpl.split()), len(runs)
+    assert {d: sorted(x) for d, x in got.items()} == {
+        1: [(1, 1 + n, "gpl", 1.0)], 2: [(1 + n + 1 - m, n + 2, "lgpl", 1.0)], 3: [(0, m, "lgpl", 1.0)], 5: [(0, m, "lgpl", 1.0), (m + 1, 2 * m + 1, "lgpl", 1.0)],
+    }
+
+
 # pages
 
 PAGES = [
