@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import decontaminate, jaccard, licenses, mixing, pages, quality, secrets, suffixes, tokens, toxicity
+from listloom.llm import (
+    decontaminate, infill, jaccard, licenses, mixing, pages, quality, secrets, suffixes, tokens, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,10 +64,14 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_report(_table(spark, folder, "documents"))
 
 
+def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.infill_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_mixing, op2_passages, op3_toxicity, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets,
-        op9_pages, op10_jaccard,
+        op9_pages, op10_jaccard, op13_infill,
     )
 }
 
@@ -90,15 +96,18 @@ _LANGUAGES = ", ".join(f"'{g}'" for g in quality.COMMON_WORDS)
 _QUALITY = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, CASE WHEN lang IN ({_LANGUAGES}) THEN lang ELSE 'other' END AS grp,
-    coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+    coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
 ),
 runs AS (SELECT rid, i, array_to_string(w[i : i + 4], ' ') AS win FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM runs) WHERE n > 1),
 covered AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY rid),
 base AS (
   SELECT d.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
-    len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')))
-      - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')))) AS n_dup_lines,
+    len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')))
+      - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')))) AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS base_failed
   FROM d LEFT JOIN covered USING (rid)
 ),
@@ -160,5 +169,32 @@ reach(x, y) AS (SELECT rid, rid FROM d UNION SELECT r.x, l.y FROM reach r JOIN l
 m AS (SELECT x, min(doc_id) AS component_id FROM reach JOIN d ON y = rid GROUP BY x)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (rid) JOIN m ON m.x = d.rid
+""",
+    "op13_infill": rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+),
+u AS (
+  SELECT *, len(l) AS n, {", ".join(f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS UBIGINT) AS h{k + 1}" for k in range(4))} FROM d
+),
+c AS (SELECT *, CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS a, CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS b FROM u),
+f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(l[1:a], '') AS p, array_to_string(l[a + 1 : b], '') AS m, array_to_string(l[b + 1 :], '') AS s FROM c
+),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS out
+  FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(out) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN out
+    WHEN 'psm' THEN substr(out, 4, strpos(out, '<S>') - 4) || substr(out, strpos(out, '<M>') + 3)
+      || substr(out, strpos(out, '<S>') + 3, strpos(out, '<M>') - strpos(out, '<S>') - 3)
+    ELSE substr(out, strpos(out, '<P>') + 3, strpos(out, '<M>') - strpos(out, '<P>') - 3) || substr(out, strpos(out, '<M>') + 3)
+      || substr(out, 4, strpos(out, '<P>') - 4) END) AS restored_sha256
+FROM o
 """,
 }
