@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listloom.llm.text import let_go, ship, text_of
+from listloom.llm.text import byte_sizes, let_go, lots, ship, text_of
 
 ship(__name__)
 
@@ -156,27 +156,11 @@ def restored(output: bytes, form: str) -> PieceTable:
     return PieceTable((output, *SENTINELS), [pieces[k] for _, k in inverse])
 
 
-def _lots(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Runs of rows of at most ``TEXTS`` rows, and of about ``BYTES`` bytes."""
-    start, held = 0, 0
-    for i, size in enumerate(sizes):
-        if i > start and (i - start >= TEXTS or held + size > BYTES):
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
-def _sizes(column: pa.Array) -> list[int]:
-    return [s or 0 for s in pa.compute.binary_length(column).to_pylist()]
-
-
 def _infill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     let_go()
     names = [f.split()[0] for f in OUTPUT.split(", ")]
     for batch in batches:
-        for a, b in _lots(_sizes(batch.column(1))):
+        for a, b in lots(byte_sizes(batch.column(1)), TEXTS, BYTES):
             ids = batch.column(0).slice(a, b - a)
             texts = batch.column(1).slice(a, b - a).cast(pa.binary()).to_pylist()
             done = [infilled(i, t) for i, t in zip(ids.to_pylist(), texts, strict=True)]
@@ -197,7 +181,7 @@ def _restore(texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("output")
-            for a, b in _lots(_sizes(batch.column(at))):
+            for a, b in lots(byte_sizes(batch.column(at)), TEXTS, BYTES):
                 some = batch.slice(a, b - a)
                 outputs = some.column(at).cast(pa.binary()).to_pylist()
                 tables = [restored(o, f) for o, f in zip(outputs, some.column("form").to_pylist(), strict=True)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from listloom.llm import (
-    decontaminate, infill, jaccard, licenses, mixing, pages, quality, secrets, suffixes, tokens, toxicity,
+    decontaminate, infill, jaccard, licenses, mixing, packing, pages, quality, secrets, suffixes, tokens, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """The standing tokenizer; it is installed beside the libraries of every executor."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A standing tokenizer; it is installed beside the libraries of every executor."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_report(_table(spark, folder, "documents"))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packing_report(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
     return infill.infill_report(_table(spark, folder, "documents"))
 
@@ -71,7 +75,7 @@ def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_mixing, op2_passages, op3_toxicity, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets,
-        op9_pages, op10_jaccard, op13_infill,
+        op9_pages, op10_jaccard, op11_packing, op13_infill,
     )
 }
 

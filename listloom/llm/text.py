@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,26 @@ def let_go() -> None:
 ship(__name__)
 
 
+def lots(sizes: Iterable[int], rows: int, total: int) -> Iterator[tuple[int, int]]:
+    """Runs [a, b) of rows in order, of at most ``rows`` rows and at most ``total`` in size unless one row is larger."""
+    start, end, held = 0, 0, 0
+    for size in sizes:
+        if end > start and (end - start >= rows or held + size > total):
+            yield start, end
+            start, held = end, 0
+        held += size
+        end += 1
+    if end > start:
+        yield start, end
+
+
+def byte_sizes(column: Any) -> list[int]:
+    """Bytes of each text or binary of an Arrow column; none for a null."""
+    import pyarrow.compute as pc
+
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
+
+
 def text_of(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from listloom.llm import infill
+from listloom.llm.text import lots
 
 
 def plain(doc_id, text):
@@ -78,6 +79,6 @@ def test_every_cut_is_restored(form, text):
 
 def test_lots_are_bounded_and_whole():
     sizes = [infill.BYTES] * 3 + [1] * 1200 + [infill.BYTES * 3]
-    lots = list(infill._lots(sizes))
-    assert [i for a, b in lots for i in range(a, b)] == list(range(len(sizes)))
-    assert all(b - a <= infill.TEXTS and (b - a == 1 or sum(sizes[a:b]) <= infill.BYTES) for a, b in lots)
+    found = list(lots(sizes, infill.TEXTS, infill.BYTES))
+    assert [i for a, b in found for i in range(a, b)] == list(range(len(sizes)))
+    assert all(b - a <= infill.TEXTS and (b - a == 1 or sum(sizes[a:b]) <= infill.BYTES) for a, b in found)
