@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from listloom.llm import (
-    decontaminate, infill, jaccard, licenses, mixing, packing, pages, quality, secrets, suffixes, tokens, toxicity,
+    decontaminate, infill, jaccard, licenses, mixing, packing, pages, prefixes, quality, secrets, suffixes, tokens, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_report(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op12_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(_table(spark, folder, "conversations"))
+
+
 def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
     return infill.infill_report(_table(spark, folder, "documents"))
 
@@ -75,7 +79,7 @@ def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_mixing, op2_passages, op3_toxicity, op4_tokens, op5_licenses, op6_decontamination, op7_quality, op8_secrets,
-        op9_pages, op10_jaccard, op11_packing, op13_infill,
+        op9_pages, op10_jaccard, op11_packing, op12_prefixes, op13_infill,
     )
 }
 
@@ -173,6 +177,37 @@ reach(x, y) AS (SELECT rid, rid FROM d UNION SELECT r.x, l.y FROM reach r JOIN l
 m AS (SELECT x, min(doc_id) AS component_id FROM reach JOIN d ON y = rid GROUP BY x)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (rid) JOIN m ON m.x = d.rid
+""",
+    "op12_prefixes": rf"""
+WITH t AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, turn FROM conversations WHERE conv_id IS NOT NULL
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS pos FROM t),
+c AS (
+  SELECT conv_id, conv_id - ((conv_id % 20) + 20) % 20 AS lead, list_reduce(
+      [CAST(4294967295 AS UBIGINT)] || flatten([[CAST(ascii(x) AS UBIGINT), {", ".join(["1099511627776"] * 8)}] FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+      lambda a, x: CASE WHEN x < 1099511627776 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS UBIGINT)) ELSE a >> 1 END
+    ) AS crc FROM (SELECT DISTINCT conv_id FROM t)
+),
+h AS (SELECT conv_id, lead, CASE WHEN lead = conv_id THEN 0 ELSE xor(crc, CAST(4294967295 AS UBIGINT)) % 4 END AS h FROM c),
+u AS (
+  SELECT h.conv_id, 0 AS own, pos, digest, words FROM h JOIN placed p ON p.conv_id = lead AND pos < h
+  UNION ALL SELECT h.conv_id, 1, pos, digest, words FROM h JOIN placed p ON p.conv_id = h.conv_id AND pos >= h
+),
+r AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS k, words FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
+m AS (SELECT conv_id, depth, k, words FROM r UNION ALL SELECT conv_id, 0, '', 0 FROM h),
+e AS (SELECT conv_id, max_by(k, depth) AS k FROM m GROUP BY conv_id),
+ends AS (SELECT k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS s FROM e GROUP BY k),
+n AS (SELECT k, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS own FROM m GROUP BY k),
+kids AS (SELECT left(k, length(k) - 32) AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (k)),
+below AS (
+  SELECT left(k, 32 * j) AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved FROM (SELECT *, unnest(range(depth + 1)) AS j FROM v) GROUP BY 1
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  coalesce(s, sha256('')) AS ends_sha256
+FROM v JOIN below USING (k) LEFT JOIN ends USING (k) LEFT JOIN n p ON v.depth > 0 AND p.k = left(v.k, length(v.k) - 32)
 """,
     "op13_infill": rf"""
 WITH d AS (
