@@ -10,15 +10,16 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listloom import store
 from listloom.catalog.queries import BROKER, _outside, _segment, _supplier_mail, _with_mail
 from listloom.catalog.registry import query
-from listloom.model import IDENTITY, Model
+from listloom.model import IDENTITY, SCHEMAS, Model
 from listloom.operators import joins
 from listloom.plans import recipes
 from listloom.plans.segment import Segment
 from listloom.session import shared_folder
 from listloom.sources import folders, ingest, names, readers, writers
-from listloom.streaming.folder_import import append_arrivals, arriving_rows
+from listloom.streaming.folder_import import append_arrivals, arriving_rows, merge_arrivals
 
 
 def _new_folder(model: Model, name: str) -> str:
@@ -110,9 +111,9 @@ def _import_folder(model: Model) -> str:
 
 
 def _imported(model: Model, table: str, **choice: str) -> DataFrame:
-    store = _new_folder(model, "store")
-    ingest.import_folder(model, _import_folder(model), store, "first", exports=True, **choice)
-    return model.spark.read.parquet(f"{store}/{table}/load=first")
+    folder = _new_folder(model, "store")
+    report = ingest.import_folder(model, _import_folder(model), folder, "first", exports=True, **choice)
+    return report if table == "import_manifest" else store.read(model.spark, folder, table, SCHEMAS[table], load="first")
 
 
 @query
@@ -134,10 +135,10 @@ def import_identities(model: Model) -> DataFrame:
 
 def _store(model: Model, *loads: tuple[str, str], **choice) -> Model:
     """A store that starts empty and takes in folders, load by load, opened as a model after each one."""
-    store = _new_folder(model, "store")
+    target = _new_folder(model, "store")
     for load, folder in loads:
-        ingest.import_folder(Model.from_parquet(model.spark, store), folder, store, load, exports=True, **choice)
-    return Model.from_parquet(model.spark, store)
+        ingest.import_folder(Model.from_parquet(model.spark, target), folder, target, load, exports=True, **choice)
+    return Model.from_parquet(model.spark, target)
 
 
 def _dated_folder(model: Model) -> str:
@@ -203,17 +204,16 @@ def _faulty_folder(model: Model) -> str:
 @query
 def import_rejects(model: Model) -> DataFrame:
     """What an import could not take in, by reason."""
-    store = _new_folder(model, "store")
-    ingest.import_folder(model, _faulty_folder(model), store, "first", exports=True)
-    rejects = model.spark.read.parquet(f"{store}/import_rejects")
+    folder = _new_folder(model, "store")
+    ingest.import_folder(model, _faulty_folder(model), folder, "first", exports=True)
+    rejects = store.read(model.spark, folder, "import_rejects", ingest.book("import_rejects"))
     return rejects.groupBy("field", "reason").agg(F.count("*").alias("n"), F.min("value").alias("least"))
 
 
 @query
 def import_bad_file(model: Model) -> DataFrame:
     """The manifest of a folder with bad files."""
-    store = _new_folder(model, "store")
-    report = ingest.import_folder(model, _faulty_folder(model), store, "first", exports=True)
+    report = ingest.import_folder(model, _faulty_folder(model), _new_folder(model, "store"), "first", exports=True)
     return report.select("place", "lines", "rejected", "unread_birth", "status", "error")
 
 
@@ -239,6 +239,45 @@ def import_report(model: Model) -> DataFrame:
     return report.select("place", "initial", "n_exist", "n_new", "status")
 
 
+@query
+def import_stopped(model: Model) -> DataFrame:
+    """A load that stopped after three of its tables, and ran again: contacts with their numbers, and how many were seen between."""
+    folder, target = _dated_folder(model), _new_folder(model, "store")
+    stopped = store.Load(model.spark, target, "first")
+    for table in ("base", "md5", "lead"):
+        stopped.write(table, model[table])
+    seen = Model.from_parquet(model.spark, target)["base"].agg(F.count("*").alias("seen_before"))
+    seen_before = F.lit(seen.first()[0])
+    ingest.import_folder(Model.from_parquet(model.spark, target), folder, target, "first", exports=True)
+    return Model.from_parquet(model.spark, target)["base"].select("id", "mail", seen_before.alias("seen_before"))
+
+
+@query
+def stream_merge(model: Model) -> DataFrame:
+    """Leads of files that arrived one by one, the last of them after the stream had stopped; it repeats the first and adds an opener."""
+    leads = _with_mail(model, "lead", "ip", "provenance").select("mail", "ip", "provenance")
+    folder, target = _new_folder(model, "arrivals"), _new_folder(model, "store")
+    later = leads.unionByName(_mails(model, "base_ouvreur").withColumns({"ip": F.lit("0.0.0.0"), "provenance": F.lit("later")}))
+    for files in ({"n1__leads__": leads, "n2__export__regie_ads": _mails(model, "base_npai")}, {"n3__again__ouvreur": later}):
+        _write(folder, **files)
+        merge_arrivals(model.spark, folder, target, f"{target}-state", exports=True, per_batch=8).awaitTermination()
+    opened = Model.from_parquet(model.spark, target)
+    openers = opened["base_ouvreur"].withColumn("opener", F.lit(True))
+    facts = joins.inner_on(opened.contacts, opened["lead"].select("mail_id", "ip", "provenance"), hot=[])
+    return joins.left_one(facts, openers, "id", "mail_id", repeats=True).select("mail", "ip", "provenance", F.coalesce("opener", F.lit(False)).alias("opener"))
+
+
+@query
+def mixed_encodings(model: Model) -> DataFrame:
+    """The same names from files of three encodings, which are guessed."""
+    names_ = _with_mail(model, "id", "prenom").select("mail", F.translate("prenom", "aeioubcd", "àéîôùßçñ").alias("prenom"))
+    folder = _new_folder(model, "encodings")
+    for number, encoding in enumerate(("UTF-8", "ISO-8859-1", "UTF-16"), 1):
+        names_.write.csv(f"{folder}/{number}_names_[mail,prenom].csv", sep=";", encoding=encoding, nullValue="", emptyValue="")
+    rows = readers.read_folder(model.spark, folder, ["mail", "prenom"], encoding="guess", exports=True)
+    return rows.select("mail", "prenom", names.file_number("source_file").alias("number"))
+
+
 @query
 def stream_import(model: Model) -> DataFrame:
     """The import folder read as a stream that stops when all files are in."""
@@ -283,9 +322,9 @@ def broker_membership(model: Model) -> DataFrame:
 @query
 def replaced_table(model: Model) -> DataFrame:
     """The packed identities as a table that a job replaces as a whole."""
-    store = _new_folder(model, "table")
-    writers.overwrite_table(model["id_unik"], store, "id_unik")
-    return model.spark.read.parquet(f"{store}/id_unik")
+    folder = _new_folder(model, "table")
+    writers.overwrite_table(model["id_unik"], folder, "id_unik")
+    return model.spark.read.parquet(f"{folder}/id_unik")
 
 
 @query

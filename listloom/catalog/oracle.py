@@ -447,6 +447,13 @@ def oracle_sql() -> dict[str, str]:
                 SELECT b.mail, 1 AS load FROM base b WHERE b.id IN (SELECT mail_id FROM lead UNION SELECT mail_id FROM base_ouvreur UNION SELECT mail_id FROM base_npai)
                 UNION ALL SELECT b.mail, 2 FROM base b WHERE b.id IN (SELECT mail_id FROM sms) UNION ALL SELECT {stranger}, 2 FROM regie_list)
               GROUP BY mail)""",
+        "import_stopped": """SELECT row_number() OVER (ORDER BY mail) AS id, mail, CAST(0 AS BIGINT) AS seen_before FROM base
+            WHERE id IN (SELECT mail_id FROM lead UNION SELECT mail_id FROM base_ouvreur UNION SELECT mail_id FROM base_npai)""",
+        "stream_merge": """SELECT b.mail, x.ip, x.provenance, b.id IN (SELECT mail_id FROM lead UNION SELECT mail_id FROM base_ouvreur) AS opener
+            FROM base b JOIN (SELECT DISTINCT mail_id, ip, provenance FROM lead
+              UNION SELECT mail_id, '0.0.0.0', 'later' FROM base_ouvreur) x ON x.mail_id = b.id""",
+        "mixed_encodings": """SELECT b.mail, translate(i.prenom, 'aeioubcd', 'àéîôùßçñ') AS prenom, CAST(n AS DOUBLE) AS number
+            FROM base b JOIN id i ON i.mail_id = b.id, (SELECT unnest([1, 2, 3]) AS n)""",
         "import_two_folders": f"""SELECT fichier_num, count(DISTINCT mail) AS contacts, CAST(1 AS BIGINT) AS files FROM (
               SELECT '305' AS fichier_num, b.mail FROM base b JOIN lead l ON l.mail_id = b.id
               UNION ALL SELECT '306', b.mail FROM base b JOIN base_ouvreur o ON o.mail_id = b.id

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     BooleanType,
@@ -18,6 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from listloom import store
 from listloom.operators.skew import hot_keys_of_table
 
 _KINDS = {
@@ -83,14 +83,8 @@ IDENTITY = ["civilite", "prenom", "nom", "cp", "ville", "birth"]
 
 
 def stored(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
-    """A table of a store with the columns of its schema; empty if nothing was written yet."""
-    schema = schema or SCHEMAS[name]
-    try:
-        return spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """A table of a store with the columns of its schema; empty if nothing was written yet. Loads that are not finished are not seen."""
+    return store.read(spark, folder, name, schema or SCHEMAS[name])
 
 
 class Model:
@@ -116,9 +110,10 @@ class Model:
     def from_parquet(cls, spark: SparkSession, folder: str) -> Model:
         """One Parquet folder per table, read with the schema of the model; folders of loads are one table.
 
-        A table without a folder is empty.
+        A table without a folder is empty. The loads that are finished by now are seen, in all tables the same.
         """
-        return cls(spark, lambda name: stored(spark, folder, name))
+        found = store.marks(spark, folder)
+        return cls(spark, lambda name: store.read(spark, folder, name, SCHEMAS[name], found=found))
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str = "default") -> Model:

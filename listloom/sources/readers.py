@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from listloom.functions.clean import mail_hash, normal_mail, valid_mail
 from listloom.operators.dedupe import drop_missing, first_per_key, sort_unique, text_order
+from listloom.sources.encodings import GUESS, TWO_BYTE, decoded, file_encodings, guessed, lines_by, raw_lines
 from listloom.sources.names import list_files, order_files, source_file
 
 
@@ -45,19 +46,16 @@ def read_table(spark: SparkSession, query: str, **tables: DataFrame) -> DataFram
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     """Lines with their file, their place in the scan, and whether they are in the file's first block."""
-    if encoding.upper() in ("UTF-8", "UTF8"):
-        lines = spark.read.text(path).withColumnRenamed("value", "line")
-    else:
-        lines = spark.read.schema("line string").csv(
-            path, sep="\u0001", quote="", encoding=encoding, mode="PERMISSIVE"
-        )
-    return lines.select(
-        "line",
-        source_file(),
-        (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
-        # The same in every scan of these files, as it counts the lines of each block.
-        F.monotonically_increasing_id().alias("_order"),
-    )
+    lines = raw_lines(spark, path, TWO_BYTE.get(encoding))
+    if encoding == GUESS:
+        return lines_by(spark, path, guessed(lines))
+    return lines.withColumn("line", decoded(F.lit(encoding))).drop("raw")
+
+
+def _without_first(lines: DataFrame) -> DataFrame:
+    """Lines without the first one of each file."""
+    first = lines.filter("_first_block").groupBy("source_file").agg(F.min("_order").alias("_order"))
+    return lines.join(first, ["source_file", "_order"], "left_anti")
 
 
 def _per_file(df: DataFrame, files: int) -> DataFrame:
@@ -70,11 +68,11 @@ def _per_file(df: DataFrame, files: int) -> DataFrame:
 
 def sniff(
     spark: SparkSession, path: str, n_rows: int = 5, keep: str = "@", sep: str = ",",
-    encoding: str = "UTF-8",
+    encoding: str = GUESS,
 ) -> DataFrame:
     """Per file the number of columns and the leading lines to skip.
 
-    Looks at the first ``n_rows`` lines; of these, all but the last are skipped
+    The encoding is guessed file by file unless it is given. Looks at the first ``n_rows`` lines; of these, all but the last are skipped
     when they lack ``keep``. Every file of a folder is looked at in one job; the
     ranking keeps ``n_rows`` lines per file before anything moves.
     """
@@ -97,7 +95,7 @@ def fit_header(columns: list[str], n_col: int) -> list[str]:
 
 def load_text(
     spark: SparkSession, path: str, columns: list[str], sep: str = ",", keep: str = "@",
-    encoding: str = "UTF-8", drop_bad: bool = False,
+    encoding: str = GUESS, drop_bad: bool = False,
 ) -> DataFrame:
     """A file of unknown shape: preamble skipped by its lines' places, names fitted, all other lines kept.
 
@@ -125,7 +123,7 @@ def read_folder(
     columns: list[str],
     sep: str = ";",
     header: bool = False,
-    encoding: str = "UTF-8",
+    encoding: str | DataFrame = "UTF-8",
     exports: bool = False,
     files: DataFrame | None = None,
 ) -> DataFrame:
@@ -133,7 +131,8 @@ def read_folder(
 
     Gives the wanted ``columns`` (null where a file has none), the file's place
     in the load order, its statuses and its broker tag. ``files`` picks some of
-    the ordered files.
+    the ordered files. ``encoding`` is one for all, or ``guess``, or a frame (source_file, encoding); files of
+    several encodings take a scan for each kind.
     """
     if files is None:
         files = order_files(list_files(spark, folder, exports))
@@ -142,8 +141,18 @@ def read_folder(
     )
     widest, count = files.agg(F.max(F.size("header")), F.count(F.lit(1))).first()
     raw = [f"_c{i}" for i in range(widest or 1)]
-    rows = read_csv(spark, folder, raw, sep, header, encoding, exports=exports)
-    rows = rows.select(*raw, source_file()).join(_per_file(files, count), "source_file")
+    if isinstance(encoding, str) and encoding != GUESS:
+        rows = read_csv(spark, folder, raw, sep, header, encoding, exports=exports).select(*raw, source_file())
+    else:
+        if isinstance(encoding, str):
+            encoding = file_encodings(spark, folder, files.select(F.col("source_file").alias("name")), exports)
+        lines = lines_by(spark, folder, encoding, by_name=True, deep=exports)
+        if header:
+            lines = _without_first(lines)
+        schema = ", ".join(f"`{c}` string" for c in raw)
+        parsed = F.from_csv("line", schema, {"sep": sep, "mode": "PERMISSIVE"})
+        rows = lines.filter("line <> ''").select("source_file", parsed.alias("_row")).select("_row.*", "source_file")
+    rows = rows.join(_per_file(files, count), "source_file")
     values = F.array(*raw)
     placed = [
         F.get(values, F.array_position("header", c).cast("int") - 1).alias(c) for c in columns
