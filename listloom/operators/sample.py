@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -14,12 +13,14 @@ from pyspark.sql import functions as F
 from listloom.operators.dedupe import text_order
 from listloom.operators.joins import inner_on
 from listloom.operators.rank import with_position
+from listloom.session import frozen
 
 # Hash buckets are told apart by this many hex digits: 65,536 buckets.
 _DIGITS = 4
 
-# Packing works on blocks of about this many files.
+# Packing works on blocks of about this many files, and composes what so many of them do.
 _FILES_PER_BLOCK = 50
+_FAN = 16
 
 
 def seeded_hash(seed: int, *keys: str) -> Column:
@@ -188,22 +189,65 @@ def _pass_blocks(groups: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _open_files(passes: DataFrame, threshold: int) -> DataFrame:
-    """Per block the file that is open before it: where it began, and its number."""
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        began, number, block, closed = -threshold - 1, 0, None, True
-        for batch in batches:
-            entries = []
-            for at, upto, out, files in batch.itertuples(index=False):
-                if at != block:
-                    block, closed = at, False
-                    entries.append((at, began, number))
-                if not closed and began < upto:
-                    began, number, closed = out, number + files, True
-            yield pd.DataFrame(entries, columns=["_block", "began", "number"])
+def _apply(passes: pd.DataFrame, began: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the files open after a run of groups began, and their numbers, for files open before it."""
+    at = np.searchsorted(passes["upto"].to_numpy(), began, side="right")
+    closes = at < len(passes)
+    at = np.minimum(at, len(passes) - 1)
+    return (
+        np.where(closes, passes["out"].to_numpy()[at], began),
+        np.where(closes, number + passes["files"].to_numpy()[at], number),
+    )
+
+
+def _then(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
+    """What two neighbouring runs of groups do together, as rows like those of one."""
+    out, files = _apply(second, first["out"].to_numpy(), first["files"].to_numpy())
+    both = first.assign(out=out, files=files)
+    # Files that the first run does not close meet the second one as they are.
+    later = second[second["upto"] > first["upto"].iloc[-1]]
+    both = pd.concat([both, later], ignore_index=True)
+    same = (both["out"] == both["out"].shift(-1)) & (both["files"] == both["files"].shift(-1))
+    return both[~same]
+
+
+def _run(passes: pd.DataFrame) -> list[pd.DataFrame]:
+    """The functions of the nodes among these rows, in order."""
+    return [rows for _, rows in passes.sort_values(["_node", "upto"]).groupby("_node", sort=True)]
+
 
-    in_order = passes.repartition(1).sortWithinPartitions("_block", "upto")
-    return in_order.mapInPandas(fold, "_block long, began long, number long")
+def _compose(passes: pd.DataFrame) -> pd.DataFrame:
+    return reduce(_then, _run(passes)).assign(_node=passes["_up"].iloc[0])[["_node", "upto", "out", "files"]]
+
+
+def _enter(passes: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+    """The open file before each node, from the one before the node above."""
+    began, number = entry["began"].to_numpy(), entry["number"].to_numpy()
+    entries = []
+    for rows in _run(passes):
+        entries.append((rows["_node"].iloc[0], began[0], number[0]))
+        began, number = _apply(rows, began, number)
+    return pd.DataFrame(entries, columns=["_node", "began", "number"])
+
+
+def _open_files(passes: DataFrame, blocks: int, threshold: int) -> DataFrame:
+    """Per block the file that is open before it: where it began, and its number.
+
+    What a block does to the open file is a function; functions of ``_FAN`` neighbours are composed to one, level by
+    level, until ``_FAN`` are left. From the first open file the entries are then worked out down the same tree. A function has no more
+    rows than there are groups within one threshold, so no task's rows grow with the number of groups.
+    """
+    up = F.floor(F.col("_node") / _FAN).cast("long")
+    levels = [passes.withColumnRenamed("_block", "_node")]
+    while blocks > _FAN:
+        above = levels[-1].withColumn("_up", up).groupBy("_up").applyInPandas(_compose, "_node long, upto long, out long, files long")
+        levels.append(frozen(above))
+        blocks = -(-blocks // _FAN)
+    entries = passes.sparkSession.createDataFrame([(0, -threshold - 1, 0)], "_node long, began long, number long")
+    for level in reversed(levels):
+        below = level.withColumn("_up", up).groupBy("_up").cogroup(entries.withColumnRenamed("_node", "_up").groupBy("_up"))
+        entries = below.applyInPandas(_enter, "_node long, began long, number long")
+    return entries.withColumnRenamed("_node", "_block")
 
 
 def pack_numbers(counts: DataFrame, group: str, threshold: int) -> DataFrame:
@@ -212,14 +256,15 @@ def pack_numbers(counts: DataFrame, group: str, threshold: int) -> DataFrame:
     The next file starts where the last one closed, which makes this a fold in
     group order. It is cut into blocks of ``_FILES_PER_BLOCK`` thresholds. Each block
     works out, for all files that may be open before it, which one is open after
-    it; only these few rows per block are folded in order. Then the blocks are
+    it; these functions are composed in a tree. Then the blocks are
     numbered, each from its own open file.
     """
     kind = counts.schema[group].dataType.simpleString()
     groups = with_position(counts.select(group, "n"), text_order(group), "_start", weight="n")
     span = max(threshold, 1) * _FILES_PER_BLOCK
     groups = groups.withColumn("_block", F.floor(F.col("_start") / span).cast("long"))
-    entries = _open_files(_pass_blocks(groups, threshold), threshold)
+    last = groups.agg(F.max("_block")).first()[0]
+    entries = _open_files(frozen(_pass_blocks(groups, threshold)), (last or 0) + 1, threshold)
 
     def number(block: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("_start")

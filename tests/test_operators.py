@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,3 +260,37 @@ def test_random_split(spark):
     assert sorted(parts) == [0, 1, 2, 3, 4] and sum(parts.values()) == 1005
     assert len({r.mail for r in got}) == 1001
     assert sum(r.mail == "always" for r in got) == 5
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+@pytest.mark.parametrize(("per_block", "threshold"), [(1, 0), (1, 7), (2, 30), (5, 3)])
+def test_packing_is_composed_in_a_tree(spark, monkeypatch, fan, per_block, threshold):
+    """Many levels, blocks without groups, and groups larger than a block."""
+    monkeypatch.setattr(sample, "_FILES_PER_BLOCK", per_block)
+    monkeypatch.setattr(sample, "_FAN", fan)
+    rng = random.Random(fan + threshold)
+    sizes = [rng.choice([1, 2, 3, 9, 500 if rng.random() < 0.05 else 4]) for _ in range(200)]
+    counts = frame(spark, list(enumerate(sizes)), "num int, n long")
+    got = {r.num: r.file_number for r in sample.pack_numbers(counts, "num", threshold).collect()}
+    assert [got[g] for g in range(200)] == fold_files(sizes, threshold)
+    assert sample.pack_numbers(counts.filter("false"), "num", threshold).count() == 0
+
+
+def test_composed_functions_are_bounded_and_equal():
+    """One after the other gives what both together give, in no more rows than they have."""
+    import pandas as pd
+
+    rng = random.Random(6)
+    for _ in range(200):
+        made = []
+        for _ in range(2):
+            upto = sorted(rng.sample(range(100), rng.randint(1, 8)))
+            made.append(pd.DataFrame({"_node": 0, "upto": upto, "out": [rng.randint(0, 120) for _ in upto], "files": [rng.randint(1, 3) for _ in upto]}))
+        both = sample._then(*made)
+        assert len(both) <= len(made[0]) + len(made[1])
+        for began in range(-5, 130):
+            at = [[began], [7]]
+            for one in made:
+                at = sample._apply(one, *map(np.array, at))
+            whole = sample._apply(both, np.array([began]), np.array([7]))
+            assert [x.tolist() for x in at] == [x.tolist() for x in whole]
