@@ -327,6 +327,24 @@ def replaced_table(model: Model) -> DataFrame:
     return model.spark.read.parquet(f"{folder}/id_unik")
 
 
+@query
+def replaced_in_store(model: Model) -> DataFrame:
+    """A table of a store that was replaced, and one that is being replaced: what its readers see."""
+    folder = _new_folder(model, "table")
+    for rows in (model["id_unik"].filter("mail_id % 2 = 0"), model["id_unik"]):
+        writers.replace_table(rows, folder, "id_unik")
+    store.Load(model.spark, folder, "stopped").write("id_unik", model["id_unik"])
+    return store.read(model.spark, folder, "id_unik", SCHEMAS["id_unik"])
+
+
+@query
+def stored_membership(model: Model) -> DataFrame:
+    """An export recorded as a load of the store that holds the brokers' members."""
+    rows, folder = recipes.common_with_partner(model, "3-MEDIUM", [BROKER]), _new_folder(model, "membership")
+    writers.write_membership(rows, model.contacts, BROKER, 3, f"{folder}/regie_match", "F", "2015-11-19", "first", whole=True)
+    return Model.from_parquet(model.spark, folder)["regie_match"]
+
+
 @query
 def aliased_columns(model: Model) -> DataFrame:
     rows = Segment(model).suppress("npai").with_identity().drop("id")

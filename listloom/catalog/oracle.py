@@ -389,6 +389,18 @@ def oracle_sql() -> dict[str, str]:
         "natural_left": f"""SELECT i.mail_id, i.civilite, i.prenom, i.birth, k.known FROM id i LEFT JOIN (
             SELECT DISTINCT mail_id, civilite, prenom, true AS known FROM id i2 WHERE {_in(_BROKER, *BROKERS, k='i2.mail_id')}) k
             ON k.mail_id = i.mail_id AND k.civilite IS NOT DISTINCT FROM i.civilite AND k.prenom IS NOT DISTINCT FROM i.prenom""",
+        "segment_sizes": " UNION ALL ".join(f"SELECT '{name}' AS segment, count(*) AS n FROM base b WHERE {where}" for name, where in {
+            "partner": _in(_PARTNER, "1-URGENT"), "classic": _SEGMENT, "file": _in(_FILE, FILES[0]) + " AND " + _without("npai"),
+            "broker": _in(_BROKER, *BROKERS) + " AND " + _in(_PARTNER, "3-MEDIUM"), "openers": _named("ouvreur") + " AND " + _named("criteo"),
+            "campaign": _named("ouvreur_campagne") + " AND " + _without("plainte", "mot"),
+            "both files": _in(_FILE, FILES[0]) + " AND " + _in(_FILE, FILES[1]),
+            "three partners": " AND ".join(_in(_PARTNER, p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM")),
+            "everyone": _without("mxm", "not_b2c"), "nobody": "false",
+        }.items()),
+        "overlap_sketched": """SELECT y.fichier_num, count(DISTINCT f.mail_id) AS size, count(DISTINCT n.mail_id) AS n_exist,
+            count(DISTINCT f.mail_id) - count(DISTINCT n.mail_id) AS n_new
+            FROM fichier_match f JOIN fichier_list y ON y.id = f.fichier_id LEFT JOIN base_npai n ON n.mail_id = f.mail_id
+            GROUP BY y.fichier_num""",
         "overlap_by_file": """SELECT y.fichier_num, count(*) AS initial, count(*) AS sorted,
             count(*) FILTER (WHERE n.mail_id IS NOT NULL) AS n_exist, count(*) FILTER (WHERE n.mail_id IS NULL) AS n_new
             FROM fichier_match f JOIN fichier_list y ON y.id = f.fichier_id LEFT JOIN base_npai n ON n.mail_id = f.mail_id
@@ -493,6 +505,9 @@ def oracle_sql() -> dict[str, str]:
         "broker_membership": f"""SELECT b.id AS mail_id, CAST(3 AS BIGINT) AS regie_id FROM base b WHERE {_in(_PARTNER, '3-MEDIUM')}
             AND {_without(*PARTNER_OUT)} AND NOT {_in(_BROKER, BROKER)}""",
         "replaced_table": "SELECT * FROM id_unik",
+        "replaced_in_store": "SELECT * FROM id_unik",
+        "stored_membership": f"""SELECT b.id AS mail_id, CAST(3 AS BIGINT) AS regie_id FROM base b WHERE {_in(_PARTNER, '3-MEDIUM')}
+            AND {_without(*PARTNER_OUT)} AND NOT {_in(_BROKER, BROKER)}""",
         "aliased_columns": f"""SELECT b.mail, i.civilite AS civi, i.prenom AS firstname, i.nom AS name, i.cp AS codepostal,
             i.ville AS city, i.birth AS naissance {_BASE_ID} WHERE {_without('npai')}""",
         "text_file": "SELECT mail, 'x' AS a, 'y' AS unknown_1 FROM outside",

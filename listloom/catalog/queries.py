@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from listloom.catalog.registry import query
 from listloom.functions import clean, dates
 from listloom.model import IDENTITY, Model
-from listloom.operators import dedupe, identity, joins, match, report, sample, setops
+from listloom.operators import dedupe, identity, joins, match, report, sample, setops, sketches
+from listloom.operators.bitmaps import Wanted
 from listloom.plans import recipes
+from listloom.plans.counts import segment_counts
 from listloom.plans.described import described
 from listloom.plans.layouts import collection_layout, partner_layout
 from listloom.plans.segment import Segment
@@ -612,6 +614,35 @@ def natural_left(model: Model) -> DataFrame:
     return joins.natural(left, right, "left", unique=True)
 
 
+@query
+def segment_sizes(model: Model) -> DataFrame:
+    """How many contacts ten segments have, from one pass over their lists."""
+    partners, brokers = [f"partner:{p}" for p in PARTNERS], [f"broker:{b}" for b in BROKERS]
+    files = [f"file:{f}" for f in FILES]
+    return segment_counts(model, {
+        "partner": Wanted([partners[:1]]),
+        "classic": Wanted([partners, files], [brokers[0], "plainte", "mot", "spam", "npai"]),
+        "file": Wanted([files[:1]], ["npai"]),
+        "broker": Wanted([brokers, ["partner:3-MEDIUM"]]),
+        "openers": Wanted([["ouvreur"], ["criteo"]]),
+        "campaign": Wanted([["ouvreur_campagne"]], ["plainte", "mot"]),
+        "both files": Wanted([files[:1], files[1:]]),
+        "three partners": Wanted([partners[:1], partners[1:], ["partner:3-MEDIUM"]]),
+        "everyone": Wanted([], ["mxm", "not_b2c"]),
+        "nobody": Wanted([["partner:none"]], ["mxm"]),
+    })
+
+
+@query
+def overlap_sketched(model: Model) -> DataFrame:
+    """Contacts of each file, and of these the ones in a list, from sketches; exact up to the keys that a sketch holds."""
+    files = joins.inner_on(
+        model["fichier_match"], model["fichier_list"], "fichier_id", "id", many="rows", hot=model.hot("fichier_match", "fichier_id")
+    )
+    kept = sketches.list_sketches(files, "fichier_num", "mail_id")
+    return sketches.overlaps(kept, Segment(model).named_keys("npai"), "fichier_num", "mail_id")
+
+
 @query
 def overlap_by_file(model: Model) -> DataFrame:
     candidates = joins.inner_on(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listloom.functions.clean import mail_hash
@@ -10,6 +10,13 @@ from listloom.operators.joins import inner_on, key_set, left_many, left_one, nat
 from listloom.operators.skew import hot_keys, spread
 
 
+# So many hashes are broadcast to a store's at most: some 40 MB.
+_FEW_KEYS = 500_000
+
+# Signs of a run by which words are looked for.
+_SEED = 3
+
+
 def join_key(df: DataFrame, reference: DataFrame, wanted: str) -> str | None:
     """The wanted key, else the first shared column, else None."""
     if wanted in df.columns and wanted in reference.columns:
@@ -46,9 +53,16 @@ def match_counts(flagged: DataFrame, exist: str = "exist", new: str = "new", by:
     )
 
 
-def lookup_hash(df: DataFrame, hashes: DataFrame, exist: str = "exist", new: str = "insert") -> DataFrame:
-    """``map_existing`` by md5, with the contact number of the match as ``pg_id``."""
-    known = hashes.filter(F.col("md5").isNotNull()).groupBy(F.col("md5").alias("_k"))
+def lookup_hash(df: DataFrame, hashes: DataFrame, exist: str = "exist", new: str = "insert", few: bool = False) -> DataFrame:
+    """``map_existing`` by md5, with the contact number of the match as ``pg_id``.
+
+    With ``few`` the rows are counted first, and if there are ``_FEW_KEYS`` at most, their hashes are broadcast to
+    the known ones, which then stay where they lie; only those that come in go to the match. ``df`` is read three times then.
+    """
+    known = hashes.filter(F.col("md5").isNotNull())
+    if few and df.count() <= _FEW_KEYS:
+        known = known.join(F.broadcast(df.select("md5").distinct()), "md5", "left_semi")
+    known = known.groupBy(F.col("md5").alias("_k"))
     known = known.agg(F.min("mail_id").alias("pg_id"))
     joined = left_one(df, known, "md5", "_k", repeats=True)
     found = F.col("pg_id").isNotNull()
@@ -94,25 +108,51 @@ def overlap_by_file(
     return match_counts(map_existing(candidates, reference, key, hot=hot), by=[file])
 
 
+def _grams(text: Column, size: int) -> Column:
+    """The runs of ``size`` signs of a text, with their place from 1 on."""
+    return F.when(
+        F.length(text) >= size,
+        F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda at: F.struct(at.alias("at"), F.substring(text, at, F.lit(size)).alias("gram"))),
+    )
+
+
+def _seeds(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(mot_list_id, mot, gram, shift): each word by the one of its grams that fewest addresses hold, and how far into the word it stands."""
+    grams = words.select("mot_list_id", "mot", F.explode(_grams(F.col("mot"), _SEED)).alias("g")).select(
+        "mot_list_id", "mot", (F.col("g.at") - 1).alias("shift"), F.col("g.gram").alias("gram")
+    )
+    # Counted before the shuffle: there are no more grams than texts of three signs.
+    often = pieces.join(grams.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+    ranked = grams.join(often, "gram", "left").withColumn("often", F.coalesce("often", F.lit(0)))
+    best = F.min(F.struct("often", "shift", "gram")).alias("b")
+    return ranked.groupBy("mot_list_id", "mot").agg(best).select("mot_list_id", "mot", F.col("b.gram").alias("gram"), F.col("b.shift").alias("shift"))
+
+
 def word_hits(mails: DataFrame, words: DataFrame, mail: str = "mail") -> DataFrame:
     """Contacts whose address contains a word, as (mail_id, mot_list_id).
 
-    Each address is cut into its substrings of the lengths that occur among the
-    words, and these are joined by equality. The work per address is bounded by
-    its length, whatever the number of words. A contact with one row gives each
-    word once.
+    Each word is looked for by its rarest run of three signs. Addresses are cut into such runs only, as many as an
+    address is long, however many words of however many lengths there are; where a run fits, the whole word is
+    verified at its place. Words of one or two signs are looked for as they are. A contact with one row gives each word once.
     """
-    words = words.filter(F.length("mot") > 0)
-    lengths = words.select(F.collect_set(F.length("mot"))).scalar()
+    words = words.filter(F.length("mot") > 0).select(F.col("id").alias("mot_list_id"), "mot")
     text = mails.select(F.col("id").alias("mail_id"), F.col(mail).alias("_text"))
-    sized = text.withColumn("_size", F.explode(lengths)).filter("_size <= length(_text)")
-    cut = F.transform(
-        F.sequence(F.lit(1), F.length("_text") - F.col("_size") + 1),
-        lambda start: F.substring(F.col("_text"), start, F.col("_size")),
-    )
-    pieces = sized.select("mail_id", F.explode(F.array_distinct(cut)).alias("_piece"))
-    listed = words.select(F.col("id").alias("mot_list_id"), "mot")
-    return pieces.join(listed, F.col("_piece") == F.col("mot")).select("mail_id", "mot_list_id")
+
+    def cut(size: int) -> DataFrame:
+        return text.select("mail_id", "_text", F.explode(_grams(F.col("_text"), size)).alias("g")).select(
+            "mail_id", "_text", F.col("g.at").alias("at"), F.col("g.gram").alias("gram")
+        )
+
+    def found(pieces: DataFrame, seeds: DataFrame) -> DataFrame:
+        # The word's first place in the address, 0 if it has none: it is verified, and counts once.
+        hit = (F.position("mot", "_text") == F.col("at") - F.col("shift")) & (F.col("at") > F.col("shift"))
+        return pieces.join(seeds, "gram").filter(hit).select("mail_id", "mot_list_id")
+
+    hits = found(cut(_SEED), _seeds(words.filter(F.length("mot") >= _SEED), cut(_SEED)))
+    for size in range(1, _SEED):
+        short = words.filter(F.length("mot") == size).select("mot_list_id", "mot", F.col("mot").alias("gram"), F.lit(0).alias("shift"))
+        hits = hits.unionByName(found(cut(size), short))
+    return hits
 
 
 def word_flag(mails: DataFrame, words: DataFrame, flag: str = "exclusion_mot_cle") -> DataFrame:

@@ -33,14 +33,16 @@ def _number(digest: Column, digits: int) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
 
 
-def _cut(df: DataFrame, per: list[str], bucket: str, order: Column) -> tuple[DataFrame, DataFrame]:
+def _cut(df: DataFrame, per: list[str], bucket: str, order: Column, few: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split off, bucket by bucket in order, the first ``_room`` rows of each group.
 
+    ``few`` tells that a group has a fixed number of buckets at most.
+
     Returns the rows of buckets that fit whole, and the rows of the one bucket
     per group that does not, with the room that is left for it.
     """
     counts = df.groupBy(*per, "_room", bucket).agg(F.count(F.lit(1)).alias("_n"))
-    if per:
+    if per or few:
         earlier = W.partitionBy(*per).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     else:
@@ -65,7 +67,7 @@ def _lowest(df: DataFrame, digest: Column, ties: list[str], per: list[str]) -> D
     """The first ``_room`` rows of each group by a hex digest."""
     hashed = df.withColumn("_hash", digest)
     hashed = hashed.withColumn("_bucket", _number(F.col("_hash"), _DIGITS))
-    whole, split = _cut(hashed, per, "_bucket", F.col("_bucket"))
+    whole, split = _cut(hashed, per, "_bucket", F.col("_bucket"), few=True)
     rank = W.partitionBy(*per, "_bucket").orderBy("_hash", *text_order(*ties))
     last = split.withColumn("_rank", F.row_number().over(rank)).filter("_rank <= _room")
     return whole.select(*df.columns).unionByName(last.select(*df.columns))

@@ -295,7 +295,7 @@ def import_folder(
     if deny:
         allowed = allowed & ~F.col("mail").rlike(deny)
     well = F.coalesce(valid_mail("mail"), F.lit(False)) & F.coalesce(allowed, F.lit(False))
-    cleaned = frozen(lookup_hash(clean_rows(rows.filter(well)), known_hashes(model, run)))
+    cleaned = frozen(lookup_hash(frozen(clean_rows(rows.filter(well))), known_hashes(model, run), few=True))
 
     own = _others(run, "md5", own=True).select(F.col("mail_id").alias("id"), "md5") if run.ran_before else None
     added = frozen(new_contacts(cleaned, tops["base"], own))

@@ -10,6 +10,7 @@ from listloom.operators.dedupe import first_per_key, text_order
 from listloom.operators.identity import attribute_map
 from listloom.operators.joins import inner_on, left_one
 from listloom.sources.names import membership_file_name, segment_file_name
+from listloom.store import Load
 
 # Tables that a job may replace as a whole.
 REPLACEABLE = ["id_unik"]
@@ -66,11 +67,12 @@ def manifest(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame
 
 def write_membership(
     df: DataFrame, contacts: DataFrame, broker: str, broker_id: int, table: str,
-    description: str, date: str, load: str,
+    description: str, date: str, load: str, whole: bool = False,
 ) -> DataFrame:
     """Record an export as membership of its broker, once per load and contact.
 
-    A load replaces itself when it is run again.
+    A load replaces itself when it is run again. With ``whole`` the table is one of a store, and the
+    export is a load of it that is seen when it is finished.
     """
     mails = df.select("mail").distinct()
     links = inner_on(contacts, mails, "mail", "mail", hot=[]).select(
@@ -78,7 +80,14 @@ def write_membership(
     )
     links, seen = _counted(links.distinct())
     path = f"{table}/load={load}"
-    links.write.mode("overwrite").parquet(path)
+    if whole:
+        folder, name = table.rstrip("/").rsplit("/", 1)
+        run = Load(df.sparkSession, folder, load)
+        path = run.path(name)
+        run.write(name, links)
+        run.finish()
+    else:
+        links.write.mode("overwrite").parquet(path)
     n = seen.get["rows"]
     return manifest(df.sparkSession, [(path, membership_file_name(date, broker, description, n), n)])
 
@@ -90,6 +99,15 @@ def overwrite_table(df: DataFrame, folder: str, table: str) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/{table}")
 
 
+def replace_table(df: DataFrame, folder: str, table: str) -> None:
+    """Replace one of the tables of a store that may be replaced; readers see the old rows until all new ones are there."""
+    if table not in REPLACEABLE:
+        raise ValueError(f"{table} may not be replaced")
+    run = Load(df.sparkSession, folder, f"all-{table}")
+    run.write(table, df)
+    run.finish()
+
+
 def append_table(df: DataFrame, folder: str, table: str, load: str) -> None:
     """Add one load to a table; running the load again replaces only itself."""
     df.write.mode("overwrite").parquet(f"{folder}/{table}/load={load}")

@@ -294,3 +294,18 @@ def test_composed_functions_are_bounded_and_equal():
                 at = sample._apply(one, *map(np.array, at))
             whole = sample._apply(both, np.array([began]), np.array([7]))
             assert [x.tolist() for x in at] == [x.tolist() for x in whole]
+
+
+def test_words_are_looked_for_by_one_run_each(spark):
+    """Many words of many lengths: an address is cut into as many pieces as it is long, once."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdeé") for _ in range(n))
+    mails = [(i, text(rng.randint(0, 30))) for i in range(120)] + [(500, "abcabcabc"), (501, None), (502, "ab")]
+    words = [(i, text(rng.randint(1, 12)), False) for i in range(2000)] + [(5000, "abc", False), (5001, "abcabc", False), (5002, "", False), (5003, None, False)]
+    base = frame(spark, mails, "id long, mail string")
+    listed = frame(spark, words, "id long, mot string, exclusion boolean")
+    expected = sorted((m, w) for m, t in mails for w, word, _ in words if t and word and word in t)
+    hits = match.word_hits(base, listed)
+    assert sorted(tuple(r) for r in hits.collect()) == expected
+    found = match._seeds(listed.filter("length(mot) > 2").select(F.col("id").alias("mot_list_id"), "mot"), frame(spark, [("abc",)], "gram string"))
+    assert all(len(r.gram) == 3 and r.mot[r["shift"] : r["shift"] + 3] == r.gram for r in found.collect())

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from listloom import store
 from listloom.model import SCHEMAS, Model
-from listloom.sources import encodings, ingest, readers
+from listloom.operators import match
+from listloom.sources import encodings, ingest, readers, writers
 from listloom.streaming.folder_import import merge_arrivals
 
 FILES = {
@@ -203,3 +204,40 @@ def test_header_lines_go_whatever_the_encoding(spark, tmp_path, rows):
     files = {f"{k}_x_[mail].csv": "mail\na@a.example\n".encode(codec) for k, codec in enumerate(["utf-8", "utf-16"], 1)}
     got = readers.read_folder(spark, write(tmp_path / "in", files), ["mail"], header=True, encoding="guess")
     assert rows(got, "mail", "place") == [("a@a.example", 1), ("a@a.example", 2)]
+
+
+def test_memberships_and_replaced_tables_are_loads(spark, tmp_path, monkeypatch, rows):
+    target = str(tmp_path / "store")
+    contacts = spark.createDataFrame([(1, "a"), (2, "b")], "id long, mail string")
+    record = lambda mails, load: writers.write_membership(
+        spark.createDataFrame([(m,) for m in mails], "mail string"), contacts, "ads", 4, f"{target}/regie_match", "F", "2015-11-19", load, whole=True
+    ).first()
+    assert record("a", "l1").rows == 1 and record("abz", "l2").rows == 2 and record("b", "l1").rows == 1
+    members = lambda: rows(Model.from_parquet(spark, target)["regie_match"])
+    assert members() == [(1, 4), (2, 4), (2, 4)]
+    packed = lambda *ids: spark.createDataFrame([(i, *"xxxxxx") for i in ids], SCHEMAS["id_unik"])
+    writers.replace_table(packed(1, 2), target, "id_unik")
+    with monkeypatch.context() as patch:
+        patch.setattr(store.Load, "finish", lambda *a: (_ for _ in ()).throw(Stop()))
+        for change in (lambda: writers.replace_table(packed(3), target, "id_unik"), lambda: record("a", "l2")):
+            with pytest.raises(Stop):
+                change()
+    assert members() == [(1, 4), (2, 4), (2, 4)] and rows(Model.from_parquet(spark, target)["id_unik"], "mail_id") == [(1,), (2,)]
+    writers.replace_table(packed(3), target, "id_unik")
+    assert rows(Model.from_parquet(spark, target)["id_unik"], "mail_id") == [(3,)]
+    with pytest.raises(ValueError):
+        writers.replace_table(packed(3), target, "base")
+
+
+def test_known_hashes_stay_where_they_are(spark, tmp_path, rows):
+    """A few incoming rows are matched without a shuffle of the store's hashes."""
+    store_ = spark.range(50_000).select(F.col("id").alias("mail_id"), F.md5(F.col("id").cast("string")).alias("md5"))
+    store_.write.parquet(str(tmp_path / "md5"))
+    incoming = spark.createDataFrame([(str(i),) for i in (5, 49_999, 60_000)], "t string").select("t", F.md5("t").alias("md5"))
+    found = match.lookup_hash(incoming, spark.read.parquet(str(tmp_path / "md5")), few=True)
+    assert rows(found, "t", "pg_id", "insert") == [("49999", 49999, False), ("5", 5, False), ("60000", None, True)]
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(k for k, line in enumerate(plan) if "FileScan parquet" in line)
+    # From the scan up: nothing moves before the broadcast hashes have cut the rows.
+    above = [line for line in plan[:scan] if "LeftSemi" in line or "Exchange hashpartitioning" in line]
+    assert "BroadcastHashJoin" in above[-1] and "LeftSemi, BuildRight" in above[-1]
