@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from listloom.llm.components import components
 from listloom.llm.lists import stars
-from listloom.llm.text import SPACES, let, let_go, lowered, packed, ship, split_words, text_of
+from listloom.llm.text import SPACES, let, lowered, packed, ship, split_words, text_of, tidy, written
 from listloom.session import frozen
 
 ship(__name__)
@@ -56,7 +56,9 @@ LIGHT_MOST = 40
 # Texts that a task handles at once.
 TEXTS = 500
 # Pairs of one star that are compared in one task.
-STAR = 2000
+STAR = 500
+# Rows with sketches that a task looks at together.
+ROWS = 1000
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # Rows on each side that are compared at once.
 CELL_ROWS = 1024
@@ -184,6 +186,13 @@ def sketch_of(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def sketches(column: pa.Array) -> np.ndarray:
+    """The sketches of a column as rows of ``SKETCH / 64`` numbers, without a copy; each is filled."""
+    bits = np.frombuffer(column.buffers()[2], np.uint64) if len(column) else np.zeros(0, np.uint64)
+    width = SKETCH // 64
+    return bits.reshape(-1, width)[column.offset : column.offset + len(column)]
+
+
 def subset_keys(s: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(left out, keys) of a light set's subsets."""
     mixed = _mix(s ^ _odd(10))
@@ -200,9 +209,8 @@ def _signed(light: int):
     """doc_id, text_key, n_shingles, name, and, for the first copy in a batch only, the set's keys, their ranks and its sketch."""
 
     def run(batches):
-        let_go()
         for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
-            sizes, names, keys, ranks, sketches = [], [], [], [], []
+            sizes, names, keys, ranks, made_sketches = [], [], [], [], []
             seen: set[int] = set()
             for s in shingle_sets(batch, 2):
                 name = set_name(s) if len(s) else None
@@ -214,17 +222,16 @@ def _signed(light: int):
                     made = subset_keys(s) if len(s) <= light else []
                     if is_heavy(len(s), light):
                         made.append((0, part_keys(s)))
-                    sketches.append(sketch_of(s))
+                    made_sketches.append(sketch_of(s).tobytes())
                 else:
-                    sketches.append(np.zeros(0, np.int64))
+                    made_sketches.append(None)
                 keys.append(np.concatenate([k for _, k in made]) if made else np.zeros(0, np.uint64))
                 ranks.append(np.concatenate([np.full(len(k), r, np.int8) for r, k in made]) if made else np.zeros(0, np.int8))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            bits = np.concatenate([[0], np.cumsum([len(k) for k in sketches])]).astype(np.int32)
             listed = lambda at, parts, kind: pa.ListArray.from_arrays(at, pa.array(np.concatenate(parts).view(kind)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
-                 listed(offsets, keys, np.int64), listed(offsets, ranks, np.int8), listed(bits, sketches, np.int64)],
+                 listed(offsets, keys, np.int64), listed(offsets, ranks, np.int8), pa.array(made_sketches, pa.binary())],
                 ["doc_id", "text_key", "n_shingles", "name", "keys", "ranks", "sketch"],
             )
 
@@ -242,7 +249,6 @@ def _text_set(text: str) -> set[str] | set[tuple[str, ...]]:
 
 def _compare(batches):
     """Rows in order of star; the centre's row comes first in each."""
-    let_go()
     star, centre, middle = None, None, 0
     for batch in batches:
         a, b = [], []
@@ -262,58 +268,113 @@ def _compare(batches):
 def centres(lists: DataFrame) -> DataFrame:
     """(centre, name, weight): the members of each list around the one of them that is in most lists; the centre is one of them.
 
-    Of texts that were copied and changed, the least changed one shares most parts with the others.
+    Of texts that were copied and changed, the least changed one shares most parts with the others. A long list was read in several
+    pieces, each with a pivot; its members meet their centre piece by piece.
     """
-    members = lists.select("key", F.col("member").alias("name"))
+    members = lists.select("key", "pivot", F.col("member").alias("name"))
     weights = members.groupBy("name").agg(F.count("*").alias("weight"))
     weighed = members.join(weights, "name")
-    chosen = weighed.groupBy("key").agg(F.max(F.struct("weight", "name")).alias("c"))
-    return members.join(chosen, "key").select(F.col("c.name").alias("centre"), "name", F.col("c.weight").alias("weight")).distinct()
+    pieces = written(weighed.groupBy("key", "pivot").agg(F.max(F.struct("weight", "name")).alias("c")), "pieces")
+    whole = pieces.groupBy("key").agg(F.max("c").alias("c"))
+    chosen = pieces.select("key", "pivot").join(whole, "key")
+    return members.join(chosen, ["key", "pivot"]).select(F.col("c.name").alias("centre"), "name", F.col("c.weight").alias("weight")).distinct()
+
+
+def _allowed(sizes, other_sizes, flips):
+    """Whether sets of these sizes, whose sketches differ in so many bits, may link."""
+    near = flips <= (sizes + other_sizes) * (100 - TOP) // (100 + TOP)
+    return near & (100 * np.minimum(sizes, other_sizes) >= TOP * np.maximum(sizes, other_sizes))
+
+
+PAIRS = "a long, b long, weight long, h_a long, h_b long"
+
+
+def _meet(batches):
+    """Rows in order of star, the centre's row first in each; pairs of the centre and each other set that may link to it."""
+    names = [f.split()[0] for f in PAIRS.split(", ")]
+    held = None
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            star, name, size, weight, holder = (batch.column(i).to_numpy() for i in (0, 2, 3, 4, 5))
+            is_centre = batch.column(1).to_numpy(zero_copy_only=False)
+            bits = sketches(batch.column(6))
+            if held is not None:
+                # The centre of the last star goes on in front of the first rows.
+                star, name, size, weight, holder = (np.concatenate([h, x]) for h, x in zip(held[:5], (star, name, size, weight, holder), strict=True))
+                is_centre, bits = np.concatenate([[True], is_centre]), np.concatenate([held[5], bits])
+            place = np.maximum.accumulate(np.where(is_centre, np.arange(len(star)), -1))
+            rest = np.flatnonzero(~is_centre & (place >= 0))
+            rest = rest[star[rest] == star[place[rest]]]
+            middle = place[rest]
+            flips = np.bitwise_count(bits[rest] ^ bits[middle]).sum(axis=1, dtype=np.int64)
+            near = _allowed(size[rest], size[middle], flips)
+            rest, middle = rest[near], middle[near]
+            columns = [name[middle], name[rest], weight[rest], holder[middle], holder[rest]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            if place[-1] >= 0:
+                last = slice(place[-1], place[-1] + 1)
+                held = (star[last].copy(), name[last].copy(), size[last].copy(), weight[last].copy(), holder[last].copy(), bits[last].copy())
+
+
+def star_pairs(around: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b, weight, h_a, h_b) of a centre and a set around it whose sizes and sketches do not rule out a link.
+
+    Each set goes to its stars with its sketch; a star of more than ``STAR`` sets is dealt to several tasks, each with a copy of its
+    centre. The holders h_a and h_b name one text that holds each set.
+    """
+    # Written once, so that a hot centre can be split in the join by its size.
+    large = frozen(around.groupBy("centre").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("long").alias("shares")).filter("shares > 1"))
+    rows = around.join(sets.select("name", "size", "holder", "sketch"), "name").join(large, "centre", "left")
+    shares = F.coalesce("shares", F.lit(1).cast("long"))
+    is_centre = F.col("centre") == F.col("name")
+    all_shares = F.sequence(F.lit(0).cast("long"), shares - 1)
+    share = F.explode(F.when(is_centre, all_shares).otherwise(F.array(F.call_function("pmod", F.xxhash64("name"), shares))))
+    rows = rows.select("centre", "name", "size", "weight", "holder", "sketch", is_centre.alias("is_centre"), share.alias("share"))
+    rows = rows.select(F.xxhash64("centre", "share").alias("star"), "is_centre", "name", "size", "weight", "holder", "sketch")
+    ordered = rows.repartition("star").sortWithinPartitions("star", F.col("is_centre").desc())
+    return ordered.mapInArrow(tidy(_meet), PAIRS)
 
 
 def _cells(batches):
-    """Pairs of a cell's left and right rows that are in different components and may link."""
-
-    def compare(left, right):
-        a, b = [], []
-        rn, rc, rs, rk = right
-        for at in range(0, len(left[0]), 32):
-            n, c, s, k = (x[at : at + 32] for x in left)
-            flips = np.bitwise_count(k[:, None, :] ^ rk[None]).sum(axis=2, dtype=np.int64)
-            both = s[:, None] + rs[None]
-            near = (flips <= both * (100 - TOP) // (100 + TOP)) & (c[:, None] != rc[None])
-            near &= 100 * np.minimum(s[:, None], rs[None]) >= TOP * np.maximum(s[:, None], rs[None])
-            i, j = np.nonzero(near)
-            a.append(n[i])
-            b.append(rn[j])
-        return a, b
-
-    held, rows, lefts = None, [], []
-
-    def flush():
-        if rows and any(lefts) and not all(lefts):
-            flags = np.array(lefts)
-            columns = [np.array(x) for x in zip(*((r[0], r[1], r[2]) for r in rows), strict=True)]
-            columns.append(np.array([r[3] for r in rows], np.int64).view(np.uint64))
-            return compare(tuple(x[flags] for x in columns), tuple(x[~flags] for x in columns))
-        return [], []
-
-    def out(a, b):
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], ["a", "b"])
-
-    for batch in batches:
-        for star, cell, is_left, *row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-            if (star, cell) != held:
-                yield out(*flush())
-                held, rows, lefts = (star, cell), [], []
-            rows.append(row)
-            lefts.append(is_left)
-    yield out(*flush())
+    """Pairs of a cell's left and right rows that are in different components and may link; rows are in order of cell."""
+    held, parts = None, []
+
+    def compared():
+        """The pairs of the held cell."""
+        is_left, name, component, size, holder, bits = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0)] * 6
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        lefts, rights = np.flatnonzero(is_left), np.flatnonzero(is_left == 0)
+        for at in range(0, len(lefts) if len(rights) else 0, 32):
+            i = lefts[at : at + 32]
+            flips = np.bitwise_count(bits[i][:, None, :] ^ bits[rights][None]).sum(axis=2, dtype=np.int64)
+            near = _allowed(size[i][:, None], size[rights][None], flips) & (component[i][:, None] != component[rights][None])
+            x, y = np.nonzero(near)
+            for held_, values in zip(found, (name[i[x]], name[rights[y]], holder[i[x]], holder[rights[y]]), strict=True):
+                held_.append(values)
+        columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "h_a", "h_b"])
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            cell = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+            is_left = batch.column(2).to_numpy(zero_copy_only=False)
+            name, component, size, holder = (batch.column(i).to_numpy() for i in (3, 4, 5, 6))
+            bits = sketches(batch.column(7))
+            ends = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
+            for x, y in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows], strict=True):
+                here = (int(cell[0, x]), int(cell[1, x]))
+                if here != held:
+                    if parts:
+                        yield compared()
+                    held, parts = here, []
+                parts.append(tuple(c[x:y].copy() for c in (is_left, name, component, size, holder, bits)))
+    yield compared()
 
 
 def near_pairs(around: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) around one centre that may link but are in different components yet.
+    """Pairs (a, b, h_a, h_b) around one centre that may link but are in different components yet.
 
     All that is not in a centre's largest component is compared with all around that centre, by sketches, in
     cells of ``CELL_ROWS`` by ``CELL_ROWS`` rows. Only pairs that pass become rows.
@@ -323,11 +384,12 @@ def near_pairs(around: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
         F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top")
     )
     # A centre with one other set is one pair, which is verified.
-    open_ = counts.filter("top.n < n and n > 2").select(
+    # Written once, so that a hot centre can be split in the join by its size.
+    open_ = frozen(counts.filter("top.n < n and n > 2").select(
         "centre", F.col("top.component").alias("top"),
         F.ceil(F.col("n") / CELL_ROWS).cast("long").alias("across"), F.ceil((F.col("n") - F.col("top.n")) / CELL_ROWS).cast("long").alias("down"),
-    )
-    rows = rows.join(open_, "centre").join(sets.select("name", "size", "sketch"), "name")
+    ))
+    rows = rows.join(open_, "centre").join(sets.select("name", "size", "holder", "sketch"), "name")
     numbers = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     deal = lambda n: F.call_function("pmod", F.xxhash64("name"), n)
     left = rows.filter("component <> top").withColumn("is_left", F.lit(True)).withColumn(
@@ -336,23 +398,9 @@ def near_pairs(around: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
     right = rows.withColumn("is_left", F.lit(False)).withColumn(
         "cell", F.explode(F.transform(numbers(F.col("down")), lambda i: i * F.col("across") + deal(F.col("across"))))
     )
-    cells = left.unionByName(right).select(F.col("centre").alias("star"), "cell", "is_left", "name", "component", "size", "sketch")
+    cells = left.unionByName(right).select(F.col("centre").alias("star"), "cell", "is_left", "name", "component", "size", "holder", "sketch")
     ordered = cells.repartition("star", "cell").sortWithinPartitions("star", "cell")
-    return ordered.mapInArrow(_cells, "a long, b long").distinct()
-
-
-def may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches do not rule out a link, with the texts that hold their sets."""
-    for c in "ab":
-        pairs = pairs.join(sets.select(
-            F.col("name").alias(c), F.col("size").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"), F.col("holder").alias(f"h_{c}")
-        ), c)
-    flips = F.aggregate(
-        F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
-    )
-    different = F.floor((F.col("n_a") + F.col("n_b")) * (100 - TOP) / (100 + TOP))
-    near = 100 * F.least("n_a", "n_b") >= TOP * F.greatest("n_a", "n_b")
-    return pairs.filter(near).filter(flips <= different).drop("n_a", "n_b", "s_a", "s_b")
+    return ordered.mapInArrow(tidy(_cells), "a long, b long, h_a long, h_b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -387,7 +435,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         F.xxhash64("star", "share").alias("key"), "centre", "name", "text"
     )
     ordered = rows.repartition("key").sortWithinPartitions("key", F.col("centre").desc(), "name")
-    return ordered.mapInArrow(_compare, "a long, b long")
+    return ordered.mapInArrow(tidy(_compare), "a long, b long")
 
 
 def _holder() -> F.Column:
@@ -405,12 +453,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     signed = frozen(
         texts.select("doc_id", "text_key", word_hashes(F.col("text")).alias("words")).mapInArrow(
-            _signed(light),
-            "doc_id long, text_key long, n_shingles long, name long, keys array<long>, ranks array<tinyint>, sketch array<long>",
+            tidy(_signed(light)),
+            "doc_id long, text_key long, n_shingles long, name long, keys array<long>, ranks array<tinyint>, sketch binary",
         )
     )
     thin = signed.select("doc_id", "text_key", "n_shingles", "name")
-    # A set's sketch is given with some of its copies only; the others' are empty and smaller.
+    # A set's sketch is given with some of its copies only, and is the same in all of them.
     sets = frozen(
         signed.filter("name is not null").groupBy("name").agg(
             F.min("doc_id").alias("own"), F.min(_holder()).alias("holder"), F.min("n_shingles").alias("size"), F.max("sketch").alias("sketch")
@@ -418,11 +466,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     rows = signed.select("name", F.explode(F.arrays_zip("keys", "ranks")).alias("k"))
     lists = stars(rows.select(F.col("k.keys").alias("key"), F.col("k.ranks").cast("int").alias("rank"), F.col("name").alias("member")))
-    around = frozen(centres(frozen(lists)))
+    around = written(centres(lists), "around")
 
     # Each set with one centre first: most components are found by that.
-    both = around.filter("centre <> name").select(F.col("centre").alias("a"), F.col("name").alias("b"), "weight")
-    pairs = frozen(may_link(both, sets))
+    pairs = frozen(star_pairs(around, sets))
     best = F.max(F.struct("weight", "a", "h_a", "h_b")).alias("m")
     first = pairs.groupBy("b").agg(best).select(F.col("m.a").alias("a"), "b", F.col("m.h_a").alias("h_a"), F.col("m.h_b").alias("h_b"))
     links = frozen(verified(first, texts))
@@ -431,12 +478,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     for each_other in (False, True):
         named = labels.withColumnRenamed("node", "name")
         if each_other:
-            rest = may_link(near_pairs(around.select("centre", "name"), named, sets), sets)
+            rest = near_pairs(around.select("centre", "name"), named, sets)
         else:
             ends = [named.select(F.col("name").alias(c), F.col("component").alias(f"c_{c}")) for c in "ab"]
             rest = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left").filter(
                 F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
             ).select("a", "b", "h_a", "h_b")
+        rest = written(rest, "rest")
+        if rest.isEmpty():
+            continue
         more = frozen(verified(rest, texts))
         if not more.isEmpty():
             links = links.unionByName(more)

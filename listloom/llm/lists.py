@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listloom.llm.text import let_go, ship
-from listloom.session import frozen
+from listloom.llm.text import ship, tidy, written
 
 ship(__name__)
 
@@ -25,7 +24,6 @@ _OUT = "kind int, part int, key long, pivot long, member long"
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    let_go()
     part = TaskContext.get().partitionId()
     last_key = last_member = pivot = None
     named = False  # whether the open list's first member was given
@@ -70,7 +68,7 @@ def stars(rows: DataFrame) -> DataFrame:
     partition before. Repeated rows count once; lists of one member give nothing.
     """
     ordered = rows.select("key", "rank", "member").repartitionByRange("key", "rank", "member")
-    found = frozen(ordered.sortWithinPartitions("key", "rank", "member").mapInArrow(_stars, _OUT))
+    found = written(ordered.sortWithinPartitions("key", "rank", "member").mapInArrow(tidy(_stars), _OUT), "lists")
     ends = found.filter("kind > 0")
     # Two rows per partition.
     before = W.orderBy("part", "kind")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -10,6 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listloom.session import shared_folder
+
 # Separators: space and the control characters from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 # Separators where a word is a run of letters, digits and non-ASCII characters, after lower-casing A-Z.
@@ -37,6 +40,24 @@ def let_go() -> None:
     pyarrow.default_memory_pool().release_unused()
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that begins in a tidy worker and leaves one: freed memory goes back to the system, as a worker stays
+    on, idle, through stages that have no use for it."""
+
+    def whole(batches: Iterator) -> Iterator:
+        import ctypes
+
+        let_go()
+        yield from run(batches)
+        let_go()
+        # Only some C libraries keep freed memory, and have a way to give it back.
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 ship(__name__)
 
 
@@ -60,6 +81,16 @@ def byte_sizes(column: Any) -> list[int]:
     return pc.fill_null(pc.binary_length(column), 0).to_pylist()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet, and read from there.
+
+    Sorted or repeated numbers take a fraction there of what they take in a checkpoint.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))
