@@ -15,8 +15,10 @@ smallest other text. The first and last hash of a lot may go on in the next one,
 smallest texts of each such hash are found over all lots from one row per lot.
 
 Cases: null and empty texts, and texts of fewer than ``LEAST`` words, have no passages. Copies of a text
-repeat as a whole. Rows with equal ids are one text to each other, and a text that repeats itself only has no passages; rows without an id
-are one text too. A-Z count as a-z. An empty table gives no rows.
+repeat as a whole. A text is known by its id and the hash of its words, so that rows that share an id, or have none, stay apart
+unless they are equal; equal rows are one text to each other, and a text that repeats itself only has no passages. A-Z count as a-z. Texts
+are ordered by id, missing ones first, then by that hash. Very long texts are read whole, in lots of their own; other columns are not looked at.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listloom.llm.jaccard import _mix, _odd, word_hashes
-from listloom.llm.text import let, ship, split_words, text_of
+from listloom.llm.text import let, ship, split_words, text_of, written
 from listloom.session import frozen
 
 ship(__name__)
@@ -42,6 +44,8 @@ TEXTS, ROWS = 400, 100_000
 FILTER_BITS = 1 << 26
 _ODD = {k: _odd(400 + k) for k in range(128)}
 _RUN_ODD = [_odd(300 + i) for i in range(GRAM)]
+# A suffix: the hash of its first words, its text by id and by hash, and its place.
+ORDER = ["key", "doc", "own", "at"]
 # Stands for a missing id.
 NO_ID = -(1 << 63)
 
@@ -101,52 +105,55 @@ def _grams(batches):
 def _suffixes(bits: np.ndarray):
     def run(batches):
         for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
-            parts: list[list] = [[], [], []]
-            for doc, words in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
+            parts: list[list] = [[], [], [], []]
+            for doc, own, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _texts(batch, 2), strict=True):
                 slot = least_runs(words) % np.uint64(FILTER_BITS)
                 held = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
                 at = np.flatnonzero(held)
                 if len(at):
-                    for part, values in zip(parts, (beginnings(words)[at].view(np.int64), np.full(len(at), doc), at.astype(np.int32)), strict=True):
+                    made = (beginnings(words)[at].view(np.int64), np.full(len(at), doc), np.full(len(at), own), at.astype(np.int32))
+                    for part, values in zip(parts, made, strict=True):
                         part.append(values)
             if parts[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], ["key", "doc", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], ORDER)
 
     return run
 
 
 # Rows of a lot, packed: texts, places and other texts. Waiting rows are of one key, with the two smallest texts that the lot has of it.
-LOT = "key long, first long, next long, n int, rows binary"
-LOT_SCHEMA = pa.schema([("key", pa.int64()), ("first", pa.int64()), ("next", pa.int64()), ("n", pa.int32()), ("rows", pa.binary())])
+LOT = "key long, texts array<struct<doc:long,own:long>>, n int, rows binary"
+_TEXT = pa.struct([("doc", pa.int64()), ("own", pa.int64())])
+LOT_SCHEMA = pa.schema([("key", pa.int64()), ("texts", pa.list_(_TEXT)), ("n", pa.int32()), ("rows", pa.binary())])
 
 
-def _settled(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+def _settled(key: np.ndarray, doc: np.ndarray, own: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
     """Sorted rows by key, text and place, as packed rows."""
     n = len(key)
     change = np.concatenate([[True], key[1:] != key[:-1]])
     start = np.flatnonzero(change)
     group = np.cumsum(change) - 1
-    low = doc[start]
-    # The first row of each group whose text is not its smallest one.
-    higher = np.flatnonzero(doc != low[group])
+    # The first row of each group, and the first one whose text is not that one's.
+    low = start[group]
+    higher = np.flatnonzero((doc != doc[low]) | (own != own[low]))
     next_at = np.full(len(start), -1)
     next_at[group[higher][::-1]] = higher[::-1]
     found: list[tuple] = []
 
     def put(rows: np.ndarray, other: np.ndarray, of: int | None) -> None:
+        """``other`` are places of rows of the other text."""
         m = len(rows)
         if m:
-            raw = doc[rows].astype("<i8").tobytes() + other.astype("<i8").tobytes() + at[rows].astype("<i4").tobytes()
-            ends = (None, None, None) if of is None else (int(key[start[of]]), int(low[of]), int(doc[next_at[of]]) if next_at[of] >= 0 else None)
-            found.append((*ends, m, pa.compress(raw, "zstd", asbytes=True)))
+            raw = b"".join(x.astype("<i8").tobytes() for x in (doc[rows], own[rows], doc[other], own[other])) + at[rows].astype("<i4").tobytes()
+            two = None if of is None else [{"doc": int(doc[k]), "own": int(own[k])} for k in (start[of], next_at[of]) if k >= 0]
+            found.append((None if of is None else int(key[start[of]]), two, m, pa.compress(raw, "zstd", asbytes=True)))
 
     edge = {0, len(start) - 1}
     for g in edge:
         rows = np.arange(start[g], start[g + 1] if g + 1 < len(start) else n)
-        put(rows, np.zeros(len(rows), np.int64), g)
+        put(rows, rows, g)
     rows = np.flatnonzero((next_at[group] >= 0) & (group > 0) & (group < len(start) - 1))
-    g = group[rows]
-    put(rows, np.where(doc[rows] == low[g], doc[next_at[g]], low[g]), None)
+    first = (doc[rows] == doc[low[rows]]) & (own[rows] == own[low[rows]])
+    put(rows, np.where(first, next_at[group[rows]], low[rows]), None)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), LOT_SCHEMA.types, strict=True)], schema=LOT_SCHEMA)
 
 
@@ -156,7 +163,7 @@ def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle() -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
         held.clear()
-        return _settled(*(table.column(c).to_numpy() for c in ("key", "doc", "at")))
+        return _settled(*(table.column(c).to_numpy() for c in ORDER))
 
     for batch in batches:
         if batch.num_rows:
@@ -167,24 +174,33 @@ def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle()
 
 
-FOUND = "doc long, start int, end int, other long"
+FOUND = "doc long, own long, start int, end int, other long, other_own long"
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each lot; those that waited meet the smallest of two texts that is not their own."""
+    names = [f.split()[0] for f in FOUND.split(", ")]
     for batch in batches:
         for n, rows, two in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            raw = pa.decompress(rows, 20 * n, "zstd", asbytes=True)
-            doc, other, at = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<i8", n, 8 * n), np.frombuffer(raw, "<i4", n, 16 * n)
+            raw = pa.decompress(rows, 36 * n, "zstd", asbytes=True)
+            doc, own, other, other_own = (np.frombuffer(raw, "<i8", n, 8 * n * k) for k in range(4))
+            at = np.frombuffer(raw, "<i4", n, 32 * n)
             if two is not None:
-                other = np.where(doc == two[0], two[1], two[0])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, at, at + np.int32(LEAST), other)], ["doc", "start", "end", "other"])
+                first = (doc == two[0]["doc"]) & (own == two[0]["own"])
+                other, other_own = (np.where(first, two[1][c], two[0][c]) for c in ("doc", "own"))
+            columns = (doc, own, at, at + np.int32(LEAST), other, other_own)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+def _own() -> F.Column:
+    """What tells texts of one id apart."""
+    return F.xxhash64(text_of())
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """(doc, start, end, other): each ``LEAST`` words in a row of a text that stand in another text too, and the smallest such text."""
+    """(doc, own, start, end, other, other_own): each ``LEAST`` words in a row of a text that stand in another text too, and the smallest such text."""
     words = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), word_hashes(text_of()).alias("words")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), _own().alias("own"), word_hashes(text_of()).alias("words")
     )
     grams = words.select("words").mapInArrow(_grams, "gram long").groupBy("gram").count().filter("count > 1")
     slot = F.call_function("pmod", F.col("gram"), F.lit(FILTER_BITS))
@@ -200,49 +216,52 @@ def matches(docs: DataFrame) -> DataFrame:
     def suffixes(batches):
         yield from _suffixes(shared.value)(batches)
 
-    order = ["key", "doc", "at"]
-    rows = words.mapInArrow(suffixes, "key long, doc long, at int")
-    lots = frozen(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lots, LOT))
-    waiting = lots.filter("first is not null")
-    texts = waiting.select("key", F.explode(F.array("first", "next")).alias("doc")).filter("doc is not null")
-    two = texts.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("doc")), 1, 2).alias("two")).filter("size(two) = 2")
-    settled = lots.filter("first is null").select("n", "rows", F.lit(None).cast("array<long>").alias("two"))
+    # Written once, in columns that pack well: the sort by ranges looks at its rows before it deals them.
+    rows = written(words.mapInArrow(suffixes, "key long, doc long, own long, at int"), "suffixes")
+    lots = frozen(rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).mapInArrow(_lots, LOT))
+    waiting = lots.filter("key is not null")
+    texts = waiting.select("key", F.explode("texts").alias("text"))
+    two = texts.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("text")), 1, 2).alias("two")).filter("size(two) = 2")
+    settled = lots.filter("key is null").select("n", "rows", F.col("texts").alias("two"))
     return settled.unionByName(waiting.join(two, "key").select("n", "rows", "two")).mapInArrow(_unpacked, FOUND)
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, start_word, end_word, n_words, other_id): passages of at least ``LEAST`` words that stand in another text too.
-
-    Matches that overlap or touch are one passage; its end is exclusive, and ``other_id`` is the smallest id it was met in.
-    """
-    found = matches(docs)
-    before = W.partitionBy("doc").orderBy("start", "end", "other").rowsBetween(W.unboundedPreceding, -1)
+def _joined(found: DataFrame) -> DataFrame:
+    """(doc, own, start, end, other): matches of a text that overlap or touch as one, and the smallest text that one of them was met in."""
+    before = W.partitionBy("doc", "own").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
+    upto = W.partitionBy("doc", "own").orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0)
     fresh = F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))
-    upto = W.partitionBy("doc").orderBy("start", "end", "other").rowsBetween(W.unboundedPreceding, 0)
-    passages = found.withColumn("fresh", fresh.cast("int")).withColumn("nth", F.sum("fresh").over(upto)).groupBy("doc", "nth").agg(
+    return found.withColumn("fresh", fresh.cast("int")).withColumn("nth", F.sum("fresh").over(upto)).groupBy("doc", "own", "nth").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("other").alias("other")
     )
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(doc_id, start_word, end_word, n_words, other_id, text_key): passages of at least ``LEAST`` words that stand in another text too.
+
+    Matches that overlap or touch are one passage; its end is exclusive, and ``other_id`` is the smallest id it was met in. Rows
+    that agree in id and text have their passages once.
+    """
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return passages.select(
+    return _joined(matches(docs)).select(
         real("doc").alias("doc_id"), F.col("start").cast("long").alias("start_word"), F.col("end").cast("long").alias("end_word"),
-        (F.col("end") - F.col("start")).cast("long").alias("n_words"), real("other").alias("other_id"),
+        (F.col("end") - F.col("start")).cast("long").alias("n_words"), real("other").alias("other_id"), F.col("own").alias("text_key"),
     )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): texts without the passages that stand in a text of a smaller id as well; words are joined by spaces.
+    """(doc_id, text): texts without the words of passages that stand in a smaller text as well; words are joined by spaces.
 
-    Texts without such passages stay as they are.
+    Only what was met in a smaller text goes, so that the smallest text keeps it. Texts without such passages stay as they are.
     """
-    gone = repeated_passages(docs).filter("other_id < doc_id or doc_id is null").groupBy("doc_id").agg(
-        F.collect_list(F.struct("start_word", "end_word")).alias("gone")
-    )
-    rows = docs.select("doc_id", "text")
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]), "left").select(rows["doc_id"], "text", "gone")
+    smaller = matches(docs).filter("other < doc OR (other = doc AND other_own < own)")
+    gone = _joined(smaller).groupBy("doc", "own").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
+    rows = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), _own().alias("own"))
     cut = let(
         split_words(F.col("text")),
-        lambda w: F.concat_ws(" ", F.filter(w, lambda _, i: ~F.exists("gone", lambda g: (i >= g["start_word"]) & (i < g["end_word"])))),
+        lambda w: F.concat_ws(" ", F.filter(w, lambda _, i: ~F.exists("gone", lambda g: (i >= g["start"]) & (i < g["end"])))),
     )
+    joined = rows.join(gone, ["doc", "own"], "left")
     return joined.select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(cut).alias("text"))
 
 
