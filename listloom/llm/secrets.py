@@ -7,7 +7,7 @@ into buckets of ``reach`` characters, each to all that its span touches, and mee
 the same, so that a text with very many parts is not joined with itself.
 
 Spans are in code points, end exclusive. All matches of a pattern are the gaps'
-and matches' lengths added up. Only matches are shuffled, never texts.
+and matches' lengths added up. Texts are scanned once for all kinds; only matches are shuffled, never texts.
 
 Cases: null and empty texts have no spans. Rows that repeat an id and a text
 each get the same spans; rows that share only the id are scanned apart.
@@ -46,37 +46,42 @@ _NEEDS = {
 COMPLETES = {"id": ["secret"], "secret": ["id", "endpoint"], "endpoint": ["secret"]}
 
 
-def matches(docs: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, text_key, kind, rank, start, end) of one kind's matches that are long enough."""
-    pattern, group, least, _ = KINDS[kind]
-    rows = with_key(docs)
+def _found(kind: str) -> F.Column:
+    """All matches of a kind in ``text``, in order: what lies before each, its length, and that of the part that counts."""
+    pattern, group, _, _ = KINDS[kind]
     if kind in _NEEDS:
         low = F.lower("text")
         hit = F.lit(False)
         for needle in _NEEDS[kind]:
             hit = hit | F.contains(low, F.lit(needle))
-        rows = rows.filter(hit)
     else:
-        rows = rows.filter(F.col("text").rlike(pattern))
+        hit = F.col("text").rlike(pattern)
     lengths = lambda found: F.transform(found, F.length)
-    rows = rows.select(
-        "doc_id",
-        "text_key",
-        F.posexplode(F.arrays_zip(
-            lengths(F.split("text", pattern, -1)).alias("gap"),
-            lengths(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("n"),
-            lengths(F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).alias("part"),
-        )).alias("at", "m"),
-    ).filter("m.n is not null")
+    found = F.arrays_zip(
+        lengths(F.split("text", pattern, -1)).alias("gap"),
+        lengths(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("n"),
+        lengths(F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).alias("part"),
+    )
+    told = lambda m, at: F.struct(F.lit(kind).alias("kind"), at.alias("at"), m["gap"].alias("gap"), m["n"].alias("n"), m["part"].alias("part"))
+    return F.when(hit, F.transform(found, told))
+
+
+def matches(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, kind, rank, start, end) of all kinds' matches that are long enough, from one scan of the texts."""
+    nothing = F.array().cast("array<struct<kind:string,at:int,gap:int,n:int,part:int>>")
+    every = F.concat(*[F.coalesce(_found(kind), nothing) for kind in KINDS])
+    rows = with_key(docs).select("doc_id", "text_key", F.explode(every).alias("m")).filter("m.n is not null")
     # Repeated rows give repeated matches.
-    rows = rows.select("doc_id", "text_key", "at", "m.gap", "m.n", "m.part").distinct()
-    upto = W.partitionBy("doc_id", "text_key").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.select("doc_id", "text_key", "m.*").distinct()
+    upto = W.partitionBy("doc_id", "text_key", "kind").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("n")).over(upto)
+    least = F.create_map(*[F.lit(x) for k, v in KINDS.items() for x in (k, v[2])])
+    rank = F.create_map(*[F.lit(x) for n, k in enumerate(KINDS) for x in (k, n)])
     return (
         rows.withColumn("end", end)
-        .filter(F.col("part") >= least)
+        .filter(F.col("part") >= least[F.col("kind")])
         .select(
-            "doc_id", "text_key", F.lit(kind).alias("kind"), F.lit(list(KINDS).index(kind)).alias("rank"),
+            "doc_id", "text_key", "kind", rank[F.col("kind")].alias("rank"),
             (F.col("end") - F.col("n")).cast("long").alias("start"), F.col("end").cast("long").alias("end"),
         )
     )
@@ -115,12 +120,8 @@ def linked(parts: DataFrame, reach: int = 300) -> DataFrame:
 
 def find_secrets(docs: DataFrame, reach: int = 300) -> DataFrame:
     """All spans: the base kinds, and weak parts that are linked."""
-    parts = None
-    for kind in KINDS:
-        found = matches(docs, kind)
-        parts = found if parts is None else parts.unionByName(found)
     # Kept once: matches are few, while each look at them would scan the texts again.
-    parts = frozen(parts)
+    parts = frozen(matches(docs))
     return parts.filter(F.col("kind").isin(*BASE)).unionByName(linked(parts, reach))
 
 
