@@ -29,6 +29,7 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -82,6 +83,8 @@ OWN, MAYBE, NONE = 1, 0, -1
 # Lengths of lines travel in the lowest bits of their hashes.
 LENGTH_BITS = 16
 LONGEST = (1 << LENGTH_BITS) - 1
+# Bits of rows that a comparison of two pages keeps: 8 MB.
+KEPT_BITS = 1 << 26
 # Two pages that share so much of the longer one's text are copies.
 NEAR_COPY = 0.9
 
@@ -112,8 +115,9 @@ def lines(html: str) -> list[tuple[str, int]]:
     """The page's lines with their kind: of an article, perhaps main text, or not."""
     out: list[tuple[str, int]] = []
     words: list[str] = []
-    # Open elements: (name, kind of what they hold).
+    # Open elements: (name, kind of what they hold), and how many of each name, so that none is sought in vain.
     stack: list[tuple[str, int]] = [("", MAYBE)]
+    opened: dict[str, int] = {}
 
     def flush() -> None:
         if words:
@@ -126,9 +130,11 @@ def lines(html: str) -> list[tuple[str, int]]:
         while len(stack) > at:
             if stack[-1][0] in BLOCKS or stack[-1][1] != stack[-2][1]:
                 flush()
-            stack.pop()
+            opened[stack.pop()[0]] -= 1
 
     def find(names, stop=()) -> int:
+        if not any(opened.get(n) for n in names):
+            return 0
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in names:
                 return i
@@ -187,6 +193,7 @@ def lines(html: str) -> list[tuple[str, int]]:
         if kind != stack[-1][1]:
             flush()
         stack.append((name, kind))
+        opened[name] = opened.get(name, 0) + 1
     close(1)
     flush()
     return out
@@ -206,13 +213,48 @@ def common(a: list, b: list) -> list[int]:
     masks: dict = {}
     for j, v in enumerate(y):
         masks[v] = masks.get(v, 0) | 1 << j
-    # A zero bit of a row says that one more line of y up to there is matched.
-    full = (1 << len(y)) - 1
+    return sorted([*ends, *(x[k][0] for k in _matched([v for _, v in x], y))])
+
+
+def _step(row: int, mask: int, full: int) -> int:
+    """One more line of the first sequence. A zero bit of a row says that one more line of the second up to there is matched."""
+    u = row & mask
+    return ((row + u) | (row - u)) & full
+
+
+def _masks(y: list) -> dict:
+    masks: dict = {}
+    for j, v in enumerate(y):
+        masks[v] = masks.get(v, 0) | 1 << j
+    return masks
+
+
+def _lengths(x: list, y: list) -> np.ndarray:
+    """The length of a longest common subsequence of ``x`` and each beginning of ``y``."""
+    masks, full = _masks(y), (1 << len(y)) - 1
+    row = full
+    for v in x:
+        row = _step(row, masks.get(v, 0), full)
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(y)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _matched(x: list, y: list) -> list[int]:
+    """Places in ``x`` of a longest common subsequence with ``y``, in order.
+
+    Up to ``KEPT_BITS`` all rows are kept and walked back; larger ones are cut in halves of ``x``, each with the part of
+    ``y`` that suits it best, so that memory grows with the lines and not with their square.
+    """
+    if not x or not y:
+        return []
+    if len(x) * len(y) > KEPT_BITS and len(x) > 1:
+        half = len(x) // 2
+        cut = int(np.argmax(_lengths(x[:half], y) + _lengths(x[half:][::-1], y[::-1])[::-1]))
+        return [*_matched(x[:half], y[:cut]), *(half + k for k in _matched(x[half:], y[cut:]))]
+    masks, full = _masks(y), (1 << len(y)) - 1
     rows = [full]
-    for _, v in x:
-        row = rows[-1]
-        u = row & masks[v]
-        rows.append(((row + u) | (row - u)) & full)
+    for v in x:
+        rows.append(_step(rows[-1], masks.get(v, 0), full))
     found, j = [], len(y)
     zeros = lambda row, j: j - (row & ((1 << j) - 1)).bit_count()
     for k in range(len(x), 0, -1):
@@ -222,9 +264,9 @@ def common(a: list, b: list) -> list[int]:
             continue
         while j and zeros(rows[k], j - 1) == zeros(rows[k], j):
             j -= 1
-        found.append(x[k - 1][0])
+        found.append(k - 1)
         j -= 1
-    return sorted([*ends, *found])
+    return found[::-1]
 
 
 def _hash(line: str) -> int:
