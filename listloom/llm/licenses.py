@@ -43,6 +43,8 @@ TEMPLATES = {
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
         "documentation files to deal in the software without restriction including without limitation the rights to use "
         "copy modify merge publish distribute sublicense and or sell copies of the software",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement",
     ],
     "apache": [
         "licensed under the apache license version 2 0",
@@ -54,15 +56,31 @@ TEMPLATES = {
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
         "public license as published by the free software foundation",
     ],
+    "agpl": ["under the terms of the gnu affero general public license as published by the free software foundation"],
     "lgpl": ["under the terms of the gnu lesser general public license as published by the free software foundation"],
     "bsd": [
         "redistribution and use in source and binary forms with or without modification are permitted provided that the "
         "following conditions are met",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
     ],
+    "isc": [
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "epl": ["made available under the terms of the eclipse public license 2 0"],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
     "mpl": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
     "cc-by": ["this work is licensed under a creative commons attribution 4 0 international license", "licensed under cc by 4 0"],
-    "cc-by-sa": ["licensed under cc by sa 4 0"],
-    "cc-by-nc": ["licensed under cc by nc 4 0"],
+    "cc-by-sa": ["this work is licensed under a creative commons attribution sharealike 4 0 international license", "licensed under cc by sa 4 0"],
+    "cc-by-nd": ["this work is licensed under a creative commons attribution noderivatives 4 0 international license", "licensed under cc by nd 4 0"],
+    "cc-by-nc": ["this work is licensed under a creative commons attribution noncommercial 4 0 international license", "licensed under cc by nc 4 0"],
+    "cc-by-nc-sa": [
+        "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license", "licensed under cc by nc sa 4 0",
+    ],
+    "cc-by-nc-nd": [
+        "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license", "licensed under cc by nc nd 4 0",
+    ],
     "cc0": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"],
 }
 
