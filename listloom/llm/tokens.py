@@ -12,7 +12,7 @@ A chunk is ``BLOCK`` ids (the last one fewer). Its plane j holds byte j of each
 bytes of ids are almost constant and shrink to nothing, and the low ones are compressed apart from
 them. Any chunk can be read alone by its entry in the index.
 
-Documents are range partitioned by id; a task writes the files of its range. The files are kept
+Documents are range partitioned by id, or by what another order asks for; a task writes the files of its range. The files are kept
 as rows (part, seq, n_ids, content) of a table that Spark writes, so a lost or repeated task
 leaves no half or double file, and any store that Spark reaches will do. The whole
 ``content`` of a file is decoded by itself.
@@ -224,6 +224,33 @@ def pack(doc_ids: list[int | None], docs: list[bytes]) -> bytes:
     return b"".join([head, *index, numbers, flags, lengths, *planes])
 
 
+def _places(content: bytes) -> tuple[np.ndarray, int, int]:
+    """The chunk index, where the document table begins, and where the planes begin."""
+    magic, version, _, n_docs, n_chunks, _ = struct.unpack_from(_HEAD, content)
+    if magic != MAGIC or version != VERSION:
+        raise ValueError("not a file of token ids")
+    at = struct.calcsize(_HEAD)
+    index = np.frombuffer(content, "<u4", n_chunks * 5, at).reshape(-1, 5)
+    return index, at + n_chunks * 20, at + n_chunks * 20 + 17 * n_docs
+
+
+def ids_between(content: bytes, begin: int, end: int) -> np.ndarray:
+    """Ids ``begin`` to ``end`` of a file, from the chunks that hold them; no other chunk is decompressed."""
+    index, _, place = _places(content)
+    upto = np.cumsum(index[:, 0], dtype=np.int64)
+    starts = upto - index[:, 0]
+    planes = place + np.concatenate([[0], np.cumsum(index[:, 1:].sum(axis=1, dtype=np.int64))])
+    found, decompress = [np.zeros(0, "<u4")], zstandard.ZstdDecompressor().decompress
+    for k in np.flatnonzero((upto > begin) & (starts < end)).tolist():
+        block, at = np.empty((int(index[k, 0]), 4), np.uint8), int(planes[k])
+        for j, size in enumerate(index[k, 1:].tolist()):
+            block[:, j] = np.frombuffer(decompress(content[at : at + size]), np.uint8)
+            at += size
+        ids = block.reshape(-1).view("<u4")
+        found.append(ids[max(begin - int(starts[k]), 0) : end - int(starts[k])])
+    return np.concatenate(found)
+
+
 def unpack(content: bytes) -> tuple[list[int | None], np.ndarray, Iterator[np.ndarray]]:
     """Document ids, lengths, and the ids of each chunk in turn."""
     magic, version, n_ids, n_docs, n_chunks, _ = struct.unpack_from(_HEAD, content)
@@ -282,11 +309,13 @@ def _write_part(path: str, end_id: int):
     return run
 
 
-def write_files(docs: DataFrame, folder: str, path: str, end_id: int = 0) -> None:
-    """Encode all texts in ascending doc_id order and write the files to ``folder``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_write_part(path, end_id), FILES).write.mode("overwrite").parquet(folder)
+def write_files(docs: DataFrame, folder: str, path: str, end_id: int = 0, order: list[str] | None = None) -> None:
+    """Encode all texts in ascending doc_id order, or in that of the columns ``order``, and write the files to ``folder``."""
+    ranked = [F.col(c).alias(f"order_{k}") for k, c in enumerate(order or [])]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *ranked)
+    ranks = [f"order_{k}" for k in range(len(ranked))]
+    ordered = rows.repartitionByRange(*(ranks or ["doc_id"])).sortWithinPartitions(*ranks, "doc_id", "text")
+    ordered.select("doc_id", "text").mapInArrow(_write_part(path, end_id), FILES).write.mode("overwrite").parquet(folder)
 
 
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,9 +362,11 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def token_report(docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None) -> DataFrame:
-    """Write the files, read them back, and give one row per document from them."""
+def token_report(
+    docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None, order: list[str] | None = None
+) -> DataFrame:
+    """Write the files, read them back, and give one row per document from them; ``order`` as in ``write_files``."""
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
-    write_files(docs, folder, path, end_id)
+    write_files(docs, folder, path, end_id, order)
     return read_files(spark, folder)
