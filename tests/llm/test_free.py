@@ -3,6 +3,7 @@
 import html as html_lib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -179,6 +180,30 @@ def test_passages_against_all_windows(spark, odd_docs, no_docs):
     assert cut[1000] == texts[0] and cut[1060] == "" and cut[1061] == texts[61]
 
 
+def test_texts_that_share_an_id_stay_apart(spark):
+    """Passages of two texts of one id, or of none, are not run together, and only what a smaller text holds is cut."""
+    rng = random.Random(21)
+    words = lambda n: prose(rng, n).split()
+    p, q = words(60), words(60)
+    first, second = [*p, *words(60)], [*words(40), *q, *words(20)]
+    left, both = words(50), words(30)
+    rows = [(None, first), (None, second), (5, first), (5, second), (7, [*p, *words(9)]), (8, [*words(7), *q])]
+    # A text whose first words stand in a smaller one, and whose last ones stand in a larger one.
+    rows += [(20, left), (21, [*left, *both, *q[:20]]), (22, [*both, *q[:20], *words(5)])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    found = [r.asDict() for r in suffixes.repeated_passages(docs).collect()]
+    spans = Counter((r["doc_id"], r["start_word"], r["end_word"]) for r in found)
+    # The whole texts stand in the rows of the other id; of 7 and 8 the passages do, of 21 two that touch.
+    assert spans == Counter([(None, 0, 120)] * 2 + [(5, 0, 120)] * 2 + [(7, 0, 60), (8, 7, 67), (20, 0, 50), (21, 0, 100), (22, 0, 50)])
+    assert len({r["text_key"] for r in found if r["doc_id"] is None}) == 2
+    kept = Counter((r["doc_id"], r["text"]) for r in suffixes.without_repeats(docs).collect())
+    join = " ".join
+    assert kept == Counter([
+        (None, join(first)), (None, join(second)), (5, ""), (5, ""), (7, join(rows[4][1][60:])), (8, join(rows[5][1][:7])),
+        (20, join(left)), (21, join([*both, *q[:20]])), (22, join(rows[8][1][50:])),
+    ])
+
+
 def test_passages_do_not_depend_on_partitions(spark):
     rng = random.Random(12)
     passage = prose(rng, 80)
@@ -256,6 +281,20 @@ def test_file_format_keeps_ids_chunks_and_documents():
     assert np.array_equal(np.concatenate(chunks), np.concatenate(docs))
 
 
+def test_a_chunk_is_read_by_the_index_alone(monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK", 100)
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 50_000, n).astype("<u4") for n in (1, 99, 250, 33)]
+    content = tokens.pack([5, None, 7, 8], [d.tobytes() for d in docs])
+    whole = np.concatenate(docs)
+    for a, b in ((0, 383), (0, 0), (99, 101), (100, 200), (250, 383), (382, 383), (350, 900), (383, 390)):
+        assert tokens.ids_between(content, a, b).tolist() == whole[a:b].tolist()
+    # A broken plane of another chunk is never looked at.
+    assert tokens.ids_between(content[:-40] + bytes(40), 0, 100).tolist() == whole[:100].tolist()
+    with pytest.raises(ValueError):
+        tokens.ids_between(b"XXXX" + content[4:], 0, 1)
+
+
 # licenses
 
 
@@ -285,6 +324,24 @@ def test_license_phrases_and_notices(spark, odd_docs, no_docs):
     assert licenses.license_report(no_docs).count() == 0
 
 
+def test_licences_of_one_family_are_told_apart(spark):
+    work = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    gnu = "redistribute it under the terms of the GNU {} as published by the Free Software Foundation, either version 3"
+    texts = {
+        "cc-by": work.format(""), "cc-by-sa": work.format("-ShareAlike"), "cc-by-nc": work.format("-NonCommercial"), "cc-by-nd": work.format("-NoDerivatives"),
+        "cc-by-nc-sa": work.format("-NonCommercial-ShareAlike"), "cc-by-nc-nd": work.format("-NonCommercial-NoDerivatives"),
+        "agpl,gpl": gnu.format("Affero General Public License"), "gpl,lgpl": gnu.format("Lesser General Public License"),
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+               "the above copyright notice and this permission notice appear in all copies.",
+        "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "mit": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+               "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    }
+    docs = spark.createDataFrame([(i, f"some words before. {t} and some after") for i, t in enumerate(texts.values())], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_report(docs).collect()}
+    assert got == dict(enumerate(texts))
+
+
 def test_notices_are_chains_that_fit_best(spark):
     gpl, lgpl = licenses.TEMPLATES["gpl"][1], licenses.TEMPLATES["lgpl"][0]
     runs = lgpl.split()
@@ -366,6 +423,27 @@ def test_common_lines_are_a_longest_common_subsequence():
         assert all(a[i] in rest for i in at)
 
 
+def test_deep_and_long_pages(monkeypatch):
+    """Elements that are never closed cost no search; long pages are compared in halves, to the same length."""
+    deep = "".join(f"<div>{i}<b>x" for i in range(30_000))
+    begun = time.process_time()
+    assert len(pages.lines(f"<body>{deep}<p>end")) == 30_001
+    assert time.process_time() - begun < 5
+    rng = random.Random(31)
+    for n in (5, 40, 200):
+        a, b = ([rng.randint(0, 9) for _ in range(n + rng.randint(0, 20))] for _ in range(2))
+        whole = pages.common(a, b)
+        with monkeypatch.context() as patch:
+            patch.setattr(pages, "KEPT_BITS", 16)
+            halves = pages.common(a, b)
+        assert len(halves) == len(whole) == len(set(halves))
+        rest = iter(b)
+        assert all(any(y == a[i] for y in rest) for i in sorted(halves))
+    long = [rng.randint(0, 200_000) for _ in range(40_000)]
+    found = pages.common(long, [v for k, v in enumerate(long) if k % 3] + long[:9])
+    assert len(found) >= 26_666
+
+
 def test_pages_of_the_given_tables(spark):
     given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r["page_id"]: r["text"] for r in pages.pages_report(given).collect()}

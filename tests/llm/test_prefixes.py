@@ -71,8 +71,7 @@ def conversations(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 50])
-@pytest.mark.parametrize(("family", "depth"), [(20, 64), (20, 4), (0, 5), (20, 7)])
+@pytest.mark.parametrize(("partitions", "family", "depth"), [(1, 20, 4), (3, 20, 64), (7, 0, 5), (50, 20, 4)])
 def test_trie_against_plain_dictionaries(spark, partitions, family, depth):
     rows = conversations(partitions + depth)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
