@@ -1,5 +1,5 @@
 """A training corpus from raw documents: what is toxic goes, one of each group of near copies stays, test passages
-go, sources are mixed to their weights, and the rest becomes token files.
+go, sources are mixed to their weights, and the rest becomes token files in the order of training.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but the last
 return the columns of the documents. A document may occur several times after mixing.
@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listloom.llm import decontaminate, jaccard, mixing, tokens, toxicity
 from listloom.llm.queries import vocabulary
@@ -37,8 +38,14 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, and a row for each document in them."""
-    return tokens.token_report(docs, vocabulary())
+    """Token files in the order of training, and a row for each document in them.
+
+    The mix wrote its rows in that order: by the number of the part, and in it from the first row on.
+    """
+    place = "_metadata.file_name", "_metadata.row_index"
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in zip(place, ("file", "row"), strict=True)])
+    rows = rows.withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long"))
+    return tokens.token_report(rows, vocabulary(), order=["part", "file", "row"])
 
 
 STAGES = [
