@@ -16,6 +16,9 @@ _FEW_KEYS = 500_000
 # Signs of a run by which words are looked for.
 _SEED = 3
 
+# So many words are broadcast at most: some 10 MB.
+_FEW_WORDS = 100_000
+
 
 def join_key(df: DataFrame, reference: DataFrame, wanted: str) -> str | None:
     """The wanted key, else the first shared column, else None."""
@@ -108,19 +111,15 @@ def overlap_by_file(
     return match_counts(map_existing(candidates, reference, key, hot=hot), by=[file])
 
 
-def _grams(text: Column, size: int) -> Column:
-    """The runs of ``size`` signs of a text, with their place from 1 on."""
-    return F.when(
-        F.length(text) >= size,
-        F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda at: F.struct(at.alias("at"), F.substring(text, at, F.lit(size)).alias("gram"))),
-    )
+def _grams(df: DataFrame, text: str, size: int) -> DataFrame:
+    """``df`` with one row per run of ``size`` signs of a text, as ``gram``, and its place from 1 on, as ``at``."""
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    return df.select("*", F.explode(places).alias("at")).withColumn("gram", F.substring(F.col(text), F.col("at"), F.lit(size)))
 
 
 def _seeds(words: DataFrame, pieces: DataFrame) -> DataFrame:
     """(mot_list_id, mot, gram, shift): each word by the one of its grams that fewest addresses hold, and how far into the word it stands."""
-    grams = words.select("mot_list_id", "mot", F.explode(_grams(F.col("mot"), _SEED)).alias("g")).select(
-        "mot_list_id", "mot", (F.col("g.at") - 1).alias("shift"), F.col("g.gram").alias("gram")
-    )
+    grams = _grams(words.select("mot_list_id", "mot"), "mot", _SEED).select("mot_list_id", "mot", (F.col("at") - 1).alias("shift"), "gram")
     # Counted before the shuffle: there are no more grams than texts of three signs.
     often = pieces.join(grams.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     ranked = grams.join(often, "gram", "left").withColumn("often", F.coalesce("often", F.lit(0)))
@@ -134,19 +133,21 @@ def word_hits(mails: DataFrame, words: DataFrame, mail: str = "mail") -> DataFra
     Each word is looked for by its rarest run of three signs. Addresses are cut into such runs only, as many as an
     address is long, however many words of however many lengths there are; where a run fits, the whole word is
     verified at its place. Words of one or two signs are looked for as they are. A contact with one row gives each word once.
+
+    Spark takes the runs for no larger than the file of the addresses, so it might broadcast them. Therefore the words are
+    counted first, up to ``_FEW_WORDS``: no more than these are broadcast to the runs, more meet them in a merge join.
     """
     words = words.filter(F.length("mot") > 0).select(F.col("id").alias("mot_list_id"), "mot")
     text = mails.select(F.col("id").alias("mail_id"), F.col(mail).alias("_text"))
+    how = "broadcast" if words.limit(_FEW_WORDS + 1).count() <= _FEW_WORDS else "merge"
 
     def cut(size: int) -> DataFrame:
-        return text.select("mail_id", "_text", F.explode(_grams(F.col("_text"), size)).alias("g")).select(
-            "mail_id", "_text", F.col("g.at").alias("at"), F.col("g.gram").alias("gram")
-        )
+        return _grams(text, "_text", size)
 
     def found(pieces: DataFrame, seeds: DataFrame) -> DataFrame:
         # The word's first place in the address, 0 if it has none: it is verified, and counts once.
         hit = (F.position("mot", "_text") == F.col("at") - F.col("shift")) & (F.col("at") > F.col("shift"))
-        return pieces.join(seeds, "gram").filter(hit).select("mail_id", "mot_list_id")
+        return pieces.join(seeds.hint(how), "gram").filter(hit).select("mail_id", "mot_list_id")
 
     hits = found(cut(_SEED), _seeds(words.filter(F.length("mot") >= _SEED), cut(_SEED)))
     for size in range(1, _SEED):

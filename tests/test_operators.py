@@ -148,6 +148,21 @@ def test_word_hits_against_brute_force(spark, rows):
     assert {r.id for r in got.filter("exclusion_mot_cle").collect()} == flagged and got.count() == 200
 
 
+@pytest.mark.parametrize("few", [100, 3])
+def test_word_hits_broadcasts_no_addresses(spark, rows, tmp_path, monkeypatch, few):
+    """The addresses' file is smaller than what Spark broadcasts; their runs of signs are not."""
+    monkeypatch.setattr(match, "_FEW_WORDS", few, raising=False)
+    mails = [(i, f"contact.{i:09d}@domain{i % 7}.example") for i in range(2000)]
+    words = [(i, w, True) for i, w in enumerate(["00@", "11@", "tact.0000012", "n6.ex", "9", "77", "exam", "zzz"])]
+    frame(spark, mails, "id long, mail string").write.parquet(f"{tmp_path}/mails")
+    frame(spark, words, "id long, mot string, exclusion boolean").write.parquet(f"{tmp_path}/words")
+    base, listed = spark.read.parquet(f"{tmp_path}/mails"), spark.read.parquet(f"{tmp_path}/words")
+    hits = match.word_hits(base, listed)
+    assert rows(hits) == sorted(((m, w) for m, text in mails for w, word, _ in words if word in text), key=repr)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "BuildLeft" not in plan
+
+
 def test_word_hits_without_words(spark):
     base = frame(spark, [(1, "a@b")], "id long, mail string")
     words = frame(spark, [], "id long, mot string, exclusion boolean")
