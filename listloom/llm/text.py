@@ -40,20 +40,27 @@ def let_go() -> None:
     pyarrow.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system. Only some C libraries keep it, and have a way to give it back."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that begins in a tidy worker and leaves one: freed memory goes back to the system, as a worker stays
     on, idle, through stages that have no use for it."""
 
     def whole(batches: Iterator) -> Iterator:
-        import ctypes
-
         let_go()
         yield from run(batches)
         let_go()
-        # Only some C libraries keep freed memory, and have a way to give it back.
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
 
     return whole
 

@@ -28,6 +28,7 @@ equal ids follow each other in the order of their texts. An empty table writes n
 
 from __future__ import annotations
 
+import os
 import struct
 import sys
 import uuid
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listloom.llm.text import WORKER, ship, text_of
+from listloom.llm.text import WORKER, byte_sizes, give_back, let_go, lots, ship, text_of
 from listloom.session import shared_folder
 
 ship(__name__)
@@ -56,8 +57,10 @@ MAGIC, VERSION = b"LLTK", 1
 _HEAD = "<4sIQQII"
 # Pieces that a worker keeps, twice: when so many are in use, those not used since the last turn are dropped.
 KEPT = 300_000
-# Texts that are encoded at once.
-TEXTS = 3000
+# Texts that are encoded at once, and their bytes unless one is larger: what stands beside the pieces is many times their size.
+TEXTS, TEXT_BYTES = 3000, 1 << 20
+# Texts and characters that the tokenizer gets at once: its result takes some hundred bytes a token.
+LOT = 2000, 1 << 18
 
 FILES = "part int, seq int, n_ids long, content binary"
 DOCS = "doc_id long, part int, seq int, begin long, n_tokens long, ids_crc32 long"
@@ -87,6 +90,8 @@ class Encoder:
     """Encodes texts to the bytes of their ids (u32, little-endian)."""
 
     def __init__(self, path: str):
+        # The tasks take up the cores; threads beside them would each hold memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -106,12 +111,15 @@ class Encoder:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.kept = KEPT
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        done = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(done), "<u4").tobytes()
-        ends = [4 * n for n in accumulate(map(len, done), initial=0)]
-        return [flat[a:b] for a, b in pairwise(ends)]
+        out: list[bytes] = []
+        for begin, upto in lots(map(len, texts), *LOT):
+            done = [e.ids for e in self.tokenizer.encode_batch_fast(texts[begin:upto], add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(done), "<u4").tobytes()
+            out += [flat[a:b] for a, b in pairwise(4 * n for n in accumulate(map(len, done), initial=0))]
+        return out
 
     def _word(self, word: str) -> bytes:
         """Ids of one run of letters, with or without a space before it: the model's merges alone."""
@@ -162,7 +170,7 @@ class Encoder:
                 self.tails[tail] = self._encode([tail])[0]
             new[p] = new[core] + self.tails[tail]
         found = [new[p] for p in pieces]
-        if len(new) > KEPT:
+        if len(new) > self.kept:
             self.old, self.new = new, {}
         return found
 
@@ -200,8 +208,10 @@ class Encoder:
 
 def encoder_of(path: str) -> Encoder:
     """The encoder of this Python worker; tasks that run in it one after another share what it has learned."""
-    kept = sys.modules.setdefault(WORKER, ModuleType(WORKER))
+    kept = sys.modules.get(WORKER)
     if getattr(kept, "path", None) != path:
+        let_go()
+        kept = sys.modules.setdefault(WORKER, ModuleType(WORKER))
         kept.path, kept.encoder = path, Encoder(path)
     return kept.encoder
 
@@ -277,9 +287,10 @@ def unpack(content: bytes) -> tuple[list[int | None], np.ndarray, Iterator[np.nd
     return doc_ids, lengths, chunks()
 
 
-def _write_part(path: str, end_id: int):
+def _write_part(path: str, end_id: int, kept: int = KEPT):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(path), struct.pack("<I", end_id)
+        encoder.kept = kept
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         docs: list[bytes] = []
@@ -293,8 +304,8 @@ def _write_part(path: str, end_id: int):
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                some = batch.slice(at, TEXTS)
+            for begin, upto in lots(byte_sizes(batch.column(1)), TEXTS, TEXT_BYTES):
+                some = batch.slice(begin, upto - begin)
                 texts = encoder.encode(some.column(1))
                 for doc_id, done in zip(some.column(0).to_pylist(), texts, strict=True):
                     ids.append(doc_id)
@@ -303,19 +314,28 @@ def _write_part(path: str, end_id: int):
                     if size >= FILE_IDS:
                         yield file()
                         ids, docs, size, seq = [], [], 0, seq + 1
+                del texts, some
+                give_back()
         if docs:
             yield file()
+        ids, docs = [], []
+        give_back()
 
     return run
 
 
-def write_files(docs: DataFrame, folder: str, path: str, end_id: int = 0, order: list[str] | None = None) -> None:
-    """Encode all texts in ascending doc_id order, or in that of the columns ``order``, and write the files to ``folder``."""
+def write_files(
+    docs: DataFrame, folder: str, path: str, end_id: int = 0, order: list[str] | None = None, kept: int = KEPT
+) -> None:
+    """Encode all texts in ascending doc_id order, or in that of the columns ``order``, and write the files to ``folder``.
+
+    ``kept`` pieces stay in a worker, twice: fewer take less memory and more time.
+    """
     ranked = [F.col(c).alias(f"order_{k}") for k, c in enumerate(order or [])]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *ranked)
     ranks = [f"order_{k}" for k in range(len(ranked))]
     ordered = rows.repartitionByRange(*(ranks or ["doc_id"])).sortWithinPartitions(*ranks, "doc_id", "text")
-    ordered.select("doc_id", "text").mapInArrow(_write_part(path, end_id), FILES).write.mode("overwrite").parquet(folder)
+    ordered.select("doc_id", "text").mapInArrow(_write_part(path, end_id, kept), FILES).write.mode("overwrite").parquet(folder)
 
 
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,10 +383,10 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_report(
-    docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None, order: list[str] | None = None
+    docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None, order: list[str] | None = None, kept: int = KEPT
 ) -> DataFrame:
-    """Write the files, read them back, and give one row per document from them; ``order`` as in ``write_files``."""
+    """Write the files, read them back, and give one row per document from them; ``order`` and ``kept`` as in ``write_files``."""
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
-    write_files(docs, folder, path, end_id, order)
+    write_files(docs, folder, path, end_id, order, kept)
     return read_files(spark, folder)

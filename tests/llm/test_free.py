@@ -271,6 +271,26 @@ def test_pieces_encode_like_whole_texts(text):
     assert encoder.encode(pa.array([text, "some words", text])) [::2] == [want, want]
 
 
+@pytest.mark.parametrize("text", ["two  spaces here\n\n", "plain words of a text "])
+def test_the_tokenizer_gets_few_characters_at_once(monkeypatch, text):
+    encoder, most = tokens.Encoder(vocabulary()), []
+    own = encoder.tokenizer
+
+    class Watched:
+        model = own.model
+
+        def encode_batch_fast(self, texts, **options):
+            most.append(sum(map(len, texts)))
+            return own.encode_batch_fast(texts, **options)
+
+    texts = [text * 1000 + str(i) for i in range(100)]
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[:3]]
+    encoder.tokenizer = Watched()
+    done = encoder.encode(pa.array(texts))
+    assert done[:3] == want and len(done) == 100
+    assert max(most) <= 1 << 18
+
+
 def test_file_format_keeps_ids_chunks_and_documents():
     rng = np.random.default_rng(0)
     docs = [rng.integers(0, 1 << 32, n, dtype=np.uint32).astype("<u4") for n in (0, 1, 5, tokens.BLOCK, tokens.BLOCK + 3, 2)]
