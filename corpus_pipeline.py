@@ -37,8 +37,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
-# Pieces that a worker of the last stage keeps: fewer than alone, as its executor's heap has grown in the stages before.
-KEPT = 50_000
+# Pieces that a worker of the last stage keeps, and bytes of texts that it encodes at once: fewer than alone, as its
+# executor's heap has grown in the stages before.
+KEPT, AT_ONCE = 50_000, 1 << 20
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     place = "_metadata.file_name", "_metadata.row_index"
     rows = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in zip(place, ("file", "row"), strict=True)])
     rows = rows.withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long"))
-    return tokens.token_report(rows, vocabulary(), order=["part", "file", "row"], kept=KEPT)
+    return tokens.token_report(rows, vocabulary(), order=["part", "file", "row"], kept=KEPT, at_once=AT_ONCE)
 
 
 STAGES = [

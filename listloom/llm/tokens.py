@@ -33,8 +33,9 @@ import struct
 import sys
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, chain, pairwise
+from operator import attrgetter
 from types import ModuleType
 
 import numpy as np
@@ -58,7 +59,7 @@ _HEAD = "<4sIQQII"
 # Pieces that a worker keeps, twice: when so many are in use, those not used since the last turn are dropped.
 KEPT = 300_000
 # Texts that are encoded at once, and their bytes unless one is larger: what stands beside the pieces is many times their size.
-TEXTS, TEXT_BYTES = 3000, 1 << 20
+TEXTS, TEXT_BYTES = 3000, 1 << 22
 # Texts and characters that the tokenizer gets at once: its result takes some hundred bytes a token.
 LOT = 2000, 1 << 18
 
@@ -75,6 +76,9 @@ ODD = (
 # Letters below this are letters to every version of Unicode.
 LATIN = "\u0250"
 
+# Punctuation that is split off the end of a piece.
+ENDS = ".,;:!?"
+
 
 def _byte_signs() -> dict[int, int]:
     """The sign of each byte in a byte-level vocabulary: printable ones stand for themselves, the rest follow from 256 on."""
@@ -84,6 +88,7 @@ def _byte_signs() -> dict[int, int]:
 
 
 BYTES = _byte_signs()
+TOKEN_ID = attrgetter("id")
 
 
 class Encoder:
@@ -111,6 +116,7 @@ class Encoder:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.packs: dict[int, Callable[..., bytes]] = {}
         self.kept = KEPT
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -121,55 +127,68 @@ class Encoder:
             out += [flat[a:b] for a, b in pairwise(4 * n for n in accumulate(map(len, done), initial=0))]
         return out
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one run of letters, with or without a space before it: the model's merges alone."""
-        mapped = word.replace(" ", "\u0120") if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
-        ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _words(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of runs of letters, each with a space or nothing before it: the model's merges alone."""
+        tokenize, packs, sign, out = self.tokenizer.model.tokenize, self.packs, before.translate(BYTES), []
+        for word in words:
+            mapped = sign + (word if word.isascii() else word.encode().decode("latin-1").translate(BYTES))
+            made = tokenize(mapped)
+            n = len(made)
+            if n not in packs:
+                packs[n] = struct.Struct(f"<{n}I").pack
+            out.append(packs[n](*map(TOKEN_ID, made)))
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that are not kept; one that begins with a line break has no space before it."""
         new = self.new
-        others = []
-        for p in pieces:
-            if p[0] == "\n":
-                if p[1:].isalpha() and max(p) < LATIN:
-                    new[p] = self.line + self._word(p[1:])
-                    continue
-            elif p.isalpha() and max(p) < LATIN:
-                new[p] = self._word(" " + p)
-                continue
-            others.append(p)
+        words = [p for p in pieces if p.isalpha() and max(p) < LATIN]
+        new.update(zip(words, self._words(words, " "), strict=True))
+        first = [p for p in pieces if p[:1] == "\n" and p[1:].isalpha() and max(p) < LATIN]
+        new.update(zip(first, [self.line + ids for ids in self._words([p[1:] for p in first], "")], strict=True))
+        others = [p for p in pieces if p not in new]
         for at in range(0, len(others), 20_000):
             some = others[at : at + 20_000]
-            made = self._encode([p[1:] if p[0] == "\n" else " " + p for p in some])
-            new.update(zip(some, [self.line + ids if p[0] == "\n" else ids for p, ids in zip(some, made, strict=True)], strict=True))
+            made = self._encode([p[1:] if p[:1] == "\n" else " " + p for p in some])
+            new.update(zip(some, [self.line + ids if p[:1] == "\n" else ids for p, ids in zip(some, made, strict=True)], strict=True))
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces."""
-        new, old = self.new, self.old
-
-        def known(p: str) -> bool:
-            if p in new:
-                return True
-            if p in old:
-                new[p] = old[p]
-                return True
-            return False
-
-        missing = [p for p in pieces if not known(p)]
-        # No token spans a letter and the punctuation after it.
-        ends = [(p, p.rstrip(".,;:!?")) for p in missing]
-        ends = [(p, core) for p, core in ends if p is not core and len(core) > 1 and core[-1].isalnum()]
-        apart = {p for p, _ in ends}
-        cores = {core for _, core in ends if not known(core)}
-        self._learn(list(cores.union(p for p in missing if p not in apart)))
-        for p, core in ends:
+        new, old, tails = self.new, self.old, self.tails
+        found: list[bytes | None] = list(map(new.get, pieces))
+        # What is not kept: as it is, what ends with punctuation, and what is to be encoded.
+        whole: list[int] = []
+        ended: list[tuple[int, str]] = []
+        learn: set[str] = set()
+        for i, ids in enumerate(found):
+            if ids is not None:
+                continue
+            p = pieces[i]
+            ids = old.get(p)
+            if ids is not None:
+                new[p] = found[i] = ids
+                continue
+            # No token spans a letter and the punctuation after it.
+            core = p.rstrip(ENDS) if p[-1:] in ENDS else p
+            if core is p or len(core) < 2 or not core[-1].isalnum():
+                whole.append(i)
+                learn.add(p)
+                continue
+            ended.append((i, core))
+            if core not in new:
+                if core in old:
+                    new[core] = old[core]
+                else:
+                    learn.add(core)
+        self._learn(list(learn))
+        for i in whole:
+            found[i] = new[pieces[i]]
+        for i, core in ended:
+            p = pieces[i]
             tail = p[len(core) :]
-            if tail not in self.tails:
-                self.tails[tail] = self._encode([tail])[0]
-            new[p] = new[core] + self.tails[tail]
-        found = [new[p] for p in pieces]
+            if tail not in tails:
+                tails[tail] = self._encode([tail])[0]
+            new[p] = found[i] = new[core] + tails[tail]
         if len(new) > self.kept:
             self.old, self.new = new, {}
         return found
@@ -192,7 +211,7 @@ class Encoder:
             if pa.types.is_large_list(cut.type):
                 cut = cut.cast(pa.list_(pa.string()))
             coded = cut.flatten().dictionary_encode()
-            made = self._pieces(coded.dictionary.to_pylist())
+            made = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             flat = np.frombuffer(b"".join(made), "<u4")
             sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
             starts = np.cumsum(sizes) - sizes
@@ -287,7 +306,7 @@ def unpack(content: bytes) -> tuple[list[int | None], np.ndarray, Iterator[np.nd
     return doc_ids, lengths, chunks()
 
 
-def _write_part(path: str, end_id: int, kept: int = KEPT):
+def _write_part(path: str, end_id: int, kept: int = KEPT, at_once: int = TEXT_BYTES):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(path), struct.pack("<I", end_id)
         encoder.kept = kept
@@ -304,7 +323,7 @@ def _write_part(path: str, end_id: int, kept: int = KEPT):
             )
 
         for batch in batches:
-            for begin, upto in lots(byte_sizes(batch.column(1)), TEXTS, TEXT_BYTES):
+            for begin, upto in lots(byte_sizes(batch.column(1)), TEXTS, at_once):
                 some = batch.slice(begin, upto - begin)
                 texts = encoder.encode(some.column(1))
                 for doc_id, done in zip(some.column(0).to_pylist(), texts, strict=True):
@@ -325,17 +344,18 @@ def _write_part(path: str, end_id: int, kept: int = KEPT):
 
 
 def write_files(
-    docs: DataFrame, folder: str, path: str, end_id: int = 0, order: list[str] | None = None, kept: int = KEPT
+    docs: DataFrame, folder: str, path: str, end_id: int = 0, order: list[str] | None = None, kept: int = KEPT,
+    at_once: int = TEXT_BYTES,
 ) -> None:
     """Encode all texts in ascending doc_id order, or in that of the columns ``order``, and write the files to ``folder``.
 
-    ``kept`` pieces stay in a worker, twice: fewer take less memory and more time.
+    ``kept`` pieces stay in a worker, twice, and texts of ``at_once`` bytes are encoded together: fewer take less memory and more time.
     """
     ranked = [F.col(c).alias(f"order_{k}") for k, c in enumerate(order or [])]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *ranked)
     ranks = [f"order_{k}" for k in range(len(ranked))]
     ordered = rows.repartitionByRange(*(ranks or ["doc_id"])).sortWithinPartitions(*ranks, "doc_id", "text")
-    ordered.select("doc_id", "text").mapInArrow(_write_part(path, end_id, kept), FILES).write.mode("overwrite").parquet(folder)
+    ordered.select("doc_id", "text").mapInArrow(_write_part(path, end_id, kept, at_once), FILES).write.mode("overwrite").parquet(folder)
 
 
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,10 +403,11 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_report(
-    docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None, order: list[str] | None = None, kept: int = KEPT
+    docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None, order: list[str] | None = None, kept: int = KEPT,
+    at_once: int = TEXT_BYTES,
 ) -> DataFrame:
-    """Write the files, read them back, and give one row per document from them; ``order`` and ``kept`` as in ``write_files``."""
+    """Write the files, read them back, and give one row per document from them; the last three as in ``write_files``."""
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
-    write_files(docs, folder, path, end_id, order, kept)
+    write_files(docs, folder, path, end_id, order, kept, at_once)
     return read_files(spark, folder)

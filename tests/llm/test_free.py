@@ -3,6 +3,7 @@
 import html as html_lib
 import random
 import re
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -291,6 +292,24 @@ def test_the_tokenizer_gets_few_characters_at_once(monkeypatch, text):
     assert max(most) <= 1 << 18
 
 
+def test_kept_pieces_are_looked_up_without_a_call_each():
+    """Pieces that the encoder keeps, and that it has put away, cost no Python function call each."""
+    encoder, calls = tokens.Encoder(vocabulary()), []
+    texts = [f"{a}{b}ing the\n{b}{a}ed, été{a} {i}." for i, (a, b) in enumerate((a, b) for a in "abcdefghijklmno" for b in "pqrstuvwxyz")]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for kept in (10**6, 1):
+        encoder.kept = kept
+        assert encoder.encode(pa.array(texts)) == want
+        calls.clear()
+        sys.setprofile(lambda frame, event, _: calls.append(frame.f_code.co_name) if event == "call" and frame.f_code.co_filename == tokens.__file__ else None)
+        try:
+            again = encoder.encode(pa.array(texts))
+        finally:
+            sys.setprofile(None)
+        assert again == want
+        assert len(calls) < 50
+
+
 def test_file_format_keeps_ids_chunks_and_documents():
     rng = np.random.default_rng(0)
     docs = [rng.integers(0, 1 << 32, n, dtype=np.uint32).astype("<u4") for n in (0, 1, 5, tokens.BLOCK, tokens.BLOCK + 3, 2)]
