@@ -8,7 +8,9 @@ Large ("heavy") sets would have far too many. Their shingles are dealt into part
 two sets differ in at most d shingles, then of d + 3 parts three at least are the
 same, and each part is a key of an inverted list. A part is a fixed-size
 subset as well, and so a list holds texts that share several shingles at once. Lists of single shingles
-would be as long as the number of texts that share a common passage.
+would be as long as the number of texts that share a common passage. A part without shingles is no key, as sets that have nothing
+in common share it. There are so many parts that a large set has fewer empty ones than two linked sets have parts in
+common; where a set has as many, three empty parts together are a key.
 Where light ends is chosen by cost: from the number of sets of each size, the keys that subsets
 would make are weighed against the keys of parts, each of which is scanned.
 
@@ -30,9 +32,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -41,47 +44,60 @@ from pyspark.sql import functions as F
 
 from listloom.llm.components import components
 from listloom.llm.lists import stars
-from listloom.llm.text import SPACES, let, lowered, packed, ship, split_words, text_of, tidy, written
+from listloom.llm.text import SPACES, byte_sizes, let, lots, lowered, packed, ship, split_words, text_of, tidy, written
 from listloom.session import frozen
 
 ship(__name__)
 
 SIZE = 4
 TOP = 85
+# Parts that may be empty without being keys, one less than are the same in two linked sets; bands of many parts have more of both.
 SLACK = 2
+# From this many parts on a band's slack grows, and is past what is likely by this many standard deviations.
+FEW_PARTS, SURE = 200, 6
 # A key of a part is scanned with others in its list; one of a subset is right at once.
 SCAN_COST = 4
 # Light sets are sought up to this size at most: beyond it, subsets are past all bounds.
 LIGHT_MOST = 40
-# Texts that a task handles at once.
-TEXTS = 500
+# Texts, and bytes of texts, that a task handles at once.
+TEXTS, BYTES = 500, 1 << 18
 # Pairs of one star that are compared in one task.
 STAR = 500
 # Rows with sketches that a task looks at together.
 ROWS = 1000
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# The same for bytes of UTF-8, and which of them separate words.
+LOW_BYTES = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64)
+SPACE_BYTES = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 # Rows on each side that are compared at once.
 CELL_ROWS = 1024
-# Bits of a sketch.
-SKETCH = 4096
+# Bits of a sketch, and 64-bit words of it that are compared first.
+SKETCH, FIRST = 4096, 8
 # Bits of the filter that tells which sets may be in a pair.
 FILTER_BITS = 1 << 24
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
+    shifted = x >> np.uint64(30)
+    x ^= shifted
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x ^= np.right_shift(x, np.uint64(27), out=shifted)
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x ^= np.right_shift(x, np.uint64(31), out=shifted)
     return x
 
 
+def _mix_one(x: int) -> int:
+    """``_mix`` of one number."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+    return x ^ x >> 31
+
+
 def _odd(n: int) -> np.uint64:
     """The n-th of a row of unrelated odd numbers. Multiples of one number would let sums of products meet."""
-    x = _mix(np.array([n], np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return np.uint64(x[0] | np.uint64(1))
+    return np.uint64(_mix_one((n + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) | 1)
 
 
 def most_left_out(size: int) -> int:
@@ -105,11 +121,26 @@ def _band_edges() -> list[int]:
 BAND_EDGES = _band_edges()
 
 
+def _band_slack(band: int) -> int:
+    """How many of a band's parts may be empty without being keys."""
+    least, changed = BAND_EDGES[band] * TOP // 100, most_different(BAND_EDGES[band + 1] - 1, BAND_EDGES[band + 1] - 1)
+    slack = SLACK
+    # More parts are more empty ones; a few rounds settle that.
+    for _ in range(20 if changed + 1 + SLACK > FEW_PARTS else 0):
+        parts = changed + 1 + slack
+        empty = parts * exp(-least / parts)
+        slack = SLACK + int(empty + SURE * sqrt(empty))
+    return slack
+
+
+BAND_SLACK = [_band_slack(b) for b in range(len(BAND_EDGES) - 1)]
+
+
 def bands_of(size: int) -> list[tuple[int, int]]:
     """(band, parts) under which a set is listed: its own band, and the next if a partner may be there."""
     own = bisect_right(BAND_EDGES, size) - 1
     bands = [own] + ([own + 1] if size * 100 // TOP >= BAND_EDGES[own + 1] else [])
-    return [(b, most_different(BAND_EDGES[b + 1] - 1, BAND_EDGES[b + 1] - 1) + 1 + SLACK) for b in bands]
+    return [(b, most_different(BAND_EDGES[b + 1] - 1, BAND_EDGES[b + 1] - 1) + 1 + BAND_SLACK[b]) for b in bands]
 
 
 def subset_count(size: int) -> int:
@@ -130,14 +161,37 @@ def is_heavy(size: int, b: int) -> bool:
     return size * 100 // TOP > b
 
 
-def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
-    """The sorted shingle hashes of each row's word hashes."""
-    lists = batch.column(column)
-    values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    offsets = lists.offsets.to_numpy()
-    # A slice of a batch still has all of its values.
-    if len(offsets):
-        values, offsets = values[offsets[0] : offsets[-1]], offsets - offsets[0]
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of texts that are not null, and where each text's words begin and the last one's end.
+
+    A word's hash is mixed from the sum of its bytes' hashes, each taken with the byte's place in the word.
+    """
+    nothing = np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    if not len(texts):
+        return nothing
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)
+    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    if offsets[0] == offsets[-1]:
+        return nothing
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    inside = ~SPACE_BYTES[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = offsets[:-1][offsets[:-1] < len(data)]
+    begins[first] = inside[first]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return nothing
+    place = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+    hashes = _mix((place.view(np.uint64) << np.uint64(8) | LOW_BYTES[data[starts[0] :]]) ^ _odd(13))
+    hashes *= inside[starts[0] :]
+    return _mix(np.add.reduceat(hashes, starts - starts[0]) ^ _odd(14)), np.searchsorted(starts, offsets)
+
+
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted shingle hashes of each text."""
+    values, offsets = hashed_words(texts)
     m = [_odd(i) for i in range(1, SIZE + 1)]
     rolled = np.zeros(0, np.uint64)
     if len(values) >= SIZE:
@@ -145,7 +199,8 @@ def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
         rolled = _mix(rolled)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
         if b - a >= SIZE:
-            yield np.unique(rolled[a : b - SIZE + 1])
+            own = np.sort(rolled[a : b - SIZE + 1])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif b > a:
             short = values[a:b]
             yield _mix(np.array([sum((int(x) * int(_odd(90 + 10 * (b - a) + i)) for i, x in enumerate(short.tolist()))) & 0xFFFFFFFFFFFFFFFF], np.uint64))
@@ -154,25 +209,30 @@ def shingle_sets(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
 
 
 def set_name(s: np.ndarray) -> int:
-    parts = np.concatenate([_mix(s ^ _odd(7)), _mix(np.array([len(s)], np.uint64) ^ _odd(8))])
-    return int(_mix(parts.sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
+    total = int(_mix(s ^ _odd(7)).sum(dtype=np.uint64)) + _mix_one(len(s) ^ int(_odd(8)))
+    name = _mix_one(total & 0xFFFFFFFFFFFFFFFF)
+    return name - (1 << 64) if name >> 63 else name
 
 
 def part_keys(s: np.ndarray) -> np.ndarray:
-    """Keys of a heavy set's parts; empty parts are keys only where there are too many of them."""
+    """Keys of a heavy set's parts; where more parts are empty than the slack, each three of them are a key as well."""
     out = []
+    mixed = _mix(s ^ _odd(9))
     for band, parts in bands_of(len(s)):
         part = (_mix(s * _odd(100 + band)) >> np.uint64(11)) % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
+        # Numbers of 16 bits are sorted in linear time.
+        order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
         part = part[order]
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        sums = np.add.reduceat(_mix(s[order] ^ _odd(9)), starts)
+        sums = np.add.reduceat(mixed[order], starts)
         held = part[starts]
-        if parts - len(held) > SLACK:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), held)
-            held = np.concatenate([held, empty])
-            sums = np.concatenate([sums, np.zeros(len(empty), np.uint64)])
         out.append(_mix(sums + _mix((held + np.uint64(1)) * _odd(200 + band))))
+        if parts - len(held) > BAND_SLACK[band]:
+            empty = _mix((np.setdiff1d(np.arange(parts, dtype=np.uint64), held) + np.uint64(1)) * _odd(300 + band))
+            # Row by row of the first of three, so that no table of all places is held.
+            for i in range(len(empty) - 2):
+                j, k = np.triu_indices(len(empty) - 1 - i, 1)
+                out.append(_mix(empty[i] + empty[i + 1 :][j] + empty[i + 1 :][k]))
     return np.concatenate(out)
 
 
@@ -209,10 +269,12 @@ def _signed(light: int):
     """doc_id, text_key, n_shingles, name, and, for the first copy in a batch only, the set's keys, their ranks and its sketch."""
 
     def run(batches):
-        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
+        seen: set[int] = set()
+        for batch, start in ((b.slice(x, y - x), x) for b in batches for x, y in lots(byte_sizes(b.column(2)), TEXTS, BYTES)):
             sizes, names, keys, ranks, made_sketches = [], [], [], [], []
-            seen: set[int] = set()
-            for s in shingle_sets(batch, 2):
+            if not start:
+                seen.clear()
+            for s in shingle_sets(batch.column(2)):
                 name = set_name(s) if len(s) else None
                 sizes.append(len(s))
                 names.append(name)
@@ -286,6 +348,11 @@ def _allowed(sizes, other_sizes, flips):
     return near & (100 * np.minimum(sizes, other_sizes) >= TOP * np.maximum(sizes, other_sizes))
 
 
+def _flips_allowed(sizes, bits, a, b):
+    """Whether the sets at places a may link with those at places b, by all of their sketches."""
+    return _allowed(sizes[a], sizes[b], np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64))
+
+
 PAIRS = "a long, b long, weight long, h_a long, h_b long"
 
 
@@ -307,8 +374,7 @@ def _meet(batches):
             rest = np.flatnonzero(~is_centre & (place >= 0))
             rest = rest[star[rest] == star[place[rest]]]
             middle = place[rest]
-            flips = np.bitwise_count(bits[rest] ^ bits[middle]).sum(axis=1, dtype=np.int64)
-            near = _allowed(size[rest], size[middle], flips)
+            near = _flips_allowed(size, bits, rest, middle)
             rest, middle = rest[near], middle[near]
             columns = [name[middle], name[rest], weight[rest], holder[middle], holder[rest]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
@@ -345,11 +411,16 @@ def _cells(batches):
         is_left, name, component, size, holder, bits = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0)] * 6
         found: list[list[np.ndarray]] = [[], [], [], []]
         lefts, rights = np.flatnonzero(is_left), np.flatnonzero(is_left == 0)
+        begun = np.ascontiguousarray(bits[rights, :FIRST]) if parts else None
         for at in range(0, len(lefts) if len(rights) else 0, 32):
             i = lefts[at : at + 32]
-            flips = np.bitwise_count(bits[i][:, None, :] ^ bits[rights][None]).sum(axis=2, dtype=np.int64)
+            # Most pairs differ too much in the first words of their sketches already.
+            flips = np.bitwise_count(bits[i][:, None, :FIRST] ^ begun[None]).sum(axis=2, dtype=np.int64)
             near = _allowed(size[i][:, None], size[rights][None], flips) & (component[i][:, None] != component[rights][None])
             x, y = np.nonzero(near)
+            kept = [_flips_allowed(size, bits, i[x[k : k + CELL_ROWS]], rights[y[k : k + CELL_ROWS]]) for k in range(0, len(x), CELL_ROWS)]
+            kept = np.concatenate(kept) if kept else np.zeros(0, bool)
+            x, y = x[kept], y[kept]
             for held_, values in zip(found, (name[i[x]], name[rights[y]], holder[i[x]], holder[rights[y]]), strict=True):
                 held_.append(values)
         columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
@@ -446,13 +517,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, text_key, and ``group``, a number for the component."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), text_of().alias("text"))
     # About how many sets there are of each small size; this only weighs costs.
-    words = F.size(split_words(F.col("text")))
-    counts = texts.filter(F.length("text") < 100 * LIGHT_MOST).select(F.greatest(words - SIZE + 1, F.least(words, F.lit(1))).alias("n"))
-    counts = counts.filter(F.col("n").between(1, LIGHT_MOST * 100 // TOP + 1)).groupBy("n").count()
-    light = boundary({r["n"]: r["count"] for r in counts.collect()})
+    most = LIGHT_MOST * 100 // TOP + 1
+    # A split ends where a text has too many words to count, so there are few numbers of words.
+    words = F.size(F.array_remove(F.split("text", SPACES, most + SIZE + 4), ""))
+    counts: Counter[int] = Counter()
+    for r in texts.filter(F.length("text") < 100 * LIGHT_MOST).select(words.alias("words")).groupBy("words").count().collect():
+        counts[max(r["words"] - SIZE + 1, min(r["words"], 1))] += r["count"]
+    light = boundary({n: c for n, c in counts.items() if 1 <= n <= most})
 
     signed = frozen(
-        texts.select("doc_id", "text_key", word_hashes(F.col("text")).alias("words")).mapInArrow(
+        texts.select("doc_id", "text_key", "text").mapInArrow(
             tidy(_signed(light)),
             "doc_id long, text_key long, n_shingles long, name long, keys array<long>, ranks array<tinyint>, sketch binary",
         )

@@ -143,6 +143,57 @@ def test_linked_sets_share_a_key_whatever_the_boundary(light):
             assert flips <= len(a) + len(b) - 2 * both <= jaccard.most_different(len(a), len(b))
 
 
+@pytest.mark.parametrize("size", [60, 400, 700, 1500, 4000])
+def test_sets_with_nothing_in_common_share_no_key(size):
+    rng = np.random.default_rng(size)
+    keys = [jaccard.part_keys(np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))) for _ in range(80)]
+    seen = Counter(k for own in keys for k in set(own.tolist()))
+    assert max(seen.values()) == 1
+
+
+@pytest.mark.parametrize("size", [100, 1000])
+def test_linked_sets_share_a_key_where_only_empty_parts_are_the_same(size):
+    ((band, parts),) = jaccard.bands_of(size)
+    rng = np.random.default_rng(size)
+    loose = rng.integers(0, 1 << 63, 40 * size, dtype=np.uint64)
+    part = (jaccard._mix(loose * jaccard._odd(100 + band)) >> np.uint64(11)) % np.uint64(parts)
+    changes = 0
+    while 100 * (size - changes - 1) >= 85 * (size + changes + 1):
+        changes += 1
+    # As many held parts as there are changes, so that each of them is changed once.
+    by_part = [loose[part == p] for p in range(2 * changes)]
+    common = np.stack([x[:30] for x in by_part]).T.ravel()[: size - changes]
+    a, b = (np.unique(np.concatenate([common, [x[-1] for x in own]])) for own in (by_part[:changes], by_part[changes:]))
+    both = len(np.intersect1d(a, b))
+    assert len(a) == len(b) == size and 100 * both >= 85 * (2 * size - both)
+    assert set(jaccard.part_keys(a).tolist()) & set(jaccard.part_keys(b).tolist())
+
+
+def test_words_of_texts_are_hashed_as_they_are_split():
+    texts = ["", " \t\n", "a", "É é\x00 \x00 ab", " Ab  aB\x0bab\x0cba", "x" * 70_000, "ab", "", "One two three", " "]
+    for column in (pa.array(texts), pa.array(["first", *texts, "last"]).slice(1, len(texts))):
+        hashes, at = jaccard.hashed_words(column)
+        words = [SPACED.findall(t.translate(LOWER)) for t in texts]
+        assert np.diff(at).tolist() == [len(w) for w in words]
+        named = set(zip((w for own in words for w in own), hashes.tolist(), strict=True))
+        assert len(named) == len({w for w, _ in named}) == len({h for _, h in named})
+        assert [len(s) for s in jaccard.shingle_sets(column)] == [len(shingles(t)) for t in texts]
+
+
+def test_pairs_that_part_late_in_their_sketches_are_no_pairs():
+    """Pairs of a cell's rows are those that the whole sketches allow, whatever the first words of them say."""
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.concatenate([s[k:], rng.integers(0, 1 << 63, k, dtype=np.uint64)])) for s in sets for k in (5, 20, 60)]
+    bits = [jaccard.sketch_of(s) for s in sets]
+    n = len(sets)
+    columns = [[1] * 2 * n, [0] * 2 * n, [True] * n + [False] * n, [*range(n)] * 2, [*range(n)] * 2, [300] * 2 * n, [*range(n)] * 2]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([b.tobytes() for b in bits] * 2, pa.binary())], [*"abcdefgh"])
+    got = {(r["a"], r["b"]) for out in jaccard._cells(iter([batch])) for r in out.to_pylist()}
+    flips = lambda x, y: int(np.bitwise_count(bits[x].view(np.uint64) ^ bits[y].view(np.uint64)).sum())
+    assert got == {(x, y) for x in range(n) for y in range(n) if x != y and flips(x, y) <= jaccard.most_different(300, 300)}
+
+
 # repeated passages
 
 
